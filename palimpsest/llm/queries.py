@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import quality_rules
+from palimpsest.llm import decontaminate, quality_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_decontaminate": decontaminate.query,
         "op8_quality_rules": quality_rules.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_decontaminate": decontaminate.oracle_sql(),
         "op8_quality_rules": quality_rules.oracle_sql(),
     }
