@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import decontaminate, quality_rules
+from palimpsest.llm import decontaminate, quality_rules, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_url_filter": url_filter.query,
         "op4_decontaminate": decontaminate.query,
         "op8_quality_rules": quality_rules.query,
     }
@@ -18,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_url_filter": url_filter.oracle_sql(),
         "op4_decontaminate": decontaminate.oracle_sql(),
         "op8_quality_rules": quality_rules.oracle_sql(),
     }
