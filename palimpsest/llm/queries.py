@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import decontaminate, quality_rules, url_filter
+from palimpsest.llm import decontaminate, ngram_join, quality_rules, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_url_filter": url_filter.query,
         "op4_decontaminate": decontaminate.query,
+        "op6_ngram_join": ngram_join.query,
         "op8_quality_rules": quality_rules.query,
     }
 
@@ -21,5 +22,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_url_filter": url_filter.oracle_sql(),
         "op4_decontaminate": decontaminate.oracle_sql(),
+        "op6_ngram_join": ngram_join.oracle_sql(),
         "op8_quality_rules": quality_rules.oracle_sql(),
     }

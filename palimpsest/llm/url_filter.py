@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import lower_ascii, materialize, table
+from palimpsest.llm.components import components
 
 
 @dataclass(frozen=True)
@@ -111,37 +112,6 @@ def alias_edges(pages: DataFrame) -> DataFrame:
     return found.select("src", full.alias("target")).select("src", node_of(F.col("target")).alias("dst")).where("src <> dst").distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, component) for every node of the edges; the component is its smallest node.
-
-    Each round is a large-star and a small-star step; neither gathers a node's neighbours in one
-    task, minima are combined before the shuffle.  The number of rounds grows with the logarithm of
-    the component's size; the edge set is written to the shared folder after every round.
-    """
-
-    def star(pairs: DataFrame, large: bool) -> DataFrame:
-        both = pairs.union(pairs.select("v", "u")) if large else pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        joined = both.join(low, "u")
-        if large:
-            out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        else:
-            out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        return out.where("u <> v").distinct()
-
-    nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
-    pairs, mark = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")), None
-    for _ in range(max_rounds):
-        pairs = materialize(star(star(pairs, True), False), "stars")
-        now = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
-        if (now.n, now.h) == mark:
-            break
-        mark = (now.n, now.h)
-    else:
-        raise RuntimeError(f"components have not settled in {max_rounds} rounds")
-    return nodes.join(pairs, nodes.node == pairs.u, "left").select("node", F.coalesce("v", "node").alias("component"))
-
-
 def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, *, edges: DataFrame | None = None) -> DataFrame:
     """(page_id, host, path, rule, verdict, component) for every row of ``pages``.
 
