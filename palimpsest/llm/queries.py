@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import decontaminate, mixing, ngram_join, quality_rules, url_filter
+from palimpsest.llm import decontaminate, mixing, ngram_join, quality_rules, token_output, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_output": token_output.query,
         "op2_mixing": mixing.query,
         "op3_url_filter": url_filter.query,
         "op4_decontaminate": decontaminate.query,
