@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import decontaminate, mixing, ngram_join, quality_rules, token_output, url_filter
+from palimpsest.llm import decontaminate, mixing, ngram_join, quality_rules, substring_dedup, token_output, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mixing": mixing.query,
         "op3_url_filter": url_filter.query,
         "op4_decontaminate": decontaminate.query,
+        "op5_substring_dedup": substring_dedup.query,
         "op6_ngram_join": ngram_join.query,
         "op8_quality_rules": quality_rules.query,
     }
