@@ -8,8 +8,10 @@ Candidates.  With threshold t, two sets that link share an n-gram within their f
 found in more than ``hot`` classes moved to its end, so passages that many documents share don't
 bring those together.  Pairs of a small bucket are counted; with c common prefix n-grams a pair's
 overlap is at most c plus what lies behind a prefix, and pairs that can't reach the threshold go.
-In a large bucket all members meet the smallest one first; only members still in different
-components afterwards meet each other.
+Classes that
+share large buckets form a crowd; a crowd is cut into blocks by set size and hash, and pairs of
+blocks are compared whole, fragment by fragment, giving a spanning forest of their links, so
+neither the pairs nor the links of a crowd are ever written out.
 
 Verification.  The global order is cut into ``fragments`` ranges of equal width.  Overlaps of the
 candidate pairs are counted in each fragment separately and summed per pair.
@@ -41,6 +43,8 @@ PERCENT = 80
 HOT = 20
 #: Ranges of the global order in verification.
 FRAGMENTS = 8
+#: Classes of a crowd in one block.
+BLOCK = 1024
 #: Up to so many text keys (8 bytes each) are sent to the tasks; beyond, texts are joined.
 SENT_KEYS = 2_000_000
 
@@ -157,8 +161,78 @@ def _apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
     return pairs.join(la, "a", "left").join(lb, "b", "left").where("coalesce(la, a) <> coalesce(lb, b)").select("a", "b")
 
 
+def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the graph of a boolean matrix."""
+    n, edges = len(linked), []
+    new = np.ones(n, bool)
+    for root in range(n):
+        if not new[root]:
+            continue
+        new[root] = False
+        queue = [root]
+        while queue:
+            x = queue.pop()
+            near = np.flatnonzero(linked[x] & new)
+            new[near] = False
+            edges += [(x, y) for y in near.tolist()]
+            queue += near.tolist()
+    return edges
+
+
+def block_links(sizes: np.ndarray, sets: list[np.ndarray], percent: int, width: int = 4096) -> list[tuple[int, int]]:
+    """A spanning forest of the links among ``sets``: overlaps are summed over ranges of the n-gram order."""
+    n = len(sets)
+    owner = np.repeat(np.arange(n), [len(x) for x in sets])
+    grams, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    useful = times > 1
+    column = np.cumsum(useful) - 1
+    own, at = owner[useful[at]], column[at[useful[at]]]
+    overlap = np.zeros((n, n), np.float32)
+    order = np.argsort(at, kind="stable")
+    own, at = own[order], at[order]
+    for low in range(0, int(useful.sum()), width):
+        i, j = np.searchsorted(at, [low, low + width])
+        part = np.zeros((n, width), np.float32)
+        part[own[i:j], at[i:j] - low] = 1
+        overlap += part @ part.T
+    linked = 100 * overlap >= percent * (sizes[:, None] + sizes[None, :] - overlap)
+    np.fill_diagonal(linked, False)
+    return _forest(linked)
+
+
+def _crowd_links(large: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """(a, b): links that connect what is linked among the classes of large buckets (g, cid, n, hub)."""
+    stars = large.where("hub <> cid").select(F.col("hub").alias("src"), F.col("cid").alias("dst")).distinct()
+    crowd = components(stars).select(F.col("node").alias("cid"), F.col("component").alias("crowd"))
+    # sets that link differ in size by 100 / percent at most, so by one step of such a scale
+    step = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)) + F.lit(1e-9)).cast("int")
+    member = materialize(crowd.join(sets.select("cid", "n"), "cid").withColumn("step", step), "crowds")
+    blocks = member.groupBy("crowd", "step").agg(F.expr(f"CAST(ceil(count(*) / {block}) AS INT)").alias("blocks"))
+    member = member.join(blocks, ["crowd", "step"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    above = blocks.select("crowd", (F.col("step") - 1).alias("step"), F.col("blocks").alias("above"))
+    below = blocks.select("crowd", (F.col("step") + 1).alias("step"), F.col("blocks").alias("below"))
+    near = member.join(above, ["crowd", "step"], "left").join(below, ["crowd", "step"], "left")
+    # block i of step low meets block j of the same step or, if up, of the next
+    same = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.col("step").alias("low"), F.lit(0).alias("up"), F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j")))
+    up = F.transform(F.sequence(F.lit(0), F.coalesce("above", F.lit(0)) - 1), lambda k: F.struct(F.col("step").alias("low"), F.lit(1).alias("up"), F.col("block").alias("i"), k.alias("j")))
+    down = F.transform(F.sequence(F.lit(0), F.coalesce("below", F.lit(0)) - 1), lambda k: F.struct((F.col("step") - 1).alias("low"), F.lit(1).alias("up"), k.alias("i"), F.col("block").alias("j")))
+    none = F.slice(same, 1, 0)
+    meets = F.concat(same, F.when(F.col("above") > 0, up).otherwise(none), F.when(F.col("below") > 0, down).otherwise(none))
+    dealt = near.select("cid", "crowd", F.explode(meets).alias("m")).select("cid", "crowd", "m.low", "m.up", "m.i", "m.j")
+    dealt = dealt.join(sets.select("cid", "n", "toks"), "cid")
+
+    def run(rows: pa.Table) -> pa.Table:
+        cid, sizes = rows.column("cid").to_numpy(), rows.column("n").to_numpy().astype(np.float32)
+        toks = rows.column("toks").combine_chunks()
+        flat, cuts = toks.flatten().to_numpy(), np.cumsum(toks.value_lengths().to_numpy())[:-1]
+        edges = block_links(sizes, np.split(flat, cuts), percent)
+        return pa.table({"a": pa.array([cid[x] for x, _ in edges], pa.int64()), "b": pa.array([cid[y] for _, y in edges], pa.int64())})
+
+    return dealt.groupBy("crowd", "low", "up", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def jaccard_components(
-    docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT, hot: int = HOT, fragments: int = FRAGMENTS
+    docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT, hot: int = HOT, fragments: int = FRAGMENTS, block: int = BLOCK
 ) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) for every row of ``docs`` (doc_id, text).
 
@@ -205,48 +279,24 @@ def jaccard_components(
     x, y = small.select("g", F.col("cid").alias("a"), F.col("n").alias("na")), small.select("g", F.col("cid").alias("b"), F.col("n").alias("nb"))
     met = x.join(y, "g").where(f"a < b AND 100 * least(na, nb) >= {percent} * greatest(na, nb)")
     met = met.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"))
-    if any_large:  # n-grams in large buckets may add to the common ones
-        held = large.groupBy("cid").agg(F.count("*").alias("m"))
-        met = met.join(held.select(F.col("cid").alias("a"), F.col("m").alias("ma")), "a", "left").join(held.select(F.col("cid").alias("b"), F.col("m").alias("mb")), "b", "left")
-        met = met.withColumn("c", F.expr("c + least(coalesce(ma, 0), coalesce(mb, 0))"))
-    found = met.where(f"c + greatest({rest('na')}, {rest('nb')}) >= {_enough('na', 'nb', percent)}").select("a", "b")
-    if any_large:
-        hubs = large.join(classes.select(F.col("cid").alias("hub"), F.col("n").alias("nh")), "hub").where("hub <> cid")
-        hubs = hubs.where(f"100 * least(n, nh) >= {percent} * greatest(n, nh)").select(F.least("hub", "cid").alias("a"), F.greatest("hub", "cid").alias("b"))
-        found = found.union(hubs).distinct()
-    found = materialize(found, "pairs")
+    found = materialize(met.where(f"c + greatest({rest('na')}, {rest('nb')}) >= {_enough('na', 'nb', percent)}").select("a", "b"), "pairs")
 
     ends = [found.select(F.col("a").alias("cid")), found.select(F.col("b").alias("cid"))] + ([large.select("cid")] if any_large else [])
     needed = reduce(DataFrame.union, ends).distinct()
     missing = classes.join(needed, "cid", "left_semi").join(deep, "cid", "left_anti").select("cid", "tid")
     sets = materialize(_sets(docs, materialize(missing, "missing"), k).select("cid", "n", "toks").union(deep_sets.select("cid", "n", "toks")), "sets")
 
-    # first each class against the smallest it met, then what is still apart
-    links = materialize(_verified(found.groupBy("b").agg(F.min("a").alias("a")), sets, percent, fragments), "links")
+    # each class against the smallest it met, and crowds; then what is still apart
+    links = _verified(found.groupBy("b").agg(F.min("a").alias("a")), sets, percent, fragments).select("a", "b")
+    if any_large:
+        links = links.union(_crowd_links(large, sets, percent, block))
+    links = materialize(links, "links")
     labels = None if links.isEmpty() else _labels(links)
     later = materialize(_apart(found, labels), "apart")
     if not later.isEmpty():
-        more = materialize(_verified(later, sets, percent, fragments), "links")
+        more = materialize(_verified(later, sets, percent, fragments).select("a", "b"), "links")
         if not more.isEmpty():
-            links = links.union(more)
-            labels = _labels(links)
-    if any_large:  # members of large buckets that are in different components meet each other
-        member = large.where("cid <> hub").select("g", "cid", "n")
-        if labels is not None:
-            member = member.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-        else:
-            member = member.withColumn("component", F.lit(None).cast("long"))
-        member = materialize(member.withColumn("component", F.coalesce("component", "cid")), "members")
-        mixed = member.groupBy("g").agg((F.min("component") != F.max("component")).alias("mixed")).where("mixed").select("g")
-        member = member.join(mixed, "g")
-        x = member.select("g", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("component").alias("la"))
-        y = member.select("g", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("component").alias("lb"))
-        met = x.join(y, "g").where(f"a < b AND la <> lb AND 100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
-        met = materialize(met, "met")
-        if not met.isEmpty():
-            more = materialize(_verified(met, sets, percent, fragments), "links")
-            if not more.isEmpty():
-                labels = _labels(links.union(more))
+            labels = _labels(links.union(more))
 
     named = classes.select("sig", "class_id", "cid")
     if labels is not None:
