@@ -41,7 +41,7 @@ class MixPlan:
     shard_slots: int = 4096
     most_shards: int = 20_000
     #: Documents of one hash bucket of a source.
-    bucket_rows: int = 20_000
+    bucket_rows: int = 2_000
     seed: int = 17
 
 
