@@ -20,7 +20,7 @@ import zlib
 import numpy as np
 
 STEPS = 128
-LANES = 1024
+LANES = 2048
 BLOCK_IDS = STEPS * LANES
 _GAIN = np.uint64(32)  # weight of an occurrence against the 1 that every id has
 _SURE = 7  # highest confidence
@@ -37,8 +37,8 @@ class _Model:
         self.count = np.ones(n_ids, _U)
         self.cum = np.zeros(n_ids + 1, _U)
         self.fresh: list[np.ndarray] = []
-        self.next1, self.sure1 = np.zeros(n_ids + 1, np.int32), np.zeros(n_ids + 1, np.int8)
-        self.next2, self.sure2 = np.zeros(_SLOTS, np.int32), np.zeros(_SLOTS, np.int8)
+        self.next1, self.sure1 = np.zeros(n_ids + 1, np.int64), np.zeros(n_ids + 1, np.int64)
+        self.next2, self.sure2 = np.zeros(_SLOTS, np.int64), np.zeros(_SLOTS, np.int64)
         self.seen = np.zeros((64, 3))  # by both confidences: neither, order 1, order 2 was right
         self.last = np.full(lanes, n_ids, np.int64)
         self.slot = np.zeros(lanes, np.int64)
@@ -51,32 +51,43 @@ class _Model:
 
     def predict(self) -> None:
         """Sets a, b (expected ids, a of order 2) and their weights wa, wb for every lane."""
-        self.a, self.b = self.next2[self.slot], self.next1[self.last]
-        s2, s1 = self.sure2[self.slot], self.sure1[self.last]
-        self.ctx = s2.astype(np.int64) * 8 + s1
+        self.a, self.b = self.next2.take(self.slot), self.next1.take(self.last)
+        self.s2, self.s1 = self.sure2.take(self.slot), self.sure1.take(self.last)
+        self.ctx = self.s2 * 8 + self.s1
         odds = (self.seen[:, 1:] + 0.1) / (self.seen[:, :1] + 0.5)
-        weight = np.minimum(odds, 31.0) * float(self.total)
-        weight = np.floor(weight).astype(_U)
+        weight = np.floor(np.minimum(odds, 31.0) * float(self.total)).astype(_U)
         weight[:8, 1] = 0
         weight[::8, 0] = 0
-        self.wa = weight[self.ctx, 1]
-        self.wb = np.where(self.a == self.b, np.where(s2 > 0, _ZERO, weight[self.ctx, 0]), weight[self.ctx, 0])
-        self.all = self.total + self.wa + self.wb
+        self.wa = weight[:, 1].take(self.ctx)
+        self.wb = weight[:, 0].take(self.ctx)
+        self.wb[(self.a == self.b) & (self.s2 > 0)] = 0
+        self.all = self.wa + self.wb
+        self.all += self.total
+
+    def interval(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of the ids' shares of ``all``."""
+        first = self.cum.take(x)
+        size = self.count.take(x)
+        for e, w in ((self.a, self.wa), (self.b, self.wb)):
+            first += w * (e < x)
+            size += w * (e == x)
+        return first, size
 
     def update(self, x: np.ndarray) -> None:
-        right2, right1 = (x == self.a) & (self.ctx >= 8), (x == self.b) & (self.ctx & 7 > 0)
-        outcome = np.where(right2, 2, np.where(right1, 1, 0))
+        right2, right1 = x == self.a, x == self.b
+        outcome = np.where(right2 & (self.s2 > 0), 2, right1 & (self.s1 > 0))
         self.seen += np.bincount(self.ctx * 3 + outcome, minlength=192).reshape(64, 3)
-        for right, table, sure, at in ((x == self.a, self.next2, self.sure2, self.slot), (x == self.b, self.next1, self.sure1, self.last)):
-            s = sure[at]
-            anew = ~right & (s <= 1)
-            table[at] = np.where(anew, x, table[at])
-            sure[at] = np.where(right, np.minimum(s + 1, _SURE), np.where(anew, 1, s >> 1))
+        for right, table, sure, s, at in ((right2, self.next2, self.sure2, self.s2, self.slot), (right1, self.next1, self.sure1, self.s1, self.last)):
+            anew = np.flatnonzero(~right & (s <= 1))
+            table[at[anew]] = x[anew]
+            s = np.where(right, np.minimum(s + 1, _SURE), s >> 1)
+            s[anew] = 1
+            sure[at] = s
         self.slot = ((self.last * 40_503 + x * 2_654_435) >> 3) & (_SLOTS - 1)
         self.last = x
         self.fresh.append(x)
         self.step += 1
-        if self.step <= 4 or self.step % 4 == 0:
+        if self.step in (1, 2, 4) or self.step % 8 == 0:
             self.count += np.bincount(np.concatenate(self.fresh), minlength=self.n).astype(_U) * _GAIN
             self.fresh = []
             self._sum()
@@ -103,11 +114,7 @@ def encode_block(ids: np.ndarray, n_ids: int) -> bytes:
     words, used = np.zeros((lanes, STEPS + 2), "<u4"), np.zeros(lanes, np.int64)
     for x in rows:
         model.predict()
-        first = model.cum[x]
-        size = model.cum[x + 1] - first
-        a, b, wa, wb = model.a, model.b, model.wa, model.wb
-        first += np.where(a < x, wa, _ZERO) + np.where(b < x, wb, _ZERO)
-        size += np.where(a == x, wa, _ZERO) + np.where(b == x, wb, _ZERO)
+        first, size = model.interval(x)
         unit = width // model.all
         low += first * unit
         width = size * unit
@@ -150,17 +157,14 @@ def decode_block(data: memoryview, n_ids: int) -> tuple[np.ndarray, int]:
         unit = width // model.all
         value = np.minimum((code - low) // unit, model.all - _ONE)
         a, b, wa, wb = model.a, model.b, model.wa, model.wb
-        swap = a > b
-        p, q = np.where(swap, b, a), np.where(swap, a, b)
-        wp, wq = np.where(swap, wb, wa), np.where(swap, wa, wb)
+        swap = np.flatnonzero(a > b)
+        p, q, wp, wq = a.copy(), b.copy(), wa.copy(), wb.copy()
+        p[swap], q[swap], wp[swap], wq[swap] = b[swap], a[swap], wb[swap], wa[swap]
         for e, w in ((p, wp), (q, wq)):  # take the expected ids' extra weight out again, the smaller id first
-            begin = model.cum[e]
-            value = np.where(value < begin, value, np.where(value < model.cum[e + 1] + w, np.minimum(value, begin), value - w))
+            begin = model.cum.take(e)
+            value = np.where(value < begin + model.count.take(e) + w, np.minimum(value, begin), value - w)
         x = np.searchsorted(model.cum, value, side="right") - 1
-        first = model.cum[x]
-        size = model.cum[x + 1] - first
-        first += np.where(a < x, wa, _ZERO) + np.where(b < x, wb, _ZERO)
-        size += np.where(a == x, wa, _ZERO) + np.where(b == x, wb, _ZERO)
+        first, size = model.interval(x)
         low += first * unit
         width = size * unit
         out = _settle(low, width)

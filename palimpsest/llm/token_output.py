@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ from palimpsest.llm.context_coder import BLOCK_IDS, decode_block, encode_block
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 #: A worker forgets its pieces beyond so many.
-MEMO_PIECES = 700_000
+MEMO_PIECES = 1_200_000
 _MAGIC = b"PALTOK1\0"
 _RECORD = struct.Struct("<8sIQII")  # magic, documents, ids, ids of the vocabulary, crc32 of the directory
 
@@ -59,6 +60,10 @@ def cut(text: str) -> list[str]:
     return text.replace(" ", "\0 ").split("\0")
 
 
+#: Inside a piece: behind letters or digits before a mark or a line end, and on both sides of a lone line end.
+_INNER = re.compile(r"(?<=[^\W_])(?=[.,;:!?\n])|(?<=[.,;:!?])(?=\n)|(?<=[^\s]\n)(?=\w)")
+
+
 class Encoder:
     """Ids of whole texts, as little-endian uint32 bytes; remembers pieces."""
 
@@ -78,10 +83,14 @@ class Encoder:
             if len(self.known) > MEMO_PIECES:
                 self.known.clear()
             parts = [cut(t) if t else [] for t in texts[k : k + 256]]
-            new = list(set().union(*parts).difference(self.known))
-            for piece, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.known[piece] = np.array(got.ids, "<u4").tobytes()
             get = self.known.__getitem__
+            new = {p: _INNER.split(p) for p in set().union(*parts).difference(self.known)}
+            atoms = list(set().union(*new.values()).difference(self.known))
+            for atom, got in zip(atoms, self.tokenizer.encode_batch_fast(atoms, add_special_tokens=False)):
+                self.known[atom] = array("I", got.ids).tobytes()
+            for piece, own in new.items():
+                if len(own) > 1:
+                    self.known[piece] = b"".join(map(get, own))
             out += [b"".join(map(get, p)) for p in parts]
         return out
 
