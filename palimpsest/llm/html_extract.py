@@ -318,7 +318,7 @@ def labelled_pages(n: int, seed: int = 5) -> list[tuple[Page, list[int]]]:
         after = [k for k in ("side", "comment", "form", "advert", "foot") if r.random() < 0.6]
         r.shuffle(before)
         main = article()
-        bare = r.random() < 0.12  # the body itself holds the article's blocks
+        bare = r.random() < 0.3  # the body itself holds the article's blocks
         if bare:
             main = re.sub(r"^(<main>)?<[^>]*>|</(article|main|div)>(</main>)?$", "", main)
         body = f"<body{mark}>" if bare else "<body>"
