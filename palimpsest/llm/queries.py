@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import decontaminate, html_extract, mixing, ngram_join, quality_rules, substring_dedup, token_output, toxicity, url_filter
+from palimpsest.llm import decontaminate, html_extract, mixing, ngram_join, quality_classifier, quality_rules, substring_dedup, token_output, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_toxicity": toxicity.query,
         "op8_quality_rules": quality_rules.query,
         "op9_html_extract": html_extract.query,
+        "op10_quality_classifier": quality_classifier.query,
     }
 
 
