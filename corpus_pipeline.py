@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import quality_rules
+from palimpsest.llm import decontaminate, mixing, ngram_join, quality_rules, token_output
 from palimpsest.llm.common import materialize, table
 
 #: (name, function of (spark, docs, sf_dir)); each result is written as Parquet and reread as the next one's docs.
 STAGES = [
     ("quality_rules", quality_rules.stage),
+    ("ngram_join", ngram_join.stage),
+    ("decontaminate", decontaminate.stage),
+    ("mixing", mixing.stage),
+    ("token_output", token_output.stage),
 ]
 
+#: Mixing draws at random and token ids come from a tokenizer: SQL has neither (see tests/llm/test_pipeline.py).
 ORACLE_SQL = None
 
 

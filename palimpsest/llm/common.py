@@ -35,10 +35,28 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
     Unlike ``checkpoint()`` this computes the plan once and stores columns, compressed.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/palimpsest-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession)(df, label)
+
+
+class Scratch:
+    """Tables in the shared folder that belong together: call to write one, ``drop`` to delete those of labels."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.base, self.made = spark, f"{shared_dir(spark)}/palimpsest-{uuid.uuid4().hex}", {}
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        path = f"{self.base}/{label}-{sum(map(len, self.made.values()))}"
+        self.made.setdefault(label, []).append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *labels: str) -> None:
+        """Delete the tables of ``labels`` (of all, if none is given); nothing may read them any more."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for label in labels or tuple(self.made):
+            for path in self.made.pop(label, ()):
+                at = jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(conf).delete(at, True)
 
 
 def lower_ascii(col):

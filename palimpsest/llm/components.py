@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import materialize
+from palimpsest.llm.common import Scratch
 
 
 def star(pairs: DataFrame, large: bool) -> DataFrame:
@@ -26,9 +26,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     The number of rounds grows with the logarithm of a component's size; the edge set is written to
     the shared folder after each, and the rounds end when a round changes nothing.
     """
-    pairs, mark = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).where("u <> v"), None
-    for _ in range(max_rounds):
-        pairs = materialize(star(star(pairs, True), False), "stars")
+    scratch, mark = Scratch(edges.sparkSession), None
+    pairs = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).where("u <> v")
+    for k in range(max_rounds):
+        pairs = scratch(star(star(pairs, True), False), f"round-{k}")
+        scratch.drop(f"round-{k - 1}")
         now = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
         if (now.n, now.h) == mark:
             break

@@ -200,9 +200,13 @@ def mix_texts(docs: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
     """
     spark = docs.sparkSession
     rows, sources, buckets = sized(docs.select("doc_id", "source", "lang", "text"), plan=plan)
-    keyed = materialize(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", "lang", "text", "size", "spread"), "sized")
-    placed = positioned(keyed.select("row", "doc_id", "source", "size", "spread"), sources, buckets).select("row", "src", "start", "size")
-    texts = keyed.select("row", "doc_id", "source", "lang", "text").join(placed, "row").where("size > 0")
+    small = materialize(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", "lang", "size", "spread").where("size > 0"), "sizes")
+    placed = positioned(small, sources, buckets).select("doc_id", "source", "lang", "spread", "src", "start", "size")
+    # one text for rows alike in id, text, source and lang meets each of their places
+    keys = ("spread", "doc_id", "source", "lang")
+    texts = rows.select(*keys, "text").dropDuplicates(keys)
+    alike = [texts[c].eqNullSafe(placed[c]) for c in keys]
+    texts = placed.join(texts, alike).select("src", "start", "size", placed.doc_id, placed.source, placed.lang, "text")
     b = plan.block_words
     schema = "src int, block long, lo long, doc_id long, source string, lang string, text string"
 

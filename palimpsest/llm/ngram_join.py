@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import materialize, table
+from palimpsest.llm.common import Scratch, table
 from palimpsest.llm.components import components
 from palimpsest.llm.decontaminate import WordHashes, gram_hashes
 
@@ -149,8 +149,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int, fragments: int) -
     return summed.where(f"100 * o >= {percent} * (na + nb - o)").select("a", "b", "o")
 
 
-def _labels(links: DataFrame) -> DataFrame:
-    return materialize(components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "labels")
+def _labels(links: DataFrame, scratch: Scratch) -> DataFrame:
+    return scratch(components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "labels")
 
 
 def _apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -200,13 +200,13 @@ def block_links(sizes: np.ndarray, sets: list[np.ndarray], percent: int, width:
     return _forest(linked)
 
 
-def _crowd_links(large: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+def _crowd_links(large: DataFrame, sets: DataFrame, percent: int, block: int, scratch: Scratch) -> DataFrame:
     """(a, b): links that connect what is linked among the classes of large buckets (g, cid, n, hub)."""
     stars = large.where("hub <> cid").select(F.col("hub").alias("src"), F.col("cid").alias("dst")).distinct()
     crowd = components(stars).select(F.col("node").alias("cid"), F.col("component").alias("crowd"))
     # sets that link differ in size by 100 / percent at most, so by one step of such a scale
     step = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)) + F.lit(1e-9)).cast("int")
-    member = materialize(crowd.join(sets.select("cid", "n"), "cid").withColumn("step", step), "crowds")
+    member = scratch(crowd.join(sets.select("cid", "n"), "cid").withColumn("step", step), "crowds")
     blocks = member.groupBy("crowd", "step").agg(F.expr(f"CAST(ceil(count(*) / {block}) AS INT)").alias("blocks"))
     member = member.join(blocks, ["crowd", "step"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     above = blocks.select("crowd", (F.col("step") - 1).alias("step"), F.col("blocks").alias("above"))
@@ -238,40 +238,42 @@ def jaccard_components(
 
     class_id is the smallest doc_id with an equal set, component_id the smallest reachable by links.
     """
+    scratch = Scratch(docs.sparkSession)
     docs = docs.select("doc_id", "text", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("tid"))
-    rows = materialize(_heads(docs, k, percent), "heads")
+    rows = scratch(_heads(docs, k, percent), "heads")
     classes = rows.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("class_id"), F.any_value(F.struct("tid", "n", "head")).alias("r"))
-    classes = materialize(
+    classes = scratch(
         classes.select(F.monotonically_increasing_id().alias("cid"), "sig", "class_id", "r.tid", "r.n", "r.head"), "classes"
     )
 
     grams = classes.select("cid", "n", F.explode("head").alias("g"))
-    counts = materialize(grams.groupBy("g").agg(F.count("*").alias("df")).where("df > 1"), "counts")
+    counts = scratch(grams.groupBy("g").agg(F.count("*").alias("df")).where("df > 1"), "counts")
     hot_grams = counts.where(F.col("df") > hot).select("g")
     p = F.expr(f"n - CAST(ceil({percent} * n / 100) AS INT) + 1")
 
     # classes whose head has too few n-grams that aren't hot need their whole set
     n_hot = grams.join(hot_grams, "g").groupBy("cid").agg(F.count("*").alias("n_hot"))
     crowded = classes.select("cid", "tid", "n", F.size("head").alias("held")).join(n_hot, "cid")
-    deep = materialize(crowded.where(p > F.col("held") - F.col("n_hot")).select("cid", "tid"), "deep")
-    deep_sets = materialize(_sets(docs, deep, k), "deep-sets")
+    deep = scratch(crowded.where(p > F.col("held") - F.col("n_hot")).select("cid", "tid"), "deep")
+    deep_sets = scratch(_sets(docs, deep, k), "deep-sets")
     deep_grams = deep_sets.select("cid", "n", F.explode("toks").alias("g"))
 
     # the prefixes in the order with hot n-grams last; n-grams of a single class are left out
     flagged = hot_grams.withColumn("is_hot", F.lit(True))
     order = Window.partitionBy("cid").orderBy("is_hot", "g")
     deep_rank = deep_grams.join(flagged, "g", "left").withColumn("is_hot", F.coalesce("is_hot", F.lit(False)))
-    deep_prefix = materialize(deep_rank.withColumn("at", F.row_number().over(order)).where(F.col("at") <= p).select("g", "cid", "n", "is_hot"), "deep-prefix")
+    deep_prefix = scratch(deep_rank.withColumn("at", F.row_number().over(order)).where(F.col("at") <= p).select("g", "cid", "n", "is_hot"), "deep-prefix")
     usual = classes.join(deep, "cid", "left_anti").select("cid", "n", F.posexplode("head").alias("at", "g"))
     shared = counts.select("g").union(deep_prefix.select("g")).distinct()
     usual = usual.join(shared, "g").join(flagged, "g", "left").withColumn("is_hot", F.coalesce("is_hot", F.lit(False)))
     before = F.sum(F.col("is_hot").cast("int")).over(Window.partitionBy("cid").orderBy("at"))
     usual = usual.withColumn("hot_before", before).where(~F.col("is_hot") & (F.col("at") - F.col("hot_before") < p)).select("g", "cid", "n", "is_hot")
-    prefix = materialize(usual.union(deep_prefix), "prefixes")
+    prefix = scratch(usual.union(deep_prefix), "prefixes")
 
+    scratch.drop("counts", "deep-prefix")
     sizes = prefix.groupBy("g").agg(F.count("*").alias("size"), F.min("cid").alias("hub")).where("size > 1")
     small = prefix.join(sizes.where(F.col("size") <= hot).select("g"), "g").select("g", "cid", "n")
-    large = materialize(prefix.join(sizes.where(F.col("size") > hot), "g").select("g", "cid", "n", "hub"), "large")
+    large = scratch(prefix.join(sizes.where(F.col("size") > hot), "g").select("g", "cid", "n", "hub"), "large")
     any_large = not large.isEmpty()
 
     # pairs of small buckets, by how many prefix n-grams they share
@@ -279,24 +281,24 @@ def jaccard_components(
     x, y = small.select("g", F.col("cid").alias("a"), F.col("n").alias("na")), small.select("g", F.col("cid").alias("b"), F.col("n").alias("nb"))
     met = x.join(y, "g").where(f"a < b AND 100 * least(na, nb) >= {percent} * greatest(na, nb)")
     met = met.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"))
-    found = materialize(met.where(f"c + greatest({rest('na')}, {rest('nb')}) >= {_enough('na', 'nb', percent)}").select("a", "b"), "pairs")
+    found = scratch(met.where(f"c + greatest({rest('na')}, {rest('nb')}) >= {_enough('na', 'nb', percent)}").select("a", "b"), "pairs")
 
     ends = [found.select(F.col("a").alias("cid")), found.select(F.col("b").alias("cid"))] + ([large.select("cid")] if any_large else [])
     needed = reduce(DataFrame.union, ends).distinct()
     missing = classes.join(needed, "cid", "left_semi").join(deep, "cid", "left_anti").select("cid", "tid")
-    sets = materialize(_sets(docs, materialize(missing, "missing"), k).select("cid", "n", "toks").union(deep_sets.select("cid", "n", "toks")), "sets")
+    sets = scratch(_sets(docs, scratch(missing, "missing"), k).select("cid", "n", "toks").union(deep_sets.select("cid", "n", "toks")), "sets")
 
     # each class against the smallest it met, and crowds; then what is still apart
     links = _verified(found.groupBy("b").agg(F.min("a").alias("a")), sets, percent, fragments).select("a", "b")
     if any_large:
-        links = links.union(_crowd_links(large, sets, percent, block))
-    links = materialize(links, "links")
-    labels = None if links.isEmpty() else _labels(links)
-    later = materialize(_apart(found, labels), "apart")
+        links = links.union(_crowd_links(large, sets, percent, block, scratch))
+    links = scratch(links, "links")
+    labels = None if links.isEmpty() else _labels(links, scratch)
+    later = scratch(_apart(found, labels), "apart")
     if not later.isEmpty():
-        more = materialize(_verified(later, sets, percent, fragments).select("a", "b"), "links")
+        more = scratch(_verified(later, sets, percent, fragments).select("a", "b"), "links")
         if not more.isEmpty():
-            labels = _labels(links.union(more))
+            labels = _labels(links.union(more), scratch)
 
     named = classes.select("sig", "class_id", "cid")
     if labels is not None:
@@ -305,9 +307,12 @@ def jaccard_components(
         named = named.join(least, "component").select("sig", "class_id", "component_id")
     else:
         named = named.select("sig", "class_id", F.col("class_id").alias("component_id"))
-    out = rows.select("doc_id", "sig", F.col("n").cast("long").alias("n_shingles")).join(materialize(named, "named"), "sig", "left")
+    out = rows.select("doc_id", "sig", F.col("n").cast("long").alias("n_shingles")).join(named, "sig", "left")
     empty = F.col("n_shingles") == 0
-    return out.select("doc_id", "n_shingles", *(F.when(empty, F.col("doc_id")).otherwise(F.col(c)).alias(c) for c in ("class_id", "component_id")))
+    out = out.select("doc_id", "n_shingles", *(F.when(empty, F.col("doc_id")).otherwise(F.col(c)).alias(c) for c in ("class_id", "component_id")))
+    out = scratch(out, "result")
+    scratch.drop(*(label for label in tuple(scratch.made) if label != "result"))
+    return out
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
