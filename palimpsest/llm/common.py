@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,10 +44,11 @@ class Scratch:
     """Tables in the shared folder that belong together: call to write one, ``drop`` to delete those of labels."""
 
     def __init__(self, spark: SparkSession) -> None:
-        self.spark, self.base, self.made = spark, f"{shared_dir(spark)}/palimpsest-{uuid.uuid4().hex}", {}
+        self.spark, self.base, self.made, self.n = spark, f"{shared_dir(spark)}/palimpsest-{uuid.uuid4().hex}", {}, 0
 
     def __call__(self, df: DataFrame, label: str) -> DataFrame:
-        path = f"{self.base}/{label}-{sum(map(len, self.made.values()))}"
+        self.n += 1
+        path = f"{self.base}/{label}-{self.n}"
         self.made.setdefault(label, []).append(path)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
@@ -59,6 +62,13 @@ class Scratch:
                 at.getFileSystem(conf).delete(at, True)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices, so that no more than ``rows`` texts are Python objects at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def lower_ascii(col):
     """A-Z lower-cased and nothing else (``lower()`` would also fold other letters)."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

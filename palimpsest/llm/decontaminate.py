@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palimpsest.llm.common import table
+from palimpsest.llm.common import sliced, table
 
 WINDOW, GRAM = 10, 5
 #: Most words of the benchmark in one block; 2 million words are about 60 MB in a task.
 BLOCK_WORDS = 2_000_000
 #: Words whose hashes a task remembers before it starts anew.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -222,7 +222,7 @@ def _scan(docs: DataFrame, text_col: str, block: Block, merge: bool = False) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, hashes = sent.value, WordHashes()
-        for batch in batches:
+        for batch in sliced(batches):
             count, spans, hit, items = [], [], [], []
             earlier = list(zip(batch.column("hit_spans").to_pylist(), batch.column("hit_items").to_pylist())) if merge else None
             for k, text in enumerate(batch.column(text_col).to_pylist()):

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import Scratch, table
+from palimpsest.llm.common import Scratch, sliced, table
 from palimpsest.llm.components import components
 from palimpsest.llm.decontaminate import WordHashes, gram_hashes
 
@@ -81,7 +81,7 @@ def _heads(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in sliced(batches):
             sigs, sizes, heads = [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingle_set(text, hashes, k)
@@ -118,7 +118,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in sliced(batches):
             toks = [shingle_set(t, hashes, k) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("cid"), _list_of(toks)], ["cid", "toks"])
 

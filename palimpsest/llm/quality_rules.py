@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palimpsest.llm.common import table
+from palimpsest.llm.common import sliced, table
 
 #: Phrases that mark a line as boilerplate (compared after lower-casing).
 BOILERPLATE = (
@@ -159,7 +159,7 @@ def line_quality(
     schema = T.StructType([*source.schema.fields[:-1], *(T.StructField(n, t) for n, t, _ in result)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             rows = [judge(x, rules) for x in batch.column(len(keep)).to_pylist()]
             columns = list(zip(*rows)) if rows else [()] * len(_RESULT)
             arrays = [batch.column(i) for i in range(len(keep))]

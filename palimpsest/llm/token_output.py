@@ -6,10 +6,9 @@ each block is coded by itself (see ``context_coder``) and carries checksums of i
 Records are rows of a Parquet table in the shared folder, so a lost executor's records are written
 again by Spark's commit protocol.  Reading decodes record by record and verifies every checksum.
 
-Tokenizing.  A space between two other characters always begins a piece of the byte-level
-tokenizer's own split, so a text is cut there, each distinct piece is encoded by the tokenizers
-library once per worker, and a document's ids are the joined ids of its pieces.  Texts with other
-white space next to spaces are cut only at the safe spaces.
+Tokenizing.  Texts are cut where the byte-level tokenizer's own split has a bound for certain (see
+``cut``), each distinct piece is encoded by the tokenizers library and remembered by the worker, and
+a document's ids are the joined ids of its pieces.
 
 Defined results: null text is empty (its end id only); null doc ids come first; repeated rows are
 kept, in the order of a hash of their text; an empty table gives an empty table.
@@ -34,8 +33,8 @@ from palimpsest.llm.context_coder import BLOCK_IDS, decode_block, encode_block
 
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
-#: A worker forgets its pieces beyond so many.
-MEMO_PIECES = 1_200_000
+#: A worker remembers the last so many pieces, and those of them it met again.
+MEMO_PIECES = 350_000
 _MAGIC = b"PALTOK1\0"
 _RECORD = struct.Struct("<8sIQII")  # magic, documents, ids, ids of the vocabulary, crc32 of the directory
 
@@ -46,22 +45,33 @@ def tokenizer_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-#: White space other than single spaces and line ends inside lines; where there is none, every space is safe but those beside "\n".
-_OTHER_SPACE = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0  -     　]")
+#: White space other than single spaces and line ends inside lines.
+_OTHER_SPACE = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+#: A run of letters, if all letters of the text are among the first 256 characters, with a space before it.
+_LETTERS = re.compile("( ?[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)")
 
 
 def cut(text: str) -> list[str]:
-    """The text in pieces, each but the first beginning with a space that begins a piece of the tokenizer's."""
+    """The text in pieces whose bounds are bounds of the tokenizer's own split as well.
+
+    That splits at every change between letters, digits, marks and white space, and puts a space to
+    what follows it.  Letters, each run with the space before it, are cut from all else where the
+    exceptions to it (contractions, more than one white-space character in a row) don't occur;
+    other texts are cut only at spaces between two characters that aren't white space.
+    """
     if "\0" in text:
         return [text]
-    if "  " in text or " \n" in text or "\n " in text or _OTHER_SPACE.search(text):
+    if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or _OTHER_SPACE.search(text):
         return _SAFE_SPACE.sub("\0 ", text).split("\0")
-    return text.replace(" ", "\0 ").split("\0")
-
-
-#: Inside a piece: behind letters or digits before a mark or a line end, and on both sides of a lone line end.
-_INNER = re.compile(r"(?<=[^\W_])(?=[.,;:!?\n])|(?<=[.,;:!?])(?=\n)|(?<=[^\s]\n)(?=\w)")
+    if "'" in text:
+        return text.replace(" ", "\0 ").split("\0")
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text.replace(" ", "\0 ").split("\0")
+    return _LETTERS.split(text)
 
 
 class Encoder:
@@ -74,23 +84,28 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.n_ids = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}  # the generation before, of up to MEMO_PIECES
+
+    def _recalled(self, wanted: set[str]) -> set[str]:
+        """Brings over what the generation before knows; returns the rest."""
+        again = wanted.intersection(self.before)
+        self.known.update((p, self.before[p]) for p in again)
+        return wanted - again
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
         for k in range(0, len(texts), 256):
             if len(self.known) > MEMO_PIECES:
-                self.known.clear()
-            parts = [cut(t) if t else [] for t in texts[k : k + 256]]
-            get = self.known.__getitem__
-            new = {p: _INNER.split(p) for p in set().union(*parts).difference(self.known)}
-            atoms = list(set().union(*new.values()).difference(self.known))
-            for atom, got in zip(atoms, self.tokenizer.encode_batch_fast(atoms, add_special_tokens=False)):
-                self.known[atom] = array("I", got.ids).tobytes()
-            for piece, own in new.items():
-                if len(own) > 1:
-                    self.known[piece] = b"".join(map(get, own))
+                self.before, self.known = self.known, {}
+            parts = [([t] if any(x in t for x in self.added) else cut(t)) if t else [] for t in texts[k : k + 256]]
+            known, get = self.known, self.known.__getitem__
+            new = self._recalled(set().union(*parts).difference(known))
+            new = list(new)
+            for piece, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                known[piece] = array("I", got.ids).tobytes()
             out += [b"".join(map(get, p)) for p in parts]
         return out
 
