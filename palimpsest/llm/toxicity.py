@@ -6,7 +6,9 @@ window of ``WINDOW`` words; attention pools their states into one logit.  All ov
 a whole text are scored, ``STRIDE`` words apart, and the text's score is its highest window's.
 
 Training is on at most ``PER_CLASS`` documents of each class outside the held-out fold (a documented
-bound), by Adam on the highest window of each document; fixed seeds, on the driver.
+bound), by Adam on the highest window of each document; fixed seeds, on the driver.  Only words and
+n-grams whose document counts differ between the classes beyond chance have vectors that aren't zero
+(the first component begins as that difference), so the network can't learn rare words by heart.
 
 Defined results: null, empty and word-free texts get the score of a window without words; repeated
 rows are scored row by row; without labels of both classes every score is the share of label 1
@@ -29,7 +31,9 @@ from palimpsest.llm.labelled import held_out, sample_labelled
 WINDOW, STRIDE = 32, 16
 PER_CLASS, EPOCHS, TRAIN_WINDOWS = 800, 6, 16
 DIM, HIDDEN = 12, 8
-WORD_SLOTS, CHAR_SLOTS = 1 << 13, 1 << 13
+#: Standard errors by which the document counts of a word and of an n-gram must differ between classes.
+WORD_Z, CHAR_Z = 3.0, 2.0
+WORD_SLOTS, CHAR_SLOTS, GRAMS = 1 << 13, 1 << 14, (3, 4, 5)
 MEMO_WORDS = 250_000
 
 _WORD = re.compile(r"\w+")
@@ -42,7 +46,7 @@ def words_of(text: str | None) -> list[str]:
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word slot of each word; n-gram slots of all words in a row; where each word's begin.
 
-    The n-grams are all runs of 3 and 4 characters of ``^word$``, hashed without a loop over words.
+    The n-grams are all runs of GRAMS characters of ``^word$``, hashed without a loop over words.
     """
     text = "".join(f"^{w}$" for w in words)
     code = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
@@ -53,7 +57,7 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     place = np.arange(len(code)) - first[word]
     whole = np.add.reduceat((mixed ^ (mixed >> np.uint64(29))) * (place.astype(np.uint64) * np.uint64(2) + np.uint64(0xD6E8FEB86659FD93)), first) if len(words) else np.empty(0, np.uint64)
     slots, owners = [], []
-    for k in (3, 4):
+    for k in GRAMS:
         n = len(code) - k + 1
         if n <= 0:
             continue
@@ -61,7 +65,7 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         for j in range(1, k):
             h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + mixed[j : n + j]
         ok = np.flatnonzero(word[:n] == word[k - 1 :])
-        slots.append(((h[ok] ^ (h[ok] >> np.uint64(33))) * np.uint64(0x94D049BB133111EB) >> np.uint64(40)).astype(np.int64) % CHAR_SLOTS)
+        slots.append(((h[ok] ^ (h[ok] >> np.uint64(33))) * np.uint64(0x94D049BB133111EB) >> np.uint64(32)).astype(np.int64) % CHAR_SLOTS)
         owners.append(word[ok])
     owner = np.concatenate(owners) if owners else np.empty(0, np.int64)
     order = np.argsort(owner, kind="stable")
@@ -79,6 +83,20 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def contrast(docs: list[np.ndarray], y: np.ndarray, size: int) -> np.ndarray:
+    """How far the share of label-1 documents differs for each slot, in standard errors less a half count; 0 if it is in under 3."""
+    counts = np.zeros((2, size))
+    for slots, label in zip(docs, y):
+        counts[int(label), np.unique(slots)] += 1
+    n, (b, a) = len(docs), counts
+    ones = float((y == 1).sum())
+    df = a + b
+    p = df / n
+    gap = a - ones * p
+    spread = np.sqrt(np.maximum(ones * (n - ones) / n * p * (1 - p), 1e-9))
+    return np.where(df >= 3, np.sign(gap) * np.maximum(np.abs(gap) - 0.5, 0) / spread, 0)
+
+
 class Network:
     def __init__(self, seed: int = 3) -> None:
         r = np.random.default_rng(seed)
@@ -177,6 +195,13 @@ class Network:
         docs = [words_of(t) for t in texts] + [[]] * none
         y = np.array([*labels, *[0] * none], np.float32)
         weights = np.where(y == 1, 1.0, 1.5).astype(np.float32)  # the sample holds more of label 1 than the corpus
+        own_slots = [word_features(sorted(set(d)))[:2] for d in docs]
+        told = {}
+        for k, (name, least) in enumerate((("word", WORD_Z), ("char", CHAR_Z))):
+            z = contrast([x[k] for x in own_slots], y, len(self.p[name]))
+            told[name] = (np.abs(z) >= least)[:, None]
+            self.p[name] *= told[name]
+            self.p[name][:, 0] += np.clip(z / 8, -1, 1) * told[name][:, 0]
         moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}
         step = 0
         for epoch in range(epochs):
@@ -205,6 +230,7 @@ class Network:
                 grad = self.gradient(*features, index[:, top], there[:, top], y[own], weights[own])
                 step += 1
                 for name, g in grad.items():
+                    g = g * told[name] if name in told else g
                     m, v = moments[name]
                     m += 0.1 * (g - m)
                     v += 0.01 * (g * g - v)
