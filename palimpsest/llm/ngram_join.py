@@ -76,8 +76,9 @@ def _list_of(values: list[np.ndarray]) -> pa.Array:
 
 
 def _heads(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Every row's set size, set digest, and the first n-grams of its set, a few more than its prefix."""
-    schema = "doc_id long, tid binary, sig binary, n int, head array<long>"
+    """Every row's set size, set digest, and the first n-grams of its set, a few more than its prefix; its row key stays, if it has one."""
+    held = [c for c in docs.columns if c != "text"]
+    schema = ", ".join(f"{c} {'binary' if c == 'tid' else 'long'}" for c in held) + ", sig binary, n int, head array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -91,8 +92,8 @@ def _heads(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 sizes.append(n)
                 heads.append(s[: p + 4 + p // 8] if n else s)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("tid"), pa.array(sigs, pa.binary()), pa.array(sizes, pa.int32()), _list_of(heads)],
-                ["doc_id", "tid", "sig", "n", "head"],
+                [*(batch.column(c) for c in held), pa.array(sigs, pa.binary()), pa.array(sizes, pa.int32()), _list_of(heads)],
+                [*held, "sig", "n", "head"],
             )
 
     return docs.mapInArrow(run, schema)
@@ -232,18 +233,22 @@ def _crowd_links(large: DataFrame, sets: DataFrame, percent: int, block: int, sc
 
 
 def jaccard_components(
-    docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT, hot: int = HOT, fragments: int = FRAGMENTS, block: int = BLOCK
+    docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT, hot: int = HOT, fragments: int = FRAGMENTS, block: int = BLOCK, row_key: str | None = None
 ) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) for every row of ``docs`` (doc_id, text).
 
     class_id is the smallest doc_id with an equal set, component_id the smallest reachable by links.
+    With ``row_key`` (a long column, different in every row) also row_key and stays: true for every row
+    without words and for one row of each component, that of the smallest doc_id (null ones last), then row_key.
     """
     scratch = Scratch(docs.sparkSession)
-    docs = docs.select("doc_id", "text", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("tid"))
+    keyed = [F.col(row_key).alias("row_key")] if row_key else []
+    docs = docs.select("doc_id", *keyed, "text", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("tid"))
     rows = scratch(_heads(docs, k, percent), "heads")
-    classes = rows.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("class_id"), F.any_value(F.struct("tid", "n", "head")).alias("r"))
+    first = [F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")).alias("first")] if row_key else []
+    classes = rows.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("class_id"), F.any_value(F.struct("tid", "n", "head")).alias("r"), *first)
     classes = scratch(
-        classes.select(F.monotonically_increasing_id().alias("cid"), "sig", "class_id", "r.tid", "r.n", "r.head"), "classes"
+        classes.select(F.monotonically_increasing_id().alias("cid"), "sig", "class_id", "r.tid", "r.n", "r.head", *(["first"] if row_key else [])), "classes"
     )
 
     grams = classes.select("cid", "n", F.explode("head").alias("g"))
@@ -300,16 +305,17 @@ def jaccard_components(
         if not more.isEmpty():
             labels = _labels(links.union(more), scratch)
 
-    named = classes.select("sig", "class_id", "cid")
+    named = classes.select("sig", "class_id", "cid", *(["first"] if row_key else []))
     if labels is not None:
         named = named.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-        least = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
-        named = named.join(least, "component").select("sig", "class_id", "component_id")
+        least = named.groupBy("component").agg(F.min("class_id").alias("component_id"), *([F.min("first").alias("first")] if row_key else []))
+        named = named.drop("first").join(least, "component").select("sig", "class_id", "component_id", *(["first"] if row_key else []))
     else:
-        named = named.select("sig", "class_id", F.col("class_id").alias("component_id"))
-    out = rows.select("doc_id", "sig", F.col("n").cast("long").alias("n_shingles")).join(named, "sig", "left")
+        named = named.select("sig", "class_id", F.col("class_id").alias("component_id"), *(["first"] if row_key else []))
+    out = rows.select("doc_id", *(["row_key"] if row_key else []), "sig", F.col("n").cast("long").alias("n_shingles")).join(named, "sig", "left")
     empty = F.col("n_shingles") == 0
-    out = out.select("doc_id", "n_shingles", *(F.when(empty, F.col("doc_id")).otherwise(F.col(c)).alias(c) for c in ("class_id", "component_id")))
+    stays = ["row_key", (empty | (F.col("row_key") == F.col("first.row_key"))).alias("stays")] if row_key else []
+    out = out.select("doc_id", "n_shingles", *(F.when(empty, F.col("doc_id")).otherwise(F.col(c)).alias(c) for c in ("class_id", "component_id")), *stays)
     out = scratch(out, "result")
     scratch.drop(*(label for label in tuple(scratch.made) if label != "result"))
     return out
@@ -320,10 +326,14 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the document with the smallest id of each component stays (all rows without words stay)."""
-    found = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select("doc_id", "text", "lang", "source", "n_chars")
+    """Pipeline stage: one row of each component stays, that of its smallest doc_id; all rows without words stay.
+
+    Rows, not ids, are kept: they are written with a key each, so null and repeated ids lose nothing.
+    """
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    rows = Scratch(spark)(docs.select(*columns, F.monotonically_increasing_id().alias("row_key")), "rows")
+    found = jaccard_components(rows, row_key="row_key").where("stays").select("row_key")
+    return rows.join(found, "row_key", "left_semi").select(*columns)
 
 
 def oracle_sql(k: int = SHINGLE, percent: int = PERCENT) -> str:

@@ -111,3 +111,20 @@ def test_odd_rows(spark, odd_docs, no_docs):
 def test_null_ids_alone(spark):
     check(spark, [(None, "a b c d e f"), (None, "a b c d e f"), (None, None)])
     assert spark.createDataFrame([], DOCS).count() == 0
+
+
+def test_stage_keeps_rows_not_ids(spark, odd_docs):
+    """All rows are compared, those with null and repeated ids among them."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [
+        (1, a), (2, a + " more"), (2, b), (3, b), (3, c),  # 2 and 3 name a copy and a text of its own
+        (None, c + " more"), (None, "no copy of anything here at all"), (None, "found twice without any id"), (None, "found twice without any id"),
+        (None, None), (None, ""), (4, ""), (4, ""), (4, None),
+    ]
+    docs = spark.createDataFrame([(*r, "en", "a", 1) for r in rows], DOCS)
+    kept = [(r.doc_id, r.text) for r in stage(spark, docs, "").collect()]
+    expected = [(1, a), (2, b), (3, c), (None, rows[6][1]), (None, rows[7][1]), *rows[9:]]
+    assert sorted(kept, key=str) == sorted(expected, key=str)
+    odd = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    left = [(r.doc_id, r.text) for r in stage(spark, odd_docs, "").collect()]
+    assert sorted(left, key=str) == sorted([odd[0], *odd[2:8], odd[9]], key=str)
