@@ -6,7 +6,7 @@ window of ``WINDOW`` words; attention pools their states into one logit.  All ov
 a whole text are scored, ``STRIDE`` words apart, and the text's score is its highest window's.
 
 Training is on at most ``PER_CLASS`` documents of each class outside the held-out fold (a documented
-bound), by Adam on the highest window of each document; fixed seeds, on the driver.  Only words and
+bound), by Adam on the highest of all windows of each document; fixed seeds, on the driver.  Only words and
 n-grams whose document counts differ between the classes beyond chance have vectors that aren't zero
 (the first component begins as that difference), so the network can't learn rare words by heart.
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,9 @@ from palimpsest.llm.common import table
 from palimpsest.llm.labelled import held_out, sample_labelled
 
 WINDOW, STRIDE = 32, 16
-PER_CLASS, EPOCHS, TRAIN_WINDOWS = 800, 6, 16
+PER_CLASS, EPOCHS = 800, 6
+#: Windows read at a time.
+GROUP = 2048
 DIM, HIDDEN = 12, 8
 #: Standard errors by which the document counts of a word and of an n-gram must differ between classes.
 WORD_Z, CHAR_Z = 3.0, 2.0
@@ -149,6 +152,26 @@ class Network:
         states = np.concatenate([self.read(tables[d], index, there, d) for d in "fb"], axis=2)
         return self.pool(states, there)[0]
 
+    def highest(self, docs: list[list[str]], group: int = GROUP) -> list[int]:
+        """Where the highest of all windows of each text begins; ``group`` windows are read at a time."""
+        top, best = np.full(len(docs), -np.inf), [0] * len(docs)
+        every = ((j, at) for j, words in enumerate(docs) for at in windows_of(len(words)))
+        while some := list(islice(every, group)):
+            vocabulary: dict[str, int] = {}
+            index = np.zeros((WINDOW, len(some)), np.int64)
+            there = np.zeros((WINDOW, len(some)), bool)
+            for n, (j, at) in enumerate(some):
+                span = docs[j][at : at + WINDOW]
+                index[: len(span), n] = [vocabulary.setdefault(w, len(vocabulary)) for w in span]
+                there[: len(span), n] = True
+            if not vocabulary:
+                continue
+            logit = self.logits(self.gates(self.embed(*word_features(list(vocabulary)))), index, there)
+            for (j, at), value in zip(some, logit.tolist()):
+                if value > top[j]:
+                    top[j], best[j] = value, at
+        return best
+
     def gradient(self, slots, grams, begin, index: np.ndarray, there: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict:
         """Gradients of the weighted cross-entropy of windows, by back-propagation through time."""
         x = self.embed(slots, grams, begin)
@@ -208,13 +231,8 @@ class Network:
             order, now = r.permutation(len(docs)), rate * (1 - epoch / (epochs + 1))
             for k in range(0, len(order), batch):
                 own = order[k : k + batch]
-                spans, owner = [], []
-                for j, i in enumerate(own):
-                    starts = windows_of(len(docs[i]))
-                    if len(starts) > TRAIN_WINDOWS:  # training only; scoring reads every window
-                        starts = sorted(r.choice(starts, TRAIN_WINDOWS, replace=False).tolist())
-                    spans += [docs[i][s : s + WINDOW] for s in starts]
-                    owner += [j] * len(starts)
+                best = self.highest([docs[i] for i in own])
+                spans = [docs[i][at : at + WINDOW] for i, at in zip(own, best)]
                 vocabulary: dict[str, int] = {}
                 index = np.zeros((WINDOW, len(spans)), np.int64)
                 there = np.zeros((WINDOW, len(spans)), bool)
@@ -224,10 +242,7 @@ class Network:
                 if not vocabulary:
                     continue
                 features = word_features(list(vocabulary))
-                logit = self.logits(self.gates(self.embed(*features)), index, there)
-                owner_ = np.array(owner)
-                top = np.array([np.flatnonzero(owner_ == j)[logit[owner_ == j].argmax()] for j in range(len(own))])
-                grad = self.gradient(*features, index[:, top], there[:, top], y[own], weights[own])
+                grad = self.gradient(*features, index, there, y[own], weights[own])
                 step += 1
                 for name, g in grad.items():
                     g = g * told[name] if name in told else g
@@ -288,7 +303,7 @@ class Scorer:
                 for s in windows_of(len(words)):
                     spans.append(ids[s : s + WINDOW])
                     owner.append(i)
-                if len(spans) >= 2048:
+                if len(spans) >= GROUP:
                     flush()
         if spans:
             flush()

@@ -106,3 +106,28 @@ def test_odd_rows(spark, odd_docs, no_docs, sf_dir):
     fitted = quality_classifier.fit_quality(docs, labels)
     assert quality_classifier.score_quality(odd_docs, *fitted).count() == 10
     assert quality_classifier.score_quality(no_docs, *fitted).count() == 0
+
+
+def test_training_reads_every_window(monkeypatch):
+    """The gradient is that of the highest of all windows of each text, also in texts of over a hundred windows."""
+    r = np.random.default_rng(5)
+    texts = [" ".join(f"{'ab'[k % 2]}{x}" for x in r.integers(0, 40, 2000)) for k in range(12)]
+    own, steps = Network.gradient, []
+
+    def watched(self, slots, grams, begin, index, there, y, weight):
+        used = _sigmoid(self.logits(self.gates(self.embed(slots, grams, begin)), index, there))
+        assert sorted(used.tolist()) == pytest.approx(sorted(Scorer(self)([*texts, None]).tolist()), abs=1e-5)
+        steps.append(len(used))
+        return own(self, slots, grams, begin, index, there, y, weight)
+
+    monkeypatch.setattr(Network, "gradient", watched)
+    Network().train(texts, [1, 0] * 6)
+    assert steps == [13] * 6
+
+
+def test_highest_of_all_windows_in_groups():
+    net, r = Network(6), np.random.default_rng(7)
+    docs = [[f"h{x}" for x in r.integers(0, 500, n)] for n in (0, 5, 700, 40, 2500)]
+    alone = Scorer(net)
+    expected = [windows_of(len(d))[int(np.argmax([alone([" ".join(d[s : s + WINDOW])])[0] for s in windows_of(len(d))]))] for d in docs]
+    assert net.highest(docs) == net.highest(docs, group=7) == expected
