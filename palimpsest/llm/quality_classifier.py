@@ -6,8 +6,10 @@ is surest of, and those go with its labels into the other's training rows.  Labe
 from all rounds then calibrate both views and fit the weights that combine them; every document is
 scored by the combination.
 
-The fit uses at most ``PER_CLASS`` labelled documents of each class outside the held-out fold and at
-most ``POOL`` unlabelled ones (documented bounds, chosen by hash); scoring reads whole texts.
+The fit uses at most ``PER_CLASS`` labelled documents of each class outside the held-out fold (a
+documented bound, chosen by hash) and every unlabelled one outside the fold: one pass writes the
+features of all documents to the shared folder, each round scores all of them there, and only the
+features of those it names, a share of all (``SHARE``), come to the driver.  Whole texts are read.
 
 Defined results: null text counts as empty, null lang and source as values of their own, null
 n_chars as 0; repeated rows are scored row by row; without labels of both classes every score is
@@ -27,10 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import table
+from palimpsest.llm.common import Scratch, materialize, sliced, table
 from palimpsest.llm.labelled import held_out, sample_labelled
 
-PER_CLASS, POOL, ROUNDS, PER_ROUND = 800, 3000, 6, 60
+PER_CLASS, ROUNDS = 800, 6
+#: Unlabelled documents that a view names in a round: this share of them all, or so many if that is more.
+SHARE, PER_ROUND = 0.02, 60
+#: A view is sure beyond this margin; margins are counted in steps of 1 / STEPS.
+SURE, STEPS = 2.0, 100
+#: Rows whose features are spread out at a time.
+BLOCK = 20_000
 META_SLOTS = 64
 
 _WORD = re.compile(r"[^ \t-\r]+")
@@ -66,26 +74,40 @@ def text_features(text: str | None) -> list[float]:
     ]
 
 
-def meta_features(lang: str | None, source: str | None, n_chars: int | None) -> np.ndarray:
-    x = np.zeros(META_SLOTS + 4)
-    for field, value in (("lang", lang), ("source", source)):
-        x[zlib.crc32(f"{field}={value}".encode()) % META_SLOTS] += 1
-    size = np.log1p(max(n_chars or 0, 0))
-    x[META_SLOTS:] = size / 10, (size / 10) ** 2, size < 6, not n_chars
+def meta_values(lang: str | None, source: str | None, n_chars: int | None) -> list[float]:
+    """The slots of lang and source, and n_chars: what ``spread`` makes the metadata view's features from."""
+    return [*(float(zlib.crc32(f"{field}={value}".encode()) % META_SLOTS) for field, value in (("lang", lang), ("source", source))), float(n_chars or 0)]
+
+
+def spread(values: np.ndarray) -> np.ndarray:
+    """The metadata view's features of rows of ``meta_values``."""
+    x = np.zeros((len(values), META_SLOTS + 4))
+    for k in (0, 1):
+        np.add.at(x, (np.arange(len(values)), values[:, k].astype(np.int64)), 1)
+    size = np.log1p(np.maximum(values[:, 2], 0))
+    x[:, META_SLOTS:] = np.column_stack([size / 10, (size / 10) ** 2, size < 6, values[:, 2] == 0])
     return x
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1e-2, steps: int = 30) -> np.ndarray:
-    """Weights (the last is the intercept's) by Newton steps."""
-    z = np.column_stack([x, np.ones(len(x))])
+def as_is(values: np.ndarray) -> np.ndarray:
+    return values
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1e-2, steps: int = 30, features=as_is) -> np.ndarray:
+    """Weights (the last is the intercept's) by Newton steps over blocks of rows."""
     weight = np.ones(len(x)) if weight is None else weight
-    w = np.zeros(z.shape[1])
-    penalty = np.full(z.shape[1], ridge)
+    size = features(x[:1]).shape[1] + 1
+    w = np.zeros(size)
+    penalty = np.full(size, ridge)
     penalty[-1] = 1e-6
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        gradient = z.T @ (weight * (p - y)) + penalty * w
-        curve = (z * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ z + np.diag(penalty)
+        gradient, curve = penalty * w, np.diag(penalty)
+        for k in range(0, len(x), BLOCK):
+            part = features(x[k : k + BLOCK])
+            z, own = np.column_stack([part, np.ones(len(part))]), weight[k : k + BLOCK]
+            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+            gradient = gradient + z.T @ (own * (p - y[k : k + BLOCK]))
+            curve = curve + (z * (own * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ z
         step = np.linalg.solve(curve, gradient)
         w -= step
         if np.abs(step).max() < 1e-8:
@@ -105,87 +127,194 @@ class CoTrained:
     meta_scale: np.ndarray
     both: np.ndarray
 
-    def scores(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def scores(self, text: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Calibrated probabilities of the text view, of the metadata view and of both."""
+        meta = spread(values)
         t, m = margin(margin(text, self.text)[:, None], self.text_scale), margin(margin(meta, self.meta)[:, None], self.meta_scale)
         b = margin(np.column_stack([t, m]), self.both)
         return tuple(1 / (1 + np.exp(-v)) for v in (t, m, b))
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = ROUNDS, per_round: int = PER_ROUND) -> CoTrained:
-    """``y`` labels the rows of text and meta; every fourth row is kept back for calibration."""
+#: Each view's place in a row's (text features, metadata values), and what makes features of it.
+VIEWS = {"t": (0, as_is), "m": (1, spread)}
+
+
+@dataclass
+class Rule:
+    """What a view names in a round: rows beyond the cuts, and of those in the cuts' own step a part by hash."""
+
+    view: str
+    weights: np.ndarray
+    up: tuple[int, float]
+    down: tuple[int, float]
+
+
+def _steps(row: tuple[np.ndarray, np.ndarray], view: str, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at, features = VIEWS[view]
+    s = margin(features(row[at]), w)
+    return s, np.floor(np.abs(s) * STEPS).astype(np.int64) * np.sign(s).astype(np.int64)
+
+
+def drawn(h: np.ndarray, k: int) -> np.ndarray:
+    """A number from 0 to 1 for each hash, independent for each ``k``."""
+    z = h.view(np.uint64) + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (z >> np.uint64(44)) / float(1 << 20)
+
+
+def named(rules: list[Rule], row: tuple[np.ndarray, np.ndarray], h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``rules`` names each row first (-1: none), and the label it gives."""
+    by, label = np.full(len(h), -1), np.zeros(len(h))
+    for k, rule in enumerate(rules):
+        u = drawn(h, k)
+        s, step = _steps(row, rule.view, rule.weights)
+        up = (s > SURE) & ((step > rule.up[0]) | ((step == rule.up[0]) & (u < rule.up[1])))
+        down = (s < -SURE) & ((step < rule.down[0]) | ((step == rule.down[0]) & (u < rule.down[1])))
+        own = (by < 0) & (up | down)
+        by[own], label[own] = k, up[own]
+    return by, label
+
+
+def cut(counts: dict[int, int], most: int) -> tuple[int, float]:
+    """(step, part): the steps beyond it and that part of its own rows hold ``most`` rows, surest first."""
+    for step in sorted(counts, key=abs, reverse=True):
+        if counts[step] >= most:
+            return step, most / counts[step]
+        most -= counts[step]
+    return 0, 0.0
+
+
+def _unpack(batch: pa.RecordBatch) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    x, m = (batch.column(c).flatten().to_numpy().reshape(-1, k) for c, k in (("x", TEXT_FEATURES), ("m", 3)))
+    return (x, m), batch.column("h").to_numpy()
+
+
+class Pool:
+    """All unlabelled rows (x, m, h), scored in Spark."""
+
+    def __init__(self, rows: DataFrame) -> None:
+        self.rows, self.size = rows, rows.count()
+
+    def counts(self, rules: list[Rule], view: str, w: np.ndarray) -> dict[int, int]:
+        """How many rows that no rule has named lie in each step that the view is sure of."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                row, h = _unpack(batch)
+                s, step = _steps(row, view, w)
+                steps, n = np.unique(step[(named(rules, row, h)[0] < 0) & (np.abs(s) > SURE)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(steps, pa.int64()), pa.array(n, pa.int64())], ["step", "n"])
+
+        return {r.step: r.n for r in self.rows.mapInArrow(run, "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).collect()}
+
+    def take(self, rules: list[Rule]) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+        """The rows that the last rule names, and their labels; in an order that doesn't depend on the layout."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                by, label = named(rules, *_unpack(batch))
+                own = np.flatnonzero(by == len(rules) - 1)
+                yield pa.RecordBatch.from_arrays([*batch.take(pa.array(own)).columns, pa.array(label[own])], ["x", "m", "h", "label"])
+
+        got = self.rows.mapInArrow(run, "x array<double>, m array<double>, h long, label double").toArrow().combine_chunks()
+        batches = got.to_batches()
+        if not batches:
+            return (np.zeros((0, TEXT_FEATURES)), np.zeros((0, 3))), np.zeros(0)
+        (x, m), h = _unpack(batches[0])
+        order = np.argsort(h, kind="stable")
+        return (x[order], m[order]), batches[0].column("label").to_numpy()[order]
+
+
+def co_train(row: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: Pool, rounds: int = ROUNDS, share: float = SHARE, per_round: int = PER_ROUND) -> CoTrained:
+    """``y`` labels the rows of text features and metadata values; every fourth row is kept back for calibration."""
     back = np.arange(len(y)) % 4 == 3
     if len(np.unique(y[back])) < 2 or len(np.unique(y[~back])) < 2:
         back[:] = False
     calibrate = back if back.any() else ~back
-    views = {"t": (text, pool_text), "m": (meta, pool_meta)}
-    rows = {k: [v[0][~back]] for k, v in views.items()}
-    labels = {k: [y[~back]] for k in views}
-    free = np.ones(len(pool_text), bool)
-    share = y[~back].mean()
+    rows = {k: [row[at][~back]] for k, (at, _) in VIEWS.items()}
+    labels = {k: [y[~back]] for k in VIEWS}
+    ones = y[~back].mean()
+    most = max(per_round, round(share * pool.size))
+    rules: list[Rule] = []
 
     def fit(k: str) -> np.ndarray:
-        return fit_logistic(np.concatenate(rows[k]), np.concatenate(labels[k]), np.concatenate([np.ones(len(labels[k][0])), *(np.full(len(v), 0.5) for v in labels[k][1:])]))
+        weight = np.concatenate([np.ones(len(labels[k][0])), *(np.full(len(v), 0.5) for v in labels[k][1:])])
+        if len(labels[k]) > 1:  # all named rows together weigh no more than they would if each round named per_round
+            weight[len(labels[k][0]) :] *= per_round / most
+        return fit_logistic(np.concatenate(rows[k]), np.concatenate(labels[k]), weight, features=VIEWS[k][1])
 
-    for _ in range(rounds):
-        models = {k: fit(k) for k in views}
+    for _ in range(rounds if pool.size else 0):
+        models = {k: fit(k) for k in VIEWS}
         for k, other in (("t", "m"), ("m", "t")):
-            left = np.flatnonzero(free)
-            if not len(left):
-                break
-            s = margin(views[k][1][left], models[k])
-            order = np.argsort(s, kind="stable")
-            up, down = round(per_round * share), round(per_round * (1 - share))
-            chosen = [(i, 1.0) for i in order[::-1][:up] if s[i] > 2] + [(i, 0.0) for i in order[:down] if s[i] < -2]
-            if chosen:
-                at = left[[i for i, _ in chosen]]
-                rows[other].append(views[other][1][at])
-                labels[other].append(np.array([v for _, v in chosen]))
-                free[at] = False
-    models = {k: fit(k) for k in views}
-    c = {k: margin(views[k][0][calibrate], models[k]) for k in views}
-    scale = {k: fit_logistic(c[k][:, None], y[calibrate], ridge=0.1) for k in views}
-    both = fit_logistic(np.column_stack([margin(c[k][:, None], scale[k]) for k in views]), y[calibrate], ridge=0.1)
+            counts = pool.counts(rules, k, models[k])
+            if not counts:
+                continue
+            up, down = ({x: n for x, n in counts.items() if (x > 0) == side} for side in (True, False))
+            rules.append(Rule(k, models[k], cut(up, round(most * ones)), cut(down, round(most * (1 - ones)))))
+            got, told = pool.take(rules)
+            rows[other].append(got[VIEWS[other][0]])
+            labels[other].append(told)
+    models = {k: fit(k) for k in VIEWS}
+    c = {k: margin(features(row[at][calibrate]), models[k]) for k, (at, features) in VIEWS.items()}
+    scale = {k: fit_logistic(c[k][:, None], y[calibrate], ridge=0.1) for k in VIEWS}
+    both = fit_logistic(np.column_stack([margin(c[k][:, None], scale[k]) for k in VIEWS]), y[calibrate], ridge=0.1)
     return CoTrained(models["t"], models["m"], scale["t"], scale["m"], both)
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: int = POOL) -> tuple[CoTrained | None, float]:
-    columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    rows = sample_labelled(docs, labels, "quality", per_class, columns)
+def features_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, x, m) for every row of ``docs``: both views' features, from whole texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            ids, text, lang, source, size = batch.columns
+            x = [text_features(t) for t in text.to_pylist()]
+            m = [meta_values(*v) for v in zip(lang.to_pylist(), source.to_pylist(), size.to_pylist())]
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array(v, pa.list_(pa.float64())) for v in (x, m))], ["doc_id", "x", "m"])
+
+    return docs.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("long")).mapInArrow(run, "doc_id long, x array<double>, m array<double>")
+
+
+def fit_features(features: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[CoTrained | None, float]:
+    """The model (None without both classes) from written ``features``, and the share of label 1 in the sample."""
+    rows = sample_labelled(features, labels, "quality", per_class, ["doc_id", "x", "m"])
     share = sum(r.label for r in rows) / len(rows) if rows else 1.0
     if share in (0.0, 1.0):
         return None, share
     rows = sorted(rows, key=lambda r: zlib.crc32(f"order {r.doc_id}".encode()))
-    unlabelled = docs.join(labels.select("doc_id"), "doc_id", "left_anti").where(~held_out()).select("doc_id")
-    chosen = unlabelled.orderBy(F.xxhash64("doc_id", F.lit("pool")), "doc_id").limit(pool)
-    more = docs.join(F.broadcast(chosen.distinct()), "doc_id").select(*columns).orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).collect()
-    view = lambda rs: (np.array([text_features(r.text) for r in rs]).reshape(-1, TEXT_FEATURES), np.array([meta_features(r.lang, r.source, r.n_chars) for r in rs]).reshape(-1, META_SLOTS + 4))
-    text, meta = view(rows)
-    return co_train(text, meta, np.array([r.label for r in rows], float), *view(more)), share
+    scratch = Scratch(features.sparkSession)
+    unlabelled = features.join(labels.select("doc_id"), "doc_id", "left_anti").where(~held_out())
+    pool = Pool(scratch(unlabelled.select("x", "m", F.xxhash64("doc_id", "x", "m").alias("h")), "pool"))
+    model = co_train((np.array([r.x for r in rows]), np.array([r.m for r in rows])), np.array([r.label for r in rows], float), pool)
+    scratch.drop()
+    return model, share
 
 
-def score_quality(docs: DataFrame, model: CoTrained | None, share: float = 1.0) -> DataFrame:
-    """(doc_id, held_out, p_text, p_meta, score, keep) for every row of ``docs``."""
+def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[CoTrained | None, float]:
+    return fit_features(materialize(features_of(docs), "features"), labels, per_class)
+
+
+def score_features(features: DataFrame, model: CoTrained | None, share: float = 1.0) -> DataFrame:
+    """(doc_id, held_out, p_text, p_meta, score, keep) for every row of ``features``."""
     if model is None:
         p = F.lit(float(share))
-        out = docs.select("doc_id", p.alias("p_text"), p.alias("p_meta"), p.alias("score"))
+        out = features.select("doc_id", p.alias("p_text"), p.alias("p_meta"), p.alias("score"))
     else:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ids, text, lang, source, size = batch.columns
-                if not batch.num_rows:
-                    continue
-                x = np.array([text_features(t) for t in text.to_pylist()])
-                keys: dict[tuple, np.ndarray] = {}
-                metas = list(zip(lang.to_pylist(), source.to_pylist(), size.to_pylist()))
-                m = np.array([keys[k] if k in keys else keys.setdefault(k, meta_features(*k)) for k in metas])
-                yield pa.RecordBatch.from_arrays([ids, *(pa.array(v, pa.float64()) for v in model.scores(x, m))], ["doc_id", "p_text", "p_meta", "score"])
-
-        out = docs.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("long")).mapInArrow(run, "doc_id long, p_text double, p_meta double, score double")
+                x, m = (batch.column(c).flatten().to_numpy().reshape(-1, k) for c, k in (("x", TEXT_FEATURES), ("m", 3)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(v, pa.float64()) for v in model.scores(x, m))], ["doc_id", "p_text", "p_meta", "score"])
+
+        out = features.mapInArrow(run, "doc_id long, p_text double, p_meta double, score double")
     return out.select("doc_id", held_out().alias("held_out"), "p_text", "p_meta", "score", (F.col("score") >= 0.5).alias("keep"))
 
 
+def score_quality(docs: DataFrame, model: CoTrained | None, share: float = 1.0) -> DataFrame:
+    """The same for every row of ``docs``."""
+    return score_features(features_of(docs), model, share)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return score_quality(docs, *fit_quality(docs, table(spark, sf_dir, "labels")))
+    features = materialize(features_of(table(spark, sf_dir, "documents")), "features")
+    return score_features(features, *fit_features(features, table(spark, sf_dir, "labels")))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm import quality_classifier, toxicity
 from palimpsest.llm.toxicity import STRIDE, WINDOW, Network, Scorer, _sigmoid, windows_of, word_features, words_of
-from tests.llm.conftest import is_held_out
+from tests.llm.conftest import DOCS, is_held_out
 
 BIG = "/root/testdata/sf0.01"
 
@@ -131,3 +131,23 @@ def test_highest_of_all_windows_in_groups():
     alone = Scorer(net)
     expected = [windows_of(len(d))[int(np.argmax([alone([" ".join(d[s : s + WINDOW])])[0] for s in windows_of(len(d))]))] for d in docs]
     assert net.highest(docs) == net.highest(docs, group=7) == expected
+
+
+def test_every_unlabelled_row_can_be_named(spark, monkeypatch):
+    """More rows than the old pool's 3000, and a round names a share of them all."""
+    labelled = [(i, ("Good words of a plain line number %d end here.\n" % i) * 9 if i % 2 else "!!! ### %d" % i, "en", "ab"[i % 2], 400 if i % 2 else 9) for i in range(80)]
+    rest = [(1000 + i, ("Other words of a plain line number %d end so.\n" % i) * 9 if i % 2 else "??? $$$ %d" % i, "en", "ab"[i % 2], 400 if i % 2 else 9) for i in range(4000)]
+    docs = spark.createDataFrame([*labelled, *rest, (None, "Without an id.", None, None, None)], DOCS)
+    labels = spark.createDataFrame([(r[0], r[0] % 2, 0) for r in labelled], "doc_id long, quality int, toxic int")
+    sizes, takes, own = [], [], quality_classifier.Pool.take
+
+    def watched(self, rules):
+        got = own(self, rules)
+        sizes.append(self.size)
+        takes.append(len(got[1]))
+        return got
+
+    monkeypatch.setattr(quality_classifier.Pool, "take", watched)
+    quality_classifier.fit_quality(docs, labels)
+    assert set(sizes) == {1 + sum(not is_held_out(r[0]) for r in rest)} and sizes[0] > 3000
+    assert sum(takes) > 6 * 60 and max(takes) <= 1.5 * max(60, 0.02 * sizes[0])
