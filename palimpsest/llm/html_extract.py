@@ -31,9 +31,10 @@ from palimpsest.llm.common import table
 
 TRAIN_PAGES, TRAIN_ROUNDS = 240, 45
 
-_RAW = "script|style|noscript|template|textarea|title|iframe|svg|select|option|button|object|canvas|math"
+#: Elements whose text is never the page's; their names end where the name in the tag does.
+_RAW = "script|style|noscript|template|textarea|title|iframe"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?:script|style|title)\s*/>|<(?P<raw>{_RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
     re.S | re.I,
 )
@@ -43,7 +44,7 @@ _NAME = re.compile(r"[a-z]+")
 #: Elements that are nodes; all other elements are part of the text around them.
 _BLOCKS = frozenset(
     "html body main article section div header footer nav aside form fieldset p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
-    "blockquote pre figure figcaption address details summary center menu dialog hgroup caption legend label".split()
+    "blockquote pre figure figcaption address details summary center menu dialog hgroup caption legend label button select datalist optgroup option".split()
 )
 _VOID = frozenset("br hr img input meta link area base col embed param source track wbr".split())
 #: An opening tag of the first kind closes open ones of the second kind, up to the third.
@@ -51,11 +52,13 @@ _CLOSES = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
     "dt": (frozenset(["dt", "dd"]), frozenset(["dl"])),
     "dd": (frozenset(["dt", "dd"]), frozenset(["dl"])),
+    "option": (frozenset(["option"]), frozenset(["select", "datalist", "optgroup"])),
+    "optgroup": (frozenset(["optgroup", "option"]), frozenset(["select"])),
     "tr": (frozenset(["tr", "td", "th"]), frozenset(["table"])),
     "td": (frozenset(["td", "th"]), frozenset(["tr", "table"])),
     "th": (frozenset(["td", "th"]), frozenset(["tr", "table"])),
 }
-_P_STAYS = frozenset("label".split())
+_P_STAYS = frozenset("label button select datalist optgroup option".split())
 
 #: Words of class, id and role names, by what they speak for.
 _LEXICON = {
@@ -257,6 +260,17 @@ def labelled_pages(n: int, seed: int = 5) -> list[tuple[Page, list[int]]]:
     def links(k: int) -> str:
         return "<ul>" + "".join(f'<li><a href="/{i}">{words(1, 3)}</a></li>' for i in range(k)) + "</ul>"
 
+    apart_ = random.Random(seed + 1)  # controls are drawn apart, so that all else stays as it is
+
+    def controls(often: float) -> str:
+        """A list to choose from or a button, judged as what is around it."""
+        if apart_.random() >= often:
+            return ""
+        word = lambda: "".join(apart_.choices(syllables, k=apart_.randint(1, 4)))
+        if apart_.random() < 0.5:
+            return f"<button>{word()} {word()}</button>"
+        return "<select>" + "".join(f"<option>{word()}" for _ in range(apart_.randint(1, 6))) + "</select>"
+
     mark = ' data-label="1"'
 
     def article() -> str:
@@ -284,11 +298,11 @@ def labelled_pages(n: int, seed: int = 5) -> list[tuple[Page, list[int]]]:
             elif how < 0.975:
                 parts.append(f'<aside data-label="0"{name("side")}>{sentences(1, 2)}{links(2)}</aside>')
             else:
-                parts.append(f'<form data-label="0"{name("form")}><p>{sentences(1, 1)}</p></form>')
+                parts.append(f'<form data-label="0"{name("form")}><p>{sentences(1, 1)}</p>{controls(0.6)}</form>')
         if r.random() < 0.3:
             inner = "".join(f'<div class="comment"><p>{sentences(1, 2)}</p></div>' for _ in range(r.randint(1, 4)))
             parts.append(f'<{r.choice(["section", "div"])} data-label="0" class="{r.choice(["comments", "comment", "replies", "discussion"])}"><h3>{words(1, 2)}</h3>{inner or sentences(1, 2)}</section>')
-        body = "".join(parts)
+        body = "".join(parts) + controls(0.15)
         return r.choice([f"<article{mark}>{body}</article>", f"<article{mark}>{body}</article>", f"<main><article{mark}>{body}</article></main>", f'<div{mark} class="{r.choice(_LEXICON["content"])}">{body}</div>', f"<main{mark}>{body}</main>"])
 
     def around(kind: str) -> str:
@@ -306,7 +320,7 @@ def labelled_pages(n: int, seed: int = 5) -> list[tuple[Page, list[int]]]:
         if kind == "notice":
             return f'<div class="{r.choice(_LEXICON["notice"])}"><p>{sentences(1, 3)}</p></div>'
         if kind == "form":
-            return f"<form{name('form')}><label>{words(1, 3)}</label><p>{words(2, 10, '.')}</p></form>"
+            return f"<form{name('form')}><label>{words(1, 3)}</label><p>{words(2, 10, '.')}</p>{controls(0.6)}</form>"
         plain = r.random() < 0.4
         inner = "".join(f"<p>{sentences(1, 3)}</p>" if plain else f'<div class="{r.choice(["comment", "reply"])}"><p>{sentences(1, 3)}</p></div>' for _ in range(r.randint(1, 5)))
         tag = r.choice(["section", "div"])

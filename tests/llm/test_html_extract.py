@@ -67,3 +67,25 @@ def test_odd_rows(spark):
     assert by[None].text == by[1].text == by[2].text == by[5].text == ""
     assert by[4].text.count("\n") == 19_999
     assert extract_main_text(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "inside",
+    [
+        '<svg viewBox="0 0 1 1"/>', "<math/>", "<svg><title/><path d='M0'/></svg>", "<datalist><option value=a><option value=b></datalist>",
+        "<button>", '<object data="x">', "<svg-icon></svg-icon>", "<button-group></button-group>", "<title-bar></title-bar>", "<canvas>", "<select><option value=a>",
+    ],
+)
+def test_nothing_swallows_the_rest_of_the_page(inside):
+    page = f"<html><body><article><h1>A title here</h1><p>The first paragraph of the text.</p>{inside}<p>The second paragraph of it.</p></article><footer>&copy; somebody.</footer></body></html>"
+    assert main_text(page, trained_model()).split("\n") == ["A title here", "The first paragraph of the text.", "The second paragraph of it."]
+
+
+def test_text_of_elements_that_are_not_raw_stays():
+    page = "<article><p>Here <math><mi>x</mi> = 2</math> and <svg><text>a label</text></svg> and <object>a fallback</object> stay.</p><script>no()</script x><style>p{}</style><p>Then more text.</p></article>"
+    assert main_text(page, trained_model()).split("\n") == ["Here x = 2 and a label and a fallback stay.", "Then more text."]
+
+
+def test_controls_of_a_form_go_with_it():
+    page = "<article><h1>A title here</h1><p>The first paragraph of the text.</p></article><form><label>Mail</label><select><option>one<option>two</select><button>Send it</button></form>"
+    assert main_text(page, trained_model()).split("\n") == ["A title here", "The first paragraph of the text."]
