@@ -20,18 +20,20 @@ def table_lines(cells: DataFrame, key: str) -> DataFrame:
     return rows.select(key, "row_no", F.rtrim(F.array_join(F.transform("cells", lambda c: c["cell"]), "\t")).alias("line"))
 
 
-def heading_paths(sections: DataFrame, depth: int = 20) -> DataFrame:
-    """(document_id, section, path) of (document_id, section, parent, heading): headings from the root down; cycles end at ``depth``."""
+def heading_paths(sections: DataFrame) -> DataFrame:
+    """(document_id, section, path) of (document_id, section, parent, heading): headings from the root down, however deep; a cycle ends where it closes."""
     up = sections.select("document_id", "section", F.col("parent").alias("next"), F.array("heading").alias("path"), F.array("section").alias("seen"))
-    parents = sections.select("document_id", F.col("section").alias("next"), F.col("parent").alias("above"), F.col("heading").alias("over"))
+    parents = sections.select("document_id", F.col("section").alias("next"), F.col("parent").alias("above"), F.col("heading").alias("over"), F.lit(True).alias("there"))
     done = None
-    for _ in range(depth):
-        joined = up.join(parents, ["document_id", "next"], "left")
-        ends = joined.where(F.col("over").isNull() | F.array_contains("seen", F.col("next"))).select("document_id", "section", "path")
+    while True:
+        joined = up.join(parents, ["document_id", "next"], "left").withColumn("goes_on", F.col("there").isNotNull() & ~F.array_contains("seen", F.col("next"))).persist()
+        ends = joined.where("NOT goes_on").select("document_id", "section", "path")
         done = ends if done is None else done.union(ends)
-        up = joined.where(F.col("over").isNotNull() & ~F.array_contains("seen", F.col("next"))).select(
+        up = joined.where("goes_on").select(
             "document_id", "section", F.col("above").alias("next"), F.concat(F.array("over"), "path").alias("path"), F.array_append("seen", F.col("next")).alias("seen")
         )
+        if up.isEmpty():  # every path has reached its root
+            break
     return done.withColumn("path", F.filter("path", lambda h: h != ""))
 
 
@@ -63,10 +65,10 @@ def chunks_and_provenance(envelopes: DataFrame, *, target: int = 200, most: int
     units = kept.groupBy("document_id", "section").agg(F.array_sort(F.collect_list(F.struct("at", "element", F.col("p.content").alias("content"), F.regexp_count("p.content", F.lit(r"(?U)\S+")).alias("words")))).alias("us"))
     units = units.withColumn("groups", pack(F.transform("us", lambda u: u["words"]), target, most))
     grouped = units.select("document_id", "section", F.explode(F.arrays_zip("us", "groups")).alias("z")).groupBy("document_id", "section", F.col("z.groups").alias("g")).agg(F.array_sort(F.collect_list("z.us")).alias("us"))
-    paths = heading_paths(envelopes.select("document_id", F.posexplode("sections").alias("section", "s")).select("document_id", "section", "s.parent", "s.heading"), 3)
+    paths = heading_paths(envelopes.select("document_id", F.posexplode("sections").alias("section", "s")).select("document_id", "section", "s.parent", "s.heading"))
     index = F.row_number().over(Window.partitionBy("document_id").orderBy("section", "g"))
-    out = grouped.withColumn("chunk_index", index).join(paths, ["document_id", "section"])
+    out = grouped.withColumn("chunk_index", index).join(paths, ["document_id", "section"], "left")
     return out.select(
-        "document_id", "chunk_index", F.concat("document_id", F.lit(":chunk:"), F.lpad(F.col("chunk_index").cast("string"), 4, "0")).alias("chunk_id"), F.array_join("path", " > ").alias("section_path"),
+        "document_id", "chunk_index", F.concat("document_id", F.lit(":chunk:"), F.format_string("%04d", "chunk_index")).alias("chunk_id"), F.array_join("path", " > ").alias("section_path"),
         F.array_join(F.transform("us", lambda u: u["content"]), "\n").alias("content"), F.aggregate("us", F.lit(0), lambda a, u: a + u["words"]).alias("words"), F.transform("us", lambda u: u["element"]).alias("elements"),
     )

@@ -52,7 +52,7 @@ def chunk_texts(docs: DataFrame, *, target: int = 200, most: int = 300, text_col
     content = F.array_join(F.flatten(F.transform("us", lambda u: u["pieces"])), " ")
     size = F.aggregate("us", F.lit(0), lambda a, u: a + F.size(u["pieces"]))
     index = (F.col("g") + 1).cast("int")
-    return out.select("doc_id", index.alias("chunk_index"), F.concat(F.col("doc_id").cast("string"), F.lit(":chunk:"), F.lpad(index.cast("string"), 4, "0")).alias("chunk_id"), size.alias("words"), content.alias("content"))
+    return out.select("doc_id", index.alias("chunk_index"), F.concat(F.col("doc_id").cast("string"), F.lit(":chunk:"), F.format_string("%04d", index)).alias("chunk_id"), size.alias("words"), content.alias("content"))
 
 
 def running_offset(rows: DataFrame, key: str, order: str, size: Column, gap: int = 2) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from palimpsest.functions import text as fx
-from palimpsest.operators import sequences
+from palimpsest.operators import normalize, sequences
 from palimpsest.sources import tables
 
 
@@ -73,3 +73,16 @@ def test_json_lines(spark, tmp_path):
     with pytest.raises(Exception, match="not a JSON object"):
         tables.strict_jsonl(spark, f"{tmp_path}/bad.jsonl", schema).collect()
     assert tables.lenient_jsonl(spark, f"{tmp_path}/bad.jsonl", schema).count() == 1
+
+
+ENVELOPE = "document_id string, sections array<struct<heading: string, parent: int, elements: array<string>>>, paragraphs array<struct<number: int, content: string, role: string>>"
+
+
+def test_deeply_nested_sections_keep_their_text(spark):
+    """Sections nested 6 deep, a cycle of two, a parent that isn't there, and a parent without a heading."""
+    sections = [(f"H{i}", i - 1 if i else None, [f"/paragraphs/{i}"]) for i in range(6)]
+    sections += [("A", 7, ["/paragraphs/6"]), ("B", 6, ["/paragraphs/7"]), ("C", 99, ["/paragraphs/8"]), (None, 0, ["/paragraphs/9"]), ("D", 9, ["/paragraphs/10"])]
+    rows = spark.createDataFrame([("d", sections, [(i, f"text {i}", "") for i in range(11)])], ENVELOPE)
+    got = normalize.chunks_and_provenance(rows).orderBy("chunk_index").collect()
+    assert [r.content for r in got] == [f"text {i}" for i in range(11)]
+    assert [r.section_path for r in got] == [" > ".join(f"H{j}" for j in range(i + 1)) for i in range(6)] + ["B > A", "A > B", "C", "H0", "H0 > D"]
