@@ -10,6 +10,8 @@ share one model that starts anew in every block.  An id's probability mixes thre
 The weights of the first two are the odds with which predictions of these confidences came true so
 far in the block.  Decoder and encoder update the model alike after each step, so nothing of it is
 stored.  Every lane has a carry-less range coder of its own (64-bit state, 32-bit words).
+
+A table of expectations holds id * 8 + confidence, so that one look-up gives both.
 """
 
 from __future__ import annotations
@@ -22,24 +24,29 @@ import numpy as np
 STEPS = 128
 LANES = 2048
 BLOCK_IDS = STEPS * LANES
-_GAIN = np.uint64(32)  # weight of an occurrence against the 1 that every id has
+_GAIN = 32  # weight of an occurrence against the 1 that every id has
 _SURE = 7  # highest confidence
 _SLOTS = 1 << 16  # of the order-2 table
 _U = np.uint64
-_W32, _LOW32, _ONE, _ZERO = _U(32), _U(0xFFFFFFFF), _U(1), _U(0)
-#: ids, lanes, words, crc32 of the ids, crc32 of what follows.
-_HEAD = struct.Struct("<IIIII")
+_W32, _LOW32, _ONE, _WORD = _U(32), _U(0xFFFFFFFF), _U(1), _U(1 << 32)
+#: A quotient of doubles times this is never above the true one, and less by a 2**-50th at most.
+_BELOW = 1 - 2.0**-50
+#: ids, lanes, words, crc32 of the ids; then crc32 of these four and of what follows.
+_HEAD, _CRC = struct.Struct("<IIII"), struct.Struct("<I")
+
+_wrong, _right = [c >> 1 for c in range(8)], [min(c + 1, _SURE) for c in range(8)]
+_wrong[0] = _wrong[1] = 1  # then the expected id is replaced as well
+_NEXT_SURE = np.array(_wrong + _right)  # by right * 8 + confidence
 
 
 class _Model:
     def __init__(self, n_ids: int, lanes: int) -> None:
         self.n = n_ids
-        self.count = np.ones(n_ids, _U)
-        self.cum = np.zeros(n_ids + 1, _U)
+        self.count = np.ones(n_ids, np.int64)
+        self.cum = np.zeros(n_ids + 1, np.int64)
         self.fresh: list[np.ndarray] = []
-        self.next1, self.sure1 = np.zeros(n_ids + 1, np.int64), np.zeros(n_ids + 1, np.int64)
-        self.next2, self.sure2 = np.zeros(_SLOTS, np.int64), np.zeros(_SLOTS, np.int64)
-        self.seen = np.zeros((64, 3))  # by both confidences: neither, order 1, order 2 was right
+        self.table1, self.table2 = np.zeros(n_ids + 1, np.int64), np.zeros(_SLOTS, np.int64)
+        self.seen = np.zeros((3, 64))  # neither, order 1, order 2 was right; by both confidences
         self.last = np.full(lanes, n_ids, np.int64)
         self.slot = np.zeros(lanes, np.int64)
         self.step = 0
@@ -47,58 +54,84 @@ class _Model:
 
     def _sum(self) -> None:
         np.cumsum(self.count, out=self.cum[1:])
-        self.total = self.cum[-1]
+        self.total = int(self.cum[-1])
 
     def predict(self) -> None:
-        """Sets a, b (expected ids, a of order 2) and their weights wa, wb for every lane."""
-        self.a, self.b = self.next2.take(self.slot), self.next1.take(self.last)
-        self.s2, self.s1 = self.sure2.take(self.slot), self.sure1.take(self.last)
-        self.ctx = self.s2 * 8 + self.s1
-        odds = (self.seen[:, 1:] + 0.1) / (self.seen[:, :1] + 0.5)
-        weight = np.floor(np.minimum(odds, 31.0) * float(self.total)).astype(_U)
-        weight[:8, 1] = 0
-        weight[::8, 0] = 0
-        self.wa = weight[:, 1].take(self.ctx)
-        self.wb = weight[:, 0].take(self.ctx)
-        self.wb[(self.a == self.b) & (self.s2 > 0)] = 0
-        self.all = self.wa + self.wb
-        self.all += self.total
-
-    def interval(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of the ids' shares of ``all``."""
-        first = self.cum.take(x)
-        size = self.count.take(x)
-        for e, w in ((self.a, self.wa), (self.b, self.wb)):
+        """Sets a, b (expected ids, a of order 2), their weights wa, wb, and the sum of all weights for every lane."""
+        self.p2, self.p1 = self.table2.take(self.slot, mode="wrap"), self.table1.take(self.last, mode="wrap")
+        self.a, self.b = self.p2 >> 3, self.p1 >> 3
+        self.s2, self.s1 = self.p2 & 7, self.p1 & 7
+        self.ctx = (self.s2 << 3) | self.s1
+        odds = (self.seen[1:] + 0.1) / (self.seen[0] + 0.5)
+        weight = np.floor(np.minimum(odds, 31.0) * float(self.total)).astype(np.int64)
+        weight[1, :8] = 0
+        weight[0, ::8] = 0
+        # the second half is for lanes whose two expectations agree: order 2 alone speaks then, if it does
+        order2 = np.concatenate([weight[1], weight[1]])
+        order1 = np.concatenate([weight[0], np.where(np.arange(64) < 8, weight[0], 0)])
+        case = self.ctx | ((self.a == self.b).view(np.int8) << np.int64(6))
+        self.wa, self.wb = order2.take(case, mode="wrap"), order1.take(case, mode="wrap")
+        self.all = (order2 + order1 + self.total).take(case, mode="wrap")
+
+    def compare(self, x: np.ndarray) -> None:
+        self.x, self.right2, self.right1 = x, x == self.a, x == self.b
+
+    def interval(self) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of the compared ids' shares of ``all``."""
+        x = self.x
+        first = self.cum.take(x, mode="wrap")
+        size = self.count.take(x, mode="wrap")
+        for e, w, right in ((self.a, self.wa, self.right2), (self.b, self.wb, self.right1)):
             first += w * (e < x)
-            size += w * (e == x)
-        return first, size
-
-    def update(self, x: np.ndarray) -> None:
-        right2, right1 = x == self.a, x == self.b
-        outcome = np.where(right2 & (self.s2 > 0), 2, right1 & (self.s1 > 0))
-        self.seen += np.bincount(self.ctx * 3 + outcome, minlength=192).reshape(64, 3)
-        for right, table, sure, s, at in ((right2, self.next2, self.sure2, self.s2, self.slot), (right1, self.next1, self.sure1, self.s1, self.last)):
-            anew = np.flatnonzero(~right & (s <= 1))
-            table[at[anew]] = x[anew]
-            s = np.where(right, np.minimum(s + 1, _SURE), s >> 1)
-            s[anew] = 1
-            sure[at] = s
-        self.slot = ((self.last * 40_503 + x * 2_654_435) >> 3) & (_SLOTS - 1)
-        self.last = x
+            size += w * right
+        return first.view(_U), size.view(_U)
+
+    def update(self) -> None:
+        x = self.x
+        right2, right1 = self.right2.view(np.int8), self.right1.view(np.int8)
+        outcome = self.ctx + (right2 << np.int64(7))
+        outcome += (right1 & ~right2) << np.int64(6)
+        self.seen += np.bincount(outcome, minlength=192).reshape(3, 64)
+        anew = x << 3
+        for table, at, packed, sure, right in ((self.table2, self.slot, self.p2, self.s2, right2), (self.table1, self.last, self.p1, self.s1, right1)):
+            # the id stays if it was right or still trusted; its confidence moves
+            stays = (sure > 1) | right.view(bool)
+            packed -= sure
+            new = np.where(stays, packed, anew)
+            new += _NEXT_SURE.take(sure + (right << np.int64(3)), mode="wrap")
+            table[at] = new
+        slot = self.last * 40_503
+        slot += x * 2_654_435
+        slot >>= 3
+        slot &= _SLOTS - 1
+        self.slot, self.last = slot, x
         self.fresh.append(x)
         self.step += 1
         if self.step in (1, 2, 4) or self.step % 8 == 0:
-            self.count += np.bincount(np.concatenate(self.fresh), minlength=self.n).astype(_U) * _GAIN
+            self.count += np.bincount(np.concatenate(self.fresh), minlength=self.n) * _GAIN
             self.fresh = []
             self._sum()
 
 
-def _settle(low: np.ndarray, width: np.ndarray) -> np.ndarray:
-    """The lanes that give a word away; cuts the range of those that would straddle too long."""
-    same = ((low ^ (low + (width - _ONE))) >> _W32) == 0
-    narrow = ~same & (width <= _LOW32)
-    width[narrow] = (~low[narrow] + _ONE) & _LOW32
-    return np.flatnonzero(same | narrow)
+def _unit(width: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """The size of one share: never above ``width // shares``, at least 1 for the widths and shares of a block."""
+    unit = width.astype(np.float64)
+    unit /= shares
+    unit *= _BELOW
+    return unit.astype(np.int64).view(_U)
+
+
+def _settle(low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lanes that give a word away, and the words; moves their state on.
+
+    A range of 2**32 or less that would straddle two words is cut to the first.
+    """
+    out = np.flatnonzero(width <= _WORD)
+    some, size = low[out], width[out]
+    np.minimum(size, _WORD - (some & _LOW32), out=size)
+    low[out] = some << _W32
+    width[out] = ((size - _ONE) << _W32) + _LOW32
+    return out, some >> _W32
 
 
 def encode_block(ids: np.ndarray, n_ids: int) -> bytes:
@@ -114,17 +147,15 @@ def encode_block(ids: np.ndarray, n_ids: int) -> bytes:
     words, used = np.zeros((lanes, STEPS + 2), "<u4"), np.zeros(lanes, np.int64)
     for x in rows:
         model.predict()
-        first, size = model.interval(x)
-        unit = width // model.all
+        model.compare(x)
+        first, size = model.interval()
+        unit = _unit(width, model.all)
         low += first * unit
-        width = size * unit
-        out = _settle(low, width)
-        if len(out):
-            words[out, used[out]] = low[out] >> _W32
-            used[out] += 1
-            low[out] <<= _W32
-            width[out] = ((width[out] - _ONE) << _W32) + _LOW32
-        model.update(x)
+        np.multiply(size, unit, out=width)
+        out, given = _settle(low, width)
+        words[out, used[out]] = given
+        used[out] += 1
+        model.update()
     top = (low >> _W32) + _ONE  # one word if it lies in the range with zeros behind it, else two
     short = (low & _LOW32 == 0) | ((low >> _W32 < _LOW32) & ((top << _W32) - low < width))
     every = np.arange(lanes)
@@ -134,16 +165,19 @@ def encode_block(ids: np.ndarray, n_ids: int) -> bytes:
     words[long, used[long]] = low[long] & _LOW32
     used[long] += 1
     body = used.astype(np.uint8).tobytes() + words[np.arange(STEPS + 2) < used[:, None]].tobytes()
-    crc = zlib.crc32(np.asarray(ids).astype("<u4").tobytes())
-    return _HEAD.pack(n, lanes, int(used.sum()), crc, zlib.crc32(body)) + body
+    head = _HEAD.pack(n, lanes, int(used.sum()), zlib.crc32(np.asarray(ids).astype("<u4").tobytes()))
+    return head + _CRC.pack(zlib.crc32(body, zlib.crc32(head))) + body
 
 
 def decode_block(data: memoryview, n_ids: int) -> tuple[np.ndarray, int]:
     """The ids of the block at the start of ``data`` and the bytes it takes; raises on damage."""
-    n, lanes, n_words, crc, body_crc = _HEAD.unpack_from(data)
-    end = _HEAD.size + lanes + 4 * n_words
-    body = data[_HEAD.size : end]
-    if len(body) != lanes + 4 * n_words or zlib.crc32(body) != body_crc:
+    begin = _HEAD.size + _CRC.size
+    if len(data) < begin:
+        raise ValueError("damaged block")
+    n, lanes, n_words, crc = _HEAD.unpack_from(data)
+    end = begin + lanes + 4 * n_words
+    body = data[begin:end]
+    if len(body) != lanes + 4 * n_words or zlib.crc32(body, zlib.crc32(data[: _HEAD.size])) != _CRC.unpack_from(data, _HEAD.size)[0]:
         raise ValueError("damaged block")
     used = np.frombuffer(body[:lanes], np.uint8).astype(np.int64)
     words = np.zeros((lanes, STEPS + 5), _U)
@@ -154,28 +188,50 @@ def decode_block(data: memoryview, n_ids: int) -> tuple[np.ndarray, int]:
     out_rows = np.empty((STEPS, lanes), np.int64)
     for t in range(STEPS):
         model.predict()
-        unit = width // model.all
-        value = np.minimum((code - low) // unit, model.all - _ONE)
-        a, b, wa, wb = model.a, model.b, model.wa, model.wb
-        swap = np.flatnonzero(a > b)
-        p, q, wp, wq = a.copy(), b.copy(), wa.copy(), wb.copy()
-        p[swap], q[swap], wp[swap], wq[swap] = b[swap], a[swap], wb[swap], wa[swap]
-        for e, w in ((p, wp), (q, wq)):  # take the expected ids' extra weight out again, the smaller id first
-            begin = model.cum.take(e)
-            value = np.where(value < begin + model.count.take(e) + w, np.minimum(value, begin), value - w)
-        x = np.searchsorted(model.cum, value, side="right") - 1
-        first, size = model.interval(x)
+        unit = _unit(width, model.all)
+        x = out_rows[t]
+        _find(model, _share(code - low, unit.view(np.int64), model.all), x)
+        model.compare(x)
+        first, size = model.interval()
         low += first * unit
-        width = size * unit
-        out = _settle(low, width)
-        if len(out):
-            low[out] <<= _W32
-            width[out] = ((width[out] - _ONE) << _W32) + _LOW32
-            code[out] = (code[out] << _W32) | words[out, at[out]]
-            at[out] += 1
-        model.update(x)
-        out_rows[t] = x
+        np.multiply(size, unit, out=width)
+        out, _ = _settle(low, width)
+        code[out] = (code[out] << _W32) | words[out, at[out]]
+        at[out] += 1
+        model.update()
     ids = out_rows.T.reshape(-1)[:n]
     if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
         raise ValueError("damaged block")
     return ids, end
+
+
+def _share(ahead: np.ndarray, unit: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """``ahead // unit``, at most the last share: by doubles, which are off by one at most, and set right."""
+    q = (ahead.astype(np.float64) / unit).astype(np.int64)
+    rest = ahead.view(np.int64) - q * unit
+    q += rest >= unit
+    q -= rest < 0
+    return np.minimum(q, shares - 1, out=q)
+
+
+def _find(model: _Model, value: np.ndarray, x: np.ndarray) -> None:
+    """Puts into ``x`` the ids whose shares hold ``value``: an expected id, or else a search of the counts."""
+    p, q = np.minimum(model.a, model.b), np.maximum(model.a, model.b)
+    wp = np.where(model.a > model.b, model.wb, model.wa)
+    wq = model.wa + model.wb - wp
+    begin = model.cum.take(p, mode="wrap")
+    end = begin + model.count.take(p, mode="wrap") + wp
+    beyond = value >= end
+    is_p = (value >= begin) & ~beyond
+    value -= wp * beyond  # without the extra weight of the smaller id
+    begin = model.cum.take(q, mode="wrap")
+    end = begin + model.count.take(q, mode="wrap") + wq
+    beyond = value >= end
+    known = ((value >= begin) & ~beyond) | is_p
+    np.copyto(x, np.where(is_p, p, q))
+    rest = np.flatnonzero(~known)
+    value = value[rest] - (wq * beyond)[rest]
+    value <<= 12  # sorted values are found faster; the lane (fewer than 2**12) goes along
+    value |= rest
+    value.sort()
+    x[value & 4095] = np.searchsorted(model.cum, value >> 12, side="right") - 1

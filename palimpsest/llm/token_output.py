@@ -6,9 +6,9 @@ each block is coded by itself (see ``context_coder``) and carries checksums of i
 Records are rows of a Parquet table in the shared folder, so a lost executor's records are written
 again by Spark's commit protocol.  Reading decodes record by record and verifies every checksum.
 
-Tokenizing.  Texts are cut where the byte-level tokenizer's own split has a bound for certain (see
-``cut``), each distinct piece is encoded by the tokenizers library and remembered by the worker, and
-a document's ids are the joined ids of its pieces.
+Tokenizing.  Texts are cut where a byte-level tokenizer's own split has a bound for certain (see
+``pieces``), each distinct piece is encoded by the tokenizers library and remembered by the worker, and
+a document's ids are the joined ids of its pieces.  Tokenizers of other kinds encode texts whole.
 
 Defined results: null text is empty (its end id only); null doc ids come first; repeated rows are
 kept, in the order of a hash of their text; an empty table gives an empty table.
@@ -16,14 +16,17 @@ kept, in the order of a hash of their text; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,9 +37,12 @@ from palimpsest.llm.context_coder import BLOCK_IDS, decode_block, encode_block
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 #: A worker remembers the last so many pieces, and those of them it met again.
-MEMO_PIECES = 350_000
-_MAGIC = b"PALTOK1\0"
-_RECORD = struct.Struct("<8sIQII")  # magic, documents, ids, ids of the vocabulary, crc32 of the directory
+MEMO_PIECES = 500_000
+#: Bytes of text whose pieces are held at a time (one text may be longer).
+SLICE_BYTES = 12_000_000
+_MAGIC = b"PALTOK2\0"
+_RECORD = struct.Struct("<8sIQI")  # magic, documents, ids, ids of the vocabulary
+_CRC = struct.Struct("<I")  # crc32 of that and of the directory
 
 
 def tokenizer_path(name: str = VOCABULARY) -> str:
@@ -45,37 +51,46 @@ def tokenizer_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-#: White space other than single spaces and line ends inside lines.
-_OTHER_SPACE = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Text around which white space isn't a single space or line end: there the text is cut at safe spaces only.
+_ODD = "[ \\n][ \\n]|[\\t\\v\\f\\r\\x1c-\\x1f\\x85\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-#: A run of letters, if all letters of the text are among the first 256 characters, with a space before it.
-_LETTERS = re.compile("( ?[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)")
+#: Behind a letter (of the first 592 characters) and at its piece's end, a mark is a piece of its own.
+_MARKS = [".", ",", ";", ":", "!", "?"]
+_MARKED = "[A-Za-z\\x{aa}\\x{b5}\\x{ba}\\x{c0}-\\x{d6}\\x{d8}-\\x{f6}\\x{f8}-\\x{24f}][.,;:!?]$"
+#: Pieces given to the tokenizer in one call; each is some 500 bytes of its results.
+_CALL = 20_000
 
 
-def cut(text: str) -> list[str]:
-    """The text in pieces whose bounds are bounds of the tokenizer's own split as well.
+def pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All pieces of the texts in one array, and how many each text has.
 
-    That splits at every change between letters, digits, marks and white space, and puts a space to
-    what follows it.  Letters, each run with the space before it, are cut from all else where the
-    exceptions to it (contractions, more than one white-space character in a row) don't occur;
-    other texts are cut only at spaces between two characters that aren't white space.
+    A byte-level tokenizer with the usual split begins anew at a single space between two characters
+    that aren't white space, and makes a single line end between two such a token of its own, so cuts
+    before such spaces and around such line ends change no id.  Texts with other white space are cut
+    at the safe spaces alone.
     """
-    if "\0" in text:
-        return [text]
-    if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or _OTHER_SPACE.search(text):
-        return _SAFE_SPACE.sub("\0 ", text).split("\0")
-    if "'" in text:
-        return text.replace(" ", "\0 ").split("\0")
-    if not text.isascii():
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text.replace(" ", "\0 ").split("\0")
-    return _LETTERS.split(text)
+    odd = pc.match_substring_regex(texts, _ODD)
+    plain = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n\0")
+    if pc.any(odd).as_py():
+        at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        other = [_SAFE_SPACE.sub("\0 ", t) for t in texts.take(pa.array(at)).to_pylist()]
+        plain = pc.replace_with_mask(plain, odd, pa.array(other, texts.type))
+    parts = pc.split_pattern(plain, "\0")
+    return parts.flatten(), parts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def joined(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The ranges of ``pool`` one behind the other."""
+    ends = np.cumsum(size)
+    return pool[np.repeat(start - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
 class Encoder:
-    """Ids of whole texts, as little-endian uint32 bytes; remembers pieces."""
+    """Ids of whole texts as uint32 arrays; remembers pieces, at most two generations of ``MEMO_PIECES``.
+
+    Texts are cut into pieces only for a tokenizer whose own split is known to have bounds there
+    (byte-level, no normalizer, no added token in the text); any other encodes them whole.
+    """
 
     def __init__(self, path: str) -> None:
         import os
@@ -84,29 +99,89 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Texts with one of these are encoded whole; the last is what cuts are marked with.
+        self.apart = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content] + ["\0"]
         self.n_ids = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}  # the generation before, of up to MEMO_PIECES
-
-    def _recalled(self, wanted: set[str]) -> set[str]:
-        """Brings over what the generation before knows; returns the rest."""
-        again = wanted.intersection(self.before)
-        self.known.update((p, self.before[p]) for p in again)
-        return wanted - again
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        out: list[bytes] = []
-        for k in range(0, len(texts), 256):
-            if len(self.known) > MEMO_PIECES:
-                self.before, self.known = self.known, {}
-            parts = [([t] if any(x in t for x in self.added) else cut(t)) if t else [] for t in texts[k : k + 256]]
-            known, get = self.known, self.known.__getitem__
-            new = self._recalled(set().union(*parts).difference(known))
-            new = list(new)
-            for piece, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[piece] = array("I", got.ids).tobytes()
-            out += [b"".join(map(get, p)) for p in parts]
+        told = json.loads(self.tokenizer.to_str())
+        split, model = told.get("pre_tokenizer") or {}, told["model"]
+        self.cuts = (
+            not told.get("normalizer") and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+            and model["type"] == "BPE" and not model.get("dropout") and not model.get("ignore_merges")
+        )
+        self._renew()
+        self.before = ({}, *self._ranges)
+        self._learn(_MARKS)
+
+    def _renew(self) -> None:
+        self.known: dict[str, int] = {}  # place among the ranges
+        self._ranges = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32))  # start, size, ids
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add(self, new: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        start, size, pool = self._ranges
+        starts = len(pool) + np.cumsum(sizes) - sizes
+        self._ranges = tuple(map(np.concatenate, ((start, starts), (size, sizes), (pool, ids))))
+
+    def _learn(self, new: list[str]) -> None:
+        """Remembers ``new``, which the memory lacks: from the generation before, or encoded."""
+        before, start, size, pool = self.before
+        old = [p for p in new if p in before]
+        if old:
+            at = np.fromiter(map(before.__getitem__, old), np.int64, len(old))
+            self._add(old, size[at], joined(pool, start[at], size[at]))
+        fresh = [p for p in new if p not in before]
+        for k in range(0, len(fresh), _CALL):
+            some = fresh[k : k + _CALL]
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            self._add(some, np.array(list(map(len, got)), np.int64), np.array(list(chain.from_iterable(got)), np.uint32))
+
+    def _cut(self, texts: pa.Array) -> list[np.ndarray]:
+        if len(self.known) > MEMO_PIECES:
+            self.before = (self.known, *self._ranges)
+            self._renew()
+            self._learn(_MARKS)
+        every, counts = pieces(texts)
+        codes = every.dictionary_encode()
+        distinct = codes.dictionary
+        marked = pc.match_substring_regex(distinct, _MARKED)
+        stems = pc.if_else(marked, pc.utf8_slice_codeunits(distinct, 0, -1), distinct).dictionary_encode()
+        words, known = stems.dictionary.to_numpy(zero_copy_only=False).tolist(), self.known
+        found = list(map(known.get, words))
+        new = [p for p, at in zip(words, found) if at is None]
+        if new:
+            self._learn(new)
+            found = [known[p] if at is None else at for p, at in zip(words, found)]
+        start, size, pool = self._ranges
+        place = np.array(found, np.int64)[stems.indices.to_numpy()]
+        # a distinct piece is its stem and the mark, if it has one (else no ids of the first mark)
+        mark = pc.index_in(pc.utf8_slice_codeunits(distinct, -1), pa.array(_MARKS, distinct.type)).fill_null(0).to_numpy(zero_copy_only=False)
+        mark = np.array([known[m] for m in _MARKS])[mark]
+        both = np.stack([place, mark], 1).ravel()
+        sizes = size[both]
+        sizes[1::2] *= marked.to_numpy(zero_copy_only=False)
+        pool = joined(pool, start[both], sizes)
+        size = sizes[::2] + sizes[1::2]
+        start = np.cumsum(size) - size
+        at = codes.indices.to_numpy()
+        sizes = size[at]
+        flat = joined(pool, start[at], sizes)
+        cuts = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
+        return np.split(flat, cuts[:-1])
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        texts = pc.fill_null(texts, "")
+        whole = reduce(pc.or_, (pc.match_substring(texts, x) for x in self.apart)) if self.cuts else pa.array([True] * len(texts), pa.bool_())
+        if not pc.any(whole).as_py():
+            return self._cut(texts) if len(texts) else []
+        out: list = [None] * len(texts)
+        for mask, encode in ((whole, lambda some: self._whole(some.to_pylist())), (pc.invert(whole), self._cut)):
+            at = np.flatnonzero(mask.to_numpy(zero_copy_only=False))
+            if len(at):
+                for k, ids in zip(at.tolist(), encode(texts.take(pa.array(at)))):
+                    out[k] = ids
         return out
 
 
@@ -124,38 +199,57 @@ def pack_record(doc_ids: list[int | None], ids: list[np.ndarray], n_ids: int) ->
     lengths = np.array([len(x) for x in ids], "<u8")
     keys = np.array([x or 0 for x in doc_ids], "<i8")
     none = np.packbits([x is None for x in doc_ids])
-    directory = keys.tobytes() + lengths.tobytes() + none.tobytes()
     flat = np.concatenate(ids)
+    head = _RECORD.pack(_MAGIC, len(ids), len(flat), n_ids) + keys.tobytes() + lengths.tobytes() + none.tobytes()
     blocks = [encode_block(flat[k : k + BLOCK_IDS], n_ids) for k in range(0, len(flat), BLOCK_IDS)]
-    return b"".join([_RECORD.pack(_MAGIC, len(ids), len(flat), n_ids, zlib.crc32(directory)), directory, *blocks])
+    return b"".join([head, _CRC.pack(zlib.crc32(head)), *blocks])
 
 
 def unpack_record(data: bytes) -> tuple[list[int | None], list[np.ndarray]]:
+    """Doc ids and ids of a record; ValueError if anything in it was changed, cut off or added."""
     view = memoryview(data)
-    magic, n_docs, n, n_ids, crc = _RECORD.unpack_from(view)
-    at = _RECORD.size
-    size = 16 * n_docs + -(-n_docs // 8)
-    if magic != _MAGIC or zlib.crc32(view[at : at + size]) != crc:
+    if len(view) < _RECORD.size:
+        raise ValueError("damaged record")
+    magic, n_docs, n, n_ids = _RECORD.unpack_from(view)
+    at, size = _RECORD.size, _RECORD.size + 16 * n_docs + -(-n_docs // 8)
+    if magic != _MAGIC or len(view) < size + _CRC.size or zlib.crc32(view[:size]) != _CRC.unpack_from(view, size)[0]:
         raise ValueError("damaged record")
     keys = np.frombuffer(view[at : at + 8 * n_docs], "<i8")
     lengths = np.frombuffer(view[at + 8 * n_docs : at + 16 * n_docs], "<u8").astype(np.int64)
-    none = np.unpackbits(np.frombuffer(view[at + 16 * n_docs : at + size], np.uint8))[:n_docs]
-    at += size
+    none = np.unpackbits(np.frombuffer(view[at + 16 * n_docs : size], np.uint8))[:n_docs]
+    if lengths.sum() != n:
+        raise ValueError("damaged record")
+    at = size + _CRC.size
     flat = np.empty(n, np.int64)
     done = 0
     while done < n:
         ids, used = decode_block(view[at:], n_ids)
+        if done + len(ids) > n:
+            raise ValueError("damaged record")
         flat[done : done + len(ids)] = ids
         done, at = done + len(ids), at + used
+    if at != len(view):
+        raise ValueError("damaged record")
     return [None if x else int(k) for k, x in zip(keys, none)], np.split(flat, np.cumsum(lengths)[:-1])
 
 
+def by_bytes(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(start, length) of runs of rows whose texts have at most ``most`` bytes together, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right"))
+        to = max(to, at + 1)
+        yield at, to - at
+        at = to
+
+
 def encode_documents(docs: DataFrame, *, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
     """(part, seq, n_docs, n_tokens, payload): records of ``docs`` (doc_id, text) in ascending doc_id order."""
     path = vocabulary or tokenizer_path()
     rows = docs.select("doc_id", "text")
     ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], np.uint32)
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("payload", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,10 +263,10 @@ def encode_documents(docs: DataFrame, *, vocabulary: str | None = None, end_id:
             return pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "n_docs": [len(keys)], "n_tokens": [held], "payload": [payload]}, schema)
 
         for batch in batches:
-            for k in range(0, batch.num_rows, 1024):
-                some = batch.slice(k, 1024)
-                for key, data in zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist())):
-                    own = np.frombuffer(data + end, "<u4")
+            for k, n in by_bytes(batch.column(1)):
+                some = batch.slice(k, n)
+                for key, found in zip(some.column(0).to_pylist(), encode(some.column(1))):
+                    own = np.concatenate([found, end])
                     if keys and held + len(own) > BLOCK_IDS:
                         yield record()
                         seq += 1

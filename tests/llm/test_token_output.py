@@ -4,14 +4,16 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from palimpsest.llm.context_coder import BLOCK_IDS, decode_block, encode_block
-from palimpsest.llm.token_output import decode_documents, encode_documents, encoder, pack_record, query, token_index, tokenizer_path, unpack_record
+from palimpsest.llm import token_output
+from palimpsest.llm.token_output import Encoder, by_bytes, decode_documents, encode_documents, encoder, pack_record, query, token_index, tokenizer_path, unpack_record
 
-PARTS = ["a", "B", "\u00e9", "\u00df", "x", "1", "\u00b2", "'", "'s", "'ll", " ", "  ", "\n", "\r", "\t", "\u00a0", "\u0301", "\u4e2d", "!", "_", "\0", "\x1f", "\U0001f600", "\u01c5", "<|endoftext|>", "\u2019", "\u2028", "\x85", "Hello"]
+PARTS = ["a", "B", "\u00e9", "\u00df", "x", "1", "\u00b2", "'", "'s", "'ll", " ", "  ", "\n", "\r", "\t", "\u00a0", "\u0301", "\u4e2d", "!", "_", "\0", "\x1f", "\U0001f600", "\u01c5", "<|endoftext|>", "\u2019", "\u2028", "\x85", "Hello", "Word.", "W\u00f6rt,", ".", ",", "...", "\u01c5.", "\u0451.", "3."]
 
 
 @settings(max_examples=60, deadline=None)
@@ -34,11 +36,15 @@ def test_damage_is_noticed():
     record = bytearray(pack_record([4, None], [np.arange(50), np.array([2])], 100))
     ids = unpack_record(bytes(record))
     assert ids[0] == [4, None] and [x.tolist() for x in ids[1]] == [list(range(50)), [2]]
-    for at in (0, 30, len(record) // 2, len(record) - 1):
-        broken = bytearray(record)
-        broken[at] ^= 0x55
+    for at in range(len(record)):
+        for flip in (0x01, 0x55, 0x80):
+            broken = bytearray(record)
+            broken[at] ^= flip
+            with pytest.raises(ValueError):
+                unpack_record(bytes(broken))
+    for other in (record[:10], record[:40], record[:-1], record + b"\0"):
         with pytest.raises(ValueError):
-            unpack_record(bytes(broken))
+            unpack_record(bytes(other))
 
 
 def test_pieces_encode_like_whole_texts():
@@ -46,8 +52,30 @@ def test_pieces_encode_like_whole_texts():
     for _ in range(300):
         some = r.sample(PARTS, r.choice([4, 9, len(PARTS)]))
         texts = ["".join(r.choice(some) for _ in range(r.randint(0, 25))) for _ in range(20)]
-        for text, got in zip(texts, e(texts)):
-            assert np.frombuffer(got, "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids, text
+        for text, got in zip(texts, e(pa.array(texts))):
+            assert got.tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_other_tokenizers_encode_whole_texts():
+    e = Encoder(tokenizer_path("word_bpe_49k.json"))
+    texts = ["It's one. Two,  three\n\nfour", "", "A b c!", None]
+    assert not e.cuts
+    assert [x.tolist() for x in e(pa.array(texts))] == [e.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_a_full_memory_changes_no_id(monkeypatch):
+    monkeypatch.setattr(token_output, "MEMO_PIECES", 40)
+    e, r = Encoder(tokenizer_path()), random.Random(4)
+    words = ["".join(r.choices("abcdeé", k=r.randint(1, 6))) + r.choice(["", ".", ",", "'s"]) for _ in range(120)]
+    for _ in range(30):
+        texts = [" ".join(r.choices(words, k=12)) for _ in range(6)]
+        for text, got in zip(texts, e(pa.array(texts))):
+            assert got.tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_slices_by_bytes():
+    column = pa.array(["aaaa", None, "b", "c" * 9, "", "dd"])
+    assert list(by_bytes(column, 5)) == [(0, 3), (3, 1), (4, 2)] and list(by_bytes(column.slice(0, 0), 5)) == []
 
 
 def expected_index(rows):
