@@ -36,19 +36,26 @@ _HEAD, _CRC = struct.Struct("<IIII"), struct.Struct("<I")
 
 _wrong, _right = [c >> 1 for c in range(8)], [min(c + 1, _SURE) for c in range(8)]
 _wrong[0] = _wrong[1] = 1  # then the expected id is replaced as well
-_NEXT_SURE = np.array(_wrong + _right)  # by right * 8 + confidence
+_NEXT_SURE = np.array(_wrong + _right, np.int32)  # by right * 8 + confidence
 
 
 class _Model:
+    """Arrays of two rows have what is of order 2 in the first and of order 1 in the second.
+
+    Ids, counts and shares are 32 bits wide: the tables then stay near the processor, and the sum of
+    all weights, at most 63 times that of a block's counts, is below 2**31.
+    """
+
     def __init__(self, n_ids: int, lanes: int) -> None:
         self.n = n_ids
-        self.count = np.ones(n_ids, np.int64)
-        self.cum = np.zeros(n_ids + 1, np.int64)
+        self.count = np.ones(n_ids, np.int32)
+        self.cum = np.zeros(n_ids + 1, np.int32)
         self.fresh: list[np.ndarray] = []
-        self.table1, self.table2 = np.zeros(n_ids + 1, np.int64), np.zeros(_SLOTS, np.int64)
+        self.table = np.zeros(_SLOTS + n_ids + 1, np.int32)
+        self.at = np.zeros((2, lanes), np.int64)  # of the contexts in the table
+        self.at[1] = _SLOTS + n_ids
         self.seen = np.zeros((3, 64))  # neither, order 1, order 2 was right; by both confidences
-        self.last = np.full(lanes, n_ids, np.int64)
-        self.slot = np.zeros(lanes, np.int64)
+        self.lanes = np.arange(lanes)
         self.step = 0
         self._sum()
 
@@ -56,59 +63,96 @@ class _Model:
         np.cumsum(self.count, out=self.cum[1:])
         self.total = int(self.cum[-1])
 
-    def predict(self) -> None:
-        """Sets a, b (expected ids, a of order 2), their weights wa, wb, and the sum of all weights for every lane."""
-        self.p2, self.p1 = self.table2.take(self.slot, mode="wrap"), self.table1.take(self.last, mode="wrap")
-        self.a, self.b = self.p2 >> 3, self.p1 >> 3
-        self.s2, self.s1 = self.p2 & 7, self.p1 & 7
-        self.ctx = (self.s2 << 3) | self.s1
+    def _weigh(self) -> None:
         odds = (self.seen[1:] + 0.1) / (self.seen[0] + 0.5)
-        weight = np.floor(np.minimum(odds, 31.0) * float(self.total)).astype(np.int64)
+        weight = np.floor(np.minimum(odds, 31.0) * float(self.total)).astype(np.int32)
         weight[1, :8] = 0
         weight[0, ::8] = 0
         # the second half is for lanes whose two expectations agree: order 2 alone speaks then, if it does
         order2 = np.concatenate([weight[1], weight[1]])
         order1 = np.concatenate([weight[0], np.where(np.arange(64) < 8, weight[0], 0)])
-        case = self.ctx | ((self.a == self.b).view(np.int8) << np.int64(6))
-        self.wa, self.wb = order2.take(case, mode="wrap"), order1.take(case, mode="wrap")
-        self.all = (order2 + order1 + self.total).take(case, mode="wrap")
+        self.weights, self.sums = (order2, order1), order2 + order1 + self.total
+
+    def predict(self) -> None:
+        """Sets the expected ids, their weights, and the sum of all weights for every lane."""
+        if self.step < 8 or self.step % 4 == 0:
+            self._weigh()
+        packed = self.table.take(self.at, mode="wrap")
+        self.sure = packed & 7
+        self.expected = packed >> 3
+        self.ctx = self.sure[0] << 3
+        self.ctx |= self.sure[1]
+        case = (self.expected[0] == self.expected[1]).astype(np.intp)
+        case <<= 6
+        case |= self.ctx
+        self.weight = [w.take(case, mode="wrap") for w in self.weights]
+        self.all = self.sums.take(case, mode="wrap")
 
     def compare(self, x: np.ndarray) -> None:
-        self.x, self.right2, self.right1 = x, x == self.a, x == self.b
+        self.x, self.right = x, self.expected == x
 
     def interval(self) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of the compared ids' shares of ``all``."""
         x = self.x
         first = self.cum.take(x, mode="wrap")
         size = self.count.take(x, mode="wrap")
-        for e, w, right in ((self.a, self.wa, self.right2), (self.b, self.wb, self.right1)):
-            first += w * (e < x)
-            size += w * right
-        return first.view(_U), size.view(_U)
+        before = self.expected < x
+        for k in (0, 1):
+            first += self.weight[k] * before[k]
+            size += self.weight[k] * self.right[k]
+        return first.astype(_U), size.astype(_U)
+
+    def find(self, value: np.ndarray, x: np.ndarray) -> None:
+        """Puts into ``x`` the ids whose shares hold ``value``: an expected id, or else a search of the counts."""
+        begin, end = self.cum.take(self.expected, mode="wrap"), self.count.take(self.expected, mode="wrap")
+        a, b = self.expected
+        wa, wb = self.weight
+        begin[0] += wb * (b < a)
+        begin[1] += wa * (a < b)
+        end += begin
+        end[0] += wa
+        end[1] += wb
+        beyond = value >= end
+        inside = value >= begin
+        inside &= ~beyond
+        # without the extra weights of smaller ids the counts are left; sorted values are found faster,
+        # and the lane (fewer than 2**12) goes along
+        keyed = (value - wa * beyond[0] - wb * beyond[1]).astype(np.int64)
+        keyed <<= 12
+        keyed |= self.lanes
+        keyed.sort()
+        x[keyed & 4095] = np.searchsorted(self.cum, (keyed >> 12).astype(np.int32), side="right") - 1
+        np.copyto(x, b, where=inside[1])
+        np.copyto(x, a, where=inside[0])
 
     def update(self) -> None:
-        x = self.x
-        right2, right1 = self.right2.view(np.int8), self.right1.view(np.int8)
-        outcome = self.ctx + (right2 << np.int64(7))
-        outcome += (right1 & ~right2) << np.int64(6)
+        x, right = self.x, self.right.view(np.int8)
+        outcome = right[0] << 1
+        outcome |= right[1] & (right[0] ^ 1)
+        outcome = outcome.astype(np.intp)
+        outcome <<= 6
+        outcome += self.ctx
         self.seen += np.bincount(outcome, minlength=192).reshape(3, 64)
-        anew = x << 3
-        for table, at, packed, sure, right in ((self.table2, self.slot, self.p2, self.s2, right2), (self.table1, self.last, self.p1, self.s1, right1)):
-            # the id stays if it was right or still trusted; its confidence moves
-            stays = (sure > 1) | right.view(bool)
-            packed -= sure
-            new = np.where(stays, packed, anew)
-            new += _NEXT_SURE.take(sure + (right << np.int64(3)), mode="wrap")
-            table[at] = new
-        slot = self.last * 40_503
-        slot += x * 2_654_435
+        # an expected id stays if it was right or still trusted; its confidence moves
+        stays = self.sure > 1
+        stays |= self.right
+        new = np.where(stays, self.expected, x)
+        new <<= 3
+        case = (right << 3).astype(np.intp)
+        case += self.sure
+        new += _NEXT_SURE.take(case, mode="wrap")
+        self.table[self.at] = new
+        slot, last = self.at
+        last -= _SLOTS
+        np.multiply(last, 40_503, out=slot)
+        slot += x.astype(np.int64) * 2_654_435
         slot >>= 3
         slot &= _SLOTS - 1
-        self.slot, self.last = slot, x
+        np.add(x, _SLOTS, out=last)
         self.fresh.append(x)
         self.step += 1
         if self.step in (1, 2, 4) or self.step % 8 == 0:
-            self.count += np.bincount(np.concatenate(self.fresh), minlength=self.n) * _GAIN
+            self.count += np.bincount(np.concatenate(self.fresh), minlength=self.n).astype(np.int32) * _GAIN
             self.fresh = []
             self._sum()
 
@@ -139,7 +183,7 @@ def encode_block(ids: np.ndarray, n_ids: int) -> bytes:
     if not 0 < n <= BLOCK_IDS:
         raise ValueError("a block has 1 to BLOCK_IDS ids")
     lanes = -(-n // STEPS)
-    padded = np.zeros(lanes * STEPS, np.int64)
+    padded = np.zeros(lanes * STEPS, np.int32)
     padded[:n] = ids
     rows = np.ascontiguousarray(padded.reshape(lanes, STEPS).T)
     model = _Model(n_ids, lanes)
@@ -185,12 +229,12 @@ def decode_block(data: memoryview, n_ids: int) -> tuple[np.ndarray, int]:
     model = _Model(n_ids, lanes)
     low, width = np.zeros(lanes, _U), np.full(lanes, 2**64 - 1, _U)
     code, at = (words[:, 0] << _W32) | words[:, 1], np.full(lanes, 2, np.int64)
-    out_rows = np.empty((STEPS, lanes), np.int64)
+    out_rows = np.empty((STEPS, lanes), np.int32)
     for t in range(STEPS):
         model.predict()
         unit = _unit(width, model.all)
         x = out_rows[t]
-        _find(model, _share(code - low, unit.view(np.int64), model.all), x)
+        model.find(_share(code - low, unit.view(np.int64), model.all), x)
         model.compare(x)
         first, size = model.interval()
         low += first * unit
@@ -211,27 +255,4 @@ def _share(ahead: np.ndarray, unit: np.ndarray, shares: np.ndarray) -> np.ndarra
     rest = ahead.view(np.int64) - q * unit
     q += rest >= unit
     q -= rest < 0
-    return np.minimum(q, shares - 1, out=q)
-
-
-def _find(model: _Model, value: np.ndarray, x: np.ndarray) -> None:
-    """Puts into ``x`` the ids whose shares hold ``value``: an expected id, or else a search of the counts."""
-    p, q = np.minimum(model.a, model.b), np.maximum(model.a, model.b)
-    wp = np.where(model.a > model.b, model.wb, model.wa)
-    wq = model.wa + model.wb - wp
-    begin = model.cum.take(p, mode="wrap")
-    end = begin + model.count.take(p, mode="wrap") + wp
-    beyond = value >= end
-    is_p = (value >= begin) & ~beyond
-    value -= wp * beyond  # without the extra weight of the smaller id
-    begin = model.cum.take(q, mode="wrap")
-    end = begin + model.count.take(q, mode="wrap") + wq
-    beyond = value >= end
-    known = ((value >= begin) & ~beyond) | is_p
-    np.copyto(x, np.where(is_p, p, q))
-    rest = np.flatnonzero(~known)
-    value = value[rest] - (wq * beyond)[rest]
-    value <<= 12  # sorted values are found faster; the lane (fewer than 2**12) goes along
-    value |= rest
-    value.sort()
-    x[value & 4095] = np.searchsorted(model.cum, value >> 12, side="right") - 1
+    return np.minimum(q, shares - 1).astype(np.int32)

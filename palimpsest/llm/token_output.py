@@ -37,9 +37,9 @@ from palimpsest.llm.context_coder import BLOCK_IDS, decode_block, encode_block
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 #: A worker remembers the last so many pieces, and those of them it met again.
-MEMO_PIECES = 500_000
+MEMO_PIECES = 400_000
 #: Bytes of text whose pieces are held at a time (one text may be longer).
-SLICE_BYTES = 12_000_000
+SLICE_BYTES = 5_000_000
 _MAGIC = b"PALTOK2\0"
 _RECORD = struct.Struct("<8sIQI")  # magic, documents, ids, ids of the vocabulary
 _CRC = struct.Struct("<I")  # crc32 of that and of the directory
