@@ -2,17 +2,19 @@
 
 Words are hashed to 64 bits.  Of every ``window - gram + 1`` consecutive ``gram``-word hashes the
 smallest is kept as a fingerprint (winnowing), so any ``window`` consecutive words that a document
-shares with an item share a fingerprint.  Fingerprints of documents meet those of the items, each
-meeting is extended to both sides while the words stay equal, and runs of at least ``window``
-words are hits.  Items of fewer words than a window are one window of their own length; they meet
-by the hash of all their words.
+shares with an item share a fingerprint: items and documents are both winnowed, and of equal
+hashes both keep the rightmost.  Fingerprints of documents meet those of the items; each meeting is
+extended to all windows around it, and those that an item has, by a hash of all their words, are
+hits.  Items of fewer words than a window are one window of their own length; they meet by the hash
+of all their words.  Look-ups are array operations on distinct hashes, so a text of equal words or a
+phrase of many items costs no more than others.
 
 The benchmark is the stated query set: it is read in blocks of at most ``block_words`` words
-(a documented bound), each block is sent whole to the tasks, and every document is scanned whole.
+(a documented bound), one block at a time is sent to the tasks, and every document is scanned whole.
 
 Defined results: null or word-free texts have no words, no hits and the digest of the empty list;
-null, empty or word-free items never occur; repeated items count once per row; repeated documents
-are judged row by row; columns of either table other than those named are never read.
+null, empty or word-free items never occur; items with equal ids are one in the list of ids;
+repeated documents are judged row by row; other columns are passed on unread.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palimpsest.llm.common import sliced, table
+from palimpsest.llm.common import Scratch, sliced, table
 
 WINDOW, GRAM = 10, 5
 #: Most words of the benchmark in one block; 2 million words are about 60 MB in a task.
@@ -91,71 +93,100 @@ def winnow(grams: np.ndarray, span: int) -> np.ndarray:
     return np.unique(best + np.arange(n))
 
 
+def _sorted_groups(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, where the owners of each begin (one more at the end), and the distinct owners of each."""
+    order = np.lexsort((owners, keys))
+    keys, owners = keys[order], owners[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])
+    keys, owners = keys[new], owners[new]
+    at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+    return keys[at], np.append(at, len(keys)), owners
+
+
+class Windows:
+    """The windows of ``k`` words of a block's items, by hash, with the items that have each."""
+
+    def __init__(self, k: int, hashes: list[np.ndarray], owners: list[int]) -> None:
+        self.k = k
+        each = [gram_hashes(h, k) for h in hashes]
+        self.keys, self.begin, self.owner = _sorted_groups(np.concatenate(each), np.repeat(np.array(owners), [len(x) for x in each]))
+        self.map = bitmap(self.keys)
+
+    def hits(self, h: np.ndarray, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Which windows of a document's words (those at ``starts``, or all) are an item's, and the items."""
+        found = gram_hashes(h, self.k)
+        starts = np.arange(len(found)) if starts is None else starts
+        starts = starts[in_map(self.map, found[starts])]
+        at = np.searchsorted(self.keys, found[starts])
+        same = self.keys[np.minimum(at, len(self.keys) - 1)] == found[starts]
+        at = np.unique(at[same])
+        items = [self.owner[i:j] for i, j in zip(self.begin[at].tolist(), self.begin[at + 1].tolist())]  # distinct windows
+        return starts[same], np.unique(np.concatenate(items)) if items else np.empty(0, np.int64)
+
+
+def bitmap(keys: np.ndarray) -> np.ndarray:
+    """Over the 20 highest bits; keeps most hashes that aren't among the keys from the binary search."""
+    out = np.zeros(1 << 20, bool)
+    out[(keys >> np.uint64(44)).astype(np.int64)] = True
+    return out
+
+
+def in_map(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return bits[(hashes >> np.uint64(44)).astype(np.int64)]
+
+
 class Block:
-    """Items of the benchmark with their fingerprints, sorted for look-up."""
+    """Fingerprints and windows of the items of one block, sorted for look-up."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int, gram: int) -> None:
-        hashes, self.window, self.gram = WordHashes(), window, gram
+    def __init__(self, items: list[tuple[str | None, np.ndarray]], window: int, gram: int) -> None:
+        self.window, self.gram, self.span = window, gram, window - gram + 1
         self.ids = [i for i, _ in items]
-        self.words = [hashes(words_of(t)) for _, t in items]
-        prints: list[np.ndarray] = []
-        owner: list[np.ndarray] = []
-        at: list[np.ndarray] = []
-        self.short: dict[int, dict[int, list[int]]] = {}
-        for k, h in enumerate(self.words):
-            if not len(h):
-                continue
-            if len(h) < window:
-                self.short.setdefault(len(h), {}).setdefault(int(gram_hashes(h, len(h))[0]), []).append(k)
-                continue
-            grams = gram_hashes(h, gram)
-            # every position of a fingerprint counts: a document's winnowed run may lie anywhere in the item
-            prints.append(grams)
-            owner.append(np.full(len(grams), k))
-            at.append(np.arange(len(grams)))
-        none = np.empty(0, np.uint64)
-        prints_, owner_, at_ = (np.concatenate(x) if x else none for x in (prints, owner, at))
-        order = np.argsort(prints_, kind="stable")
-        self.prints, self.owner, self.at = prints_[order], owner_[order].astype(np.int64), at_[order].astype(np.int64)
-        # a small bitmap keeps most of a document's fingerprints from the binary search
-        self.map = np.zeros(1 << 20, bool)
-        self.map[(self.prints >> np.uint64(44)).astype(np.int64)] = True
-
-    def hits(self, h: np.ndarray) -> tuple[list[tuple[int, int]], set[int]]:
-        """Hit spans [start, end) of the document's words and the items that occur."""
-        spans: list[tuple[int, int]] = []
+        long = [(k, h) for k, (_, h) in enumerate(items) if len(h) >= window]
+        prints = [(g := gram_hashes(h, gram))[winnow(g, self.span)] for _, h in long]
+        self.prints = np.unique(np.concatenate(prints)) if prints else np.empty(0, np.uint64)
+        self.map = bitmap(self.prints)
+        self.long = Windows(window, [h for _, h in long], [k for k, _ in long]) if long else None
+        self.short = []
+        for size in sorted({len(h) for _, h in items if 0 < len(h) < window}):
+            own = [(k, h) for k, (_, h) in enumerate(items) if len(h) == size]
+            self.short.append(Windows(size, [h for _, h in own], [k for k, _ in own]))
+
+    def hits(self, h: np.ndarray) -> tuple[np.ndarray, set[int]]:
+        """Hit spans [start, end) of the document's words, merged, as rows of two; and the items that occur."""
+        mark = None
         found: set[int] = set()
-        for k, by_hash in self.short.items():
-            for p, x in enumerate(gram_hashes(h, k).tolist()):
-                for item in by_hash.get(x, ()):
-                    spans.append((p, p + k))
-                    found.add(item)
-        if len(h) < self.window or not len(self.prints):
-            return spans, found
-        grams = gram_hashes(h, self.gram)
-        where = winnow(grams, self.window - self.gram + 1)
-        where = where[self.map[(grams[where] >> np.uint64(44)).astype(np.int64)]]
-        if not len(where):
-            return spans, found
-        left, right = (np.searchsorted(self.prints, grams[where], side) for side in ("left", "right"))
-        done: dict[tuple[int, int], int] = {}  # (item, diagonal) -> end of the run already found there
-        for p, lo, hi in zip(where.tolist(), left.tolist(), right.tolist()):
-            for k in range(lo, hi):
-                item, q = int(self.owner[k]), int(self.at[k])
-                if done.get((item, p - q), -1) > p:
-                    continue
-                other = self.words[item]
-                a = p
-                while a > 0 and q - (p - a) > 0 and h[a - 1] == other[q - (p - a) - 1]:
-                    a -= 1
-                b = p
-                while b < len(h) and q + b - p < len(other) and h[b] == other[q + b - p]:
-                    b += 1
-                done[item, p - q] = b
-                if b - a >= self.window:
-                    spans.append((a, b))
-                    found.add(item)
-        return spans, found
+        starts: list[tuple[np.ndarray, int]] = []
+        for windows in self.short:
+            if len(h) >= windows.k:
+                at, items = windows.hits(h)
+                starts.append((at, windows.k))
+                found.update(items.tolist())
+        if self.long and len(h) >= self.window:
+            grams = gram_hashes(h, self.gram)
+            where = winnow(grams, self.span)
+            where = where[in_map(self.map, grams[where])]
+            at = np.searchsorted(self.prints, grams[where])
+            where = where[self.prints[np.minimum(at, len(self.prints) - 1)] == grams[where]]
+            if len(where):
+                # a fingerprint is extended to every window around it; those that are an item's are hits
+                around = np.zeros(len(h) + self.span, np.int64)
+                np.add.at(around, np.maximum(where - self.span + 1, 0), 1)
+                np.add.at(around, where + 1, -1)
+                near = np.flatnonzero(np.cumsum(around)[: len(h) - self.window + 1])
+                at, items = self.long.hits(h, near)
+                starts.append((at, self.window))
+                found.update(items.tolist())
+        for at, k in starts:
+            if len(at):
+                mark = np.zeros(len(h) + 1, np.int64) if mark is None else mark
+                mark[at] += 1
+                np.add.at(mark, at + k, -1)
+        if mark is None:
+            return np.empty((0, 2), np.int64), found
+        hit = np.concatenate([[False], np.cumsum(mark) > 0, [False]])
+        edges = np.flatnonzero(hit[1:] != hit[:-1])
+        return edges.reshape(-1, 2), found
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -171,21 +202,30 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str, str | None]]]:
-    """Items in blocks of at most ``block_words`` words (one item may be longer), fetched block by block."""
-    block: list[tuple[str, str | None]] = []
-    total = 0
+def _item_blocks(items: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> Iterator[list[tuple[str | None, np.ndarray]]]:
+    """Items' ids and word hashes in blocks of at most ``block_words`` words, fetched block by block.
+
+    An item longer than a block is cut into parts that share a window less one word, so none is lost.
+    """
+    hashes = WordHashes()
+    block: list[tuple[str | None, np.ndarray]] = []
+    total, step = 0, max(block_words, window)
     rows = items.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"))
     for row in rows.toLocalIterator():
-        n = len(words_of(row.t))
-        if block and total + n > block_words:
-            yield block
-            block, total = [], 0
-        block.append((row.i, row.t))
-        total += n
+        h = hashes(words_of(row.t))
+        for at in range(0, max(len(h) - window + 1, 1), step - window + 1):
+            part = h[at : at + step]
+            if block and total + len(part) > block_words:
+                yield block
+                block, total = [], 0
+            block.append((row.i, part))
+            total += len(part)
     yield block
 
 
+_ADDED = ("n_words", "hit_spans", "n_hit", "hit_items")
+
+
 def contaminated_spans(
     docs: DataFrame,
     items: DataFrame,
@@ -197,28 +237,29 @@ def contaminated_spans(
     gram: int = GRAM,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """``docs`` with n_words, hit_spans (word positions, merged), n_hit and hit_items (sorted ids).
+    """``docs`` with n_words, hit_spans (word positions, merged), n_hit and hit_items (sorted distinct ids).
 
-    ``docs`` must not have columns of these four names.
+    Columns of ``docs`` with these four names are replaced.  Items without an id count in hit_spans
+    and n_hit; there is no id of theirs to list.
     """
     if not 0 < gram <= window:
         raise ValueError("a fingerprint's words must fit into a window")
-    blocks = _item_blocks(items, item_id, item_text, block_words)
-    first = next(blocks)
-    out = _scan(docs, text_col, Block(first, window, gram))
-    for block in blocks:  # later blocks only add spans and items
-        out = _scan(out, text_col, Block(block, window, gram), merge=True)
+    out, sent, scratch = docs.drop(*_ADDED), None, None
+    for k, block in enumerate(_item_blocks(items, item_id, item_text, window, block_words)):
+        if k:  # the blocks so far are done with before the next is sent: one is held at a time
+            scratch = scratch or Scratch(docs.sparkSession)
+            out = scratch(out, f"block-{k}")
+            scratch.drop(f"block-{k - 1}")
+            sent.destroy()
+        sent = docs.sparkSession.sparkContext.broadcast(Block(block, window, gram))  # bounded by block_words
+        out = _scan(out, text_col, sent, merge=k > 0)
     return out
 
 
-def _scan(docs: DataFrame, text_col: str, block: Block, merge: bool = False) -> DataFrame:
-    names = ("n_words", "hit_spans", "n_hit", "hit_items")
-    base = [f for f in docs.schema.fields if f.name not in names]
-    if len(base) != len(docs.schema.fields) and not merge:
-        raise ValueError(f"columns {names} are added here")
+def _scan(docs: DataFrame, text_col: str, sent, merge: bool = False) -> DataFrame:
+    base = [f for f in docs.schema.fields if f.name not in _ADDED]
     own = T.StructType.fromDDL("n_words long, hit_spans array<struct<start:long,end:long>>, n_hit long, hit_items array<string>")
     schema = T.StructType([*base, *own.fields])
-    sent = docs.sparkSession.sparkContext.broadcast(block)  # bounded by block_words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, hashes = sent.value, WordHashes()
@@ -228,10 +269,10 @@ def _scan(docs: DataFrame, text_col: str, block: Block, merge: bool = False) ->
             for k, text in enumerate(batch.column(text_col).to_pylist()):
                 h = hashes(words_of(text))
                 s, found = known.hits(h)
-                ids = {known.ids[i] for i in found} if not merge else {known.ids[i] for i in found} | set(earlier[k][1])
+                s, ids = [tuple(x) for x in s.tolist()], {known.ids[i] for i in found}
                 if merge:
-                    s = s + [(x["start"], x["end"]) for x in earlier[k][0]]
-                s = merged(s)
+                    s = merged(s + [(x["start"], x["end"]) for x in earlier[k][0]])
+                    ids |= set(earlier[k][1])
                 count.append(len(h))
                 spans.append([{"start": a, "end": b} for a, b in s])
                 hit.append(sum(b - a for a, b in s))

@@ -3,10 +3,11 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
-from palimpsest.llm.decontaminate import contaminated_spans, query, stage
+from palimpsest.llm.decontaminate import Block, WordHashes, contaminated_spans, query, stage
 from tests.llm.conftest import LOWER
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -74,3 +75,36 @@ def test_odd_rows(spark, odd_docs, no_docs, tmp_path):
     items.select("item_id", "text").write.parquet(f"{tmp_path}/benchmark.parquet")
     kept = stage(spark, odd_docs, str(tmp_path))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"] and kept.count() == 8
+
+
+def test_equal_words_cost_no_more_than_others():
+    hashes = WordHashes()
+    block = Block([(str(i), hashes(["a"] * 200)) for i in range(20)] + [("x", hashes([f"w{i % 50}" for i in range(5000)]))], 10, 5)
+    start = time.process_time()
+    spans, items = block.hits(hashes(["a"] * 20_000 + [f"w{i % 50}" for i in range(20_000)]))
+    assert time.process_time() - start < 1
+    assert spans.tolist() == [[0, 40_000]] and items == set(range(21))
+
+
+def test_items_are_winnowed_and_every_shared_window_is_met():
+    r, hashes = random.Random(7), WordHashes()
+    text = lambda n: [f"u{r.randrange(3000)}" for _ in range(n)]
+    items = [text(200) for _ in range(30)]
+    block = Block([(str(i), hashes(w)) for i, w in enumerate(items)], 10, 5)
+    assert len(block.prints) < 0.5 * 30 * 196
+    for k in range(300):
+        i, at = r.randrange(30), r.randrange(190)
+        n = r.randint(10, min(200 - at, 40))
+        spans, found = block.hits(hashes(text(r.randint(0, 30)) + items[i][at : at + n] + text(r.randint(0, 30))))
+        assert i in found and spans[:, 1].max() - spans[:, 0].min() >= n
+
+
+def test_long_items_and_clashing_names(spark):
+    words = [f"k{i}" for i in range(400)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[5:14]))], "item_id long, text string")
+    rows = [(i, " ".join(words[i : i + 10]), "x", 7) for i in range(0, 391, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, hit_items string, n_hit long")
+    got = contaminated_spans(docs, items, block_words=37).collect()
+    assert all(r.n_hit == 10 and "1" in r.hit_items for r in got)
+    assert [r.doc_id for r in got if "2" in r.hit_items] == []
+    assert contaminated_spans(spark.createDataFrame([(1, " ".join(words[4:15]))], "doc_id long, text string"), items, block_words=37).first().hit_items == ["1", "2"]
