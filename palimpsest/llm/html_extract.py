@@ -10,8 +10,11 @@ contract names, ``TRAIN_PAGES`` of them (a documented bound, the same at every s
 Text.  Tags inside a block are dropped, ``<br>`` is white space, white space becomes one space,
 character references are decoded, blocks are joined by one line end.
 
-Defined results: null or text-free html gives the empty text; broken markup is read as far as it
-goes (an unclosed raw element ends with the page); repeated pages are extracted row by row; other
+Markup is read by the HTML rules for tags and attributes, broken or not, in time linear in the page.
+
+Defined results: null or text-free html gives the empty text; a quote without its other half is part
+of an unquoted value; an unclosed script or style and a tag without its end take the rest of the
+page, other unclosed elements nothing; repeated pages are extracted row by row; other
 columns are never read.  The work is one Arrow pass without a shuffle.
 """
 
@@ -31,14 +34,18 @@ from palimpsest.llm.common import table
 
 TRAIN_PAGES, TRAIN_ROUNDS = 240, 45
 
-#: Elements whose text is never the page's; their names end where the name in the tag does.
-_RAW = "script|style|noscript|template|textarea|title|iframe"
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?:script|style|title)\s*/>|<(?P<raw>{_RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-    re.S | re.I,
+#: Elements whose text is never the page's.
+_RAW = frozenset("script style noscript template textarea title iframe".split())
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in _RAW}
+#: A whole well-formed tag; no part of it gives anything back, so it is read once.
+_TAG = re.compile(
+    r"""<(/?+)([a-zA-Z][^\s/>]*+)((?:\s++[^\s"'<>/=]++(?:\s*+=\s*+(?:"[^"<>]*+"|'[^'<>]*+'|[^\s"'=<>`]++))?+)*+)\s*+(/?+)>"""
 )
-_ATTR = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+_TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+#: An attribute by the rules for broken markup: a quote without its other half belongs to an unquoted value.
+_ATTRIBUTE = re.compile(r"""[\s/]*+([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+""")
+_REST = re.compile(r"[\s/]*+")
+_NAMING = frozenset(["class", "id", "role", "itemprop"])
 _NAME = re.compile(r"[a-z]+")
 
 #: Elements that are nodes; all other elements are part of the text around them.
@@ -46,7 +53,6 @@ _BLOCKS = frozenset(
     "html body main article section div header footer nav aside form fieldset p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
     "blockquote pre figure figcaption address details summary center menu dialog hgroup caption legend label button select datalist optgroup option".split()
 )
-_VOID = frozenset("br hr img input meta link area base col embed param source track wbr".split())
 #: An opening tag of the first kind closes open ones of the second kind, up to the third.
 _CLOSES = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
@@ -74,6 +80,79 @@ _LEXICON = {
 _KIND = {w: k for k, words in _LEXICON.items() for w in words}
 _KIND_AT = {k: f"name:{k}" for k in _LEXICON}
 _TAG_FEATURE = {t: f"tag:{t}" for t in _BLOCKS}
+#: Elements that are known to hold an article, unless they are named otherwise.
+_HOLDER = frozenset(["tag:article", "tag:main", "name:content"])
+_NOT_HOLDER = frozenset(_KIND_AT.values()) - _HOLDER
+
+
+def naming(attributes: str) -> str:
+    """The values of the attributes that name a kind of element, joined by spaces."""
+    found = []
+    for m in _ATTRIBUTE.finditer(attributes):
+        if m[1].lower() in _NAMING:
+            found.append((m[2] or m[3] or m[4] or "").lower())
+    return " ".join(found)
+
+
+def tokens(source: str) -> Iterator[tuple[str, str, str, bool]]:
+    """(kind, text or name, attributes, ends itself) of a page's pieces; kinds are text, open and close.
+
+    Comments, declarations and raw elements are passed over.  Each character is read a fixed number
+    of times, however broken the markup is: what has no end is looked for once.
+    """
+    at, n = 0, len(source)
+    unended: set[str] = set()  # raw elements that no later closing tag ends
+    while at < n:
+        here = source.find("<", at)
+        if here < 0:
+            yield "text", source[at:], "", False
+            return
+        m = _TAG.match(source, here)
+        if m:
+            closes, name, attributes, ends, to = m[1], m[2].lower(), m[3], bool(m[4]), m.end()
+        else:
+            mark = source[here + 1 : here + 2]
+            if mark == "!" or mark == "?" or (mark == "/" and not _TAG_NAME.match(source, here + 2) and here + 2 < n):
+                if here > at:
+                    yield "text", source[at:here], "", False
+                if source.startswith("<!--", here):
+                    end = source.find("-->", here + 2)
+                    at = n if end < 0 else end + 3
+                else:
+                    end = source.find(">", here)
+                    at = n if end < 0 else end + 1
+                continue
+            closes = "/" if mark == "/" else ""
+            m = _TAG_NAME.match(source, here + 1 + len(closes))
+            if not m:
+                yield "text", source[at : here + 1], "", False
+                at = here + 1
+                continue
+            name, to = m[0].lower(), m.end()
+            while (a := _ATTRIBUTE.match(source, to)) is not None:
+                to = a.end()
+            attributes = source[m.end() : to]
+            to = _REST.match(source, to).end()
+            ends = source[to - 1 : to] == "/"
+            to += 1  # the ">", or beyond the page's end: then the tag has none and is dropped
+        if here > at:
+            yield "text", source[at:here], "", False
+        at = to
+        if to > n:
+            return
+        if closes:
+            yield "close", name, "", False
+            continue
+        if name in _RAW and not ends and name not in unended:
+            end = _RAW_END[name].search(source, to)
+            if end:
+                at = source.find(">", end.end())
+                at = n if at < 0 else at + 1
+                continue
+            unended.add(name)
+            if name in ("script", "style"):
+                return
+        yield "open", name, attributes, ends
 
 
 class Page:
@@ -84,10 +163,10 @@ class Page:
     def __init__(self, source: str) -> None:
         self.parent, self.features, self.text, self.inside = [-1], [["tag:root"]], [None], [None]
         stack: list[tuple[str, int]] = [("root", 0)]
+        places: dict[str, list[int]] = {t: [] for t in _BLOCKS}  # of open elements in the stack, so that none is searched for
         pieces: list[str] = []
         linked = 0  # characters inside links
         links = 0  # open <a>
-        at = 0
 
         def flush() -> None:
             nonlocal linked
@@ -98,62 +177,58 @@ class Page:
                 pieces.clear()
                 linked = 0
 
-        for m in _TOKEN.finditer(source):
-            if m.start() > at:
-                piece = source[at : m.start()]
-                if "&" in piece:
-                    piece = entities.unescape(piece)
+        def cut(k: int) -> None:
+            for tag, _ in stack[k:]:
+                places[tag].pop()
+            del stack[k:]
+
+        for kind, tag, attributes, ends in tokens(source):
+            if kind == "text":
+                piece = entities.unescape(tag) if "&" in tag else tag
                 pieces.append(piece)
                 if links:
                     linked += len(piece)
-            at = m.end()
-            tag = m["tag"]
-            if tag is None:
                 continue
-            tag = tag.lower()
             if tag not in _BLOCKS:
                 if tag == "br":
                     pieces.append("\n")
                 elif tag == "hr":
                     flush()
                 elif tag == "a":
-                    links = max(0, links - 1) if m["close"] else links + 1
+                    links = max(0, links - 1) if kind == "close" else links + 1
                 continue
             flush()
-            if m["close"]:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        break
+            if kind == "close":
+                if places[tag]:
+                    cut(places[tag][-1])
                 links = 0 if len(stack) == 1 else links
                 continue
             if stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") and tag not in _P_STAYS:
-                stack.pop()
+                cut(len(stack) - 1)
                 links = 0
-            ends, stop = _CLOSES.get(tag, (None, None))
-            if ends:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in stop:
-                        break
-                    if stack[k][0] in ends:
-                        del stack[k:]
-                        break
+            if tag in _CLOSES:
+                inner, outer = (max((places[t][-1] for t in names if places[t]), default=0) for names in _CLOSES[tag])
+                if inner > outer:
+                    cut(inner)
             own = [_TAG_FEATURE[tag]]
-            attrs = m["attrs"]
-            if attrs:
-                for value in _ATTR.findall(attrs):
-                    for w in _NAME.findall(value.lower()):
-                        if w in _KIND:
-                            own.append(_KIND_AT[_KIND[w]])
+            if attributes:
+                own += [_KIND_AT[_KIND[w]] for w in _NAME.findall(naming(attributes)) if w in _KIND]
             self.parent.append(stack[-1][1])
             self.features.append(own)
             self.text.append(None)
-            self.inside.append(attrs)
-            if tag not in _VOID and not attrs.endswith("/"):
+            self.inside.append(attributes)
+            if not ends:
+                places[tag].append(len(stack))
                 stack.append((tag, len(self.parent) - 1))
-        if at < len(source):
-            pieces.append(entities.unescape(source[at:]))
         flush()
+        # where an element is known to hold the article, nodes tell whether they lie outside of all such elements
+        holds = [any(f in _HOLDER for f in fs) and not any(f in _NOT_HOLDER for f in fs) for fs in self.features]
+        held = any(holds)
+        for v, (p, fs, text) in enumerate(zip(self.parent, self.features, self.text)):
+            if v and holds[p]:
+                holds[v] = True
+            if not holds[v]:
+                fs.append(("outside" if held else "bare") + (":leaf" if text is not None else ""))
 
     def _leaf(self, holder: tuple[str, int], text: str, linked: int) -> None:
         n = len(text)
@@ -260,7 +335,7 @@ def labelled_pages(n: int, seed: int = 5) -> list[tuple[Page, list[int]]]:
     def links(k: int) -> str:
         return "<ul>" + "".join(f'<li><a href="/{i}">{words(1, 3)}</a></li>' for i in range(k)) + "</ul>"
 
-    apart_ = random.Random(seed + 1)  # controls are drawn apart, so that all else stays as it is
+    apart_ = random.Random(seed + 1)  # for controls and the shape of the page
 
     def controls(often: float) -> str:
         """A list to choose from or a button, judged as what is around it."""
@@ -338,12 +413,22 @@ def labelled_pages(n: int, seed: int = 5) -> list[tuple[Page, list[int]]]:
         body = f"<body{mark}>" if bare else "<body>"
         apart = [re.sub(r"^<\w+", r'\g<0> data-label="0"', around(k)) for k in before], [re.sub(r"^<\w+", r'\g<0> data-label="0"', around(k)) for k in after]
         loose = bare and r.random() < 0.5  # not even a body
+        if not bare and apart_.random() < 0.4:  # text beside the article that names nothing
+            beside = f'<{(tag := apart_.choice(["div", "section", "p"]))} data-label="0">{sentences(1, 2)}</{tag}>'
+            main = apart_.choice([main + beside, beside + main])
+        if apart_.random() < 0.2:  # a page of a few paragraphs and no more
+            begin, end = apart_.choice([("<p>", "</p>"), ("<p>", ""), ("<div>", "</div>"), ("", "<hr>")])
+            main = "".join(f"{begin}{sentences(1, 3)}{end}" for _ in range(apart_.randint(1, 3)))
+            bare, apart, body = True, ([], []), f"<body{mark}>"
+            loose = apart_.random() < 0.5
         whole = "".join(apart[0]) + main + "".join(apart[1])
+        for _ in range(apart_.choice([0, 0, 1, 2])):  # elements that hold all of the page and name nothing
+            whole = f"<div>{whole}</div>"
         page = Page(whole if loose else "<html>" + body + whole + r.choice(["</body></html>", ""]))
         labels: list[int] = []
         for v, p in enumerate(page.parent):
             told = page.inside[v] or ""
-            labels.append(1 if 'data-label="1"' in told else 0 if 'data-label="0"' in told else int(loose) if v == 0 else labels[p])
+            labels.append(1 if 'data-label="1"' in told else 0 if 'data-label="0"' in told else int(bare) if v == 0 else labels[p])
         out.append((page, labels))
     return out
 
