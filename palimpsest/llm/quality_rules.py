@@ -2,7 +2,8 @@
 
 Every line with a word is judged on its own (punctuation, navigation, boilerplate, symbols);
 failing lines are removed, and a document that loses too much of its text, or whose counts
-fail the base rules, is rejected.
+fail the base rules, is rejected.  Navigation marks and boilerplate phrases count by their share of
+the line's words, so a long paragraph isn't lost to one of them.
 
 Defined results: null text counts as empty (no words, all counts 0, rejected, clean_text "");
 rows are judged one by one, so repeated rows and null ids pass through; extra columns are kept
@@ -14,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,27 +25,29 @@ from pyspark.sql import types as T
 
 from palimpsest.llm.common import sliced, table
 
-#: Phrases that mark a line as boilerplate (compared after lower-casing).
-BOILERPLATE = (
-    "all rights reserved",
-    "privacy policy",
-    "terms of use",
-    "terms of service",
-    "cookie policy",
-    "accept cookies",
-    "uses cookies",
-    "enable javascript",
-    "javascript is disabled",
-    "skip to content",
-    "click here",
-    "read more",
-    "sign up",
-    "log in",
-    "lorem ipsum",
-)
-#: A line may end in one of these, perhaps with a word right after it (a signature, an address).
-TERMINAL = ".!?…:;\"'”’»)]"
-NAVIGATION = "|»›•·"
+#: Phrases of boilerplate by language (compared after lower-casing, at word bounds).
+BOILERPLATE = {
+    "en": (
+        "all rights reserved", "privacy policy", "terms of use", "terms of service", "cookie policy", "accept cookies", "uses cookies",
+        "enable javascript", "javascript is disabled", "skip to content", "click here", "read more", "sign up", "log in", "lorem ipsum",
+    ),
+    "de": (
+        "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "allgemeine geschäftsbedingungen", "cookies akzeptieren",
+        "verwendet cookies", "javascript aktivieren", "zum inhalt springen", "hier klicken", "mehr lesen", "weiterlesen", "jetzt registrieren", "impressum",
+    ),
+    "fr": (
+        "tous droits réservés", "politique de confidentialité", "conditions d'utilisation", "conditions générales", "accepter les cookies",
+        "utilise des cookies", "activer javascript", "aller au contenu", "cliquez ici", "lire la suite", "s'inscrire", "se connecter", "mentions légales",
+    ),
+    "es": (
+        "todos los derechos reservados", "política de privacidad", "términos de uso", "condiciones de uso", "aceptar cookies", "utiliza cookies",
+        "activar javascript", "saltar al contenido", "haga clic aquí", "haz clic aquí", "leer más", "seguir leyendo", "iniciar sesión", "aviso legal",
+    ),
+}
+#: A line ends in one of these, at its last word or the one before (a signature or an address may follow).
+TERMINAL = ".!?…:;\"'”’“»«)]。！？；：．｡؟।။።"
+#: Marks between entries of a menu: the first anywhere, the others where they stand alone; » not as the end of a quotation.
+BAR, ALONE = "|", "›•·"
 ODD = "!?#*$%&|<>"
 
 
@@ -54,27 +58,37 @@ class LineRules:
     min_words: int = 50
     max_repeat_percent: int = 50
     nav_marks: int = 2
+    #: Marks, and words of boilerplate phrases, by the words of their line from which on the line fails.
+    nav_percent: int = 20
+    boilerplate_percent: int = 20
     max_odd_percent: int = 15
     max_lost_percent: int = 50
+    phrases: tuple[str, ...] = tuple(p for own in BOILERPLATE.values() for p in own)
 
 
 _WORDS = re.compile(r"[^ \t-\r]+")
 _ODD = re.compile("[" + re.escape(ODD) + "]")
-_NAV = re.compile("[" + re.escape(NAVIGATION) + "]")
 _SYMBOL = re.compile(r"[#*$%&|<>]")
 
 
+@lru_cache(maxsize=1000)
+def _at_bounds(phrase: str) -> re.Pattern:
+    return re.compile(rf"(?<![^\W_]){re.escape(phrase)}(?![^\W_])")
+
+
 def line_fails(line: str, words: list[str], rules: LineRules) -> bool:
     """The verdict on one line that has a word."""
-    chars = sum(map(len, words))
-    if len(_NAV.findall(line)) >= rules.nav_marks:
+    if 100 * len(_ODD.findall(line)) > rules.max_odd_percent * sum(map(len, words)):
         return True
-    if 100 * len(_ODD.findall(line)) > rules.max_odd_percent * chars:
+    if not any(w[-1] in TERMINAL for w in words[-2:]):
         return True
-    if not any(w[-1] in TERMINAL for w in words):
+    marks = line.count(BAR) + max(0, words.count("»") - words.count("«"))
+    marks += sum(w in ALONE for w in words if len(w) == 1)
+    if marks >= rules.nav_marks and 100 * marks >= rules.nav_percent * len(words):
         return True
     low = line.lower()
-    return any(p in low for p in BOILERPLATE)
+    told = sum(len(p.split()) for p in rules.phrases if p in low and _at_bounds(p).search(low))
+    return told > 0 and 100 * told >= rules.boilerplate_percent * len(words)
 
 
 def repeated_window_words(words: list[str]) -> int:
@@ -180,26 +194,31 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("clean_text").alias("text"), "lang", "source", F.length("clean_text").cast("long").alias("n_chars"))
 
 
-def _sql_chars(text: str) -> str:
-    return text.replace("'", "''")
-
-
 def oracle_sql(rules: LineRules = LineRules()) -> str:
     """The same counts and verdicts in DuckDB SQL."""
-    boiler = " OR ".join(f"contains(lower(line), '{p}')" for p in BOILERPLATE)
-    ends = _sql_chars("".join("\\" + c if c in ")].?" else c for c in TERMINAL))
+    quote = lambda x: x.replace("'", "''")
+    edge = r"[^\p{L}\p{N}]"
+    told = " + ".join(
+        f"CASE WHEN contains(low, '{quote(p)}') AND regexp_matches(low, '(^|{edge}){quote(p)}($|{edge})') THEN {len(p.split())} ELSE 0 END" for p in rules.phrases
+    )
+    ends = quote("".join("\\" + c if c in ")].?" else c for c in TERMINAL))
     odd = "".join("\\" + c if c in "?*$|" else c for c in ODD)
+    alone = ", ".join(f"'{c}'" for c in ALONE)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '{WORD_SQL}') AS ws,
              list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD_SQL}')) AS ls FROM d),
 lines AS (SELECT rid, unnest(ls) AS line FROM w),
+told AS (SELECT rid, line, lw, {told} AS told,
+    length(line) - length(replace(line, '{BAR}', '')) + len(list_filter(lw, lambda x: x IN ({alone})))
+        + greatest(0, len(list_filter(lw, lambda x: x = '»')) - len(list_filter(lw, lambda x: x = '«'))) AS marks
+    FROM (SELECT rid, line, lower(line) AS low, regexp_extract_all(line, '{WORD_SQL}') AS lw FROM lines)),
 judged AS (SELECT rid, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars,
-    length(line) - length(regexp_replace(line, '[{NAVIGATION}]', '', 'g')) >= {rules.nav_marks}
+    marks >= {rules.nav_marks} AND 100 * marks >= {rules.nav_percent} * len(lw)
     OR 100 * (length(line) - length(regexp_replace(line, '[{odd}]', '', 'g')))
        > {rules.max_odd_percent} * length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))
-    OR NOT regexp_matches(line, '[{ends}]([\x20\x09-\x0D]|$)')
-    OR {boiler} AS fails FROM lines),
+    OR NOT regexp_matches(line, '[{ends}]([\x20\x09-\x0D]+[^\x20\x09-\x0D]+)?[\x20\x09-\x0D]*$')
+    OR told > 0 AND 100 * told >= {rules.boilerplate_percent} * len(lw) AS fails FROM told),
 lost AS (SELECT rid, sum(CASE WHEN fails THEN chars ELSE 0 END) AS lost_chars FROM judged GROUP BY rid),
 pos AS (SELECT rid, ws, unnest(range(1, greatest(len(ws) - 1, 1))) AS i FROM w WHERE len(ws) >= 3),
 win AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, ws[i], ws[i + 1], ws[i + 2]) AS n FROM pos),

@@ -1,6 +1,6 @@
 """Operator 8: base counts against a plain version; line rules; odd rows."""
 
-from palimpsest.llm.quality_rules import LineRules, judge, line_quality, query, stage
+from palimpsest.llm.quality_rules import LineRules, judge, line_fails, line_quality, query, stage
 from tests.llm.conftest import WORD
 
 
@@ -34,6 +34,27 @@ def test_line_rules():
     assert not judge(f"{body}\n{many}", LineRules())[6]
 
 
+def fails(line):
+    return line_fails(line, WORD.findall(line), LineRules())
+
+
+def test_lines_of_clean_text_stay():
+    rest = " ".join("words that go on for a while and say something plain".split() * 4)
+    for line in (
+        f"« Oui », dit-il, « et non », {rest}.", "Il répond « non » puis « oui » .", f"El l·l de col·legi, i {rest}.", "The catalog in the blog in question is a dialog in itself.",
+        f"To read more about the privacy policy of this state, {rest}.", "他说这是一个句子。", "هل هذا سؤال؟", "Sie sagte: „So ist es.“", "It ends well. anna", "• One item of a list ends here.",
+    ):
+        assert not fails(line), line
+
+
+def test_lines_of_junk_fail():
+    for line in (
+        "Home: News Sport Weather", "Home | News | Sport.", "Home|News|About.", "Start » Rezepte » Brot.", "Start › Recipes › Bread.", "Alle Rechte vorbehalten.", "© 2020 Example. All rights reserved.",
+        "Lire la suite...", "Haga clic aquí.", "Click here to read more.", "no end at all", "e.g. this line has a mark early and goes on", "$$$ win! win! win!",
+    ):
+        assert fails(line), line
+
+
 def test_repeats_overlap():
     text = "a b c a b c d e f"
     assert judge(text, LineRules())[4] == plain(text)[4] == 6
