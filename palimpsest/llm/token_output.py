@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -57,6 +58,9 @@ _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: Behind a letter (of the first 592 characters) and at its piece's end, a mark is a piece of its own.
 _MARKS = [".", ",", ";", ":", "!", "?"]
 _MARKED = "[A-Za-z\\x{aa}\\x{b5}\\x{ba}\\x{c0}-\\x{d6}\\x{d8}-\\x{f6}\\x{f8}-\\x{24f}][.,;:!?]$"
+#: Pieces that can be encoded in one text: a space and letters.
+_SPACED = re.compile(" [^\\W\\d_]+")
+_JOINED = 100
 #: Pieces given to the tokenizer in one call; each is some 500 bytes of its results.
 _CALL = 20_000
 
@@ -108,9 +112,13 @@ class Encoder:
             not told.get("normalizer") and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
             and model["type"] == "BPE" and not model.get("dropout") and not model.get("ignore_merges")
         )
+        self.spaced = np.zeros(self.n_ids, bool)
+        for token, at in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            self.spaced[at] = token.startswith("\u0120")  # how a byte-level vocabulary writes a space
         self._renew()
         self.before = ({}, *self._ranges)
-        self._learn(_MARKS)
+        if self.cuts:
+            self._learn(_MARKS)
 
     def _renew(self) -> None:
         self.known: dict[str, int] = {}  # place among the ranges
@@ -133,11 +141,24 @@ class Encoder:
             at = np.fromiter(map(before.__getitem__, old), np.int64, len(old))
             self._add(old, size[at], joined(pool, start[at], size[at]))
         fresh = [p for p in new if p not in before]
-        for k in range(0, len(fresh), _CALL):
-            some = fresh[k : k + _CALL]
+        spaced = [p for p in fresh if p[:1] == " " and _SPACED.fullmatch(p)]
+        for k in range(0, len(spaced), _CALL):
+            self._add_spaced(spaced[k : k + _CALL])
+        rest = [p for p in fresh if p not in self.known]
+        for k in range(0, len(rest), _CALL):
+            some = rest[k : k + _CALL]
             got = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
             self._add(some, np.array(list(map(len, got)), np.int64), np.array(list(chain.from_iterable(got)), np.uint32))
 
+    def _add_spaced(self, some: list[str]) -> None:
+        """Encodes pieces of a space and letters in one text after another of many: each piece's ids begin at an id with a space."""
+        texts = ["".join(some[k : k + _JOINED]) for k in range(0, len(some), _JOINED)]
+        ids = np.concatenate([np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts])
+        begin = np.flatnonzero(self.spaced[ids])
+        if len(begin) != len(some):
+            raise ValueError("the tokenizer doesn't split at spaces")
+        self._add(some, np.diff(np.append(begin, len(ids))), ids)
+
     def _cut(self, texts: pa.Array) -> list[np.ndarray]:
         if len(self.known) > MEMO_PIECES:
             self.before = (self.known, *self._ranges)
@@ -244,11 +265,12 @@ def by_bytes(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, i
         at = to
 
 
-def encode_documents(docs: DataFrame, *, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """(part, seq, n_docs, n_tokens, payload): records of ``docs`` (doc_id, text) in ascending doc_id order."""
+def encode_documents(docs: DataFrame, *, vocabulary: str | None = None, end_id: int = END_ID, order: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(part, seq, n_docs, n_tokens, payload): records of ``docs`` (doc_id, text) in ascending order of the columns ``order``."""
     path = vocabulary or tokenizer_path()
-    rows = docs.select("doc_id", "text")
-    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    rows = docs.select("doc_id", "text", *(c for c in order if c != "doc_id"))
+    keys = [F.col(c).asc_nulls_first() for c in order]
+    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys, F.xxhash64("text")).select("doc_id", "text")
     end = np.array([end_id], np.uint32)
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("payload", pa.binary())])
 
@@ -321,9 +343,17 @@ def token_index(records: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(spark, table(spark, sf_dir, "documents"), sf_dir)
+    return token_index(materialize(encode_documents(table(spark, sf_dir, "documents")), "tokens"))
+
+
+def in_place(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with (file, row): where each row is in the files it was read from, or else in the partitions."""
+    try:
+        return docs.select("doc_id", "text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    except AnalysisException:  # not read from Parquet files
+        return docs.select("doc_id", "text", F.lit("").alias("file"), F.monotonically_increasing_id().alias("row"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage (and the query): write the documents' ids, read them back, and index them."""
-    return token_index(materialize(encode_documents(docs), "tokens"))
+    """Pipeline stage: the ids of all rows in the order of ``docs`` (the mix's), written, read back and indexed."""
+    return token_index(materialize(encode_documents(in_place(docs), order=("file", "row")), "tokens"))
