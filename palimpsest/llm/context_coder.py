@@ -22,9 +22,9 @@ import zlib
 import numpy as np
 
 STEPS = 128
-LANES = 2048
+LANES = 8192
 BLOCK_IDS = STEPS * LANES
-_GAIN = 32  # weight of an occurrence against the 1 that every id has
+_GAIN = 16  # weight of an occurrence against the 1 that every id has
 _SURE = 7  # highest confidence
 _SLOTS = 1 << 16  # of the order-2 table
 _U = np.uint64
@@ -116,12 +116,12 @@ class _Model:
         inside = value >= begin
         inside &= ~beyond
         # without the extra weights of smaller ids the counts are left; sorted values are found faster,
-        # and the lane (fewer than 2**12) goes along
+        # and the lane (of 2**16 at most) goes along
         keyed = (value - wa * beyond[0] - wb * beyond[1]).astype(np.int64)
-        keyed <<= 12
+        keyed <<= 16
         keyed |= self.lanes
         keyed.sort()
-        x[keyed & 4095] = np.searchsorted(self.cum, (keyed >> 12).astype(np.int32), side="right") - 1
+        x[keyed & 0xFFFF] = np.searchsorted(self.cum, (keyed >> 16).astype(np.int32), side="right") - 1
         np.copyto(x, b, where=inside[1])
         np.copyto(x, a, where=inside[0])
 

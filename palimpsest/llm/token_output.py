@@ -38,7 +38,7 @@ from palimpsest.llm.context_coder import BLOCK_IDS, decode_block, encode_block
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 #: A worker remembers the last so many pieces, and those of them it met again.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 600_000
 #: Bytes of text whose pieces are held at a time (one text may be longer).
 SLICE_BYTES = 5_000_000
 _MAGIC = b"PALTOK2\0"
