@@ -43,6 +43,8 @@ _HREF = r"""(?is)\bhref\s*=\s*["']?([^"'>\s]+)"""
 _CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
 _REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
 _TARGET = r"""(?is)\burl\s*=\s*["']?([^"'>\s]+)"""
+#: Character references that links hold, the ampersand last.
+_REFERENCES = (("&#47;", "/"), ("&#x2F;", "/"), ("&#61;", "="), ("&#63;", "?"), ("&#38;", "&"), ("&amp;", "&"))
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<noscript\b.*?</noscript>"
 
 
@@ -83,31 +85,43 @@ def with_rule(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return out.withColumns({"rule": F.col("best.text"), "rule_verdict": F.col("best.verdict")}).drop("fit", "best")
 
 
+def without_dots(path: Column) -> Column:
+    """``.`` and ``..`` resolved; a path that ends in one ends in a slash."""
+    parts = F.split(path, "/")
+    start = F.array().cast("array<string>")
+
+    def step(done: Column, x: Column) -> Column:
+        up = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))
+        return F.when(x == "..", up).when(x == ".", done).otherwise(F.concat(done, F.array(x)))
+
+    resolved = F.array_join(F.aggregate(parts, start, step), "/")
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.concat(resolved, F.when(path.rlike(r"/\.\.?$"), "/").otherwise(""))).otherwise(path)
+
+
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """Distinct (src, dst) nodes from canonical links and meta refreshes in the heads."""
-    head = F.regexp_replace(F.substring_index("html", "<body", 1), _HIDDEN, " ")
+    """Distinct (src, dst) nodes from all canonical links and meta refreshes in the heads."""
+    at = F.instr(lower_ascii(F.col("html")), "<body")
+    head = F.regexp_replace(F.when(at > 0, F.substring("html", 1, at - 1)).otherwise(F.col("html")), _HIDDEN, " ")
     shown = pages.select("url", head.alias("head"))
-    tags = shown.select("url", F.regexp_extract("head", _CANONICAL, 0).alias("canonical"), F.regexp_extract("head", _REFRESH, 0).alias("refresh"))
-    links = tags.where("canonical <> '' or refresh <> ''").select(
-        "url", F.explode(F.array(F.regexp_extract("canonical", _HREF, 1), F.regexp_extract("refresh", _TARGET, 1))).alias("link")
-    )
-    found = links.where("link <> ''").select(
-        "url",
-        F.replace("link", F.lit("&amp;"), F.lit("&")).alias("link"),
-        F.substring_index("url", "://", 1).alias("scheme"),
-        host_of(F.col("url")).alias("host"),
-        path_of(F.col("url")).alias("path"),
-        node_of(F.col("url")).alias("src"),
+    tags = lambda tag, target: F.transform(F.regexp_extract_all("head", F.lit(tag), F.lit(0)), lambda x: F.regexp_extract(x, target, 1))
+    links = shown.select("url", F.explode(F.concat(tags(_CANONICAL, _HREF), tags(_REFRESH, _TARGET))).alias("link")).where("link <> ''")
+    link = F.col("link")
+    for name, mark in _REFERENCES:
+        link = F.replace(link, F.lit(name), F.lit(mark))
+    found = links.select(
+        "url", link.alias("link"), F.substring_index("url", "://", 1).alias("scheme"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), node_of(F.col("url")).alias("src")
     )
     base = F.concat("scheme", F.lit("://"), "host")
     folder = F.regexp_extract("path", r"^(.*/)?", 0)
+    in_path = F.regexp_extract("link", r"(?s)^([^?#]*)", 1)
+    rest = F.substr("link", F.length(in_path) + 1)
     full = (
         F.when(F.instr("link", "://") > 0, F.col("link"))
         .when(F.col("link").startswith("//"), F.concat("scheme", F.lit(":"), "link"))
-        .when(F.col("link").startswith("/"), F.concat(base, "link"))
+        .when(F.col("link").startswith("/"), F.concat(base, without_dots(in_path), rest))
         .when(F.col("link").startswith("?"), F.concat(base, "path", "link"))
         .when(F.col("link").startswith("#"), F.col("url"))
-        .otherwise(F.concat(base, F.when(folder == "", F.lit("/")).otherwise(folder), "link"))
+        .otherwise(F.concat(base, without_dots(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), in_path)), rest))
     )
     return found.select("src", full.alias("target")).select("src", node_of(F.col("target")).alias("dst")).where("src <> dst").distinct()
 
@@ -129,7 +143,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, *, edges: DataFr
         decided = ruled.groupBy("component").agg(F.max(F.col("rule_verdict") == "allow").alias("allowed"), F.max(F.col("rule_verdict") == "block").alias("blocked"))
         method = F.when(F.col("blocked") & ~F.coalesce("allowed", F.lit(False)), "block").otherwise("allow")
         by_node = member.join(decided, "component").select("node", "component", method.alias("method"))
-        judged = judged.join(materialize(by_node, "decisions"), "node", "left")
+        # rows without a node have no decision to meet: they are dealt out evenly
+        dealt = F.coalesce("node", F.concat(F.lit("#"), F.rand(7).cast("string")))
+        judged = judged.withColumn("node", dealt).join(materialize(by_node, "decisions"), "node", "left")
     verdict = F.coalesce("rule_verdict", "method", F.lit("allow"))
     return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "component")
 
@@ -150,17 +166,26 @@ def oracle_sql(rules: Sequence[Rule] = RULES) -> str:
     ordered = sorted(rules, key=lambda r: (-len(r.text), r.text))
     case = lambda part: "CASE " + " ".join(f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{part(r)}'" for r in ordered) + " END"
     host, path, node = parts("coalesce(url, '')")
-    full = """CASE WHEN strpos(link, '://') > 0 THEN link WHEN starts_with(link, '//') THEN scheme || ':' || link
-        WHEN starts_with(link, '/') THEN scheme || '://' || host || link WHEN starts_with(link, '?') THEN scheme || '://' || host || path || link
-        WHEN starts_with(link, '#') THEN url
-        ELSE scheme || '://' || host || CASE WHEN regexp_extract(path, '^(.*/)?', 0) = '' THEN '/' ELSE regexp_extract(path, '^(.*/)?', 0) END || link END"""
+    folder = "CASE WHEN regexp_extract(path, '^(.*/)?', 0) = '' THEN '/' ELSE regexp_extract(path, '^(.*/)?', 0) END"
+    whole = f"CASE WHEN starts_with(link, '/') THEN inp ELSE {folder} || inp END"
+    dots = r"""CASE WHEN regexp_matches(whole, '(^|/)\.\.?(/|$)') THEN array_to_string(list_reduce(list_transform(string_split(whole, '/'), lambda s: [s]), lambda a, x:
+        CASE WHEN x[1] = '..' THEN a[1:greatest(len(a) - 1, 1)] WHEN x[1] = '.' THEN a ELSE list_concat(a, x) END), '/') || CASE WHEN regexp_matches(whole, '/\.\.?$') THEN '/' ELSE '' END ELSE whole END"""
+    full = f"""CASE WHEN strpos(link, '://') > 0 THEN link WHEN starts_with(link, '//') THEN scheme || ':' || link
+        WHEN starts_with(link, '?') THEN scheme || '://' || host || path || link WHEN starts_with(link, '#') THEN url
+        ELSE scheme || '://' || host || {dots} || substring(link, length(inp) + 1) END"""
+    decoded = "raw"
+    for name, mark in _REFERENCES:
+        decoded = f"replace({decoded}, '{name}', '{mark}')"
+    lower_html = "translate(html, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    head = f"CASE WHEN strpos({lower_html}, '<body') > 0 THEN substring(html, 1, strpos({lower_html}, '<body') - 1) ELSE html END"
     target, node_host, node_path = parts("dst_url")[2], parts("'x://' || node")[0], parts("'x://' || node")[1]
     return rf"""
 WITH RECURSIVE p AS (SELECT page_id, url, {host} AS host, {path} AS path, {node} AS node,
-    split_part(url, '://', 1) AS scheme, regexp_replace(split_part(html, '<body', 1), '{quote(_HIDDEN)}', ' ', 'g') AS head FROM pages),
-l AS (SELECT *, unnest([regexp_extract(regexp_extract(head, '{quote(_CANONICAL)}', 0), '{quote(_HREF)}', 1),
-    regexp_extract(regexp_extract(head, '{quote(_REFRESH)}', 0), '{quote(_TARGET)}', 1)]) AS raw FROM p),
-t AS (SELECT node AS src, {full} AS dst_url FROM (SELECT *, replace(raw, '&amp;', '&') AS link FROM l WHERE raw <> '')),
+    split_part(url, '://', 1) AS scheme, regexp_replace({head}, '{quote(_HIDDEN)}', ' ', 'g') AS head FROM pages),
+l AS (SELECT *, unnest(list_concat(list_transform(regexp_extract_all(head, '{quote(_CANONICAL)}'), lambda x: regexp_extract(x, '{quote(_HREF)}', 1)),
+    list_transform(regexp_extract_all(head, '{quote(_REFRESH)}'), lambda x: regexp_extract(x, '{quote(_TARGET)}', 1)))) AS raw FROM p),
+w AS (SELECT *, {whole} AS whole FROM (SELECT *, regexp_extract(link, '(?s)^([^?#]*)', 1) AS inp FROM (SELECT *, {decoded} AS link FROM l WHERE raw <> ''))),
+t AS (SELECT node AS src, {full} AS dst_url FROM w),
 e AS (SELECT DISTINCT src, {target} AS dst FROM t WHERE src <> {target}),
 both_ways AS (SELECT src AS a, dst AS b FROM e UNION SELECT dst, src FROM e),
 reach(node, other) AS (SELECT a, a FROM both_ways UNION SELECT r.node, b FROM reach r JOIN both_ways ON r.other = a),

@@ -1,6 +1,10 @@
 """Operator 3 against a plain version over redirects, and rules one by one."""
 
-from palimpsest.llm.url_filter import RULES, Rule, alias_edges, judge_urls, query, with_rule
+import random
+
+import duckdb
+
+from palimpsest.llm.url_filter import RULES, Rule, alias_edges, judge_urls, oracle_sql, query, with_rule
 
 PAGES = "page_id long, url string, html string"
 
@@ -50,6 +54,63 @@ def test_many_rules_join(spark):
     assert {r.host: r.rule for r in many} == {r.host: r.rule for r in few} | {"h7.example.se": "h7.example.se/p/"}
 
 
+def test_links_as_browsers_read_them(spark):
+    """Upper-case body, several links, references, dots: who is an alias of whom."""
+    body = lambda head, inside="": f"<HTML><HEAD>{head}</HEAD><BODY>{inside}</BODY></HTML>"
+    link = lambda to: f"<link rel=canonical href='{to}'>"
+    rows = [
+        (1, "http://a.com/x/y/1", body(link("../z/./2"))), (2, "http://b.com/1", body("", link("http://c.com/"))), (3, "http://d.com/1", body(link("http://e.com/") + link("http://f.com/"))),
+        (4, "http://g.com/1", body(link("/a&#47;b?x=1&amp;y=2"))), (5, "http://h.com/a/b/", body(link(".."))), (6, "http://i.com", body(link("../../k"))),
+    ]
+    got = {(r.src, r.dst) for r in alias_edges(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {
+        ("a.com/x/y/1", "a.com/x/z/2"), ("d.com/1", "e.com/"), ("d.com/1", "f.com/"), ("g.com/1", "g.com/a/b?x=1&y=2"), ("h.com/a/b/", "h.com/a/"), ("i.com", "i.com/k"),
+    }
+
+
+def linked_pages(n, seed):
+    """Dense links: a hub that a third of the pages name, chains, random links, rules on some."""
+    r = random.Random(seed)
+    urls = [f"http://s{r.randrange(40)}.{r.choice(['com', 'net', 'org', 'example.net', 'se'])}/{r.choice(['en', 'fr', 'x'])}/{i}" for i in range(n)]
+    rows = []
+    for i, u in enumerate(urls):
+        how = r.random()
+        to = urls[0] if how < 0.33 else urls[i - 1] if how < 0.5 else r.choice(urls) if how < 0.6 else f"/moved/{i}" if how < 0.7 else None
+        rows.append((i, u, page(r.choice("cr"), to) if to else page("", "")))
+    return rows + [(n + k, None, None) for k in range(n // 10)] + [(2 * n + k, urls[1], page("c", urls[2])) for k in range(n // 10)]
+
+
+def test_dense_links_against_union_find_and_sql(spark, tmp_path):
+    rows = linked_pages(1500, 3)
+    frame = spark.createDataFrame(rows, PAGES)
+    frame.write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.rule, r.verdict, r.component) for r in query(spark, str(tmp_path)).collect()}
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    found = db.execute(oracle_sql())
+    at = {c[0]: k for k, c in enumerate(found.description)}
+    assert got == {r[at["page_id"]]: (r[at["rule"]], r[at["verdict"]], r[at["component"]]) for r in found.fetchall()}
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for e in alias_edges(frame).collect():
+        a, b = sorted((root(e.src), root(e.dst)))
+        parent[b] = a
+    sizes = {}
+    for x in list(parent):
+        sizes.setdefault(root(x), []).append(x)
+    least = {root(x): min(xs) for x, xs in ((x, sizes[root(x)]) for x in list(parent))}
+    for i, u, _ in rows:
+        node = u and u.partition("://")[2]
+        assert got[i][2] == (least[root(node)] if node in parent else None)
+    assert max(map(len, sizes.values())) > 500 and len(sizes) > 20
+
+
 def test_native_and_odd_rows(spark, sf_dir):
     from palimpsest.llm.common import table
 
