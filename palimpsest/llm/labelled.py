@@ -14,12 +14,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int, columns: list[str]) -> list:
     """Rows (columns..., label) of at most ``per_class`` documents of each class outside the fold.
 
-    The choice is by a hash of the id, so it is the same for every layout of the tables; documents
-    with two different labels are left out.
+    The choice is by a hash of the id, and of rows that share an id by one of their columns, so it is
+    the same for every layout of the tables; documents with two different labels are left out.
     """
     known = labels.where(F.col(label).isin(0, 1) & ~held_out()).groupBy("doc_id").agg(F.min(label).alias("_y"), F.max(label).alias("_y2"))
     known = known.where("_y = _y2").select(F.col("doc_id").alias("_id"), "_y")
     order = F.xxhash64("_id", F.lit("sample"))
     chosen = known.where("_y = 0").orderBy(order, "_id").limit(per_class).union(known.where("_y = 1").orderBy(order, "_id").limit(per_class))
     picked = docs.join(F.broadcast(chosen), docs.doc_id == chosen["_id"])  # at most 2 * per_class ids
-    return picked.dropDuplicates(["doc_id"]).select(*columns, F.col("_y").alias("label")).orderBy("label", F.xxhash64("doc_id")).collect()
+    one = picked.groupBy("doc_id").agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("_row"), F.first("_y").alias("label"))
+    return one.select("_row.*", "label").orderBy("label", F.xxhash64("doc_id")).collect()

@@ -1,15 +1,17 @@
 """Quality classifier (operator 10): co-training of a text view and a metadata view.
 
-The text view sees statistics of the whole text, the metadata view lang, source and n_chars.  Each is
-a logistic regression.  For ``ROUNDS`` rounds both are fitted, each names the unlabelled documents it
-is surest of, and those go with its labels into the other's training rows.  Labelled rows kept back
-from all rounds then calibrate both views and fit the weights that combine them; every document is
-scored by the combination.
+The text view reads words: the presence of hashed words, and of twelve statistics of the whole text
+cut into steps, gives log-odds (naive Bayes), and a logistic regression weighs those and the
+statistics.  The metadata view is a logistic regression of lang, source and the size's step.  For
+``ROUNDS`` rounds both are fitted, each names the unlabelled documents it is surest of, and those go
+with its labels into the other's counts.  Labelled rows kept back from all rounds then calibrate both
+views and fit the weights that combine them; every document is scored by the combination.
 
 The fit uses at most ``PER_CLASS`` labelled documents of each class outside the held-out fold (a
 documented bound, chosen by hash) and every unlabelled one outside the fold: one pass writes the
-features of all documents to the shared folder, each round scores all of them there, and only the
-features of those it names, a share of all (``SHARE``), come to the driver.  Whole texts are read.
+features of all documents to the shared folder, and each round scores all of them there and counts
+what it names.  Only counts come to the driver: by step of the margin, by word slot and label, or by
+metadata cell and label, all of fixed number.  Whole texts are read.
 
 Defined results: null text counts as empty, null lang and source as values of their own, null
 n_chars as 0; repeated rows are scored row by row; without labels of both classes every score is
@@ -18,6 +20,7 @@ the share of label 1 (1 if there are no labels, so nothing is rejected).
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -26,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +44,8 @@ SURE, STEPS = 2.0, 100
 #: Rows whose features are spread out at a time.
 BLOCK = 20_000
 META_SLOTS = 64
+#: Hashed words; then the steps of the statistics.
+WORD_SLOTS, BINS = 1 << 14, 8
 
 _WORD = re.compile(r"[^ \t-\r]+")
 _SYMBOL = re.compile(r"[#*$%&|<>]")
@@ -74,9 +80,20 @@ def text_features(text: str | None) -> list[float]:
     ]
 
 
-def meta_values(lang: str | None, source: str | None, n_chars: int | None) -> list[float]:
-    """The slots of lang and source, and n_chars: what ``spread`` makes the metadata view's features from."""
-    return [*(float(zlib.crc32(f"{field}={value}".encode()) % META_SLOTS) for field, value in (("lang", lang), ("source", source))), float(n_chars or 0)]
+def word_slots(text: str | None, stats: list[float]) -> np.ndarray:
+    """The distinct slots of a text's lower-cased words, and those of its statistics, in order."""
+    words = {w.strip(".,;:!?()\"'") for w in (text or "").lower().split()}
+    own = {xxhash.xxh32_intdigest(w) % WORD_SLOTS for w in words}
+    return np.array(sorted(own) + [WORD_SLOTS + BINS * k + min(int(v * BINS), BINS - 1) for k, v in enumerate(stats)], np.int32)
+
+
+N_SLOTS = WORD_SLOTS + BINS * TEXT_FEATURES
+
+
+def meta_values(lang: str | None, source: str | None, n_chars: int | None) -> list[int]:
+    """The cell of a document's metadata: slots of lang and source, and the step of its size."""
+    size = round(4 * math.log1p(max(n_chars or 0, 0)))
+    return [*(zlib.crc32(f"{field}={value}".encode()) % META_SLOTS for field, value in (("lang", lang), ("source", source))), size]
 
 
 def spread(values: np.ndarray) -> np.ndarray:
@@ -84,11 +101,49 @@ def spread(values: np.ndarray) -> np.ndarray:
     x = np.zeros((len(values), META_SLOTS + 4))
     for k in (0, 1):
         np.add.at(x, (np.arange(len(values)), values[:, k].astype(np.int64)), 1)
-    size = np.log1p(np.maximum(values[:, 2], 0))
-    x[:, META_SLOTS:] = np.column_stack([size / 10, (size / 10) ** 2, size < 6, values[:, 2] == 0])
+    size = values[:, 2] / 4
+    x[:, META_SLOTS:] = np.column_stack([size / 10, (size / 10) ** 2, size < 6, size == 0])
     return x
 
 
+@dataclass
+class Rows:
+    """Features of some rows: statistics, word slots one behind the other with each row's count, metadata cells."""
+
+    x: np.ndarray
+    slots: np.ndarray
+    sizes: np.ndarray
+    m: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.x)
+
+    def some(self, where: np.ndarray) -> Rows:
+        return Rows(self.x[where], self.slots[np.repeat(where, self.sizes)], self.sizes[where], self.m[where])
+
+    def means(self, odds: np.ndarray) -> np.ndarray:
+        """The mean log-odds of each row's words and of its statistics' steps."""
+        owner = np.repeat(np.arange(len(self)), self.sizes)
+        own, word = odds[self.slots], self.slots < WORD_SLOTS
+        out = np.zeros((len(self), 2))
+        for k, kind in enumerate((word, ~word)):
+            n = np.bincount(owner[kind], minlength=len(self))
+            out[:, k] = np.bincount(owner[kind], own[kind], minlength=len(self)) / np.maximum(n, 1)
+        return out
+
+
+def unpacked(batch: pa.RecordBatch) -> tuple[Rows, np.ndarray]:
+    x, m = (batch.column(c).flatten().to_numpy().reshape(-1, k) for c, k in (("x", TEXT_FEATURES), ("m", 3)))
+    w = batch.column("w")
+    return Rows(x, w.flatten().to_numpy(), w.value_lengths().to_numpy().astype(np.int64), m), batch.column("h").to_numpy()
+
+
+def log_odds(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Of label 1 against 0 for a present slot; counts (2, slots) and totals (2) are weights of documents."""
+    share = (counts + 0.5) / (totals[:, None] + 1)
+    return np.log(share[1]) - np.log(share[0])
+
+
 def as_is(values: np.ndarray) -> np.ndarray:
     return values
 
@@ -119,39 +174,70 @@ def margin(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.clip(x @ w[:-1] + w[-1], -30, 30)
 
 
+@dataclass
+class TextView:
+    odds: np.ndarray
+    weights: np.ndarray
+
+    def margins(self, rows: Rows) -> np.ndarray:
+        return margin(np.column_stack([rows.means(self.odds), rows.x]), self.weights)
+
+    @staticmethod
+    def fit(rows: Rows, y: np.ndarray, named_counts: np.ndarray, named_totals: np.ndarray) -> TextView:
+        """``named_counts`` (2, slots) and ``named_totals`` (2) are what rows named by the other view add."""
+        label = y.astype(int)
+        own = np.zeros((2, N_SLOTS))
+        np.add.at(own, (np.repeat(label, rows.sizes), rows.slots), 1)
+        counts, totals = own + named_counts, np.bincount(label, minlength=2) + named_totals
+        # a labelled row is weighed by the log-odds of all others
+        begin = np.concatenate([[0], np.cumsum(rows.sizes)])
+        means = np.empty((len(y), 2))
+        for i in range(len(y)):
+            part = rows.slots[begin[i] : begin[i + 1]]
+            k, less = label[i], totals.copy()
+            less[k] -= 1
+            c = counts[:, part].copy()
+            c[k] -= 1
+            odds, word = log_odds(c, less), part < WORD_SLOTS
+            means[i] = odds[word].sum() / max(word.sum(), 1), odds[~word].mean()
+        return TextView(log_odds(counts, totals), fit_logistic(np.column_stack([means, rows.x]), y))
+
+
+@dataclass
+class MetaView:
+    weights: np.ndarray
+
+    def margins(self, rows: Rows) -> np.ndarray:
+        return margin(spread(rows.m), self.weights)
+
+
 @dataclass
 class CoTrained:
-    text: np.ndarray
-    meta: np.ndarray
+    text: TextView
+    meta: MetaView
     text_scale: np.ndarray  # calibration: slope and intercept
     meta_scale: np.ndarray
     both: np.ndarray
 
-    def scores(self, text: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def scores(self, rows: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Calibrated probabilities of the text view, of the metadata view and of both."""
-        meta = spread(values)
-        t, m = margin(margin(text, self.text)[:, None], self.text_scale), margin(margin(meta, self.meta)[:, None], self.meta_scale)
+        t, m = (margin(view.margins(rows)[:, None], scale) for view, scale in ((self.text, self.text_scale), (self.meta, self.meta_scale)))
         b = margin(np.column_stack([t, m]), self.both)
         return tuple(1 / (1 + np.exp(-v)) for v in (t, m, b))
 
 
-#: Each view's place in a row's (text features, metadata values), and what makes features of it.
-VIEWS = {"t": (0, as_is), "m": (1, spread)}
-
-
 @dataclass
 class Rule:
     """What a view names in a round: rows beyond the cuts, and of those in the cuts' own step a part by hash."""
 
-    view: str
-    weights: np.ndarray
+    kind: str  # of the view: t or m
+    view: TextView | MetaView
     up: tuple[int, float]
     down: tuple[int, float]
 
 
-def _steps(row: tuple[np.ndarray, np.ndarray], view: str, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at, features = VIEWS[view]
-    s = margin(features(row[at]), w)
+def _steps(rows: Rows, view: TextView | MetaView) -> tuple[np.ndarray, np.ndarray]:
+    s = view.margins(rows)
     return s, np.floor(np.abs(s) * STEPS).astype(np.int64) * np.sign(s).astype(np.int64)
 
 
@@ -163,12 +249,12 @@ def drawn(h: np.ndarray, k: int) -> np.ndarray:
     return (z >> np.uint64(44)) / float(1 << 20)
 
 
-def named(rules: list[Rule], row: tuple[np.ndarray, np.ndarray], h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def named(rules: list[Rule], rows: Rows, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which of ``rules`` names each row first (-1: none), and the label it gives."""
-    by, label = np.full(len(h), -1), np.zeros(len(h))
+    by, label = np.full(len(h), -1), np.zeros(len(h), np.int64)
     for k, rule in enumerate(rules):
         u = drawn(h, k)
-        s, step = _steps(row, rule.view, rule.weights)
+        s, step = _steps(rows, rule.view)
         up = (s > SURE) & ((step > rule.up[0]) | ((step == rule.up[0]) & (u < rule.up[1])))
         down = (s < -SURE) & ((step < rule.down[0]) | ((step == rule.down[0]) & (u < rule.down[1])))
         own = (by < 0) & (up | down)
@@ -185,107 +271,127 @@ def cut(counts: dict[int, int], most: int) -> tuple[int, float]:
     return 0, 0.0
 
 
-def _unpack(batch: pa.RecordBatch) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
-    x, m = (batch.column(c).flatten().to_numpy().reshape(-1, k) for c, k in (("x", TEXT_FEATURES), ("m", 3)))
-    return (x, m), batch.column("h").to_numpy()
-
-
 class Pool:
-    """All unlabelled rows (x, m, h), scored in Spark."""
+    """All unlabelled rows (x, m, w, h), scored in Spark; the driver gets counts of a fixed number of kinds."""
 
     def __init__(self, rows: DataFrame) -> None:
         self.rows, self.size = rows, rows.count()
 
-    def counts(self, rules: list[Rule], view: str, w: np.ndarray) -> dict[int, int]:
-        """How many rows that no rule has named lie in each step that the view is sure of."""
+    def _counts(self, of_batch, keys: str) -> list:
+        """Sums of n by ``keys`` (DDL names of long columns) over ``of_batch``'s (keys..., n) arrays of each batch."""
+        names = keys.split()
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                row, h = _unpack(batch)
-                s, step = _steps(row, view, w)
-                steps, n = np.unique(step[(named(rules, row, h)[0] < 0) & (np.abs(s) > SURE)], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(steps, pa.int64()), pa.array(n, pa.int64())], ["step", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in of_batch(*unpacked(batch))], [*names, "n"])
 
-        return {r.step: r.n for r in self.rows.mapInArrow(run, "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).collect()}
-
-    def take(self, rules: list[Rule]) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
-        """The rows that the last rule names, and their labels; in an order that doesn't depend on the layout."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                by, label = named(rules, *_unpack(batch))
-                own = np.flatnonzero(by == len(rules) - 1)
-                yield pa.RecordBatch.from_arrays([*batch.take(pa.array(own)).columns, pa.array(label[own])], ["x", "m", "h", "label"])
-
-        got = self.rows.mapInArrow(run, "x array<double>, m array<double>, h long, label double").toArrow().combine_chunks()
-        batches = got.to_batches()
-        if not batches:
-            return (np.zeros((0, TEXT_FEATURES)), np.zeros((0, 3))), np.zeros(0)
-        (x, m), h = _unpack(batches[0])
-        order = np.argsort(h, kind="stable")
-        return (x[order], m[order]), batches[0].column("label").to_numpy()[order]
+        each = self.rows.mapInArrow(run, ", ".join(f"{k} long" for k in [*names, "n"]))
+        return each.groupBy(*names).agg(F.sum("n").alias("n")).collect()
 
+    def counts(self, rules: list[Rule], view: TextView | MetaView) -> dict[int, int]:
+        """How many rows that no rule has named lie in each step that the view is sure of."""
 
-def co_train(row: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: Pool, rounds: int = ROUNDS, share: float = SHARE, per_round: int = PER_ROUND) -> CoTrained:
-    """``y`` labels the rows of text features and metadata values; every fourth row is kept back for calibration."""
+        def of_batch(rows: Rows, h: np.ndarray):
+            s, step = _steps(rows, view)
+            return np.unique(step[(named(rules, rows, h)[0] < 0) & (np.abs(s) > SURE)], return_counts=True)
+
+        return {r.step: r.n for r in self._counts(of_batch, "step")}
+
+    def take(self, rules: list[Rule]) -> tuple[np.ndarray, np.ndarray, int]:
+        """What the last rule names, for the other view: (keys, counts) by cell and label, or by slot and label with a total as slot -1."""
+        cells = rules[-1].kind == "t"
+
+        def of_batch(rows: Rows, h: np.ndarray):
+            by, label = named(rules, rows, h)
+            own = by == len(rules) - 1
+            some, label = rows.some(own), label[own]
+            if cells:
+                keys = np.column_stack([some.m, label]).astype(np.int64)
+            else:
+                slot = np.concatenate([some.slots, np.full(len(some), -1)])
+                keys = np.column_stack([slot, np.concatenate([np.repeat(label, some.sizes), label])]).astype(np.int64)
+            kinds, n = np.unique(keys, axis=0, return_counts=True)
+            return [*kinds.T, n]
+
+        names = "lang source size label" if cells else "slot label"
+        got = sorted(self._counts(of_batch, names))
+        keys = np.array([list(r)[:-1] for r in got], np.int64).reshape(-1, len(names.split()))
+        n = np.array([r.n for r in got], np.int64)
+        return keys, n, int(n.sum() if cells else n[keys[:, 0] == -1].sum())
+
+
+def co_train(row: Rows, y: np.ndarray, pool: Pool, rounds: int = ROUNDS, share: float = SHARE, per_round: int = PER_ROUND) -> CoTrained:
+    """``y`` labels ``row``; every fourth row is kept back for calibration."""
     back = np.arange(len(y)) % 4 == 3
     if len(np.unique(y[back])) < 2 or len(np.unique(y[~back])) < 2:
         back[:] = False
     calibrate = back if back.any() else ~back
-    rows = {k: [row[at][~back]] for k, (at, _) in VIEWS.items()}
-    labels = {k: [y[~back]] for k in VIEWS}
-    ones = y[~back].mean()
+    own, label = row.some(~back), y[~back]
+    ones = label.mean()
     most = max(per_round, round(share * pool.size))
+    heavy = 0.5 * per_round / most  # all named rows together weigh no more than they would if each round named per_round
+    slots, totals = np.zeros((2, N_SLOTS)), np.zeros(2)
+    cells, cell_labels, cell_weights = [own.m], [label], [np.ones(len(label))]
     rules: list[Rule] = []
 
-    def fit(k: str) -> np.ndarray:
-        weight = np.concatenate([np.ones(len(labels[k][0])), *(np.full(len(v), 0.5) for v in labels[k][1:])])
-        if len(labels[k]) > 1:  # all named rows together weigh no more than they would if each round named per_round
-            weight[len(labels[k][0]) :] *= per_round / most
-        return fit_logistic(np.concatenate(rows[k]), np.concatenate(labels[k]), weight, features=VIEWS[k][1])
+    def fit() -> dict[str, TextView | MetaView]:
+        meta = fit_logistic(np.concatenate(cells), np.concatenate(cell_labels), np.concatenate(cell_weights), features=spread)
+        return {"t": TextView.fit(own, label, slots, totals), "m": MetaView(meta)}
 
     for _ in range(rounds if pool.size else 0):
-        models = {k: fit(k) for k in VIEWS}
-        for k, other in (("t", "m"), ("m", "t")):
-            counts = pool.counts(rules, k, models[k])
+        views = fit()
+        for kind in ("t", "m"):
+            counts = pool.counts(rules, views[kind])
             if not counts:
                 continue
             up, down = ({x: n for x, n in counts.items() if (x > 0) == side} for side in (True, False))
-            rules.append(Rule(k, models[k], cut(up, round(most * ones)), cut(down, round(most * (1 - ones)))))
-            got, told = pool.take(rules)
-            rows[other].append(got[VIEWS[other][0]])
-            labels[other].append(told)
-    models = {k: fit(k) for k in VIEWS}
-    c = {k: margin(features(row[at][calibrate]), models[k]) for k, (at, features) in VIEWS.items()}
-    scale = {k: fit_logistic(c[k][:, None], y[calibrate], ridge=0.1) for k in VIEWS}
-    both = fit_logistic(np.column_stack([margin(c[k][:, None], scale[k]) for k in VIEWS]), y[calibrate], ridge=0.1)
-    return CoTrained(models["t"], models["m"], scale["t"], scale["m"], both)
+            rules.append(Rule(kind, views[kind], cut(up, round(most * ones)), cut(down, round(most * (1 - ones)))))
+            keys, n, _ = pool.take(rules)
+            if kind == "t":
+                cells.append(keys[:, :3])
+                cell_labels.append(keys[:, 3].astype(float))
+                cell_weights.append(heavy * n)
+            else:
+                whole = keys[:, 0] == -1
+                np.add.at(slots, (keys[~whole, 1], keys[~whole, 0]), heavy * n[~whole])
+                np.add.at(totals, keys[whole, 1], heavy * n[whole])
+    views = fit()
+    c = {k: view.margins(row.some(calibrate)) for k, view in views.items()}
+    scale = {k: fit_logistic(c[k][:, None], y[calibrate], ridge=0.1) for k in views}
+    both = fit_logistic(np.column_stack([margin(c[k][:, None], scale[k]) for k in views]), y[calibrate], ridge=0.1)
+    return CoTrained(views["t"], views["m"], scale["t"], scale["m"], both)
 
 
 def features_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, x, m) for every row of ``docs``: both views' features, from whole texts."""
+    """(doc_id, x, m, w, h) for every row of ``docs``: statistics, metadata cell, word slots of whole texts, and a hash of all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             ids, text, lang, source, size = batch.columns
-            x = [text_features(t) for t in text.to_pylist()]
+            texts = text.to_pylist()
+            x = [text_features(t) for t in texts]
+            w = [word_slots(t, v) for t, v in zip(texts, x)]
             m = [meta_values(*v) for v in zip(lang.to_pylist(), source.to_pylist(), size.to_pylist())]
-            yield pa.RecordBatch.from_arrays([ids, *(pa.array(v, pa.list_(pa.float64())) for v in (x, m))], ["doc_id", "x", "m"])
+            lists = [pa.array(x, pa.list_(pa.float64())), pa.array(m, pa.list_(pa.int32())), pa.array(w, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([ids, *lists], ["doc_id", "x", "m", "w"])
 
-    return docs.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("long")).mapInArrow(run, "doc_id long, x array<double>, m array<double>")
+    rows = docs.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("long"))
+    return rows.mapInArrow(run, "doc_id long, x array<double>, m array<int>, w array<int>").withColumn("h", F.xxhash64("doc_id", "x", "m", "w"))
 
 
 def fit_features(features: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[CoTrained | None, float]:
     """The model (None without both classes) from written ``features``, and the share of label 1 in the sample."""
-    rows = sample_labelled(features, labels, "quality", per_class, ["doc_id", "x", "m"])
+    rows = sample_labelled(features, labels, "quality", per_class, ["doc_id", "x", "m", "w"])
     share = sum(r.label for r in rows) / len(rows) if rows else 1.0
     if share in (0.0, 1.0):
         return None, share
     rows = sorted(rows, key=lambda r: zlib.crc32(f"order {r.doc_id}".encode()))
     scratch = Scratch(features.sparkSession)
     unlabelled = features.join(labels.select("doc_id"), "doc_id", "left_anti").where(~held_out())
-    pool = Pool(scratch(unlabelled.select("x", "m", F.xxhash64("doc_id", "x", "m").alias("h")), "pool"))
-    model = co_train((np.array([r.x for r in rows]), np.array([r.m for r in rows])), np.array([r.label for r in rows], float), pool)
+    pool = Pool(scratch(unlabelled.select("x", "m", "w", "h"), "pool"))
+    sizes = np.array([len(r.w) for r in rows], np.int64)
+    known = Rows(np.array([r.x for r in rows]), np.array([s for r in rows for s in r.w], np.int32), sizes, np.array([r.m for r in rows]))
+    model = co_train(known, np.array([r.label for r in rows], float), pool)
     scratch.drop()
     return model, share
 
@@ -303,8 +409,8 @@ def score_features(features: DataFrame, model: CoTrained | None, share: float =
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                x, m = (batch.column(c).flatten().to_numpy().reshape(-1, k) for c, k in (("x", TEXT_FEATURES), ("m", 3)))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(v, pa.float64()) for v in model.scores(x, m))], ["doc_id", "p_text", "p_meta", "score"])
+                rows, _ = unpacked(batch)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(v, pa.float64()) for v in model.scores(rows))], ["doc_id", "p_text", "p_meta", "score"])
 
         out = features.mapInArrow(run, "doc_id long, p_text double, p_meta double, score double")
     return out.select("doc_id", held_out().alias("held_out"), "p_text", "p_meta", "score", (F.col("score") >= 0.5).alias("keep"))
