@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -47,12 +48,19 @@ class Scratch:
         self.spark, self.base, self.made, self.n = spark, f"{shared_dir(spark)}/palimpsest-{uuid.uuid4().hex}", {}, 0
 
     def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        if not self.n:
+            atexit.register(self._leave)
         self.n += 1
         path = f"{self.base}/{label}-{self.n}"
         self.made.setdefault(label, []).append(path)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _leave(self) -> None:
+        """At the session's end nothing reads the tables any more; without a session they stay for the cluster's own cleaning."""
+        if self.spark.sparkContext._jsc is not None:
+            self.drop()
+
     def drop(self, *labels: str) -> None:
         """Delete the tables of ``labels`` (of all, if none is given); nothing may read them any more."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
@@ -62,7 +70,7 @@ class Scratch:
                 at.getFileSystem(conf).delete(at, True)
 
 
-def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Arrow batches in slices, so that no more than ``rows`` texts are Python objects at a time."""
     for batch in batches:
         for k in range(0, batch.num_rows, rows):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import WORD, materialize, table
+from palimpsest.llm.common import WORD, materialize, sliced, table
 
 #: Fixed by the contract: the weights of the sources in order, repeated.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -144,7 +144,7 @@ def positioned(rows: DataFrame, sources: list[tuple], buckets: int) -> DataFrame
 
 
 def slots(spark: SparkSession, sources: list[tuple], plan: MixPlan = MixPlan()) -> DataFrame:
-    """(shard, slot, src, block): the block of every slot of the mix."""
+    """(shard, shards, slot, src, block): the block of every slot of the mix; shards is their number, slots count up in a source."""
     b = plan.block_words
     counts = [min(round(t * -(-n // b) / n), MOST_PASSES * -(-n // b)) if n else 0 for _, _, n, t in sources]  # by the mean words of a block
     per_shard = max(plan.shard_slots, -(-sum(counts) // plan.most_shards))
@@ -164,7 +164,8 @@ def slots(spark: SparkSession, sources: list[tuple], plan: MixPlan = MixPlan())
             got = permute(k % np.maximum(size, 1), size, key)
             yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("k"), batch.column("src"), pa.array(got, pa.int64())], ["shard", "slot", "src", "block"])
 
-    return each.mapInArrow(draw, "shard long, slot long, src int, block long")
+    drawn_ = each.mapInArrow(draw, "shard long, slot long, src int, block long")
+    return drawn_.select("shard", F.lit(len(drawn)).cast("long").alias("shards"), "slot", "src", "block")
 
 
 def pieces(rows: DataFrame, block_words: int) -> DataFrame:
@@ -193,7 +194,7 @@ def mix_counts(docs: DataFrame, text_col: str = "text", plan: MixPlan = MixPlan(
 
 
 def mix_texts(docs: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
-    """The mix itself: (shard, slot, doc_id, source, lang, text), one row per document's part of a slot's block.
+    """The mix itself: (shard, shards, slot, src, part, doc_id, source, lang, text), one row per document's part of a slot's block.
 
     A part runs from its first word to the next part's first word, so parts of one document joined
     in order give the document back.
@@ -208,31 +209,32 @@ def mix_texts(docs: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
     alike = [texts[c].eqNullSafe(placed[c]) for c in keys]
     texts = placed.join(texts, alike).select("src", "start", "size", placed.doc_id, placed.source, placed.lang, "text")
     b = plan.block_words
-    schema = "src int, block long, lo long, doc_id long, source string, lang string, text string"
+    schema = "src int, block long, part long, lo long, doc_id long, source string, lang string, text string"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
 
         word = re.compile(r"[^ \t-\r]+")
-        for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
+        for batch in sliced(batches):
+            out: list[list] = [[] for _ in range(8)]
             for r in batch.to_pylist():
                 text, at = r["text"], [m.start() for m in word.finditer(r["text"])]
                 first = r["start"] // b
                 for block in range(first, (r["start"] + r["size"] - 1) // b + 1):
                     lo, hi = max(block * b - r["start"], 0), min((block + 1) * b - r["start"], r["size"])
                     part = text[at[lo] if lo else 0 : at[hi] if hi < len(at) else len(text)]
-                    for column, v in zip(out, (r["src"], block, lo, r["doc_id"], r["source"], r["lang"], part)):
+                    # parts of a block are in the order of their stream
+                    for column, v in zip(out, (r["src"], block, max(r["start"], block * b), lo, r["doc_id"], r["source"], r["lang"], part)):
                         column.append(v)
-                if len(out[0]) >= 20_000:
+                if len(out[0]) >= 5_000:
                     yield pa.RecordBatch.from_pydict(dict(zip(names, out)), cut_schema)
-                    out = [[] for _ in range(7)]
+                    out = [[] for _ in range(8)]
             yield pa.RecordBatch.from_pydict(dict(zip(names, out)), cut_schema)
 
-    names = ["src", "block", "lo", "doc_id", "source", "lang", "text"]
-    cut_schema = pa.schema([("src", pa.int32()), ("block", pa.int64()), ("lo", pa.int64()), ("doc_id", pa.int64()), ("source", pa.string()), ("lang", pa.string()), ("text", pa.string())])
+    names = ["src", "block", "part", "lo", "doc_id", "source", "lang", "text"]
+    cut_schema = pa.schema([("src", pa.int32()), ("block", pa.int64()), ("part", pa.int64()), ("lo", pa.int64()), ("doc_id", pa.int64()), ("source", pa.string()), ("lang", pa.string()), ("text", pa.string())])
     parts = texts.mapInArrow(cut, schema)
-    return slots(spark, sources, plan).join(parts, ["src", "block"]).select("shard", "slot", "doc_id", "source", "lang", "text")
+    return slots(spark, sources, plan).join(parts, ["src", "block"]).select("shard", "shards", "slot", "src", "part", "doc_id", "source", "lang", "text")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,6 +242,15 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the parts of documents that the mix takes, as often as it takes them."""
-    mixed = mix_texts(docs)
+    """Pipeline stage: the parts of documents that the mix takes, as often as it takes them.
+
+    Rows are in the mix's order: by shard, in a shard by a hash of slot and source, in a slot by
+    place in its block; files are in that order too.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    mixed = mix_texts(docs).withColumn("turn", F.pmod(F.xxhash64("slot", "src"), F.lit(1 << 20)))
+    # shards are alike in size and turns are spread evenly, so equal ranges of both need no sample of the rows
+    at = (F.col("shard") + F.col("turn") / F.lit(float(1 << 20))) / F.col("shards")
+    mixed = mixed.repartitionById(parts, F.floor(at * parts).cast("int"))
+    mixed = mixed.sortWithinPartitions("shard", "turn", "src", "slot", "part")
     return mixed.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
