@@ -8,7 +8,7 @@ with its labels into the other's counts.  Labelled rows kept back from all round
 views and fit the weights that combine them; every document is scored by the combination.
 
 The fit uses at most ``PER_CLASS`` labelled documents of each class outside the held-out fold (a
-documented bound, chosen by hash) and every unlabelled one outside the fold: one pass writes the
+documented bound, chosen by hash) and, without labels, every other one outside the fold: one pass writes the
 features of all documents to the shared folder, and each round scores all of them there and counts
 what it names.  Only counts come to the driver: by step of the margin, by word slot and label, or by
 metadata cell and label, all of fixed number.  Whole texts are read.
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import Scratch, materialize, sliced, table
+from palimpsest.llm.common import materialize, sliced, table
 from palimpsest.llm.labelled import held_out, sample_labelled
 
 PER_CLASS, ROUNDS = 800, 6
@@ -272,7 +272,7 @@ def cut(counts: dict[int, int], most: int) -> tuple[int, float]:
 
 
 class Pool:
-    """All unlabelled rows (x, m, w, h), scored in Spark; the driver gets counts of a fixed number of kinds."""
+    """All rows whose labels aren't read (x, m, w, h), scored in Spark; the driver gets counts of a fixed number of kinds."""
 
     def __init__(self, rows: DataFrame) -> None:
         self.rows, self.size = rows, rows.count()
@@ -386,14 +386,13 @@ def fit_features(features: DataFrame, labels: DataFrame, per_class: int = PER_CL
     if share in (0.0, 1.0):
         return None, share
     rows = sorted(rows, key=lambda r: zlib.crc32(f"order {r.doc_id}".encode()))
-    scratch = Scratch(features.sparkSession)
-    unlabelled = features.join(labels.select("doc_id"), "doc_id", "left_anti").where(~held_out())
-    pool = Pool(scratch(unlabelled.select("x", "m", "w", "h"), "pool"))
+    spark = features.sparkSession
+    sample = spark.createDataFrame([(r.doc_id,) for r in rows], "doc_id long")
+    # every document that gives no label, read where its features lie; the sample is of 2 * per_class ids at most
+    pool = Pool(features.where(~held_out()).join(F.broadcast(sample), "doc_id", "left_anti").select("x", "m", "w", "h"))
     sizes = np.array([len(r.w) for r in rows], np.int64)
     known = Rows(np.array([r.x for r in rows]), np.array([s for r in rows for s in r.w], np.int32), sizes, np.array([r.m for r in rows]))
-    model = co_train(known, np.array([r.label for r in rows], float), pool)
-    scratch.drop()
-    return model, share
+    return co_train(known, np.array([r.label for r in rows], float), pool), share
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[CoTrained | None, float]:
