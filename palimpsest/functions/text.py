@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 #: Unicode white space as Python's ``\s`` has it; Java needs the flag.
 _SPACES = r"(?U)\s+"
-#: Date layouts in the order they are tried: day before month where both read.
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "d/M/yyyy", "M/d/yyyy", "d-M-yyyy", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "yyyyMMdd")
+# Date layouts in the order they are tried (day before month where both read), and the token looked for else.
+DATE_FORMATS = ("yyyy-M-d", "yyyy/M/d", "yyyy.M.d", "d/M/yyyy", "M/d/yyyy", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "yyyy-M-d H:m:s")
+DATE_TOKEN = r"\b((?:19|20)\d{2})[-/.](\d{1,2})[-/.](\d{1,2})\b"
 
 
 def clean_text(col: Column) -> Column:
@@ -35,17 +36,18 @@ def search_key(col: Column) -> Column:
 
 
 def normalize_date(col: Column) -> Column:
-    """ISO date of text in any of DATE_FORMATS, the first that reads; null else."""
-    day = F.trim(F.substring_index(col, "T", 1))
-    return F.date_format(F.coalesce(*(F.try_to_date(day, f) for f in DATE_FORMATS)), "yyyy-MM-dd")
+    """ISO date of text in any of DATE_FORMATS, the first that reads, else of the first date token in it; null else."""
+    day = F.trim(F.substring_index(clean_text(col), "T", 1))
+    token = F.concat_ws("-", *(F.regexp_extract(day, DATE_TOKEN, i) for i in (1, 2, 3)))
+    return F.date_format(F.coalesce(*(F.try_to_date(day, f) for f in DATE_FORMATS), F.try_to_date(token, "yyyy-M-d")), "yyyy-MM-dd")
 
 
 def validate_date(col: Column) -> Column:
-    """yyyy-MM-dd with a day past the month's end set to its last day; null if it isn't of that shape."""
-    y, m, d = (F.regexp_extract(col, r"^(\d{4})-(\d{2})-(\d{2})$", i).try_cast("int") for i in (1, 2, 3))
-    first = F.make_date(y, m, F.lit(1))
-    good = col.rlike(r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])$")
-    return F.when(good, F.date_format(F.make_date(y, m, F.least(d, F.day(F.last_day(first)))), "yyyy-MM-dd"))
+    """yyyy-MM-dd of year, month and day, a day past the month's end set to its last; null if they aren't three such numbers."""
+    y, m, d = (F.regexp_extract(col, r"^(\d{1,4})-(\d{1,9})-(\d{1,9})$", i).try_cast("int") for i in (1, 2, 3))
+    good = (y >= 1) & m.between(1, 12) & (d >= 1)
+    first = F.make_date(F.when(good, y), F.when(good, m), F.lit(1))
+    return F.date_format(F.date_add(first, F.least(d, F.day(F.last_day(first))) - 1), "yyyy-MM-dd")
 
 
 def source_regions(col: Column) -> Column:
@@ -114,6 +116,156 @@ def retry_delay(attempt: Column, hint: Column, base: float, most: float) -> Colu
     return F.least(F.coalesce(hint.try_cast("double"), F.lit(base) * F.pow(F.lit(2.0), attempt - 1)), F.lit(most))
 
 
+# What speaks for a keyword search.
+QUOTED = "[\"\u201c][^\"\u201d]{3,}[\"\u201d]"
+RECORD_CODE = r"\b[A-Z]{1,5}[- ]?\d{4,}\b"
+
+
 def preferred_mode(col: Column) -> Column:
-    """keyword for quoted phrases and document codes, hybrid else."""
-    return F.when(col.rlike(r'"[^"]{3,}"') | col.rlike(r"\b[A-Z]{1,5}[- ]?\d{4,}"), "keyword").otherwise("hybrid")
+    """keyword for quoted phrases and record codes, hybrid else."""
+    return F.when(col.rlike(QUOTED) | col.rlike(RECORD_CODE), "keyword").otherwise("hybrid")
+
+
+def clean_list(col: Column) -> Column:
+    """The distinct trimmed values of an array, without blanks, in their order."""
+    return F.array_distinct(F.filter(F.transform(F.coalesce(col, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != ""))
+
+
+def capped_list(col: Column, most: int) -> Column:
+    return F.slice(clean_list(col), 1, most)
+
+
+def first_text(col: Column) -> Column:
+    """The first element of an array that isn't blank, trimmed; null if none is."""
+    return F.get(F.filter(F.transform(col, lambda x: F.trim(x)), lambda x: x != ""), F.lit(0))
+
+
+def span_overlap(start_a: Column, end_a: Column, start_b: Column, end_b: Column) -> Column:
+    """Whether the half-open spans have a position in common."""
+    return (start_a < end_b) & (start_b < end_a)
+
+
+def json_object(col: Column) -> Column:
+    """The map of a JSON object's members as text; empty for anything else."""
+    read = F.from_json(F.when(F.try_parse_json(col).isNotNull() & F.ltrim(col).startswith("{"), col), "map<string,string>")
+    return F.coalesce(read, F.create_map().cast("map<string,string>"))
+
+
+# The tokens of evaluation, and what markdown loses before it.
+TOKEN = "[\\p{L}\\p{N}]+(?:[-\u2019'][\\p{L}\\p{N}]+)*"
+MARKDOWN = (
+    (r"(?s)<!--.*?-->", " "),
+    (r"(?i)</?(?:table|thead|tbody|tfoot|tr|td|th|br)(?:\s[^>]*)?/?>", " "),
+    (r"!\[[^\]]*\]\([^)]*\)", " "),
+    (r"\[([^\]]+)\]\([^)]*\)", "$1"),
+)
+
+
+def word_tokens(col: Column) -> Column:
+    """Lower-cased words, joined over hyphens and apostrophes; curly apostrophes are made straight."""
+    found = F.regexp_extract_all(F.coalesce(col, F.lit("")), F.lit(f"({TOKEN})"), F.lit(1))
+    return F.transform(found, lambda x: F.replace(F.lower(x), F.lit("\u2019"), F.lit("'")))
+
+
+def markdown_tokens(col: Column) -> Column:
+    """Tokens of markdown without comments, table tags and images; of links the text stays, common entities are read."""
+    for pattern, put in MARKDOWN:
+        col = F.regexp_replace(col, pattern, put)
+    for name, mark in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+        col = F.replace(col, F.lit(name), F.lit(mark))
+    return word_tokens(col)
+
+
+# Words of a query that aren't marked in a text.
+UNMARKED = "and or the a an to of in on for with what where when who how is are was were".split()
+
+
+def highlight_terms(col: Column, most: int = 16) -> Column:
+    """Quoted phrases, then words of more than a letter, distinct, the longest first, at most ``most``."""
+    phrases = F.transform(F.regexp_extract_all(col, F.lit('"([^"]+)"'), F.lit(1)), lambda x: F.trim(x))
+    words = F.filter(F.split(F.regexp_replace(col, '"[^"]+"', " "), r"[^\p{L}\p{N}-]+"), lambda w: (F.length(w) > 1) & ~F.lower(w).isin(UNMARKED))
+    every = F.array_distinct(F.concat(phrases, words))
+    keyed = F.transform(every, lambda x, i: F.struct((-F.length(x)).alias("n"), i.alias("i"), x.alias("x")))
+    return F.slice(F.transform(F.array_sort(keyed), lambda s: s["x"]), 1, most)
+
+
+def table_cells(col: Column) -> Column:
+    """Rows of cells of tab-separated lines; null if no line has two."""
+    rows = F.transform(F.split(col, "\n"), lambda r: F.split(r, "\t"))
+    return F.when(F.exists(rows, lambda r: F.size(r) > 1), rows)
+
+
+def duration(seconds: Column) -> Column:
+    """``2h 03m 04s`` or ``3m 04s``; "unknown" for what isn't a number."""
+    told = seconds.try_cast("double")
+    n = F.greatest(F.floor(told), F.lit(0)).cast("long")
+    h, m, s = F.floor(n / 3600), F.floor(n % 3600 / 60), n % 60
+    return F.when(told.isNull(), "unknown").when(h > 0, F.format_string("%dh %02dm %02ds", h, m, s)).otherwise(F.format_string("%dm %02ds", m, s))
+
+
+def counter(done: Column, total: Column, width: int = 2) -> Column:
+    """``[007/120]``: both as wide as the wider, of ``width`` digits at least; ``?`` for an unknown total."""
+    digits = lambda c: F.length(F.greatest(c, F.lit(0)).cast("string"))
+    w = F.greatest(F.lit(width), digits(done), F.coalesce(digits(total), F.lit(0)))
+    shown = F.coalesce(F.lpad(total.cast("string"), w, F.lit("0")), F.repeat(F.lit("?"), w))
+    return F.concat(F.lit("["), F.lpad(done.cast("string"), w, F.lit("0")), F.lit("/"), shown, F.lit("]"))
+
+
+def reported_total(col: Column) -> Column:
+    """N of ``Item(s) - a to b out of about N,NNN``; null else."""
+    found = F.regexp_extract(col, r"(?i)Item\(s\)\s*-\s*[\d,]+\s*to\s*[\d,]+\s*out of about\s*([\d,]+)", 1)
+    return F.replace(found, F.lit(","), F.lit("")).try_cast("long")
+
+
+def expected_pages(total: Column, size: int, limit: Column | None = None) -> Column:
+    """Pages of ``size`` that hold min(total, limit) rows, one at least; null for an unknown total."""
+    wanted = F.greatest(F.least(total, limit) if limit is not None else total, F.lit(0))
+    return F.when(total.isNotNull(), F.greatest(F.ceil(wanted / size), F.lit(1)))
+
+
+def retry_after(col: Column, now: Column) -> Column:
+    """Seconds to wait by a header of seconds or of an HTTP date, never below zero; null if it is neither."""
+    until = F.try_to_timestamp(F.regexp_replace(col, r"^\w{3},\s*|\s*GMT$", ""), F.lit("dd MMM yyyy HH:mm:ss"))
+    return F.greatest(F.coalesce(col.try_cast("double"), (F.unix_timestamp(until) - F.unix_timestamp(now)).cast("double")), F.lit(0.0))
+
+
+def safe_filename(col: Column) -> Column:
+    """The last part of a decoded path, odd characters as underscores, no dots or underscores at the ends, 240 characters at most."""
+    name = F.regexp_extract(F.try_url_decode(F.trim(col)), r"([^/]*)/*$", 1)
+    return F.substring(F.regexp_replace(F.regexp_replace(name, r"[^A-Za-z0-9._ ()-]+", "_"), r"^[._]+|[._]+$", ""), 1, 240)
+
+
+def disposition_filename(col: Column) -> Column:
+    """The file name that a Content-Disposition header gives; empty if none."""
+    return F.coalesce(safe_filename(F.regexp_extract(col, r"(?i)filename\*?=(?:UTF-8'')?\"?([^\";]+)", 1)), F.lit(""))
+
+
+def embedding_text(title: Column, heading: Column, content: Column, most: int = 24_000) -> Column:
+    """Title, heading and content joined by blank lines, cut at ``most`` characters."""
+    parts = F.filter(F.array(*(F.trim(F.coalesce(c, F.lit(""))) for c in (title, heading, content))), lambda x: x != "")
+    return F.nullif(F.trim(F.substring(F.array_join(parts, "\n\n"), 1, most)), F.lit(""))
+
+
+def error_id_valid(col: Column, prefix: str) -> Column:
+    return F.coalesce(col.rlike(f"^{prefix}-[A-F0-9]{{16}}$"), F.lit(False))
+
+
+def content_path(digest: Column, *above: Column, suffix: str = ".json") -> Column:
+    """``above/ab/abcd....json``: where content is kept by its digest."""
+    return F.concat(F.concat_ws("/", *above, F.substring(digest, 1, 2), digest), F.lit(suffix))
+
+
+def portable_path(col: Column, root: str) -> Column:
+    """Below ``root`` the path relative to it, with forward slashes; other paths as they are."""
+    flat = F.replace(col, F.lit("\\"), F.lit("/"))
+    return F.when(flat.startswith(root.rstrip("/") + "/"), F.substr(flat, F.lit(len(root.rstrip("/")) + 2))).otherwise(flat)
+
+
+def absolute_path(col: Column, root: str) -> Column:
+    return F.when(col.startswith("/"), col).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), col))
+
+
+def rate_per_thousand(col: Column) -> Column:
+    """A rate of text such as ``$1,200.50``; null if it doesn't read or is negative."""
+    value = F.regexp_replace(col, r"[$,\s]", "").try_cast("double")
+    return F.when(value >= 0, value)

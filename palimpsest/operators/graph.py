@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,10 +20,46 @@ def neighbourhood(edges: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
 def closure(edges: DataFrame, depth: int) -> DataFrame:
     """(ancestor, descendant, depth): all pairs within ``depth`` steps of (parent, child), each with its least depth.
 
-    Each step joins the last frontier with the edges; a cycle ends at ``depth``.
+    Each step joins the pairs that the last one reached first with the edges; both are checkpointed, so no step is
+    computed again, and the steps end when nothing new is reached.
     """
+    edges = edges.distinct()
     reach = front = edges.select(F.col("parent").alias("ancestor"), F.col("child").alias("descendant"), F.lit(1).alias("depth"))
     for d in range(2, depth + 1):
-        front = front.join(edges, front.descendant == edges.parent).select("ancestor", F.col("child").alias("descendant"), F.lit(d).alias("depth")).distinct()
+        step = front.join(edges, front.descendant == edges.parent).select("ancestor", F.col("child").alias("descendant"), F.lit(d).alias("depth")).distinct()
+        front = cut_lineage(step.join(reach, ["ancestor", "descendant"], "left_anti").select("ancestor", "descendant", "depth"))
+        if front.isEmpty():
+            break
+        reach = reach.union(front)
+    return reach
+
+
+def cut_lineage(rows: DataFrame) -> DataFrame:
+    """``rows`` written to the checkpoint folder that all executors share; a local session gets a folder of its own."""
+    context = rows.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        named = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="palimpsest-"))
+    return rows.checkpoint()
+
+
+def contained_items(edges: DataFrame, seeds: DataFrame, *, depth: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """(id, depth, kept) of all that is reached from ``seeds`` (id) over (parent, child), and counters.
+
+    Rows are in breadth-first order (depth, then id); those past ``most`` aren't kept.
+    """
+    reach = front = seeds.select(F.col("id"), F.lit(0).alias("depth")).distinct()
+    for d in range(1, depth + 1):
+        step = front.join(edges, front.id == edges.parent).select(F.col("child").alias("id"), F.lit(d).alias("depth")).distinct()
+        front = cut_lineage(step.join(reach, "id", "left_anti").select("id", "depth"))
+        if front.isEmpty():
+            break
         reach = reach.union(front)
-    return reach.groupBy("ancestor", "descendant").agg(F.min("depth").alias("depth"))
+    sizes = reach.groupBy("depth").agg(F.count("*").alias("_n"))
+    ahead = sizes.select("depth", F.coalesce(F.sum("_n").over(Window.orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))  # a row a level
+    ranked = reach.withColumn("_k", F.row_number().over(Window.partitionBy("depth").orderBy("id"))).join(ahead, "depth")
+    out = ranked.select("id", "depth", (F.col("_k") + F.col("_ahead") <= most).alias("kept"))
+    counters = out.agg(F.count("*").alias("items"), F.count_if(F.col("depth") > 1).alias("nested"), F.count_if(~F.col("kept")).alias("beyond_limit"), F.max("depth").alias("deepest"))
+    return out, counters

@@ -1,24 +1,10 @@
-"""Layout envelopes to chunks with provenance, and table cells to lines.
-
-An envelope row is (document_id, sections array<(heading, parent, elements array<string>)>,
-paragraphs array<(content, role, page)>); elements are pointers such as ``/paragraphs/3``.
-"""
+"""Conversations as layout envelopes, and heading paths as joins."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Roles that never reach a chunk.
-EXCLUDED = ("pageHeader", "pageFooter", "pageNumber")
-
-
-def table_lines(cells: DataFrame, key: str) -> DataFrame:
-    """(key, row_no, line) of cells (key, row_no, col_no, cell): tab-joined, trailing blanks cut."""
-    one = cells.groupBy(key, "row_no", "col_no").agg(F.max("cell").alias("cell"))
-    rows = one.groupBy(key, "row_no").agg(F.array_sort(F.collect_list(F.struct("col_no", "cell"))).alias("cells"))
-    return rows.select(key, "row_no", F.rtrim(F.array_join(F.transform("cells", lambda c: c["cell"]), "\t")).alias("line"))
-
 
 def heading_paths(sections: DataFrame) -> DataFrame:
     """(document_id, section, path) of (document_id, section, parent, heading): headings from the root down, however deep; a cycle ends where it closes."""
@@ -38,37 +24,16 @@ def heading_paths(sections: DataFrame) -> DataFrame:
 
 
 def conversation_envelopes(turns: DataFrame) -> DataFrame:
-    """Every conversation as an envelope: one section, a paragraph per turn; paragraph numbers are turns."""
-    p = turns.groupBy(F.col("conv_id").cast("string").alias("document_id")).agg(F.array_sort(F.collect_list(F.struct("turn", F.coalesce("text", F.lit("")).alias("content"), F.coalesce("role", F.lit("")).alias("role")))).alias("ps"))
-    return p.select(
-        "document_id",
-        F.transform("ps", lambda x: F.struct(x["turn"].cast("int").alias("number"), x["content"].alias("content"), x["role"].alias("role"))).alias("paragraphs"),
-        F.array(F.struct(F.lit("Conversation").alias("heading"), F.lit(None).cast("int").alias("parent"), F.transform("ps", lambda x: F.concat(F.lit("/paragraphs/"), x["turn"].cast("string"))).alias("elements"))).alias("sections"),
-    )
-
-
-def chunks_and_provenance(envelopes: DataFrame, *, target: int = 200, most: int = 300) -> DataFrame:
-    """(document_id, chunk_index, chunk_id, section_path, content, words, elements) of envelopes.
-
-    Paragraphs follow the sections' element order; those in no section, of excluded roles or blank
-    are not emitted.  Packing restarts with each section.
-    """
-    from palimpsest.operators.sequences import pack
-
-    rows = envelopes.select("document_id", "paragraphs", F.posexplode("sections").alias("section", "s"))
-    each = rows.select("document_id", "section", "s.heading", "s.parent", "paragraphs", F.posexplode("s.elements").alias("at", "element"))
-    number = F.regexp_extract("element", r"^/paragraphs/(\d+)$", 1).try_cast("int")
-    found = each.withColumn("p", F.get(F.filter("paragraphs", lambda x: x["number"] == number), F.lit(0)))
-    # an element belongs to the first section that lists it
-    first = F.row_number().over(Window.partitionBy("document_id", "element").orderBy("section", "at"))
-    kept = found.where(F.col("p").isNotNull() & ~F.col("p.role").isin(*EXCLUDED) & (F.trim("p.content") != "")).withColumn("k", first).where("k = 1")
-    units = kept.groupBy("document_id", "section").agg(F.array_sort(F.collect_list(F.struct("at", "element", F.col("p.content").alias("content"), F.regexp_count("p.content", F.lit(r"(?U)\S+")).alias("words")))).alias("us"))
-    units = units.withColumn("groups", pack(F.transform("us", lambda u: u["words"]), target, most))
-    grouped = units.select("document_id", "section", F.explode(F.arrays_zip("us", "groups")).alias("z")).groupBy("document_id", "section", F.col("z.groups").alias("g")).agg(F.array_sort(F.collect_list("z.us")).alias("us"))
-    paths = heading_paths(envelopes.select("document_id", F.posexplode("sections").alias("section", "s")).select("document_id", "section", "s.parent", "s.heading"))
-    index = F.row_number().over(Window.partitionBy("document_id").orderBy("section", "g"))
-    out = grouped.withColumn("chunk_index", index).join(paths, ["document_id", "section"], "left")
-    return out.select(
-        "document_id", "chunk_index", F.concat("document_id", F.lit(":chunk:"), F.format_string("%04d", "chunk_index")).alias("chunk_id"), F.array_join("path", " > ").alias("section_path"),
-        F.array_join(F.transform("us", lambda u: u["content"]), "\n").alias("content"), F.aggregate("us", F.lit(0), lambda a, u: a + u["words"]).alias("words"), F.transform("us", lambda u: u["element"]).alias("elements"),
+    """Every conversation as an envelope: one section, a paragraph per turn in the order of the turns."""
+    held = turns.groupBy(F.col("conv_id").cast("string").alias("document_id")).agg(F.array_sort(F.collect_list(F.struct("turn", "text", "role"))).alias("ts"))
+    paragraphs = F.transform("ts", lambda x: F.struct(x["text"].alias("content"), x["role"].alias("role"), F.lit(None).cast("string").alias("source")))
+    elements = F.transform("ts", lambda _, i: F.concat(F.lit("/paragraphs/"), i.cast("string")))
+    sections = F.array(F.struct(elements.alias("elements"), F.lit(0).alias("offset")))
+    empty = lambda ddl: F.array().cast(ddl)
+    content = F.struct(
+        paragraphs.alias("paragraphs"), sections.alias("sections"),
+        empty("array<struct<row_count: int, column_count: int, caption: string, source: string, cells: array<struct<row: int, col: int, content: string, kind: string>>>>").alias("tables"),
+        empty("array<struct<role: string, figure_id: string, source: string, elements: array<string>>>").alias("figures"),
+        F.lit("").alias("markdown"), empty("array<struct<number: int, spans: array<struct<offset: int, length: int>>>>").alias("pages"),
     )
+    return held.select("document_id", F.array(content).alias("contents"))

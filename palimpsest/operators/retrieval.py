@@ -9,68 +9,102 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Most query vectors compared in one pass; more are compared in further passes.
-QUERY_BLOCK = 4096
+#: Most query vectors compared in one pass (more are compared in further passes), and rows held against them at a time.
+QUERY_BLOCK, ROWS = 2048, 1024
 
 
 def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, vec_id, score, rank): the ``k`` rows of ``vectors`` (vec_id, embedding) nearest to each query, itself left out.
 
-    Queries are sent in blocks of QUERY_BLOCK; each task keeps its best ``k`` per query, so the only
-    rows shuffled are ``k`` per query and task.
+    Queries are broadcast in blocks of QUERY_BLOCK (their bound); each task keeps its best ``k`` per query, so the
+    only rows shuffled are ``k`` per query and task, and no more than QUERY_BLOCK times ROWS scores are held.
+    Rows without an embedding, or of another length than a block's queries, are near to nothing.
     """
-    blocks, block = [], []
-    for row in queries.select("vec_id", "embedding").toLocalIterator():
-        block.append(row)
-        if len(block) == QUERY_BLOCK:
-            blocks.append(block)
-            block = []
-    blocks.append(block)
+    spark = vectors.sparkSession
+    usable = vectors.where("embedding IS NOT NULL AND vec_id IS NOT NULL").select("vec_id", "embedding")
+    schema = "query_id long, vec_id long, score double"
     out: DataFrame | None = None
-    for rows in blocks:
-        ids = np.array([r.vec_id for r in rows], np.int64)
-        q = np.array([r.embedding for r in rows], np.float64).reshape(len(rows), -1)
-        q = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
-
-        def run(batches: Iterator[pa.RecordBatch], ids=ids, q=q) -> Iterator[pa.RecordBatch]:
-            best: tuple | None = None
+    for rows in _blocks(queries.where("embedding IS NOT NULL AND vec_id IS NOT NULL").select("vec_id", "embedding")):
+        size = len(rows[0].embedding)
+        rows = [r for r in rows if len(r.embedding) == size]
+        sent = spark.sparkContext.broadcast((np.array([r.vec_id for r in rows], np.int64), _unit(np.array([r.embedding for r in rows], np.float64))))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, size=size) -> Iterator[pa.RecordBatch]:
+            ids, q = sent.value
+            best = np.full((len(ids), 0), 0.0), np.empty((len(ids), 0), np.int64)
             for batch in batches:
-                lists = batch.column(1)
-                if not len(ids) or not batch.num_rows:
-                    continue
-                x = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
-                x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-                own = batch.column(0).to_numpy()
-                s = q @ x.T
-                s[ids[:, None] == own[None, :]] = -np.inf
-                keys = np.broadcast_to(own, s.shape)
-                if best is not None:
-                    s, keys = np.concatenate([best[0], s], axis=1), np.concatenate([best[1], keys], axis=1)
-                order = np.lexsort((keys, -np.round(s, 12)), axis=1)[:, :k]
-                best = np.take_along_axis(s, order, 1), np.take_along_axis(keys, order, 1)
-            if best is not None:
-                s, keys = best
-                ok = np.isfinite(s).ravel()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(ids, s.shape[1])[ok]), pa.array(keys.ravel()[ok]), pa.array(s.ravel()[ok])], ["query_id", "vec_id", "score"]
-                )
-
-        part = vectors.select("vec_id", "embedding").mapInArrow(run, "query_id long, vec_id long, score double")
+                for at in range(0, batch.num_rows, ROWS):
+                    own, x = _matrix(batch.slice(at, ROWS), size)
+                    if len(own):
+                        best = _best(ids, q, own, x, best, k)
+            s, keys = best
+            ok = np.isfinite(s).ravel()
+            arrays = [pa.array(np.repeat(ids, s.shape[1])[ok]), pa.array(keys.ravel()[ok]), pa.array(s.ravel()[ok])]
+            yield pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
+
+        part = usable.mapInArrow(run, schema)
         out = part if out is None else out.union(part)
+    if out is None:
+        out = spark.createDataFrame([], schema)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 12)), "vec_id"))
     return out.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def _blocks(rows: DataFrame) -> Iterator[list]:
+    """Rows with vectors of one length, at most QUERY_BLOCK at a time."""
+    held: dict[int, list] = {}
+    for row in rows.toLocalIterator():
+        own = held.setdefault(len(row.embedding), [])
+        own.append(row)
+        if len(own) == QUERY_BLOCK:
+            yield held.pop(len(row.embedding))
+    yield from held.values()
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+
+
+def _matrix(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and unit vectors of a batch's rows with vectors of ``size`` numbers and no null among them."""
+    lists = batch.column(1)
+    fits = np.flatnonzero(lists.value_lengths().to_numpy() == size)
+    chosen = batch.take(pa.array(fits))
+    x = chosen.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(fits), size)
+    whole = ~np.isnan(x).any(axis=1)
+    return chosen.column(0).to_numpy()[whole], _unit(x[whole])
+
+
+def _best(ids: np.ndarray, q: np.ndarray, own: np.ndarray, x: np.ndarray, best: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` best of what was kept and of new rows, by score, then id."""
+    s = q @ x.T
+    s[ids[:, None] == own[None, :]] = -np.inf
+    s, keys = np.concatenate([best[0], s], axis=1), np.concatenate([best[1], np.broadcast_to(own, s.shape)], axis=1)
+    if s.shape[1] > k:  # those above the k-th score, and all that tie with it
+        least = -np.partition(-np.round(s, 12), k - 1, axis=1)[:, k - 1 : k]
+        width = int((np.round(s, 12) >= least).sum(axis=1).max())
+        near = np.argpartition(-np.round(s, 12), width - 1, axis=1)[:, :width]
+        s, keys = np.take_along_axis(s, near, 1), np.take_along_axis(keys, near, 1)
+    order = np.lexsort((keys, -np.round(s, 12)), axis=1)[:, :k]
+    return np.take_along_axis(s, order, 1), np.take_along_axis(keys, order, 1)
+
+
+#: Query terms up to this number are broadcast; more are joined by a shuffle.
+SENT_TERMS = 1_000_000
+
+
 def bm25_top_k(docs: DataFrame, queries: DataFrame, k: int, *, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """(query_id, doc_id, score, rank) by Okapi BM25 over ``docs`` (doc_id, tokens) for ``queries`` (query_id, term).
 
-    Postings are counted once; only those of query terms meet the queries.
+    Only tokens that are query terms leave their document's task, and they are counted there first.
     """
-    sizes = docs.select("doc_id", F.size("tokens").alias("dl"))
-    totals = sizes.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
     terms = queries.select("query_id", "term").distinct()
     wanted = terms.select("term").distinct()
-    tf = docs.select("doc_id", F.size("tokens").alias("dl"), F.explode("tokens").alias("term")).join(wanted, "term").groupBy("term", "doc_id", "dl").agg(F.count("*").alias("tf"))
+    if wanted.count() <= SENT_TERMS:
+        wanted = F.broadcast(wanted)  # at most SENT_TERMS of them
+    totals = docs.agg(F.count("*").alias("n"), F.avg(F.size("tokens")).alias("avgdl"))
+    held = docs.select("doc_id", F.size("tokens").alias("dl"), F.explode("tokens").alias("term")).join(wanted, "term")
+    tf = held.groupBy("term", "doc_id", "dl").agg(F.count("*").alias("tf"))  # counted before the shuffle
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
@@ -100,3 +134,106 @@ def jaccard(a: Column, b: Column) -> Column:
     """Of two arrays as sets; 1 if both are empty."""
     union = F.size(F.array_union(a, b))
     return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / union)
+
+
+def scalar_filter(rows: DataFrame, wanted: dict[str, list[str]]) -> DataFrame:
+    """Rows that have, in every field with values, one of them: trimmed, distinct, blanks left out; arrays need one in common."""
+    kinds = dict(rows.dtypes)
+    for field, values in wanted.items():
+        clean = sorted({v.strip() for v in values} - {""})
+        if clean:
+            rows = rows.where(F.arrays_overlap(field, F.array(*map(F.lit, clean))) if kinds[field].startswith("array") else F.col(field).isin(clean))
+    return rows
+
+
+def scoped(rows: DataFrame, scope: dict[str, str | None]) -> DataFrame:
+    """Rows of the scope's exact values; a scope without any is refused."""
+    told = {k: v.strip() for k, v in scope.items() if v and v.strip()}
+    if not told:
+        raise ValueError("a scope needs a document, filing, company or project")
+    for field, value in told.items():
+        rows = rows.where(F.col(field) == value)
+    return rows
+
+
+def clamped(n: int, most: int) -> int:
+    return min(max(n, 1), most)
+
+
+def result_order(mode: str) -> list[Column]:
+    """Sort keys of a result list; ties go by chunk id."""
+    keys = {"newest": [F.desc_nulls_last("filing_date")], "oldest": [F.asc_nulls_last("filing_date")], "chunk": [F.asc("chunk_index")], "relevance": [F.desc("score")]}
+    return [*keys[mode], F.asc("chunk_id")]
+
+
+def by_ids(rows: DataFrame, ids: list[str], most: int = 30) -> DataFrame:
+    """The rows of the first ``most`` distinct trimmed ids, with ``position`` in the order asked for."""
+    clean = list(dict.fromkeys(x for x in map(str.strip, ids) if x))[:most]
+    asked = rows.sparkSession.createDataFrame(list(enumerate(clean)), "position int, chunk_id string")
+    return rows.join(F.broadcast(asked), "chunk_id")  # at most ``most`` ids
+
+
+def document_view(chunks: DataFrame, asked: DataFrame, top: int = 60) -> DataFrame:
+    """Rows of windows of ``top`` chunks: asked has (document_id, page or null, offset); chunks have dense 1-based chunk_index.
+
+    A page moves the window to a third before its first chunk; page_found tells whether it has one.
+    """
+    top = clamped(top, 100)
+    pages = chunks.select("document_id", "chunk_index", "page_start", "page_end")
+    has = asked.join(pages, "document_id", "left").groupBy(*[asked[c] for c in asked.columns]).agg(
+        F.min(F.when(F.col("page").between(F.col("page_start"), F.col("page_end")), F.col("chunk_index"))).alias("anchor"), F.count("chunk_index").alias("total")
+    )
+    start = F.when(F.col("anchor").isNotNull(), F.greatest(F.lit(0), F.col("anchor") - 1 - top // 3)).otherwise(F.greatest(F.lit(0), F.coalesce("offset", F.lit(0))))
+    windows = has.select("document_id", "page", start.alias("start"), (F.col("page").isNull() | F.col("anchor").isNotNull()).alias("page_found"), "total")
+    at = F.row_number().over(Window.partitionBy("document_id").orderBy("chunk_index"))
+    numbered = chunks.withColumn("_at", at)
+    return numbered.join(windows, "document_id").where((F.col("_at") > F.col("start")) & (F.col("_at") <= F.col("start") + top)).drop("_at")
+
+
+def hybrid_search(keyword: DataFrame, vector: DataFrame, top: int, *, k: int = 50) -> DataFrame:
+    """(query_id, item, score, rank): the first ``k`` of two independent rankings (query_id, item, rank) fused by reciprocal ranks."""
+    near = [r.where(F.col("rank") <= max(k, top)) for r in (keyword, vector)]
+    return reciprocal_rank_fusion(near, top)
+
+
+def with_fallback(primary: DataFrame, secondary: DataFrame, key: str = "query_id") -> DataFrame:
+    """Rows of ``primary``, and of ``secondary`` for the queries that ``primary`` found nothing for; ``fell_back`` tells which."""
+    left = secondary.join(primary.select(key).distinct(), key, "left_anti")
+    return primary.withColumn("fell_back", F.lit(False)).unionByName(left.withColumn("fell_back", F.lit(True)))
+
+
+def evidence_citations(results: DataFrame, most: int = 320) -> DataFrame:
+    """Add source (S1, S2, ... by rank), title (heading, title or the document's number) and excerpt."""
+    blank = lambda c: F.nullif(F.col(c), F.lit(""))
+    title = F.coalesce(blank("heading"), blank("title"), F.concat(F.lit("Document "), F.col("document_id").cast("string")))
+    short = F.substring(F.trim(F.regexp_replace(F.coalesce("content", F.lit("")), r"\s+", " ")), 1, most)
+    return results.withColumns({"source": F.concat(F.lit("S"), F.col("rank").cast("string")), "shown_title": title, "excerpt": short})
+
+
+def grounded_prompts(cited: DataFrame, question: str, most: int = 6000) -> DataFrame:
+    """(query_id, prompt): the question and the cited contents by rank, each cut at ``most`` characters."""
+    part = F.concat_ws(
+        "\n", F.concat(F.lit("["), "source", F.lit("]")), F.concat(F.lit("Title: "), "shown_title"), F.concat(F.lit("Document: "), F.col("document_id").cast("string")),
+        F.lit("Extracted content:"), F.substring(F.coalesce("content", F.lit("No extracted content")), 1, most),
+    )
+    rows = cited.groupBy("query_id", question).agg(F.array_sort(F.collect_list(F.struct("rank", part.alias("p")))).alias("ps"))  # a result list
+    body = F.array_join(F.transform("ps", lambda x: x["p"]), "\n\n---\n\n")
+    return rows.select("query_id", F.concat(F.lit("Question:\n"), F.col(question), F.lit("\n\nRetrieved evidence:\n"), body).alias("prompt"))
+
+
+def mode_metrics(found: DataFrame) -> DataFrame:
+    """(mode, queries, mrr, overlap): reciprocal ranks of labelled queries and the share of results that both modes have.
+
+    ``found`` has (mode, query_id, item, rank, relevant, labelled); two empty lists overlap wholly.
+    """
+    rr = found.groupBy("mode", "query_id").agg(F.max("labelled").alias("labelled"), F.coalesce(1 / F.min(F.when(F.col("relevant"), F.col("rank"))), F.lit(0.0)).alias("rr"))
+    sets = found.groupBy("query_id").agg(*(F.collect_set(F.when(F.col("mode") == m, F.col("item"))).alias(m) for m in ("keyword", "hybrid")))  # top lists
+    over = sets.agg(F.avg(jaccard(F.col("keyword"), F.col("hybrid"))).alias("overlap"))
+    return rr.groupBy("mode").agg(F.count("*").alias("queries"), F.avg(F.when(F.col("labelled"), F.col("rr"))).alias("mrr")).join(F.broadcast(over))  # one row
+
+
+def page_groups(chunks: DataFrame) -> DataFrame:
+    """(document_id, page, chunk_ids): chunks by their first page, 0 where it isn't known, in order of their index."""
+    page = F.coalesce("page_start", F.lit(0))
+    held = chunks.groupBy("document_id", page.alias("page")).agg(F.array_sort(F.collect_list(F.struct("chunk_index", "chunk_id"))).alias("cs"))  # a page's chunks
+    return held.select("document_id", "page", F.transform("cs", lambda c: c["chunk_id"]).alias("chunk_ids"))

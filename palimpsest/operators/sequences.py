@@ -6,6 +6,9 @@ spreads over partitions.
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,29 +33,97 @@ def pack(sizes: Column, target: int, most: int) -> Column:
 
 def sentences(col: Column) -> Column:
     """Text split behind sentence ends that precede a capital, a digit or a bracket."""
-    return F.split(col, r"(?<=[.!?])\s+(?=[A-Z0-9(\[])")
+    return F.split(col, SENTENCE_END)
+
+
+# Fixed value: where a text may be cut into sentences.
+SENTENCE_END = r"(?<=[.!?])\s+(?=[A-Z0-9(\[])"
+_SENTENCE_END = re.compile(SENTENCE_END)
+
+
+def split_text(text: str, target: int, most: int) -> list[str]:
+    """A text of more than ``most`` words in parts: sentences packed, longer ones cut every ``most`` words and kept apart."""
+    if len(text.split()) <= most:
+        return [text]
+    parts: list[str] = []
+    run: list[str] = []
+    held = 0
+
+    def close() -> None:
+        nonlocal held
+        if run:
+            parts.append(" ".join(run))
+            run.clear()
+            held = 0
+
+    for sentence in filter(None, map(str.strip, _SENTENCE_END.split(text.strip()))):
+        words = sentence.split()
+        if len(words) > most:
+            close()
+            parts += [" ".join(words[k : k + most]) for k in range(0, len(words), most)]
+            continue
+        if held + len(words) > most:
+            close()
+        run.append(sentence)
+        held += len(words)
+        if held >= target:
+            close()
+    close()
+    return parts
+
+
+def packed(texts: list[str], target: int, most: int) -> list[tuple[str, int, list[int]]]:
+    """(text, words, indices of texts) of groups: one closes before a part that would exceed ``most`` and once ``target`` is reached."""
+    out: list[tuple[str, int, list[int]]] = []
+    run: list[str] = []
+    units: list[int] = []
+    held = 0
+    parts = [(k, p) for k, text in enumerate(texts) for p in split_text(text, target, most)]
+    for k, part in parts:
+        n = len(part.split())
+        if run and held + n > most:
+            out.append(("\n\n".join(run), held, units))
+            run, units, held = [], [], 0
+        run.append(part.strip())
+        units.append(k)
+        held += n
+        if held >= target:
+            out.append(("\n\n".join(run), held, units))
+            run, units, held = [], [], 0
+    if run:
+        out.append(("\n\n".join(run), held, units))
+    return out
 
 
 def chunk_texts(docs: DataFrame, *, target: int = 200, most: int = 300, text_col: str = "text") -> DataFrame:
-    """(doc_id, chunk_index, chunk_id, words, content): sentences packed to chunks; longer sentences are cut every ``most`` words."""
-    words = lambda c: F.regexp_extract_all(c, F.lit(r"(\S+)"), F.lit(1))
-    pieces = F.flatten(
-        F.transform(
-            sentences(F.coalesce(F.col(text_col), F.lit(""))),
-            lambda s: F.transform(
-                F.filter(F.sequence(F.lit(1), F.greatest(F.size(words(s)), F.lit(1)), F.lit(most)), lambda i: i <= F.size(words(s))),
-                lambda i: F.slice(words(s), i, most),
-            ),
-        )
-    )
-    rows = docs.select("doc_id", pieces.alias("pieces"))
-    rows = rows.withColumn("groups", pack(F.transform("pieces", lambda p: F.size(p)), target, most))
-    each = rows.select("doc_id", F.explode(F.arrays_zip("groups", "pieces", F.sequence(F.lit(1), F.size("pieces")).alias("at"))).alias("u")).where("u.groups is not null")
-    out = each.groupBy("doc_id", F.col("u.groups").alias("g")).agg(F.array_sort(F.collect_list(F.struct("u.at", "u.pieces"))).alias("us"))
-    content = F.array_join(F.flatten(F.transform("us", lambda u: u["pieces"])), " ")
-    size = F.aggregate("us", F.lit(0), lambda a, u: a + F.size(u["pieces"]))
-    index = (F.col("g") + 1).cast("int")
-    return out.select("doc_id", index.alias("chunk_index"), F.concat(F.col("doc_id").cast("string"), F.lit(":chunk:"), F.format_string("%04d", index)).alias("chunk_id"), size.alias("words"), content.alias("content"))
+    """(doc_id, chunk_index, chunk_id, words, content): the chunks of every row, cut at sentences; rows are apart even if ids repeat.
+
+    Texts without words have none.  One pass without a shuffle, linear in a text.
+    """
+
+    @F.pandas_udf("array<struct<content: string, words: int>>")
+    def groups(texts: pd.Series) -> pd.Series:
+        return pd.Series([[{"content": c, "words": n} for c, n, _ in packed([t], target, most) if n] if t else [] for t in texts])
+
+    each = docs.select("doc_id", F.posexplode(groups(F.col(text_col))).alias("at", "g"))
+    index = F.col("at") + 1
+    ident = F.concat(F.col("doc_id").cast("string"), F.lit(":chunk:"), F.format_string("%04d", index))
+    return each.select("doc_id", index.alias("chunk_index"), ident.alias("chunk_id"), "g.words", "g.content")
+
+
+def batch_numbers(sizes: Column, most_rows: Column, most_size: Column) -> Column:
+    """Batch of each unit, from 1: a new one begins before a unit that would exceed either bound."""
+    start = F.struct(F.array().cast("array<int>").alias("out"), F.lit(1).alias("batch"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("held"))
+
+    def step(acc: Column, size: Column) -> Column:
+        fresh = (acc["n"] > 0) & ((acc["n"] >= most_rows) | (acc["held"] + size > most_size))
+        batch = acc["batch"] + fresh.cast("int")
+        return F.struct(
+            F.concat(acc["out"], F.array(batch)).alias("out"), batch.alias("batch"),
+            F.when(fresh, F.lit(1)).otherwise(acc["n"] + 1).alias("n"), F.when(fresh, size).otherwise(acc["held"] + size).cast("long").alias("held"),
+        )
+
+    return F.aggregate(sizes, start, step, lambda acc: acc["out"])
 
 
 def running_offset(rows: DataFrame, key: str, order: str, size: Column, gap: int = 2) -> DataFrame:

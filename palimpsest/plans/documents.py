@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions import text as fn
-from palimpsest.operators import html_records, normalize, retrieval, sequences, validation
+from palimpsest.operators import html_records, retrieval, sequences, validation
 from palimpsest.sources.tables import load
 
 QUERIES: dict = {}
@@ -58,29 +58,6 @@ def search_documents(t) -> DataFrame:
     return t("conversations").select(ident.alias("chunk_id"), fn.search_key(ident).alias("search_key"), title.alias("citation_title"), F.concat(F.lit("https://records.invalid/"), F.col("conv_id").cast("string")).alias("url"), F.length(F.coalesce("text", F.lit(""))).alias("chars"))
 
 
-@query("""SELECT l_orderkey, row_no, string_agg(cell, chr(9) ORDER BY col_no) AS line FROM (SELECT l_orderkey, (l_linenumber - 1) // 2 AS row_no, (l_linenumber - 1) % 2 AS col_no, max(CAST(l_partkey AS VARCHAR)) AS cell FROM lineitem GROUP BY ALL) GROUP BY ALL""")
-def table_rows(t) -> DataFrame:
-    """Cells to tab-separated lines; the greatest content wins a contested cell, cells of a row in column order."""
-    k = F.col("l_linenumber") - 1
-    cells = t("lineitem").select("l_orderkey", F.floor(k / 2).cast("int").alias("row_no"), (k % 2).alias("col_no"), F.col("l_partkey").cast("string").alias("cell"))
-    return normalize.table_lines(cells, "l_orderkey")
-
-
-@query()
-def envelope_chunks(t) -> DataFrame:
-    """Conversations as layout envelopes (a section each, a paragraph per turn), walked to chunks with provenance."""
-    return normalize.chunks_and_provenance(normalize.conversation_envelopes(t("conversations")))
-
-
-@query("""SELECT conv_id, count(*) AS units, max(turn) AS last_turn FROM conversations WHERE trim(coalesce(text, '')) <> '' GROUP BY 1""")
-def envelope_coverage(t) -> DataFrame:
-    """Every paragraph of the envelopes is in exactly one chunk's provenance."""
-    chunks = normalize.chunks_and_provenance(normalize.conversation_envelopes(t("conversations")))
-    return chunks.select("document_id", F.explode("elements").alias("e")).groupBy(F.col("document_id").cast("long").alias("conv_id")).agg(
-        F.count_distinct("e").alias("units"), F.max(fn.element_pointer(F.col("e"))["index"]).cast("long").alias("last_turn")
-    )
-
-
 # --- functions --------------------------------------------------------------------------------
 
 
@@ -201,12 +178,11 @@ def rrf_fusion(t) -> DataFrame:
 
 
 @query(rf"""WITH s AS (SELECT d.doc_id, list_distinct({_TOK}) AS a FROM documents d), x AS (SELECT conv_id, list_distinct(flatten(list({_TOK}))) AS b FROM conversations GROUP BY 1)
-SELECT s.doc_id, round(len(list_intersect(a, b)) / greatest(1, len(list_distinct(list_concat(a, b)))), 6) AS jaccard FROM s JOIN x ON s.doc_id = x.conv_id""")
+SELECT s.doc_id, CASE WHEN len(list_concat(a, b)) = 0 THEN 1.0 ELSE round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 6) END AS jaccard FROM s JOIN x ON s.doc_id = x.conv_id""")
 def token_jaccard(t) -> DataFrame:
     a = t("documents").select("doc_id", F.array_distinct(tokens()).alias("a"))
     b = t("conversations").select(F.col("conv_id").alias("doc_id"), tokens().alias("b")).groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("b"))).alias("b"))
-    union = F.greatest(F.size(F.array_union("a", "b")), F.lit(1))
-    return a.join(b, "doc_id").select("doc_id", F.round(F.size(F.array_intersect("a", "b")) / union, 6).alias("jaccard"))
+    return a.join(b, "doc_id").select("doc_id", F.round(retrieval.jaccard(F.col("a"), F.col("b")), 6).alias("jaccard"))
 
 
 # --- validation -------------------------------------------------------------------------------

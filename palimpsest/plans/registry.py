@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from palimpsest.plans import documents, relational
+from palimpsest.plans import answers, documents, fields, knowledge, layouts, relational, states  # noqa: F401  (most register with documents)
 
 
 def queries() -> dict:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions import text as fn
+from palimpsest.functions import titles
 from palimpsest.operators import aggregates, graph, ledger, sequences
 from palimpsest.sources.tables import load
 
@@ -61,7 +62,7 @@ def page_range_contains(t) -> DataFrame:
     return spans.where(F.lit(3).between(F.col("page_start"), F.col("page_end"))).withColumn("label", fn.page_label(F.col("page_start"), F.col("page_end")))
 
 
-@query(r"""SELECT conv_id, turn, CASE WHEN regexp_matches(text, '"[^"]{3,}"') OR regexp_matches(text, '\b[A-Z]{1,5}[- ]?\d{4,}') THEN 'keyword' ELSE 'hybrid' END AS mode,
+@query(r"""SELECT conv_id, turn, CASE WHEN regexp_matches(text, '["“][^"”]{3,}["”]') OR regexp_matches(text, '\b[A-Z]{1,5}[- ]?\d{4,}\b') THEN 'keyword' ELSE 'hybrid' END AS mode,
 substring(trim(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')), 1, 320) AS excerpt FROM conversations""")
 def retrieval_mode(t) -> DataFrame:
     short = F.substring(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")), 1, 320)
@@ -69,11 +70,11 @@ def retrieval_mode(t) -> DataFrame:
     return t("conversations").select("conv_id", "turn", mode.alias("mode"), short.alias("excerpt"))
 
 
-@query(r"""SELECT doc_id, regexp_matches(lower(text), '\b(commission|board|regulator|court|agency)\b') AS regulator, contains(lower(text), 'condition') AS condition,
+@query(r"""SELECT doc_id, regexp_matches(lower(text), '\b(commission|board|cer|regulator|regulatory|finding|decision|determination|conclusion)\b') AS regulator, contains(lower(text), 'condition') AS condition,
 CASE WHEN length(replace(text, chr(10), ' ')) > 300 THEN substring(replace(text, chr(10), ' '), 1, 297) || '...' ELSE replace(text, chr(10), ' ') END AS preview FROM documents""")
 def finding_predicates(t) -> DataFrame:
     low = F.lower("text")
-    return t("documents").select("doc_id", low.rlike(r"\b(commission|board|regulator|court|agency)\b").alias("regulator"), low.contains("condition").alias("condition"), fn.preview(F.col("text")).alias("preview"))
+    return t("documents").select("doc_id", titles.is_regulator_claim(F.col("text"), F.lit(None)).alias("regulator"), low.contains("condition").alias("condition"), fn.preview(F.col("text")).alias("preview"))
 
 
 @query("""SELECT p_partkey, '"' || replace(p_name, '"', '""') || '","' || replace(p_brand, '"', '""') || '"' AS line FROM part""")
@@ -198,9 +199,10 @@ def facet_counts(t) -> DataFrame:
 
 
 @query("""SELECT l_returnflag, count(l_quantity) AS n, quantile_disc(l_extendedprice, 0.5) AS p50, quantile_disc(l_extendedprice, 0.9) AS p90, quantile_disc(l_extendedprice, 0.95) AS p95,
-max(l_extendedprice) AS max_value FROM lineitem GROUP BY 1""")
+max(l_extendedprice) AS max_value, round(sum(l_extendedprice), 2) AS total, round(avg(l_extendedprice), 4) AS mean FROM lineitem GROUP BY 1""")
 def nearest_rank_quantiles(t) -> DataFrame:
-    return aggregates.nearest_rank(t("lineitem"), "l_returnflag", "l_extendedprice", {"p50": 0.5, "p90": 0.9, "p95": 0.95})
+    out = aggregates.nearest_rank(t("lineitem"), "l_returnflag", "l_extendedprice", {"p50": 0.5, "p90": 0.9, "p95": 0.95})
+    return out.withColumn("total", F.round("total", 2)).withColumn("mean", F.round("mean", 4))
 
 
 @query("""WITH r AS (SELECT o_custkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) - 1 AS idx, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)
