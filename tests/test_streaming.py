@@ -20,8 +20,12 @@ def test_upsert_keeps_the_latest_over_restarts(spark, tmp_path):
     for k, rows in enumerate([[("a", "2024-01-01", 1), ("b", "2024-01-01", 2)], [("a", "2024-01-03", 3), ("b", "2023-01-01", 9)], [("a", "2024-01-02", 4), ("c", "2024-01-01", 5)]]):
         add(spark, source, rows)
         run(ledger.upsert_stream(spark.readStream.schema(SCHEMA).parquet(source), state, mark, ["k"], "at"))
-        got = spark.read.parquet(ledger.version_path(state, k + 1))
-    assert sorted((r.k, r.v) for r in got.collect()) == [("a", 3), ("b", 2), ("c", 5)]
+        got = ledger.current_state(spark, state)
+    assert k == 2 and sorted((r.k, r.v) for r in got.collect()) == [("a", 3), ("b", 2), ("c", 5)]
+    merge = ledger.keyed_upsert(state, ["k"], "at")  # the last batch once more changes nothing
+    merge(spark.createDataFrame([("a", "2024-01-02", 4), ("c", "2024-01-01", 5)], "k string, at string, v int").withColumn("at", F.to_timestamp("at")), 2)
+    assert sorted((r.k, r.v) for r in ledger.current_state(spark, state).collect()) == [("a", 3), ("b", 2), ("c", 5)]
+    assert all(len(v) <= 2 for v in ledger._versions(spark, state).values())
 
 
 def test_windows_and_limits(spark, tmp_path):
