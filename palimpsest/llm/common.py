@@ -70,6 +70,15 @@ class Scratch:
                 at.getFileSystem(conf).delete(at, True)
 
 
+#: Rows of texts that Spark sends to a Python worker in one Arrow batch; the buffers of both sides hold one batch.
+BATCH_ROWS = 2500
+
+
+def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Sets the session's Arrow batches to ``rows`` rows, so that memory beside the heap doesn't grow with Spark's 10,000."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Arrow batches in slices, so that no more than ``rows`` texts are Python objects at a time."""
     for batch in batches:

@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palimpsest.llm.common import Scratch, sliced, table
+from palimpsest.llm.common import Scratch, bound_batches, sliced, table
 
 WINDOW, GRAM = 10, 5
 #: Most words of the benchmark in one block; 2 million words are about 60 MB in a task.
 BLOCK_WORDS = 2_000_000
 #: Words whose hashes a task remembers before it starts anew.
-MEMO_WORDS = 250_000
+MEMO_WORDS = 150_000
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -244,6 +244,7 @@ def contaminated_spans(
     """
     if not 0 < gram <= window:
         raise ValueError("a fingerprint's words must fit into a window")
+    bound_batches(docs.sparkSession)
     out, sent, scratch = docs.drop(*_ADDED), None, None
     for k, block in enumerate(_item_blocks(items, item_id, item_text, window, block_words)):
         if k:  # the blocks so far are done with before the next is sent: one is held at a time

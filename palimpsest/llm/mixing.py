@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import WORD, materialize, sliced, table
+from palimpsest.llm.common import WORD, bound_batches, materialize, sliced, table
 
 #: Fixed by the contract: the weights of the sources in order, repeated.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -200,6 +200,7 @@ def mix_texts(docs: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
     in order give the document back.
     """
     spark = docs.sparkSession
+    bound_batches(spark, 1000)
     rows, sources, buckets = sized(docs.select("doc_id", "source", "lang", "text"), plan=plan)
     small = materialize(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", "lang", "size", "spread").where("size > 0"), "sizes")
     placed = positioned(small, sources, buckets).select("doc_id", "source", "lang", "spread", "src", "start", "size")

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import Scratch, sliced, table
+from palimpsest.llm.common import Scratch, bound_batches, sliced, table
 from palimpsest.llm.components import components
 from palimpsest.llm.decontaminate import WordHashes, gram_hashes
 
@@ -241,6 +241,7 @@ def jaccard_components(
     With ``row_key`` (a long column, different in every row) also row_key and stays: true for every row
     without words and for one row of each component, that of the smallest doc_id (null ones last), then row_key.
     """
+    bound_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession)
     keyed = [F.col(row_key).alias("row_key")] if row_key else []
     docs = docs.select("doc_id", *keyed, "text", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("tid"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palimpsest.llm.common import sliced, table
+from palimpsest.llm.common import bound_batches, sliced, table
 
 #: Phrases of boilerplate by language (compared after lower-casing, at word bounds).
 BOILERPLATE = {
@@ -168,6 +168,7 @@ def line_quality(
 
     Columns of ``docs`` outside ``keep`` and ``text_col`` are never read, so clashing names don't matter.
     """
+    bound_batches(docs.sparkSession)
     result = _RESULT if with_text else _RESULT[:-1]
     source = docs.select(*(F.col(c).alias(f"k_{i}") for i, c in enumerate(keep)), F.col(text_col).alias("own_text"))
     schema = T.StructType([*source.schema.fields[:-1], *(T.StructField(n, t) for n, t, _ in result)])

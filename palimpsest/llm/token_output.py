@@ -32,7 +32,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import materialize, table
+from palimpsest.llm.common import bound_batches, materialize, table
 from palimpsest.llm.context_coder import BLOCK_IDS, decode_block, encode_block
 
 END_ID = 2
@@ -267,6 +267,7 @@ def by_bytes(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, i
 
 def encode_documents(docs: DataFrame, *, vocabulary: str | None = None, end_id: int = END_ID, order: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """(part, seq, n_docs, n_tokens, payload): records of ``docs`` (doc_id, text) in ascending order of the columns ``order``."""
+    bound_batches(docs.sparkSession, 5000)
     path = vocabulary or tokenizer_path()
     rows = docs.select("doc_id", "text", *(c for c in order if c != "doc_id"))
     keys = [F.col(c).asc_nulls_first() for c in order]
