@@ -196,6 +196,7 @@ def block_links(sizes: np.ndarray, sets: list[np.ndarray], percent: int, width:
         part = np.zeros((n, width), np.float32)
         part[own[i:j], at[i:j] - low] = 1
         overlap += part @ part.T
+    overlap, sizes = overlap.astype(np.float64), sizes.astype(np.float64)  # counts are exact in 32 bits, a hundred times them aren't
     linked = 100 * overlap >= percent * (sizes[:, None] + sizes[None, :] - overlap)
     np.fill_diagonal(linked, False)
     return _forest(linked)
