@@ -100,28 +100,50 @@ def contents_of(envelopes: DataFrame) -> DataFrame:
 
 
 def reading_order(contents: DataFrame, orphans: bool = False) -> DataFrame:
-    """(document_id, content_index, item, kind, path, refs): what is read one after the other in each content."""
-    roles = F.transform("paragraphs", lambda p: F.coalesce(p["role"], F.lit("")))
-    texts = F.transform("paragraphs", lambda p: F.when(p["role"] == "sectionHeading", F.trim(p["content"])))  # of headings only
-    blank = F.transform("paragraphs", lambda p: F.trim(F.coalesce(p["content"], F.lit(""))) == "")
-    size = lambda c: F.greatest(F.size(F.coalesce(F.col(c), F.array())), F.lit(0)).alias(f"n_{c}")
-    rows = contents.select("document_id", "content_index", "sections", roles.alias("roles"), texts.alias("texts"), blank.alias("blank"), size("tables"), size("figures"))
-    schema = "document_id string, content_index int, item int, kind string, path array<string>, refs array<int>"
-    arrow = pa.schema([("document_id", pa.string()), ("content_index", pa.int32()), ("item", pa.int32()), ("kind", pa.string()), ("path", pa.list_(pa.string())), ("refs", pa.list_(pa.int32()))])
-
-    def items(r: dict) -> list:
-        elements = [[(m[1], int(m[2])) for e in s["elements"] or [] if (m := _POINTER.match(e or ""))] for s in r["sections"] or []]
-        roles, texts, blank = (r[k] or [] for k in ("roles", "texts", "blank"))
-        first = [next((k for kind, k in own if kind == "paragraphs" and k < len(roles) and roles[k] == "sectionHeading"), None) for own in elements]
-        headings = [texts[k] or "" if k is not None else "" for k in first]
-        skipped = [b or role == "sectionHeading" or role in EXCLUDED for b, role in zip(blank, roles)]
-        return walked(elements, [s["offset"] or 0 for s in r["sections"] or []], headings, skipped, r["n_tables"], r["n_figures"], orphans)
+    """(document_id, content_index, item, kind, path, ref, used, texts): what is read one after the other in each content.
+
+    ``used`` are the paragraphs of an item and ``texts`` what they say; a figure's are one text.  Figures of a
+    header or footer, or of fewer than three words, are no items.
+    """
+    field = lambda name, c: F.transform("paragraphs", lambda p: F.trim(F.coalesce(p[c], F.lit("")))).alias(name)
+    rows = contents.select(
+        "document_id", "content_index", "sections", field("roles", "role"), field("said", "content"), F.greatest(F.size(F.coalesce("tables", F.array())), F.lit(0)).alias("n_tables"),
+        F.transform("figures", lambda f: F.struct(f["role"].alias("role"), f["elements"].alias("elements"))).alias("figures"),
+    )
+    schema = "document_id string, content_index int, item int, kind string, path array<string>, ref int, used array<int>, texts array<string>"
+    strings, ints = pa.list_(pa.string()), pa.list_(pa.int32())
+    kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), strings, pa.int32(), ints, strings)
+    arrow = pa.schema(list(zip(("document_id", "content_index", "item", "kind", "path", "ref", "used", "texts"), kinds)))
+
+    def pointers(elements: list | None) -> list[tuple[str, int]]:
+        return [(m[1], int(m[2])) for e in elements or [] if (m := _POINTER.match(e or ""))]
+
+    def items(r: dict) -> Iterator[tuple]:
+        sections, figures = r["sections"] or [], r["figures"] or []
+        elements = [pointers(s["elements"]) for s in sections]
+        roles, said = r["roles"] or [], r["said"] or []
+        heads = [next((k for kind, k in own if kind == "paragraphs" and k < len(roles) and roles[k] == "sectionHeading"), None) for own in elements]
+        headings = ["" if k is None else said[k] for k in heads]
+        skipped = [not text or role == "sectionHeading" or role in EXCLUDED for text, role in zip(said, roles)]
+        order = walked(elements, [s["offset"] or 0 for s in sections], headings, skipped, r["n_tables"], len(figures), orphans)
+        for item, (kind, path, refs) in enumerate(order):
+            if kind == "text":
+                yield item, kind, path, refs[0], refs, [said[k] for k in refs]
+            elif kind == "table":
+                yield item, kind, path, refs[0], [], []
+            else:
+                figure = figures[refs[0]]
+                used = [k for kind_, k in pointers(figure["elements"]) if kind_ == "paragraphs" and k < len(said) and said[k] and roles[k] not in EXCLUDED]
+                text = "\n".join(said[k] for k in used)
+                if figure["role"] not in EXCLUDED_FIGURES and len(text.split()) >= FIGURE_WORDS:
+                    yield item, kind, path, refs[0], used, [text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 200):
-                out = [(r["document_id"], r["content_index"], i, *item) for r in batch.slice(k, 200).to_pylist() for i, item in enumerate(items(r))]
-                yield pa.RecordBatch.from_pydict(dict(zip(arrow.names, zip(*out))) if out else {n: [] for n in arrow.names}, arrow)
+                out = [(r["document_id"], r["content_index"], *item) for r in batch.slice(k, 200).to_pylist() for item in items(r)]
+                columns = list(zip(*out)) if out else [()] * len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], schema=arrow)
 
     return rows.mapInArrow(run, schema)
 
@@ -180,24 +202,12 @@ def chunks(envelopes: DataFrame, *, target: int = 200, most: int = 300) -> DataF
     """
     keys = ["document_id", "content_index"]
     contents = contents_of(envelopes)
-    order = reading_order(contents)
     ahead = Window.partitionBy("document_id").orderBy("content_index").rowsBetween(Window.unboundedPreceding, -1)
     size = lambda c: F.greatest(F.size(F.coalesce(F.col(c), F.array())), F.lit(0))
-    base = contents.select(*keys, "paragraphs", "figures", *(F.coalesce(F.sum(size(c)).over(ahead), F.lit(0)).alias(f"{c}_before") for c in ("tables", "figures")))
-    matrices = table_matrices(contents)
-    rows = order.join(base, keys)
-    rows = rows.withColumn("ref", F.get("refs", F.lit(0)))
-    rows = rows.join(matrices.withColumnRenamed("table_index", "ref").withColumn("kind", F.lit("table")), [*keys, "ref", "kind"], "left")
-
-    figure = F.when(F.col("kind") == "figure", F.get("figures", F.col("ref")))
-    of_figure = F.transform(F.coalesce(figure["elements"], F.array().cast("array<string>")), lambda e: F.regexp_extract(e, r"^/paragraphs/(\d+)$", 1).try_cast("int"))
-    refs = F.when(F.col("kind") == "text", F.col("refs")).when(F.col("kind") == "figure", F.filter(of_figure, lambda k: k.isNotNull() & (k < F.size("paragraphs"))))
-    used = F.filter(F.coalesce(refs, F.array().cast("array<int>")), lambda k: ~F.coalesce(F.get("paragraphs", k)["role"], F.lit("")).isin(*EXCLUDED) & (F.trim(F.coalesce(F.get("paragraphs", k)["content"], F.lit(""))) != ""))
-    rows = rows.withColumn("used", used).withColumn("texts", F.transform("used", lambda k: F.trim(F.get("paragraphs", k)["content"])))
-    joined = F.array_join("texts", "\n")
-    left_out = (F.col("kind") == "figure") & (F.coalesce(figure["role"], F.lit("")).isin(*EXCLUDED_FIGURES) | (F.regexp_count(joined, F.lit(r"\S+")) < FIGURE_WORDS))
-    rows = rows.withColumn("figure_no", F.col("figures_before") + F.col("ref") + 1).where(~left_out)
-    rows = rows.withColumn("texts", F.when(F.col("kind") == "figure", F.array(joined)).otherwise(F.col("texts")))
+    sizes = contents.select(*keys, size("tables").alias("tables"), size("figures").alias("figures"))
+    base = sizes.select(*keys, *(F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"{c}_before") for c in ("tables", "figures")))
+    matrices = table_matrices(contents).withColumnRenamed("table_index", "ref").withColumn("kind", F.lit("table"))
+    rows = reading_order(contents).join(base, keys).join(matrices, [*keys, "ref", "kind"], "left").withColumn("figure_no", F.col("figures_before") + F.col("ref") + 1)
 
     @F.pandas_udf("array<struct<content: string, words: int, units: array<int>, first_row: int, last_row: int>>")
     def groups(kind: pd.Series, texts: pd.Series, lines: pd.Series, headers: pd.Series, caption: pd.Series) -> pd.Series:
@@ -215,7 +225,7 @@ def chunks(envelopes: DataFrame, *, target: int = 200, most: int = 300) -> DataF
         return pd.Series(out)
 
     rows = rows.select(
-        *keys, "item", "kind", "path", "refs", "ref", "used", "tables_before", "figure_no", F.posexplode(groups("kind", "texts", "lines", "header_rows", "caption")).alias("part", "g")
+        *keys, "item", "kind", "path", "ref", "used", "tables_before", "figure_no", F.posexplode(groups("kind", "texts", "lines", "header_rows", "caption")).alias("part", "g")
     ).where("g.content <> ''")
     index = F.row_number().over(Window.partitionBy("document_id").orderBy("content_index", "item", "part"))
     number = lambda name, n: F.concat("document_id", F.lit(f":{name}:"), F.format_string("%04d", n))
@@ -289,9 +299,7 @@ def projected_tokens(envelopes: DataFrame) -> DataFrame:
     """(document_id, content_index, position, kind, token_text): texts in the order of reading, with paragraphs that no section lists."""
     contents = contents_of(envelopes)
     order = reading_order(contents, orphans=True).where("kind = 'text'")
-    rows = order.join(contents.select("document_id", "content_index", "paragraphs"), ["document_id", "content_index"])
-    text = F.array_join(F.transform("refs", lambda k: F.trim(F.get("paragraphs", k)["content"])), " ")
-    return rows.select("document_id", "content_index", F.col("item").alias("position"), "kind", text.alias("token_text"))
+    return order.select("document_id", "content_index", F.col("item").alias("position"), "kind", F.array_join("texts", " ").alias("token_text"))
 
 
 def combined_ranges(parts: DataFrame) -> DataFrame:
