@@ -128,7 +128,7 @@ def reading_tokens(t) -> DataFrame:
 
 
 @query("SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_id % 3 = 0 AS bad FROM events")
-def open_properties(t) -> DataFrame:
+def lenient_properties(t) -> DataFrame:
     """Open JSON read leniently: what isn't an object is an empty map."""
     bad = F.col("event_id") % 3 == 0
     told = fn.json_object(F.when(bad, F.concat(F.lit("["), "props", F.lit("]"))).otherwise(F.col("props")))
