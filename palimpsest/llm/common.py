@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +71,14 @@ class Scratch:
                 at.getFileSystem(conf).delete(at, True)
 
 
+def keyed_rows(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with a key that every reading of them gives alike: the place in their Parquet files, else a number they are written with."""
+    try:
+        return rows.withColumn(name, F.concat("_metadata.file_path", F.lit("#"), F.col("_metadata.row_index").cast("string")))
+    except AnalysisException:  # not read from Parquet files
+        return Scratch(rows.sparkSession)(rows.withColumn(name, F.monotonically_increasing_id()), "keyed")
+
+
 #: Rows of texts that Spark sends to a Python worker in one Arrow batch; the buffers of both sides hold one batch.
 BATCH_ROWS = 2500
 

@@ -202,13 +202,13 @@ def mix_texts(docs: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
     spark = docs.sparkSession
     bound_batches(spark, 1000)
     rows, sources, buckets = sized(docs.select("doc_id", "source", "lang", "text"), plan=plan)
-    small = materialize(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", "lang", "size", "spread").where("size > 0"), "sizes")
-    placed = positioned(small, sources, buckets).select("doc_id", "source", "lang", "spread", "src", "start", "size")
-    # one text for rows alike in id, text, source and lang meets each of their places
-    keys = ("spread", "doc_id", "source", "lang")
-    texts = rows.select(*keys, "text").dropDuplicates(keys)
-    alike = [texts[c].eqNullSafe(placed[c]) for c in keys]
-    texts = placed.join(texts, alike).select("src", "start", "size", placed.doc_id, placed.source, placed.lang, "text")
+    # one text for rows alike in all columns meets each of their places; it is shuffled once, by a digest of the row
+    alike = F.md5(F.concat(F.to_json(F.struct("doc_id", "source", "lang"), {"ignoreNullFields": "false"}), F.coalesce("text", F.lit(""))))
+    rows = rows.where("size > 0").withColumn("alike", F.unhex(alike))
+    small = materialize(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", "lang", "size", "spread", "alike"), "sizes")
+    placed = positioned(small, sources, buckets).select("doc_id", "source", "lang", "alike", "src", "start", "size")
+    texts = rows.groupBy("alike").agg(F.first("text").alias("text"))
+    texts = placed.join(texts, "alike").select("src", "start", "size", "doc_id", "source", "lang", "text")
     b = plan.block_words
     schema = "src int, block long, part long, lo long, doc_id long, source string, lang string, text string"
 

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import Scratch, bound_batches, sliced, table
+from palimpsest.llm.common import Scratch, bound_batches, keyed_rows, sliced, table
 from palimpsest.llm.components import components
 from palimpsest.llm.decontaminate import WordHashes, gram_hashes
 
@@ -78,7 +78,8 @@ def _list_of(values: list[np.ndarray]) -> pa.Array:
 def _heads(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Every row's set size, set digest, and the first n-grams of its set, a few more than its prefix; its row key stays, if it has one."""
     held = [c for c in docs.columns if c != "text"]
-    schema = ", ".join(f"{c} {'binary' if c == 'tid' else 'long'}" for c in held) + ", sig binary, n int, head array<long>"
+    kinds = dict(docs.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in held) + ", sig binary, n int, head array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -239,7 +240,7 @@ def jaccard_components(
     """(doc_id, n_shingles, class_id, component_id) for every row of ``docs`` (doc_id, text).
 
     class_id is the smallest doc_id with an equal set, component_id the smallest reachable by links.
-    With ``row_key`` (a long column, different in every row) also row_key and stays: true for every row
+    With ``row_key`` (a column of any sortable kind, different in every row) also row_key and stays: true for every row
     without words and for one row of each component, that of the smallest doc_id (null ones last), then row_key.
     """
     bound_batches(docs.sparkSession)
@@ -330,12 +331,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one row of each component stays, that of its smallest doc_id; all rows without words stay.
 
-    Rows, not ids, are kept: they are written with a key each, so null and repeated ids lose nothing.
+    Rows, not ids, are kept: each has its place in the files of ``docs`` as a key (or is written with one, if
+    ``docs`` isn't read from Parquet files), so null and repeated ids lose nothing.
     """
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    rows = Scratch(spark)(docs.select(*columns, F.monotonically_increasing_id().alias("row_key")), "rows")
-    found = jaccard_components(rows, row_key="row_key").where("stays").select("row_key")
-    return rows.join(found, "row_key", "left_semi").select(*columns)
+    rows = keyed_rows(docs.select(*columns), "row_key")
+    gone = jaccard_components(rows, row_key="row_key").where("NOT stays").select("row_key")
+    return rows.join(gone, "row_key", "left_anti").select(*columns)
 
 
 def oracle_sql(k: int = SHINGLE, percent: int = PERCENT) -> str:
