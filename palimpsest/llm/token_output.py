@@ -90,15 +90,17 @@ def joined(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of whole texts as uint32 arrays; remembers pieces, at most two generations of ``MEMO_PIECES``.
+    """Ids of whole texts as uint32 arrays; remembers pieces, at most two generations of ``memo`` (``MEMO_PIECES``).
 
     Texts are cut into pieces only for a tokenizer whose own split is known to have bounds there
     (byte-level, no normalizer, no added token in the text); any other encodes them whole.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, memo: int | None = None) -> None:
         import os
 
+        self.memo = memo
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -160,7 +162,7 @@ class Encoder:
         self._add(some, np.diff(np.append(begin, len(ids))), ids)
 
     def _cut(self, texts: pa.Array) -> list[np.ndarray]:
-        if len(self.known) > MEMO_PIECES:
+        if len(self.known) > (self.memo or MEMO_PIECES):
             self.before = (self.known, *self._ranges)
             self._renew()
             self._learn(_MARKS)
@@ -206,14 +208,14 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One per worker process and vocabulary; workers outlive tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, memo: int | None = None) -> Encoder:
+    """One per worker process, vocabulary and memory; workers outlive tasks."""
+    if (path, memo) not in _ENCODERS:
+        _ENCODERS[path, memo] = Encoder(path, memo)
+    return _ENCODERS[path, memo]
 
 
 def pack_record(doc_ids: list[int | None], ids: list[np.ndarray], n_ids: int) -> bytes:
@@ -265,9 +267,9 @@ def by_bytes(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, i
         at = to
 
 
-def encode_documents(docs: DataFrame, *, vocabulary: str | None = None, end_id: int = END_ID, order: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode_documents(docs: DataFrame, *, vocabulary: str | None = None, end_id: int = END_ID, order: tuple[str, ...] = ("doc_id",), memo: int | None = None, batch_rows: int = 5000) -> DataFrame:
     """(part, seq, n_docs, n_tokens, payload): records of ``docs`` (doc_id, text) in ascending order of the columns ``order``."""
-    bound_batches(docs.sparkSession, 5000)
+    bound_batches(docs.sparkSession, batch_rows)
     path = vocabulary or tokenizer_path()
     rows = docs.select("doc_id", "text", *(c for c in order if c != "doc_id"))
     keys = [F.col(c).asc_nulls_first() for c in order]
@@ -276,7 +278,7 @@ def encode_documents(docs: DataFrame, *, vocabulary: str | None = None, end_id:
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("payload", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, encode, seq = TaskContext.get().partitionId(), encoder(path), 0
+        part, encode, seq = TaskContext.get().partitionId(), encoder(path, memo), 0
         keys: list[int | None] = []
         ids: list[np.ndarray] = []
         held = 0
@@ -356,5 +358,8 @@ def in_place(docs: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the ids of all rows in the order of ``docs`` (the mix's), written, read back and indexed."""
-    return token_index(materialize(encode_documents(in_place(docs), order=("file", "row")), "tokens"))
+    """Pipeline stage: the ids of all rows in the order of ``docs`` (the mix's), written, read back and indexed.
+
+    Executors have the memory of four stages before behind them: fewer pieces are remembered than in the query.
+    """
+    return token_index(materialize(encode_documents(in_place(docs), order=("file", "row"), memo=150_000, batch_rows=1500), "tokens"))
