@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import decontaminate, html_extract, mixing, ngram_join, quality_classifier, quality_rules, substring_dedup, token_output, toxicity, url_filter
+from palimpsest.llm import decontaminate, html_extract, importance, mixing, ngram_join, quality_classifier, quality_rules, substring_dedup, token_output, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": quality_rules.query,
         "op9_html_extract": html_extract.query,
         "op10_quality_classifier": quality_classifier.query,
+        "op13_importance_resampling": importance.query,
     }
 
 
@@ -30,4 +31,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_decontaminate": decontaminate.oracle_sql(),
         "op6_ngram_join": ngram_join.oracle_sql(),
         "op8_quality_rules": quality_rules.oracle_sql(),
+        "op13_importance_resampling": importance.oracle_sql(),
     }
