@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import decontaminate, html_extract, importance, mixing, ngram_join, periodic_runs, quality_classifier, quality_rules, substring_dedup, token_output, toxicity, url_filter
+from palimpsest.llm import decontaminate, disclosure, html_extract, importance, mixing, ngram_join, periodic_runs, quality_classifier, quality_rules, substring_dedup, token_output, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_html_extract": html_extract.query,
         "op10_quality_classifier": quality_classifier.query,
         "op11_periodic_runs": periodic_runs.query,
+        "op12_pii_sanitisation": disclosure.query,
         "op13_importance_resampling": importance.query,
     }
 
