@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from palimpsest.plans import answers, documents, fields, knowledge, layouts, origins, relational, states  # noqa: F401  (most register with documents)
+from palimpsest.plans import answers, documents, fields, flows, knowledge, layouts, origins, relational, states  # noqa: F401  (most register with documents)
 
 
 def queries() -> dict:
