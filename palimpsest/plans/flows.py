@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.operators import attempts, limits
+from palimpsest.operators import attempts, limits, rebuild
 from palimpsest.plans.documents import query
 
 
@@ -43,3 +43,154 @@ def retry_states(t) -> DataFrame:
     finished = e.where("event_id % 7 <> 0").select(*base, (at + F.col("event_id") % 11 * 200_000_000).alias("at"), F.lit("finished").alias("kind"), (F.col("event_type") == "purchase").alias("ok"))
     now = e.agg((F.max(at) - 86_400_000_000).alias("now")).first().now
     return attempts.retry_states(started.union(finished), F.lit(now), attempts.RetryRules(most=5))
+
+
+# --- rebuild: sources out of orders and line items -------------------------------------------------
+
+
+#: The sources' columns, in SQL that both engines read alike.
+_SNAPSHOTS = "l_orderkey AS original_id, l_returnflag AS kind, l_linestatus AS url, 'S' || CAST(l_partkey % 500 AS STRING) AS sha256, l_suppkey AS size, l_partkey AS compressed_size, 'p' || CAST(l_orderkey AS STRING) AS path"
+_RAW = "'p' || CAST(l_orderkey AS STRING) AS path, l_partkey + CASE WHEN l_orderkey % 10 = 0 THEN 1 ELSE 0 END AS compressed_size, l_suppkey + CASE WHEN l_orderkey % 14 = 0 THEN 1 ELSE 0 END AS size, CASE WHEN l_orderkey % 15 = 0 THEN 'x' ELSE 's' || CAST(l_partkey % 500 AS STRING) END AS sha256"
+_MANIFESTS = """o_orderkey AS document_id, o_orderkey + CASE WHEN o_orderkey % 17 = 0 THEN 1 ELSE 0 END AS inner_id, o_orderstatus <> 'P' AS is_file, CASE WHEN o_orderstatus = 'P' THEN 'PARTIAL' WHEN o_orderkey % 13 <> 0 THEN 'SUCCEEDED' END AS scout_status,
+CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey END AS detail_snapshot_id, 'T' || CAST(o_custkey AS STRING) AS title, 'u' || CAST(o_orderkey AS STRING) AS source_url, CASE WHEN o_orderkey % 5 = 0 THEN 'Folder' ELSE 'File' END AS item_kind,
+CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS filing_date, o_orderpriority AS submitter, CASE WHEN o_orderkey % 7 <> 0 THEN 'C' || CAST(o_custkey AS STRING) END AS company, o_orderstatus AS project, 'N' || CAST(o_orderkey AS STRING) AS filing_number"""
+_FILES = "o_orderkey AS document_id, 'f/' || CAST(o_orderkey AS STRING) AS path, 'H' || CAST(o_custkey AS STRING) AS sha256, o_custkey AS size"
+_SIDECARS = """o_orderkey AS document_id, o_orderkey + CASE WHEN o_orderkey % 19 = 0 THEN 2 ELSE 0 END AS named_id, CASE WHEN o_orderkey % 23 = 0 THEN 'v1' ELSE 'v2' END AS schema, CASE WHEN o_orderkey % 29 = 0 THEN 'x' ELSE 'h' || CAST(o_custkey AS STRING) END AS sha256,
+CAST(CAST(o_orderdate AS DATE) AS STRING) AS downloaded_at, o_orderkey % 2 = 0 AS memberships, 'side ' || CAST(o_custkey AS STRING) AS title, CASE WHEN o_orderkey % 3 <> 0 THEN 's' || CAST(o_orderkey AS STRING) END AS source_url, CASE WHEN o_orderkey % 5 = 0 THEN 'Folder' ELSE 'File' END AS item_kind,
+CAST(CAST(o_orderdate AS DATE) AS STRING) AS filing_date, o_orderpriority AS submitter, 'D' || CAST(o_custkey AS STRING) AS company, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderstatus END AS project, 'N' || CAST(o_orderkey AS STRING) AS filing_number"""
+_PAYLOADS = "l_orderkey AS document_id, CASE WHEN l_partkey % 5 = 0 THEN 'x' ELSE 'h' || CAST(o_custkey AS STRING) END AS sha256, 'a' || CAST(l_linenumber AS STRING) AS analyzer, l_returnflag AS version, CASE WHEN l_partkey % 7 = 0 THEN 'other' WHEN l_partkey % 2 = 0 THEN 'a' || CAST(l_linenumber AS STRING) END AS payload_analyzer, CAST(NULL AS STRING) AS payload_version, l_partkey % 4 AS contents, l_suppkey % 5 AS pages, l_partkey % 3 AS tables, 1 AS sections, l_suppkey % 2 AS warnings"
+_ANALYSES = "l_orderkey AS document_id, 'H' || CAST(o_custkey AS STRING) AS sha256, 'a' || CAST(l_linenumber AS STRING) AS analyzer, l_returnflag AS version, 'r/' || CAST(l_orderkey AS STRING) || '/' || CAST(l_linenumber AS STRING) AS path, l_suppkey AS size, 'Z' || CAST(l_partkey AS STRING) AS artifact_sha256, CAST(CAST(l_shipdate AS DATE) AS STRING) AS updated_at, l_suppkey % 5 AS pages, l_partkey % 6 AS tables, 2 AS sections, CAST(NULL AS BIGINT) AS warnings"
+_ARTIFACTS = "'r/' || CAST(l_orderkey AS STRING) || '/' || CAST(l_linenumber AS STRING) AS path, l_suppkey AS size, CASE WHEN l_partkey % 8 = 0 THEN 'y' ELSE 'z' || CAST(l_partkey AS STRING) END AS sha256"
+
+
+def _rows(rows: DataFrame, columns: str, where: str = "true") -> DataFrame:
+    return rows.sparkSession.sql(f"SELECT {columns} FROM {{rows}} WHERE {where}", rows=rows)
+
+
+def _lines(t) -> DataFrame:
+    least = [F.min(c).alias(c) for c in ("l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")]
+    return t("lineitem").groupBy("l_orderkey", "l_linenumber").agg(*least)
+
+
+def _items(t) -> DataFrame:
+    return _lines(t).join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def _sources(t) -> dict[str, DataFrame]:
+    first = _lines(t).where("l_linenumber = 1")
+    return {
+        "snapshots": _rows(first, _SNAPSHOTS), "raw": _rows(first, _RAW, "l_orderkey % 9 <> 0"), "manifests": _rows(t("orders"), _MANIFESTS, "o_orderkey % 3 <> 0"),
+        "files": _rows(t("orders"), _FILES, "o_orderkey % 4 <> 1"), "sidecars": _rows(t("orders"), _SIDECARS, "o_orderkey % 5 <> 2"), "payloads": _rows(_items(t), _PAYLOADS, "l_linenumber <= 2"),
+        "analyses": _rows(_items(t), _ANALYSES, "l_linenumber <= 2 AND l_orderkey % 3 < 2"), "artifacts": _rows(_lines(t), _ARTIFACTS, "l_orderkey % 10 <> 3"),
+    }
+
+
+_CTES = f"""lines AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey, min(l_returnflag) AS l_returnflag, min(l_linestatus) AS l_linestatus, min(l_shipdate) AS l_shipdate FROM lineitem GROUP BY ALL),
+snap AS (SELECT {_SNAPSHOTS} FROM lines WHERE l_linenumber = 1), raw AS (SELECT {_RAW} FROM lines WHERE l_linenumber = 1 AND l_orderkey % 9 <> 0),
+checked AS (SELECT s.*, CASE WHEN r.path IS NULL THEN 'missing' WHEN s.compressed_size <> r.compressed_size THEN 'compressed_size' WHEN s.size <> r.size THEN 'size' WHEN lower(s.sha256) <> r.sha256 THEN 'sha256' END AS reason FROM snap s LEFT JOIN raw r ON s.path = r.path),
+mapping AS (SELECT original_id, CAST('0x' || substr(sha256(kind || chr(31) || url || chr(31) || lower(sha256)), 1, 15) AS BIGINT) AS snapshot_id FROM checked WHERE reason IS NULL),
+man AS (SELECT {_MANIFESTS} FROM orders WHERE o_orderkey % 3 <> 0), fil AS (SELECT {_FILES} FROM orders WHERE o_orderkey % 4 <> 1), side AS (SELECT {_SIDECARS} FROM orders WHERE o_orderkey % 5 <> 2),
+m AS (SELECT man.*, list_sort(list_filter([CASE WHEN detail_snapshot_id IS NOT NULL AND snapshot_id IS NULL THEN 'detail_snapshot_evidence' END, CASE WHEN coalesce(scout_status, 'PENDING') <> 'SUCCEEDED' THEN 'scout_status:' || coalesce(scout_status, 'PENDING') END], lambda x: x IS NOT NULL)) AS lack
+    FROM man LEFT JOIN mapping ON detail_snapshot_id = original_id WHERE document_id = inner_id),
+f AS (SELECT fil.*, side.* RENAME (document_id AS d_, sha256 AS h_, {", ".join(f"{c} AS s_{c}" for c in rebuild.FACTS)}),
+    CASE WHEN side.document_id IS NULL THEN 'sidecar' WHEN schema <> 'v2' THEN 'sidecar_schema' WHEN named_id <> fil.document_id THEN 'sidecar_document_id' WHEN side.sha256 <> lower(fil.sha256) THEN 'sidecar_sha256' END AS issue FROM fil LEFT JOIN side ON fil.document_id = side.document_id),
+j AS (SELECT coalesce(m.document_id, f.document_id) AS document_id, m.document_id IS NOT NULL AS has_m, f.document_id IS NOT NULL AS has_f, f.document_id IS NOT NULL AND issue IS NULL AS trusted, coalesce(m.is_file, false) OR f.document_id IS NOT NULL AS is_file, f.path, f.sha256, f.issue, coalesce(m.lack, []) AS lack,
+    memberships, s_item_kind, {", ".join(f"m.{c} AS m_{c}, f.s_{c} AS x_{c}" for c in rebuild.FACTS)} FROM m FULL JOIN f ON m.document_id = f.document_id),
+g AS (SELECT *, {", ".join(f"CASE WHEN trusted THEN coalesce(nullif(m_{c}, ''), nullif(x_{c}, '')) WHEN NOT has_f THEN nullif(m_{c}, '') END AS {c}" for c in rebuild.FACTS)},
+    list_sort(list_distinct(list_filter(CASE WHEN trusted THEN list_concat(lack, [CASE WHEN NOT has_m THEN 'scout_raw_evidence' END, CASE WHEN x_item_kind = 'Folder' AND NOT memberships THEN 'container_relationships' END, {", ".join(f"CASE WHEN coalesce(x_{c}, '') = '' THEN '{c}' END" for c in rebuild.FACTS)}])
+        WHEN has_f THEN list_concat([{", ".join(f"'{c}'" for c in rebuild.MINIMAL)}], [issue]) ELSE lack END, lambda x: x IS NOT NULL))) AS missing FROM j),
+rebuilt AS (SELECT document_id, is_file, {", ".join(rebuild.FACTS)}, path, sha256, concat_ws('+', CASE WHEN has_m AND (trusted OR NOT has_f) THEN 'manifest' END, CASE WHEN trusted THEN 'sidecar' END, CASE WHEN has_f THEN 'file' END) AS recovered_from,
+    CASE WHEN has_f AND NOT trusted AND NOT has_m THEN 'minimal' WHEN len(missing) > 0 THEN 'partial' ELSE 'complete' END AS completeness,
+    CASE WHEN has_f AND NOT trusted THEN 'RECOVERED_MINIMAL' WHEN CASE WHEN has_m THEN len(lack) > 0 ELSE len(missing) > 0 END THEN 'RECOVERED_PARTIAL' ELSE 'RECOVERED_COMPLETE' END AS state,
+    has_f AND NOT trusted OR CASE WHEN has_m THEN len(lack) > 0 ELSE len(missing) > 0 END AS refresh, missing FROM g)"""
+
+
+def _rebuilt(t) -> tuple[dict[str, DataFrame], DataFrame]:
+    s = _sources(t)
+    mapping = rebuild.snapshot_mapping(rebuild.checked_snapshots(s["snapshots"], s["raw"]))
+    return s, rebuild.rebuilt_documents(rebuild.manifest_documents(s["manifests"], mapping), rebuild.trusted_sidecars(s["files"], s["sidecars"], "v2"))
+
+
+@query(f"WITH {_CTES} SELECT original_id, reason, CASE WHEN reason IS NULL THEN CAST('0x' || substr(sha256(kind || chr(31) || url || chr(31) || lower(sha256)), 1, 15) AS BIGINT) END AS snapshot_id FROM checked")
+def recovered_snapshots(t) -> DataFrame:
+    """Snapshots that their artifacts bear out, with new ids, and why others aren't."""
+    s = _sources(t)
+    return rebuild.checked_snapshots(s["snapshots"], s["raw"]).select("original_id", "reason", "snapshot_id")
+
+
+@query(f"WITH {_CTES} SELECT * REPLACE (array_to_string(missing, ',') AS missing) FROM rebuilt")
+def rebuilt_ledger(t) -> DataFrame:
+    """Documents out of manifests, sidecars and files, with their grade and what they lack."""
+    return _rebuilt(t)[1].withColumn("missing", F.array_join("missing", ","))
+
+
+@query(f"WITH {_CTES} SELECT document_id, CASE WHEN completeness = 'minimal' THEN 'HIGH' ELSE 'NORMAL' END AS priority, array_to_string(missing, ',') AS missing FROM rebuilt WHERE refresh AND len(missing) > 0")
+def repair_queue(t) -> DataFrame:
+    return rebuild.repair_queue(_rebuilt(t)[1]).withColumn("missing", F.array_join("missing", ","))
+
+
+_CTES_A = f"""{_CTES}, items AS (SELECT l.*, o_custkey FROM lines l JOIN orders ON l_orderkey = o_orderkey), pay AS (SELECT {_PAYLOADS} FROM items WHERE l_linenumber <= 2),
+pc AS (SELECT pay.*, CASE WHEN f.document_id IS NULL THEN 'unmatched' WHEN coalesce(payload_analyzer, analyzer) <> analyzer OR contents = 0 THEN 'invalid' ELSE 'recovered' END AS outcome FROM pay LEFT JOIN fil f ON pay.document_id = f.document_id AND pay.sha256 = lower(f.sha256)),
+ra AS (SELECT document_id, sha256, analyzer, version, nullif(pages, 0) AS pages, nullif(tables, 0) AS tables, sections, warnings FROM pc WHERE outcome = 'recovered'),
+am AS (SELECT {_ANALYSES} FROM items WHERE l_linenumber <= 2 AND l_orderkey % 3 < 2), art AS (SELECT {_ARTIFACTS} FROM lines WHERE l_orderkey % 10 <> 3),
+ac AS (SELECT am.* REPLACE (lower(am.sha256) AS sha256), CASE WHEN r.document_id IS NULL THEN 'unmatched' WHEN art.path IS NULL OR am.size <> art.size OR lower(artifact_sha256) <> art.sha256 THEN 'invalid' ELSE 'restored' END AS outcome
+    FROM am LEFT JOIN rebuilt r ON am.document_id = r.document_id AND lower(am.sha256) = lower(r.sha256) LEFT JOIN art ON am.path = art.path),
+rs AS (SELECT document_id, sha256, analyzer, version, pages, tables, sections, warnings FROM ac WHERE outcome = 'restored')"""
+
+
+def _overlay(t) -> tuple[DataFrame, rebuild.Overlay]:
+    s, rebuilt = _rebuilt(t)
+    checked = rebuild.checked_analyses(s["payloads"], s["files"])
+    return checked, rebuild.overlay(rebuilt, s["manifests"], rebuild.recovered_analyses(checked), s["analyses"], s["artifacts"])
+
+
+@query(f"WITH {_CTES_A} SELECT document_id, analyzer, outcome, count(*) AS n FROM pc GROUP BY ALL")
+def artifact_outcomes(t) -> DataFrame:
+    """Analysis artifacts by what is to be made of them."""
+    s = _sources(t)
+    return rebuild.checked_analyses(s["payloads"], s["files"]).groupBy("document_id", "analyzer", "outcome").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {_CTES_A}, o AS (SELECT r.* REPLACE ({", ".join(f"CASE WHEN m.document_id IS NOT NULL THEN " + (f"coalesce(m.{c}, '')" if c in ("title", "source_url") else f"m.{c}") + f" ELSE r.{c} END AS {c}" for c in rebuild.FACTS)}), m.document_id IS NOT NULL AS exact FROM rebuilt r LEFT JOIN m ON r.document_id = m.document_id)
+SELECT * REPLACE (array_to_string(missing, ',') AS missing) FROM o""")
+def overlaid_documents(t) -> DataFrame:
+    """Rebuilt documents with the facts of verified manifests over them."""
+    return _overlay(t)[1].documents.withColumn("missing", F.array_join("missing", ","))
+
+
+@query(f"""WITH {_CTES_A} SELECT document_id, sha256, analyzer, version, {", ".join(f"CASE WHEN rs.document_id IS NOT NULL THEN rs.{c} ELSE ra.{c} END AS {c}" for c in rebuild.COUNTS)}, CASE WHEN rs.document_id IS NOT NULL THEN 'manifest' ELSE 'artifact' END AS source FROM ra FULL JOIN rs USING (document_id, sha256, analyzer, version)""")
+def overlaid_analyses(t) -> DataFrame:
+    """Analyses of artifacts, verified manifests over them."""
+    return _overlay(t)[1].analyses
+
+
+@query(f"""WITH {_CTES_A}, d AS (SELECT m.document_id, unnest([{", ".join(f"{{'field': '{c}', 'b': r.{c}, 'a': " + (f"coalesce(m.{c}, '')" if c in ("title", "source_url") else f"m.{c}") + "}" for c in rebuild.FACTS)}]) AS c FROM rebuilt r JOIN m ON r.document_id = m.document_id),
+a AS (SELECT ra.document_id || ':' || ra.sha256 || ':' || ra.analyzer || ':' || ra.version AS k, unnest([{", ".join(f"{{'field': '{c}', 'b': CAST(ra.{c} AS VARCHAR), 'a': CAST(rs.{c} AS VARCHAR)}}" for c in rebuild.COUNTS)}]) AS c FROM ra JOIN rs USING (document_id, sha256, analyzer, version)),
+e AS (SELECT 'document' AS entity, CAST(document_id AS VARCHAR) AS key, c FROM d UNION ALL SELECT 'analysis', k, c FROM a)
+SELECT entity, key, c.field AS field, c.b AS before, c.a AS after FROM e WHERE c.b <> '' AND c.b IS DISTINCT FROM c.a""")
+def overlay_conflicts(t) -> DataFrame:
+    """Every value that the overlay changed."""
+    return _overlay(t)[1].conflicts
+
+
+@query(f"""WITH {_CTES_A}, c AS (SELECT 'document' AS entity, 'updated' AS outcome FROM rebuilt r JOIN m ON r.document_id = m.document_id UNION ALL SELECT 'document', 'missing_document' FROM m ANTI JOIN rebuilt USING (document_id)
+UNION ALL SELECT 'document', 'invalid_manifest' FROM man WHERE document_id <> inner_id UNION ALL SELECT 'analysis', outcome FROM ac) SELECT entity, outcome, count(*) AS n FROM c GROUP BY ALL""")
+def overlay_counts(t) -> DataFrame:
+    return _overlay(t)[1].counts
+
+
+#: A document's metadata: references at several depths, some of them unmapped, as text, or not numbers.
+_REFERENCES = """to_json(named_struct('snapshot_id', l_orderkey, 'note', l_returnflag, 'facets', array(named_struct('detail_snapshot_id', cast(l_orderkey + 1 as string), 'deep', array(array(named_struct('snapshot_ids', array(l_orderkey, l_orderkey + 2, l_orderkey + 3)))))), 'other', named_struct('snapshot_id', 'none')))"""
+
+
+@query(f"""WITH {_CTES} SELECT l_orderkey AS document_id, a.snapshot_id AS own, b.snapshot_id AS detail, array_to_string(list_filter([a.snapshot_id, c.snapshot_id, d.snapshot_id], lambda x: x IS NOT NULL), ',') AS listed, l_returnflag AS note, true AS unreadable
+FROM lines l LEFT JOIN mapping a ON l_orderkey = a.original_id LEFT JOIN mapping b ON l_orderkey + 1 = b.original_id LEFT JOIN mapping c ON l_orderkey + 2 = c.original_id LEFT JOIN mapping d ON l_orderkey + 3 = d.original_id WHERE l_linenumber = 1""")
+def remapped_references(t) -> DataFrame:
+    """Snapshot ids anywhere in open metadata put over to the rebuilt ledger's."""
+    s = _sources(t)
+    mapping = rebuild.snapshot_mapping(rebuild.checked_snapshots(s["snapshots"], s["raw"]))
+    rows = _lines(t).where("l_linenumber = 1").select(F.col("l_orderkey").alias("document_id"), F.expr(_REFERENCES).alias("metadata"))
+    at = lambda path: F.get_json_object("metadata", path)
+    listed = F.array_join(F.from_json(at("$.facets[0].deep[0][0].snapshot_ids"), "array<string>"), ",")
+    out = rebuild.remapped_references(rows, "metadata", mapping)
+    return out.select("document_id", at("$.snapshot_id").cast("long").alias("own"), at("$.facets[0].detail_snapshot_id").cast("long").alias("detail"), listed.alias("listed"), at("$.note").alias("note"), at("$.other.snapshot_id").isNull().alias("unreadable"))
