@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import Scratch, bound_batches, materialize, sliced, table
-from palimpsest.llm.decontaminate import _LOWER, WordHashes, gram_hashes
+from palimpsest.llm.decontaminate import _LOWER, gram_hashes
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalised", "removed")
@@ -51,8 +51,11 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
-#: Words, and what mentions are overwritten with.
+#: Words, and what mentions are overwritten with; of texts in a row also what stands between them.
 _TOKEN = re.compile(r"\x01+|[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_TOKENS = re.compile(r"[\x01\x02]|[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Characters of texts that a task looks through at a time (or one text), and words whose hashes it remembers.
+_AT_A_TIME, _MEMO_WORDS = 1_000_000, 200_000
 
 
 @dataclass(frozen=True)
@@ -114,20 +117,26 @@ def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join([*parts, text[at:]])
 
 
-class Terms:
-    """Hashes of a masked text's one- and two-word terms by place, and whether a mention is part of each."""
+class Hashes:
+    """64-bit hashes of words, with a bounded memory of those seen."""
 
     def __init__(self) -> None:
-        self.hashes = WordHashes()
+        self.seen: dict[str, int] = {}
 
-    def __call__(self, text: str, marked: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        words = _TOKEN.findall(text)
-        one = self.hashes(words)
-        two = gram_hashes(one, 2)
-        free = np.ones(len(words), bool)
-        if marked or "\x01" in text:
-            free = np.fromiter((w[0] != "\x01" for w in words), bool, len(words))
-        return one, two, free, free[:-1] & free[1:]
+    def __call__(self, words: list[str]) -> np.ndarray:
+        seen = self.seen
+        if len(seen) > _MEMO_WORDS:
+            seen.clear()
+        for w in set(words).difference(seen):
+            seen[w] = xxhash.xxh3_64_intdigest(w)
+        return np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
+
+
+def hashed_terms(words: list[str], hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of a masked text's one- and two-word terms by place, and whether each is free of mentions."""
+    one = hashes(words)
+    free = np.fromiter((w[0] != "\x01" for w in words), bool, len(words))
+    return one, gram_hashes(one, 2), free, free[:-1] & free[1:]
 
 
 _SLOT_BITS = 22
@@ -142,15 +151,47 @@ def bitmap(terms: DataFrame) -> np.ndarray:
     return np.unpackbits(words.astype("<i8").view(np.uint8), bitorder="little").astype(bool)
 
 
-def _in(bits: np.ndarray, hashes: np.ndarray, free: np.ndarray) -> np.ndarray:
-    return bits[(hashes >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)] & free
+_MARKS = [np.uint64(xxhash.xxh3_64_intdigest(x)) for x in "\x01\x02"]
+
+
+def found_terms(texts: list[str], bits: np.ndarray, hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, token, words) of every term of one or two words in the bitmap, of masked ``texts`` looked through in one go.
+
+    A token counts as ``_TOKENS`` has them, so a mark counts once for each of its characters.
+    """
+    one = hashes(_TOKENS.findall("\x02".join(texts)))
+    if not len(one):
+        return (np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))
+    between = one == _MARKS[1]
+    word = ~between & (one != _MARKS[0])
+    slot = lambda h: bits[(h >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)]
+    two = gram_hashes(one, 2)
+    at = [np.flatnonzero(slot(one) & word), np.flatnonzero(slot(two) & word[:-1] & word[1:]) if len(two) else np.empty(0, np.int64)]
+    every = np.concatenate(at)
+    ends = np.flatnonzero(between)
+    text = np.searchsorted(ends, every)
+    first = np.concatenate([[0], ends + 1])[text]
+    return text, np.concatenate([one[at[0]], two[at[1]]]), every - first, np.repeat([1, 2], [len(at[0]), len(at[1])])
+
+
+def _some_texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """(place of the first, texts) of runs of rows with at most ``_AT_A_TIME`` characters, or one row."""
+    first, held, size = 0, [], 0
+    for k, text in enumerate(column.to_pylist()):
+        if held and size + len(text or "") > _AT_A_TIME:
+            yield first, held
+            first, held, size = k, [], 0
+        held.append(text or "")
+        size += len(text or "")
+    if held:
+        yield first, held
 
 
 def mentions(docs: DataFrame, plan: Disclosure = Disclosure()) -> DataFrame:
     """(entity, term, digest): once for every row, entity in it and term near a mention; term 0 stands for the entity itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Terms()
+        hashes = Hashes()
         for batch in sliced(batches):
             rows: list[np.ndarray] = [np.empty((0, 3), np.uint64)]
             for text in batch.column(0).to_pylist():
@@ -158,7 +199,7 @@ def mentions(docs: DataFrame, plan: Disclosure = Disclosure()) -> DataFrame:
                 if not spans:
                     continue
                 own = masked(text, spans)
-                one, two, free, both = of(own, True)
+                one, two, free, both = hashed_terms(_TOKEN.findall(own), hashes)
                 begins = np.fromiter((m.start() for m in _TOKEN.finditer(own)), np.int64, len(one))
                 near: dict[int, list[np.ndarray]] = {}
                 for kind, a, b in spans:
@@ -186,21 +227,21 @@ def term_rows(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(bits)  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, bits, held, n = Terms(), sent.value, [], 0
+        hashes, bits, held, n = Hashes(), sent.value, [], 0
 
         def counted() -> pa.RecordBatch:
             terms, counts = np.unique(np.concatenate(held or [np.empty(0, np.uint64)]), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts.astype(np.int64))], ["term", "n"])
 
-        for batch in sliced(batches):
-            for text in batch.column(0).to_pylist():
-                if not text:
-                    continue
-                spans = base_spans(text)
-                one, two, free, both = of(masked(text, spans), bool(spans))
-                found = np.unique(np.concatenate([one[_in(bits, one, free)], two[_in(bits, two, both)]]))
-                held.append(found)
-                n += len(found)
+        for batch in batches:
+            for _, some in _some_texts(batch.column(0)):
+                text, term, _, _ = found_terms([masked(x, base_spans(x)) for x in some], bits, hashes)
+                order = np.lexsort((term, text))  # a term counts once in a text
+                text, term = text[order], term[order]
+                new = np.ones(len(term), bool)
+                new[1:] = (term[1:] != term[:-1]) | (text[1:] != text[:-1])
+                held.append(term[new])
+                n += int(new.sum())
                 if n > _FLUSH:
                     yield counted()
                     held, n = [], 0
@@ -240,20 +281,21 @@ def _occurrences(rows: DataFrame, bits: np.ndarray) -> DataFrame:
     places_ = pa.list_(pa.struct([("term", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, bits = Terms(), sent.value
-        for batch in sliced(batches):
-            base, places = [], []
-            for text in batch.column(2).to_pylist():
-                spans, own = base_spans(text or ""), []
-                lower = masked(text or "", spans)
-                one, two, free, both = of(lower, bool(spans))
-                hits = [(h, np.flatnonzero(_in(bits, h, ok)), k) for k, (h, ok) in enumerate(((one, free), (two, both)))]
-                if any(len(at) for _, at, _ in hits):
-                    where = [m.span() for m in _TOKEN.finditer(lower)]
-                    own = [{"term": int(h[i].view(np.int64)), "start": where[i][0], "end": where[i + k][1]} for h, at, k in hits for i in at.tolist()]
-                base.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
-                places.append(own)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(base, _SPANS), pa.array(places, places_)], ["row", "doc_id", "base", "places"])
+        hashes, bits = Hashes(), sent.value
+        for batch in batches:
+            for k, some in _some_texts(batch.column(2)):
+                spans = [base_spans(x) for x in some]
+                lower = [masked(x, own) for x, own in zip(some, spans)]
+                places: list[list[dict]] = [[] for _ in some]
+                where: tuple[int, list] = (-1, [])
+                hits = sorted(zip(*(x.tolist() for x in found_terms(lower, bits, hashes))))
+                for text, term, token, n in hits:
+                    if where[0] != text:
+                        where = text, [m.span() for m in _TOKENS.finditer(lower[text])]
+                    places[text].append({"term": term - (term >> 63 << 64), "start": where[1][token][0], "end": where[1][token + n - 1][1]})
+                base = [[{"kind": kind, "start": a, "end": b} for kind, a, b in own] for own in spans]
+                part = batch.slice(k, len(some))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(base, _SPANS), pa.array(places, places_)], ["row", "doc_id", "base", "places"])
 
     return rows.mapInArrow(run, f"row long, doc_id long, base {_SPAN}, places array<struct<term:long,start:long,end:long>>")
 
