@@ -89,11 +89,12 @@ def walk_references(value: Any, meet: Callable[[Any], Any]) -> Any:
     return root[0]
 
 
-def _parsed(text: str | None) -> Any:
+def _parsed(text: str) -> list:
+    """The value in a list, or an empty list if there is none."""
     try:
-        return json.loads(text) if text is not None else None
+        return [json.loads(text)]
     except (ValueError, RecursionError):
-        return None
+        return []
 
 
 def remapped_references(rows: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
@@ -119,10 +120,10 @@ def remapped_references(rows: DataFrame, column: str, mapping: DataFrame) -> Dat
     def put(texts, olds, news):
         def made(text, old, new):
             value = _parsed(text)
-            if value is None:
+            if not value:
                 return None
             known = {int(a): int(b) for a, b in zip(old, new)} if old is not None else {}
-            return json.dumps(walk_references(value, lambda v: known.get(as_id(v))), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+            return json.dumps(walk_references(value, lambda v: known.get(as_id(v)))[0], sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
         return type(texts)([made(*x) for x in zip(texts, olds, news)], dtype=object)
 
