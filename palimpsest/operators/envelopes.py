@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions.text import source_regions
-from palimpsest.operators.sequences import packed, split_text
+from palimpsest.operators.sequences import groups_of, packed, words_in
 
 # Roles whose paragraphs never reach a chunk, roles of figures that don't, and the least words of a figure.
 EXCLUDED = ("pageHeader", "pageFooter", "pageNumber")
@@ -96,52 +96,72 @@ def walked(sections: list[list[tuple[str, int]]], offsets: list[int], headings:
 
 
 def contents_of(envelopes: DataFrame) -> DataFrame:
-    return envelopes.select("document_id", F.posexplode("contents").alias("content_index", "c")).select("document_id", "content_index", "c.*")
+    """A row for each content, with its place and the tables and figures of the contents before it."""
+    sizes = lambda field: F.transform("contents", lambda c: F.greatest(F.size(F.coalesce(c[field], F.array())), F.lit(0)))
+    before = lambda field: F.transform(sizes(field), lambda _, i: F.aggregate(F.slice(sizes(field), F.lit(1), i), F.lit(0), lambda a, n: a + n))
+    zipped = F.arrays_zip(F.col("contents").alias("c"), before("tables").alias("t"), before("figures").alias("f"))
+    each = envelopes.select("document_id", F.posexplode(zipped).alias("content_index", "z"))
+    return each.select("document_id", "content_index", F.col("z.t").alias("tables_before"), F.col("z.f").alias("figures_before"), "z.c.*")
+
+
+def matrix(row_count: int | None, column_count: int | None, cells: list | None) -> tuple[list[str], list[int]]:
+    """Lines of a table (its cells joined by tabs, without blanks at the end) and its header rows: the last cell of a place counts, those outside don't."""
+    placed, headers = {}, set()
+    for x in cells if cells is not None else ():
+        at = x["row"] or 0, x["col"] or 0
+        placed[at] = (x["content"] or "").strip(" ")
+        if x["kind"] in HEADER_KINDS:
+            headers.add(at[0])
+    columns = range(column_count or 0)
+    return ["\t".join(placed.get((r, c), "") for c in columns).rstrip(" \t\n\v\f\r") for r in range(row_count or 0)], sorted(headers)
 
 
 def reading_order(contents: DataFrame, orphans: bool = False) -> DataFrame:
-    """(document_id, content_index, item, kind, path, ref, used, texts): what is read one after the other in each content.
+    """(document_id, content_index, tables_before, figures_before, item, kind, path, ref, used, texts, lines, header_rows, caption): what is read in each content, in order.
 
-    ``used`` are the paragraphs of an item and ``texts`` what they say; a figure's are one text.  Figures of a
-    header or footer, or of fewer than three words, are no items.
+    ``used`` are the paragraphs of an item and ``texts`` what they say; a figure's are one text, a table has lines
+    instead.  Figures of a header or footer, or of fewer than three words, are no items.
     """
     field = lambda name, c: F.transform("paragraphs", lambda p: F.trim(F.coalesce(p[c], F.lit("")))).alias(name)
+    cells = lambda x: F.transform(x["cells"], lambda c: F.struct(*(c[f].alias(f) for f in ("row", "col", "content", "kind"))))
     rows = contents.select(
-        "document_id", "content_index", "sections", field("roles", "role"), field("said", "content"), F.greatest(F.size(F.coalesce("tables", F.array())), F.lit(0)).alias("n_tables"),
+        "document_id", "content_index", "tables_before", "figures_before", "sections", field("roles", "role"), field("said", "content"),
+        F.transform("tables", lambda x: F.struct(x["row_count"].alias("row_count"), x["column_count"].alias("column_count"), x["caption"].alias("caption"), cells(x).alias("cells"))).alias("tables"),
         F.transform("figures", lambda f: F.struct(f["role"].alias("role"), f["elements"].alias("elements"))).alias("figures"),
     )
-    schema = "document_id string, content_index int, item int, kind string, path array<string>, ref int, used array<int>, texts array<string>"
+    schema = "document_id string, content_index int, tables_before int, figures_before int, item int, kind string, path array<string>, ref int, used array<int>, texts array<string>, lines array<string>, header_rows array<int>, caption string"
     strings, ints = pa.list_(pa.string()), pa.list_(pa.int32())
-    kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), strings, pa.int32(), ints, strings)
-    arrow = pa.schema(list(zip(("document_id", "content_index", "item", "kind", "path", "ref", "used", "texts"), kinds)))
+    kinds = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), strings, pa.int32(), ints, strings, strings, ints, pa.string())
+    arrow = pa.schema(list(zip((x.split()[0] for x in schema.split(", ")), kinds)))
 
     def pointers(elements: list | None) -> list[tuple[str, int]]:
         return [(m[1], int(m[2])) for e in elements or [] if (m := _POINTER.match(e or ""))]
 
     def items(r: dict) -> Iterator[tuple]:
-        sections, figures = r["sections"] or [], r["figures"] or []
+        sections, tables, figures = r["sections"] or [], r["tables"] or [], r["figures"] or []
         elements = [pointers(s["elements"]) for s in sections]
         roles, said = r["roles"] or [], r["said"] or []
         heads = [next((k for kind, k in own if kind == "paragraphs" and k < len(roles) and roles[k] == "sectionHeading"), None) for own in elements]
         headings = ["" if k is None else said[k] for k in heads]
         skipped = [not text or role == "sectionHeading" or role in EXCLUDED for text, role in zip(said, roles)]
-        order = walked(elements, [s["offset"] or 0 for s in sections], headings, skipped, r["n_tables"], len(figures), orphans)
+        order = walked(elements, [s["offset"] or 0 for s in sections], headings, skipped, len(tables), len(figures), orphans)
         for item, (kind, path, refs) in enumerate(order):
             if kind == "text":
-                yield item, kind, path, refs[0], refs, [said[k] for k in refs]
+                yield item, kind, path, refs[0], refs, [said[k] for k in refs], None, None, None
             elif kind == "table":
-                yield item, kind, path, refs[0], [], []
+                table = tables[refs[0]]
+                yield item, kind, path, refs[0], [], [], *matrix(table["row_count"], table["column_count"], table["cells"]), table["caption"]
             else:
                 figure = figures[refs[0]]
                 used = [k for kind_, k in pointers(figure["elements"]) if kind_ == "paragraphs" and k < len(said) and said[k] and roles[k] not in EXCLUDED]
                 text = "\n".join(said[k] for k in used)
                 if figure["role"] not in EXCLUDED_FIGURES and len(text.split()) >= FIGURE_WORDS:
-                    yield item, kind, path, refs[0], used, [text]
+                    yield item, kind, path, refs[0], used, [text], None, None, None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 200):
-                out = [(r["document_id"], r["content_index"], *item) for r in batch.slice(k, 200).to_pylist() for item in items(r)]
+                out = [(r["document_id"], r["content_index"], r["tables_before"], r["figures_before"], *item) for r in batch.slice(k, 200).to_pylist() for item in items(r)]
                 columns = list(zip(*out)) if out else [()] * len(kinds)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], schema=arrow)
 
@@ -149,48 +169,26 @@ def reading_order(contents: DataFrame, orphans: bool = False) -> DataFrame:
 
 
 def table_matrices(contents: DataFrame) -> DataFrame:
-    """(document_id, content_index, table_index, caption, lines, header_rows): cells by row and column, the last of a place counts.
-
-    Cells outside the table are left out; a line is its row's cells joined by tabs, without blanks at its end.
-    """
+    """(document_id, content_index, table_index, caption, row_count, column_count, lines, header_rows) of every table, each by itself."""
     keys = ["document_id", "content_index", "table_index"]
     tables = contents.select("document_id", "content_index", F.posexplode("tables").alias("table_index", "t")).select(*keys, "t.*")
+
+    @F.pandas_udf("struct<lines: array<string>, header_rows: array<int>>")
+    def made(rows: pd.Series, columns: pd.Series, cells: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([matrix(*x) for x in zip(rows, columns, cells)], columns=["lines", "header_rows"])
+
     shape = [F.coalesce("row_count", F.lit(0)).alias("row_count"), F.coalesce("column_count", F.lit(0)).alias("column_count")]
-    cells = tables.select(*keys, *shape, F.posexplode("cells").alias("at", "x")).select(*keys, "row_count", "column_count", "at", "x.*")
-    cells = cells.withColumns({"row": F.coalesce("row", F.lit(0)), "col": F.coalesce("col", F.lit(0))})
-    headers = cells.where(F.col("kind").isin(*HEADER_KINDS)).groupBy(*keys).agg(F.array_sort(F.collect_set("row")).alias("header_rows"))
-    inside = cells.where("row >= 0 AND row < row_count AND col >= 0 AND col < column_count")
-    one = inside.groupBy(*keys, "row", "col", "column_count").agg(F.max_by(F.trim(F.coalesce("content", F.lit(""))), "at").alias("content"))
-    rows = one.groupBy(*keys, "row", "column_count").agg(F.map_from_entries(F.collect_list(F.struct("col", "content"))).alias("by_col"))
-    filled = F.transform(F.sequence(F.lit(0), F.col("column_count") - 1), lambda c: F.coalesce(F.try_element_at("by_col", c), F.lit("")))
-    lines = rows.select(*keys, F.struct("row", F.regexp_replace(F.array_join(filled, "\t"), r"\s+$", "").alias("line")).alias("l"))
-    by_row = lines.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("l.row", "l.line"))).alias("by_row"))
-    every = F.transform(F.sequence(F.lit(0), F.col("row_count") - 1), lambda r: F.coalesce(F.try_element_at("by_row", r), F.lit("")))
-    none = F.array().cast("array<string>")
-    out = tables.select(*keys, "caption", *shape).join(by_row, keys, "left").join(headers, keys, "left")
-    lines_ = F.when((F.col("row_count") > 0) & (F.col("column_count") > 0), every).otherwise(F.when(F.col("row_count") > 0, F.array_repeat(F.lit(""), F.col("row_count"))).otherwise(none))
-    return out.select(*keys, "caption", "row_count", "column_count", lines_.alias("lines"), F.coalesce("header_rows", F.array().cast("array<int>")).alias("header_rows"))
+    out = tables.select(*keys, "caption", *shape, "cells").withColumn("m", made("row_count", "column_count", "cells"))
+    return out.select(*keys, "caption", "row_count", "column_count", "m.lines", "m.header_rows")
 
 
 def table_parts(lines: list[str], headers: list[int], target: int, most: int) -> list[tuple[str, int, int]]:
-    """(text, first row, last row) of parts; from the second on the header lines come before, and count once a part is closed."""
-    head = [lines[k] for k in headers if 0 <= k < len(lines) and lines[k].strip()]
-    extra = sum(len(x.split()) for x in head)
-    parts: list[list[int]] = []
-    run: list[int] = []
-    held = 0
-    for k, line in enumerate(lines):
-        n = len(line.split())
-        if not n:
-            continue
-        if run and held + n + (extra if parts else 0) > most:
-            parts, run, held = [*parts, run], [], 0
-        run, held = [*run, k], held + n
-        if held >= target:
-            parts, run, held = [*parts, run], [], 0
-    if run:
-        parts.append(run)
-    return [("\n".join((head if i else []) + [lines[k] for k in rows]), rows[0], rows[-1]) for i, rows in enumerate(parts)]
+    """(text, first row, last row) of the groups of a table's rows that aren't blank; all but the first have the header lines before them."""
+    sizes = [words_in(line) for line in lines]
+    rows = [k for k, n in enumerate(sizes) if n]
+    head = [k for k in headers if 0 <= k < len(lines) and sizes[k]]
+    spans = groups_of([sizes[k] for k in rows], target, most, later=sum(sizes[k] for k in head))
+    return [("\n".join(lines[k] for k in (head if a else []) + rows[a:b]), rows[a], rows[b - 1]) for a, b in spans]
 
 
 def chunks(envelopes: DataFrame, *, target: int = 200, most: int = 300) -> DataFrame:
@@ -201,13 +199,7 @@ def chunks(envelopes: DataFrame, *, target: int = 200, most: int = 300) -> DataF
     header or footer gives none.  Tables and figures are numbered over all contents of a document.
     """
     keys = ["document_id", "content_index"]
-    contents = contents_of(envelopes)
-    ahead = Window.partitionBy("document_id").orderBy("content_index").rowsBetween(Window.unboundedPreceding, -1)
-    size = lambda c: F.greatest(F.size(F.coalesce(F.col(c), F.array())), F.lit(0))
-    sizes = contents.select(*keys, size("tables").alias("tables"), size("figures").alias("figures"))
-    base = sizes.select(*keys, *(F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"{c}_before") for c in ("tables", "figures")))
-    matrices = table_matrices(contents).withColumnRenamed("table_index", "ref").withColumn("kind", F.lit("table"))
-    rows = reading_order(contents).join(base, keys).join(matrices, [*keys, "ref", "kind"], "left").withColumn("figure_no", F.col("figures_before") + F.col("ref") + 1)
+    rows = reading_order(contents_of(envelopes)).withColumn("figure_no", F.col("figures_before") + F.col("ref") + 1)
 
     @F.pandas_udf("array<struct<content: string, words: int, units: array<int>, first_row: int, last_row: int>>")
     def groups(kind: pd.Series, texts: pd.Series, lines: pd.Series, headers: pd.Series, caption: pd.Series) -> pd.Series:
@@ -284,10 +276,14 @@ def structure_counts(envelopes: DataFrame) -> DataFrame:
 
 
 def merged_regions(sources: DataFrame, key: str) -> DataFrame:
-    """(key, pages, page_start, page_end): the distinct pages of all regions of a key's ``source`` texts."""
+    """(key, regions, pages, page_start, page_end): the distinct regions (page, polygon) of a key's ``source`` texts, by page, then polygon.
+
+    A region without numbers has a null polygon and comes first of its page; a key without regions has empty arrays.
+    """
     each = sources.select(key, F.explode_outer(source_regions(F.coalesce("source", F.lit("")))).alias("r"))
-    distinct = each.select(key, "r.page").distinct().groupBy(key)
-    return distinct.agg(F.array_sort(F.collect_list("page")).alias("pages"), F.min("page").alias("page_start"), F.max("page").alias("page_end"))
+    distinct = each.select(key, "r.page", "r.polygon").distinct().groupBy(key)
+    regions = F.array_sort(F.collect_list(F.when(F.col("page").isNotNull(), F.struct("page", "polygon"))))
+    return distinct.agg(regions.alias("regions"), F.array_sort(F.collect_set("page")).alias("pages"), F.min("page").alias("page_start"), F.max("page").alias("page_end"))
 
 
 def element_paths(chunks_: DataFrame) -> DataFrame:
@@ -303,11 +299,34 @@ def projected_tokens(envelopes: DataFrame) -> DataFrame:
 
 
 def combined_ranges(parts: DataFrame) -> DataFrame:
-    """(document_id, contents, pages, complete): results of page ranges (document_id, first_page, last_page, expected_pages, contents) put together in order."""
-    got = parts.groupBy("document_id").agg(
-        F.array_sort(F.collect_list(F.struct("first_page", "contents"))).alias("ps"), F.sum(F.col("last_page") - F.col("first_page") + 1).alias("pages"), F.max("expected_pages").alias("expected")
-    )
-    return got.select("document_id", F.flatten(F.transform("ps", lambda p: p["contents"])).alias("contents"), "pages", (F.col("pages") == F.col("expected")).alias("complete"))
+    """(document_id, contents, warnings, parts, pages, holes, overlaps, complete) of results of page ranges put together in order.
+
+    ``parts`` is (document_id, first_page, last_page, expected_pages, contents) and may have warnings.  ``pages`` are
+    those covered, ``holes`` and ``overlaps`` the (first, last) pages that no range or more than one covers, up to the
+    expected pages or the last one covered.  A document is complete if there are neither and its pages are the expected ones.
+    """
+    if "warnings" not in parts.columns:
+        parts = parts.withColumn("warnings", F.array().cast("array<string>"))
+    none = F.coalesce("warnings", F.array().cast("array<string>"))
+    part = F.struct("first_page", "last_page", "contents", none.alias("warnings"))
+    got = parts.groupBy("document_id").agg(F.array_sort(F.collect_list(part)).alias("ps"), F.max("expected_pages").alias("expected"))  # a document's ranges
+    # the number of ranges over a page changes at their bounds only
+    edges = parts.where("last_page >= first_page").select("document_id", F.explode(F.array(F.struct(F.col("first_page").alias("at"), F.lit(1).alias("d")), F.struct((F.col("last_page") + 1).alias("at"), F.lit(-1).alias("d")))).alias("e"))
+    whole = parts.groupBy("document_id").agg(F.max("expected_pages").alias("n")).where("n IS NOT NULL")
+    bounds = whole.select("document_id", F.explode(F.array(F.lit(1).cast("long"), F.col("n") + 1)).alias("at")).withColumn("d", F.lit(0))
+    steps = edges.select("document_id", F.col("e.at").cast("long").alias("at"), F.col("e.d").alias("d")).union(bounds).groupBy("document_id", "at").agg(F.sum("d").alias("d"))
+    over = Window.partitionBy("document_id").orderBy("at")
+    spans = steps.select("document_id", "at", F.sum("d").over(over).alias("n"), (F.lead("at").over(over) - 1).alias("to")).where("to IS NOT NULL")
+    listed = lambda cond: F.array_sort(F.collect_list(F.when(cond, F.struct(F.col("at").alias("first"), F.col("to").alias("last")))))
+    covered = spans.groupBy("document_id").agg(F.sum(F.when(F.col("n") > 0, F.col("to") - F.col("at") + 1)).alias("pages"), listed(F.col("n") == 0).alias("holes"), listed(F.col("n") > 1).alias("overlaps"))
+    out = got.join(covered, "document_id", "left")
+    pages_ = F.coalesce("pages", F.lit(0))
+    none = F.expr("CAST(array() AS array<struct<first:bigint,last:bigint>>)")
+    holes, overlaps = F.coalesce("holes", none), F.coalesce("overlaps", none)
+    return out.select(
+        "document_id", F.flatten(F.transform("ps", lambda p: p["contents"])).alias("contents"), F.flatten(F.transform("ps", lambda p: p["warnings"])).alias("warnings"), F.size("ps").alias("parts"),
+        pages_.alias("pages"), holes.alias("holes"), overlaps.alias("overlaps"), F.coalesce((F.size(holes) == 0) & (F.size(overlaps) == 0) & (pages_ == F.col("expected")), F.lit(False)).alias("complete"),
+    )
 
 
-__all__ = ["chunks", "pages", "split_text", "table_matrices", "walked"]
+__all__ = ["chunks", "pages", "table_matrices", "walked"]

@@ -7,6 +7,9 @@ spreads over partitions.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
+from itertools import accumulate, groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -41,58 +44,46 @@ SENTENCE_END = r"(?<=[.!?])\s+(?=[A-Z0-9(\[])"
 _SENTENCE_END = re.compile(SENTENCE_END)
 
 
+def groups_of(sizes: list[int], target: int, most: int, later: int = 0) -> Iterator[tuple[int, int]]:
+    """(start, end) of groups of units: each ends where it reaches ``target`` or where the next unit wouldn't fit into ``most``.
+
+    Found in the running sums of the sizes; a unit of its own may exceed ``most``.  From the second group on,
+    ``later`` is held by something else.
+    """
+    total = list(accumulate(sizes, initial=0))
+    at = 0
+    while at < len(sizes):
+        full = bisect_left(total, total[at] + target, at + 1)
+        fits = bisect_right(total, total[at] + most - (later if at else 0)) - 1
+        end = max(at + 1, min(full, fits))
+        yield at, end
+        at = end
+
+
+def words_in(text: str) -> int:
+    return len(text.split())
+
+
 def split_text(text: str, target: int, most: int) -> list[str]:
     """A text of more than ``most`` words in parts: sentences packed, longer ones cut every ``most`` words and kept apart."""
-    if len(text.split()) <= most:
+    if words_in(text) <= most:
         return [text]
+    sentences_ = filter(None, map(str.strip, _SENTENCE_END.split(text.strip())))
     parts: list[str] = []
-    run: list[str] = []
-    held = 0
-
-    def close() -> None:
-        nonlocal held
-        if run:
-            parts.append(" ".join(run))
-            run.clear()
-            held = 0
-
-    for sentence in filter(None, map(str.strip, _SENTENCE_END.split(text.strip()))):
-        words = sentence.split()
-        if len(words) > most:
-            close()
-            parts += [" ".join(words[k : k + most]) for k in range(0, len(words), most)]
-            continue
-        if held + len(words) > most:
-            close()
-        run.append(sentence)
-        held += len(words)
-        if held >= target:
-            close()
-    close()
+    for is_long, some in groupby(sentences_, key=lambda x: words_in(x) > most):
+        run = list(some)
+        if is_long:
+            parts += [" ".join(own[k : k + most]) for own in map(str.split, run) for k in range(0, len(own), most)]
+        else:
+            parts += [" ".join(run[a:b]) for a, b in groups_of([words_in(x) for x in run], target, most)]
     return parts
 
 
 def packed(texts: list[str], target: int, most: int) -> list[tuple[str, int, list[int]]]:
-    """(text, words, indices of texts) of groups: one closes before a part that would exceed ``most`` and once ``target`` is reached."""
-    out: list[tuple[str, int, list[int]]] = []
-    run: list[str] = []
-    units: list[int] = []
-    held = 0
-    parts = [(k, p) for k, text in enumerate(texts) for p in split_text(text, target, most)]
-    for k, part in parts:
-        n = len(part.split())
-        if run and held + n > most:
-            out.append(("\n\n".join(run), held, units))
-            run, units, held = [], [], 0
-        run.append(part.strip())
-        units.append(k)
-        held += n
-        if held >= target:
-            out.append(("\n\n".join(run), held, units))
-            run, units, held = [], [], 0
-    if run:
-        out.append(("\n\n".join(run), held, units))
-    return out
+    """(text, words, indices of texts) of the groups of all parts of ``texts``."""
+    parts = [(k, part.strip()) for k, text in enumerate(texts) for part in split_text(text, target, most)]
+    sizes = [words_in(part) for _, part in parts]
+    return [("\n\n".join(p for _, p in parts[a:b]), sum(sizes[a:b]), [k for k, _ in parts[a:b]]) for a, b in groups_of(sizes, target, most)]
 
 
 def chunk_texts(docs: DataFrame, *, target: int = 200, most: int = 300, text_col: str = "text") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.operators import attempts, limits, rebuild
+from palimpsest.operators import attempts, limits, migrations, rebuild
 from palimpsest.plans.documents import query
 
 
@@ -194,3 +194,45 @@ def remapped_references(t) -> DataFrame:
     listed = F.array_join(F.from_json(at("$.facets[0].deep[0][0].snapshot_ids"), "array<string>"), ",")
     out = rebuild.remapped_references(rows, "metadata", mapping)
     return out.select("document_id", at("$.snapshot_id").cast("long").alias("own"), at("$.facets[0].detail_snapshot_id").cast("long").alias("detail"), listed.alias("listed"), at("$.note").alias("note"), at("$.other.snapshot_id").isNull().alias("unreadable"))
+
+
+# --- migrations ------------------------------------------------------------------------------------
+
+STEPS = [
+    migrations.Step(1, "base", (migrations.Rename("documents", "o_orderkey", "document_id"), migrations.Create("documents", "title string, retry_count int"), migrations.Create("errors", "document_id bigint, message string"))),
+    migrations.Step(2, "analyses", (migrations.Rename("analyses", "l_orderkey", "document_id"), migrations.Rekey("analyses", ("document_id", "l_returnflag"), ("l_shipdate DESC", "l_linenumber", "l_partkey", "l_suppkey")), migrations.Add("analyses", "api_version", "string", "concat('v', l_linenumber)"))),
+    migrations.Step(3, "recovery", (migrations.Add("documents", "state", "string", "CASE WHEN o_orderstatus = 'P' THEN 'PARTIAL' ELSE 'COMPLETE' END"), migrations.Add("documents", "retry_count", "int", "0"), migrations.Drop("documents", "o_orderstatus"))),
+    migrations.Step(4, "types", (migrations.Retype("analyses", "l_partkey", "string"), migrations.Retype("documents", "o_orderpriority", "int"))),
+]
+
+
+def _ledgers(t) -> list[tuple[int, dict[str, DataFrame]]]:
+    tables = {"documents": t("orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), "analyses": t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate")}
+    return migrations.schema_by_version(tables, STEPS, t("orders").sparkSession)
+
+
+@query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_shipdate DESC, l_linenumber, l_partkey, l_suppkey) AS k FROM lineitem), d AS (SELECT count(*) AS n FROM orders), a AS (SELECT count(*) AS n FROM lineitem), b AS (SELECT count(*) AS n FROM r WHERE k = 1),
+c AS (SELECT unnest([0, 1, 2, 3, 4]) AS version)
+SELECT version, 'documents' AS table_name, n AS n_rows, CASE WHEN version = 0 THEN 'o_orderkey bigint,o_orderpriority string,o_orderstatus string' WHEN version < 3 THEN 'document_id bigint,o_orderpriority string,o_orderstatus string,retry_count int,title string'
+    WHEN version = 3 THEN 'document_id bigint,o_orderpriority string,retry_count int,state string,title string' ELSE 'document_id bigint,o_orderpriority int,retry_count int,state string,title string' END AS columns FROM c, d
+UNION ALL SELECT version, 'analyses', CASE WHEN version < 2 THEN a.n ELSE b.n END, CASE WHEN version < 2 THEN 'l_linenumber int,l_orderkey bigint,l_partkey bigint,l_returnflag string,l_shipdate timestamp,l_suppkey bigint'
+    WHEN version < 4 THEN 'api_version string,document_id bigint,l_linenumber int,l_partkey bigint,l_returnflag string,l_shipdate timestamp,l_suppkey bigint' ELSE 'api_version string,document_id bigint,l_linenumber int,l_partkey string,l_returnflag string,l_shipdate timestamp,l_suppkey bigint' END FROM c, a, b
+UNION ALL SELECT version, 'errors', 0, 'document_id bigint,message string' FROM c WHERE version > 0""")
+def schema_versions(t) -> DataFrame:
+    """Rows and columns of every table after each migration."""
+    out = None
+    for version, tables in _ledgers(t):
+        for name, rows in sorted(tables.items()):
+            told = ",".join(sorted(f"{f.name} {f.dataType.simpleString().replace('_ntz', '')}" for f in rows.schema.fields))
+            own = rows.agg(F.count("*").alias("n_rows")).select(F.lit(version).alias("version"), F.lit(name).alias("table_name"), "n_rows", F.lit(told).alias("columns"))
+            out = own if out is None else out.union(own)
+    return out
+
+
+@query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_shipdate DESC, l_linenumber, l_partkey, l_suppkey) AS k FROM lineitem)
+SELECT l_orderkey AS document_id, l_returnflag, CAST(l_partkey AS VARCHAR) AS l_partkey, 'v' || l_linenumber AS api_version, CASE WHEN o_orderstatus = 'P' THEN 'PARTIAL' ELSE 'COMPLETE' END AS state, 0 AS retry_count, CAST(NULL AS INTEGER) AS priority FROM r JOIN orders ON l_orderkey = o_orderkey WHERE k = 1""")
+def migrated_ledger(t) -> DataFrame:
+    """The tables after the last migration, joined."""
+    tables = _ledgers(t)[-1][1]
+    out = tables["analyses"].join(tables["documents"], "document_id")
+    return out.select("document_id", "l_returnflag", "l_partkey", "api_version", "state", "retry_count", F.col("o_orderpriority").alias("priority"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions import text as fn
-from palimpsest.operators import envelopes, normalize
+from palimpsest.operators import envelopes, layout_projection, normalize
 from palimpsest.plans.documents import query
 
 DEPTH = 6
@@ -103,7 +103,17 @@ def document_regions(t) -> DataFrame:
     """The distinct pages of all regions of a document's lines."""
     source = F.concat(F.lit("D("), F.col("l_linenumber").cast("string"), F.lit(",1.0);D("), F.col("l_linenumber").cast("string"), F.lit(",2.0)"))
     out = envelopes.merged_regions(t("lineitem").select(F.col("l_orderkey").cast("string").alias("document_id"), source.alias("source")), "document_id")
-    return out.withColumn("pages", F.array_join(F.col("pages").cast("array<string>"), ","))
+    return out.drop("regions").withColumn("pages", F.array_join(F.col("pages").cast("array<string>"), ","))
+
+
+@query("""WITH r AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS p, CASE WHEN l_suppkey % 3 > 0 THEN (l_suppkey % 7) || '.5' ELSE '' END AS x FROM lineitem)
+SELECT CAST(k AS VARCHAR) AS document_id, string_agg(p || ':' || x, ';' ORDER BY p, x) AS regions FROM r GROUP BY k""")
+def region_polygons(t) -> DataFrame:
+    """The distinct regions of a document's lines, polygons included."""
+    source = F.concat(F.lit("D("), F.col("l_linenumber").cast("string"), F.when(F.col("l_suppkey") % 3 > 0, F.concat(F.lit(","), (F.col("l_suppkey") % 7).cast("string"), F.lit(".5"))).otherwise(F.lit(",x")), F.lit(")"))
+    out = envelopes.merged_regions(t("lineitem").select(F.col("l_orderkey").cast("string").alias("document_id"), source.alias("source")), "document_id")
+    told = F.transform("regions", lambda r: F.concat(r["page"].cast("string"), F.lit(":"), F.coalesce(F.array_join(F.transform(r["polygon"], lambda x: x.cast("string")), ","), F.lit(""))))
+    return out.select("document_id", F.array_join(told, ";").alias("regions"))
 
 
 @query(f"""WITH {_LINES} SELECT d AS document_id, CAST((n - 1) % 6 AS INTEGER) AS position, string_agg(text, ' ' ORDER BY n) AS token_text FROM l WHERE l_returnflag <> 'R' GROUP BY d, (n - 1) % 6""")
@@ -125,7 +135,19 @@ def combined_ranges(t) -> DataFrame:
     n = F.floor(F.col("o_totalprice") / 100).cast("long") + 1
     each = t("orders").select(F.col("o_orderkey").cast("string").alias("document_id"), n.alias("expected_pages"), F.explode(F.sequence(F.lit(1).cast("long"), n, F.lit(300).cast("long"))).alias("first_page"))
     parts = each.withColumn("last_page", F.least(F.col("first_page") + 299, "expected_pages")).withColumn("contents", F.array(F.col("first_page").cast("string")))
-    return envelopes.combined_ranges(parts).withColumn("contents", F.array_join("contents", ","))
+    return envelopes.combined_ranges(parts).select("document_id", "pages", "complete", F.array_join("contents", ",").alias("contents"))
+
+
+@query("""WITH o AS (SELECT o_orderkey AS k, CAST(floor(o_totalprice / 1000) AS BIGINT) + 1 AS n FROM orders), h AS (SELECT k, n, CASE WHEN k % 5 = 0 AND n > 30 THEN least(n, 60) - 30 ELSE 0 END AS hole, CASE WHEN k % 4 = 0 AND k % 5 <> 0 AND n > 30 THEN 10 ELSE 0 END AS twice FROM o)
+SELECT CAST(k AS VARCHAR) AS document_id, n - hole AS pages, hole AS hole_pages, twice AS overlap_pages, CAST(ceil(n / 30.0) - (hole > 0)::INT AS INTEGER) AS parts, hole = 0 AND twice = 0 AS complete, array_to_string(list_transform(list_filter(range(0, CAST(ceil(n / 30.0) AS BIGINT)), lambda r: NOT (k % 5 = 0 AND r = 1)), lambda r: 'w' || r), ',') AS warnings FROM h""")
+def range_coverage(t) -> DataFrame:
+    """Ranges of 30 pages of which some lack and some begin ten pages early: what isn't covered, and what is twice."""
+    k, n = F.col("o_orderkey"), F.floor(F.col("o_totalprice") / 1000).cast("long") + 1
+    each = t("orders").select(k.alias("k"), n.alias("expected_pages"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / 30).cast("long"))).alias("r"))
+    each = each.where("NOT (k % 5 = 0 AND r = 1)").withColumns({"first_page": F.col("r") * 30 + 1 - F.when((F.col("k") % 4 == 0) & (F.col("r") == 1), 10).otherwise(0), "last_page": F.least(F.col("r") * 30 + 30, "expected_pages")})
+    parts = each.select(F.col("k").cast("string").alias("document_id"), "expected_pages", "first_page", "last_page", F.array(F.col("r").cast("string")).alias("contents"), F.array(F.concat(F.lit("w"), F.col("r").cast("string"))).alias("warnings"))
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x["last"] - x["first"] + 1)
+    return envelopes.combined_ranges(parts).select("document_id", "pages", total("holes").alias("hole_pages"), total("overlaps").alias("overlap_pages"), "parts", "complete", F.array_join("warnings", ",").alias("warnings"))
 
 
 @query("""SELECT conv_id, count(*) AS units, max(turn) AS last_turn FROM conversations WHERE trim(coalesce(text, '')) <> '' GROUP BY 1""")
@@ -156,3 +178,45 @@ def table_rows(t) -> DataFrame:
     contents = tables.select("document_id", F.lit(0).alias("content_index"), F.array(F.struct(rows.alias("row_count"), F.lit(2).alias("column_count"), F.lit(None).cast("string").alias("caption"), F.lit("").alias("source"), "cells")).alias("tables"))
     out = envelopes.table_matrices(contents).select(F.col("document_id").cast("long").alias("l_orderkey"), F.posexplode("lines").alias("row_no", "line"))
     return out
+
+
+def native_layouts(t) -> DataFrame:
+    """Every order in the second format: a text a line, the first a heading, returned ones footers; every third read from its original, every fifth blank; a table on page 1."""
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    lines = t("lineitem").select("l_orderkey", F.row_number().over(order).alias("n"), "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
+    own = lines.groupBy(F.col("l_orderkey").cast("string").alias("document_id")).agg(F.array_sort(F.collect_list(F.struct("n", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"))).alias("ls"))
+    told = lambda x: F.concat(F.lit("part "), x["l_partkey"].cast("string"), F.lit(" supplier "), x["l_suppkey"].cast("string"))
+    number = lambda v: F.lit(v).cast("double")
+    box = lambda x: F.struct(x["n"].cast("double").alias("l"), number(1.5).alias("t"), number(2).alias("r"), F.when(x["l_suppkey"] % 2 > 0, number(3)).alias("b"))
+    prov = lambda x: F.array(F.struct(x["l_linenumber"].alias("page_no"), box(x).alias("bbox")))
+    label = lambda x: F.when(x["n"] == 1, "section_header").when(x["l_returnflag"] == "R", "page_footer").otherwise("paragraph")
+    text = lambda x: F.when(x["n"] % 5 == 0, "  ").when(x["n"] % 3 > 0, told(x))
+    texts = F.transform("ls", lambda x: F.struct(text(x).alias("text"), F.concat(F.lit(" "), told(x), F.lit("\n")).alias("orig"), label(x).alias("label"), prov(x).alias("prov")))
+    none = F.lit(None).cast("int")
+    cell = lambda value, x: F.struct(value.cast("string").alias("text"), none.alias("start_row_offset_idx"), none.alias("start_col_offset_idx"), none.alias("row_span"), none.alias("col_span"), (x["n"] == 1).alias("column_header"), F.lit(False).alias("row_header"), F.expr(f"CAST(NULL AS {layout_projection.PROV.replace(': ', ':')})").alias("prov"))
+    grid = F.transform("ls", lambda x: F.array(cell(x["l_partkey"], x), cell(x["l_suppkey"], x)))
+    first = F.array(F.struct(F.lit(1).alias("page_no"), F.struct(number(1).alias("l"), number(1).alias("t"), number(1).alias("r"), number(1).alias("b")).alias("bbox")))
+    tables = F.array(F.struct(first.alias("prov"), none.alias("num_rows"), none.alias("num_cols"), grid.alias("grid")))
+    pages = F.map_from_entries(F.transform(F.array_distinct(F.transform("ls", lambda x: x["l_linenumber"])), lambda p: F.struct(p.cast("string").alias("k"), F.struct(number(612).alias("width"), number(792).alias("height")).alias("v"))))
+    markdown = F.map_from_entries(F.transform(F.array_distinct(F.transform("ls", lambda x: x["l_linenumber"])), lambda p: F.struct(p.alias("k"), F.repeat(F.lit("m"), p % 3).alias("v"))))
+    return own.select("document_id", texts.alias("texts"), tables.alias("tables"), pages.alias("pages"), markdown.alias("page_markdown"), F.lit("m").alias("markdown"))
+
+
+_NATIVE = """l AS (SELECT CAST(l_orderkey AS VARCHAR) AS d, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS n, l_linenumber AS p, l_partkey, l_suppkey, l_returnflag AS f,
+'part ' || l_partkey || ' supplier ' || l_suppkey AS text FROM lineitem)"""
+
+
+@query(f"""WITH {_NATIVE}, x AS (SELECT d, CASE WHEN p = 1 THEN 0 ELSE 2 END AS pos, 'text' AS chunk_type, string_agg(text, chr(10) || chr(10) ORDER BY n) AS content FROM l WHERE n > 1 AND f <> 'R' AND n % 5 <> 0 GROUP BY ALL
+UNION ALL SELECT d, 1, 'table', string_agg(l_partkey || chr(9) || l_suppkey, chr(10) ORDER BY n) FROM l GROUP BY d)
+SELECT x.d AS document_id, CAST(row_number() OVER (PARTITION BY x.d ORDER BY pos) AS INTEGER) AS chunk_index, chunk_type, h.text AS section_path, content FROM x JOIN l h ON h.d = x.d AND h.n = 1""")
+def projected_layouts(t) -> DataFrame:
+    """The second format, projected and walked to chunks as the first is."""
+    return envelopes.chunks(layout_projection.projected_envelopes(native_layouts(t))).select("document_id", "chunk_index", "chunk_type", "section_path", "content")
+
+
+@query(f"""WITH {_NATIVE}, k AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY n) - 1 AS idx, sum(length(text) + 2) OVER (PARTITION BY d ORDER BY n) - length(text) - 2 AS off FROM l WHERE n % 5 <> 0)
+SELECT d AS document_id, CAST(idx AS INTEGER) AS idx, text AS content, CASE WHEN n = 1 THEN 'sectionHeading' WHEN f = 'R' THEN 'pageFooter' END AS role, 'D(' || p || CASE WHEN l_suppkey % 2 > 0 THEN ',' || n || '.0000,1.5000,2.0000,3.0000' ELSE '' END || ')' AS source, CAST(off AS INTEGER) AS span_offset, CAST(length(text) AS INTEGER) AS span_length FROM k""")
+def projected_paragraphs(t) -> DataFrame:
+    """Paragraphs of the second format with roles, regions and running spans."""
+    rows = layout_projection.projected_envelopes(native_layouts(t)).select("document_id", F.posexplode(F.get("contents", F.lit(0))["paragraphs"]).alias("idx", "p"))
+    return rows.select("document_id", "idx", "p.content", "p.role", "p.source", F.col("p.span.offset").alias("span_offset"), F.col("p.span.length").alias("span_length"))
