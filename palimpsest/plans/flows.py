@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.operators import attempts, limits, migrations, rebuild
+from palimpsest.operators import artifacts, attempts, limits, migrations, rebuild
 from palimpsest.plans.documents import query
 
 
@@ -64,7 +64,8 @@ _ARTIFACTS = "'r/' || CAST(l_orderkey AS STRING) || '/' || CAST(l_linenumber AS
 
 
 def _rows(rows: DataFrame, columns: str, where: str = "true") -> DataFrame:
-    return rows.sparkSession.sql(f"SELECT {columns} FROM {{rows}} WHERE {where}", rows=rows)
+    told = columns.replace("{", "{{").replace("}", "}}")
+    return rows.sparkSession.sql(f"SELECT {told} FROM {{rows}} WHERE {where}", rows=rows)
 
 
 def _lines(t) -> DataFrame:
@@ -236,3 +237,45 @@ def migrated_ledger(t) -> DataFrame:
     tables = _ledgers(t)[-1][1]
     out = tables["analyses"].join(tables["documents"], "document_id")
     return out.select("document_id", "l_returnflag", "l_partkey", "api_version", "state", "retry_count", F.col("o_orderpriority").alias("priority"))
+
+
+# --- artifacts -------------------------------------------------------------------------------------
+
+_PAYLOAD = """CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN '[1]' ELSE '{"analyzerId":"' || CASE WHEN o_orderkey % 17 = 0 THEN 'z' ELSE 'a' END || '",' || CASE WHEN o_orderkey % 19 = 0 THEN '' ELSE '"apiVersion":"1",' END || '"contents":' ||
+CASE WHEN o_orderkey % 23 = 0 THEN '"none"' WHEN o_orderkey % 29 = 0 THEN '[]' ELSE '[{"markdown":"m' || CAST(o_orderkey AS STRING) || '","pages":[' || CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN '1' ELSE '1,2' END || '],"tables":[{}],"sections":[]},' ||
+CASE WHEN o_orderkey % 31 = 0 THEN '5' WHEN o_orderkey % 37 = 0 THEN '{"markdown":7,"pages":[1]}' ELSE '{"markdown":"n","pages":[1]}' END || ']' END || '}' END"""
+_ARTIFACT_ROWS = f"""o_orderkey AS document_id, 'a' AS analyzer, '1' AS version, {_PAYLOAD} AS payload, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN 'other' ELSE 'm' || CAST(o_orderkey AS STRING) || chr(10) || chr(10) || 'n' END AS markdown_file,
+o_orderkey % 3 + 1 + CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END AS page_count, 1 AS table_count, CAST(NULL AS INT) AS section_count, CASE WHEN o_orderkey % 6 = 0 THEN 9 END AS source_pages, CASE WHEN o_orderkey % 41 = 0 THEN 'failure' WHEN o_orderkey % 43 = 0 THEN 'partial_success' END AS conversion_status"""
+_PROBLEMS = """x AS (SELECT o_orderkey AS k, o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 AS o, o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 AND o_orderkey % 23 <> 0 AND o_orderkey % 29 <> 0 AS f, o_orderkey % 3 + CASE WHEN o_orderkey % 31 = 0 THEN 0 ELSE 1 END AS n FROM orders),
+p AS (SELECT k, list_filter([CASE WHEN k % 11 = 0 THEN {'level': 'error', 'reason': 'missing', 'expected': NULL::VARCHAR, 'actual': NULL::VARCHAR} END,
+CASE WHEN k % 11 <> 0 AND k % 13 = 0 THEN {'level': 'error', 'reason': 'not_an_object', 'expected': NULL, 'actual': 'array'} END,
+CASE WHEN o AND k % 17 = 0 THEN {'level': 'error', 'reason': 'analyzer', 'expected': 'a', 'actual': 'z'} END, CASE WHEN o AND k % 19 = 0 THEN {'level': 'error', 'reason': 'version', 'expected': '1', 'actual': NULL} END,
+CASE WHEN o AND k % 23 = 0 THEN {'level': 'error', 'reason': 'contents', 'expected': NULL, 'actual': NULL} END, CASE WHEN o AND k % 23 <> 0 AND k % 29 = 0 THEN {'level': 'error', 'reason': 'contents_empty', 'expected': NULL, 'actual': NULL} END,
+CASE WHEN f AND k % 31 = 0 THEN {'level': 'error', 'reason': 'content_not_an_object', 'expected': NULL, 'actual': '1'} END, CASE WHEN f AND k % 31 <> 0 AND k % 37 = 0 THEN {'level': 'error', 'reason': 'markdown_missing', 'expected': NULL, 'actual': '1'} END,
+CASE WHEN f AND k % 31 <> 0 AND k % 37 <> 0 AND k % 5 <> 0 AND k % 7 = 0 THEN {'level': 'error', 'reason': 'markdown_differs', 'expected': CAST(length('m' || k) + 3 AS VARCHAR), 'actual': '5'} END,
+CASE WHEN f AND k % 31 <> 0 AND k % 37 <> 0 AND k % 5 = 0 THEN {'level': 'warning', 'reason': 'markdown_file_missing', 'expected': NULL, 'actual': NULL} END,
+CASE WHEN f AND k % 6 = 0 THEN {'level': 'error', 'reason': 'source_pages', 'expected': '9', 'actual': CAST(n AS VARCHAR)} END,
+CASE WHEN f AND k % 3 + 1 + (k % 4 = 0)::INT <> n THEN {'level': 'warning', 'reason': 'page_count', 'expected': CAST(k % 3 + 1 + (k % 4 = 0)::INT AS VARCHAR), 'actual': CAST(n AS VARCHAR)} END,
+CASE WHEN k % 41 = 0 THEN {'level': 'error', 'reason': 'conversion', 'expected': NULL, 'actual': 'failure'} END, CASE WHEN k % 41 <> 0 AND k % 43 = 0 THEN {'level': 'warning', 'reason': 'partial_success', 'expected': NULL, 'actual': NULL} END], lambda y: y IS NOT NULL) AS ps FROM x)"""
+
+
+def _checked(t) -> DataFrame:
+    return artifacts.checked_artifacts(_rows(t("orders"), _ARTIFACT_ROWS))
+
+
+@query(f"""WITH {_PROBLEMS}, e AS (SELECT k, unnest(ps) AS p, unnest(range(0, len(ps))) AS position FROM p) SELECT k AS document_id, 'a' AS analyzer, '1' AS version, CAST(position AS INTEGER) AS position, p.level AS level, p.reason AS reason, p.expected AS expected, p.actual AS actual FROM e""")
+def artifact_problems(t) -> DataFrame:
+    """What is wrong with the artifacts of every order, a row for each problem."""
+    return artifacts.artifact_problems(_checked(t))
+
+
+@query(f"""WITH {_PROBLEMS}, u AS (SELECT k, len(list_filter(ps, lambda y: y.level = 'error')) = 0 AS usable FROM p), f AS (SELECT l_orderkey AS k, min(l_partkey * 10 + l_linenumber) AS file_id FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1),
+a AS (SELECT l_partkey * 10 + l_linenumber AS file_id, l_orderkey AS k, max(l_linestatus = 'F') AS done FROM lineitem WHERE l_suppkey % 4 > 0 GROUP BY ALL)
+SELECT CAST(f.k AS VARCHAR) AS document_id, f.file_id, CASE WHEN done IS NULL THEN 'new' WHEN NOT done THEN 'status' ELSE 'artifact' END AS reason FROM f LEFT JOIN a ON a.file_id = f.file_id AND a.k = f.k LEFT JOIN u ON u.k = f.k WHERE NOT (coalesce(done, false) AND coalesce(usable, false))""")
+def analysis_selection(t) -> DataFrame:
+    """Documents to be analyzed: not those whose analysis has succeeded and left a usable artifact."""
+    lines = t("lineitem").select(F.col("l_orderkey").cast("string").alias("document_id"), (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("file_id"), "l_returnflag", "l_linestatus", "l_suppkey")
+    files = lines.select("document_id", "file_id", F.col("document_id").alias("sha256"), (F.col("l_returnflag") != "R").alias("is_current"))
+    analyses = lines.where("l_suppkey % 4 > 0").select("file_id", F.col("document_id").alias("sha256"), F.when(F.col("l_linestatus") == "F", "SUCCEEDED").otherwise("FAILED").alias("status"))
+    known = _checked(t).select(F.col("document_id").cast("string").alias("document_id"), F.col("document_id").cast("string").alias("sha256"), "usable")
+    return artifacts.to_analyze(files, analyses, known).select("document_id", "file_id", "reason")
