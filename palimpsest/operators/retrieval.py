@@ -79,7 +79,11 @@ def _best(ids: np.ndarray, q: np.ndarray, own: np.ndarray, x: np.ndarray, best:
     """The ``k`` best of what was kept and of new rows, by score, then id."""
     s = q @ x.T
     s[ids[:, None] == own[None, :]] = -np.inf
-    s, keys = np.concatenate([best[0], s], axis=1), np.concatenate([best[1], np.broadcast_to(own, s.shape)], axis=1)
+    return top_of(np.concatenate([best[0], s], axis=1), np.concatenate([best[1], np.broadcast_to(own, s.shape)], axis=1), k)
+
+
+def top_of(s: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` best scores of each row and their keys, by score to twelve places, then key."""
     if s.shape[1] > k:  # those above the k-th score, and all that tie with it
         least = -np.partition(-np.round(s, 12), k - 1, axis=1)[:, k - 1 : k]
         width = int((np.round(s, 12) >= least).sum(axis=1).max())

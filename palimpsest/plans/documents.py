@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions import text as fn
-from palimpsest.operators import html_records, retrieval, sequences, validation
+from palimpsest.operators import html_records, retrieval, sequences, validation, vector_index
 from palimpsest.sources.tables import load
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
+#: Lists of the vector queries.
+KNN = vector_index.IndexPlan(lists=16)
+
 #: ASCII white space as both engines have it.
 TOKENS = r"[^\x20\x09-\x0D]+"
 
@@ -134,6 +137,27 @@ def cosine_topk(t) -> DataFrame:
     return retrieval.cosine_top_k(e, e.where("vec_id % 100 = 0"), 10).withColumn("score", F.round("score", 6))
 
 
+@query("""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), s AS (SELECT q.vec_id AS query_id, e.vec_id, list_cosine_similarity(q.v, e.v) AS score FROM e AS q, e WHERE q.vec_id % 100 = 0 AND q.vec_id <> e.vec_id AND q.label = e.label),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, vec_id) AS rank FROM s) SELECT query_id, vec_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""")
+def filtered_knn(t) -> DataFrame:
+    """The ten nearest rows of the query's own label, through inverted lists, exact by the lists' bounds."""
+    e = t("embeddings")
+    centroids = vector_index.fitted(e, KNN)
+    found = vector_index.nearest(vector_index.indexed(e, centroids), centroids, e.where("vec_id % 100 = 0"), 10, same=("label",), plan=KNN)
+    return found.withColumn("score", F.round("score", 6))
+
+
+@query("""SELECT vec_id AS query_id, 10 AS expected, true AS reached FROM embeddings WHERE vec_id % 100 = 0""")
+def knn_recall(t) -> DataFrame:
+    """Whether a search of three quarters of the lists finds nine in ten of the exact ten: these vectors have hardly any clusters."""
+    e = t("embeddings")
+    q, centroids = e.where("vec_id % 100 = 0"), vector_index.fitted(e, KNN)
+    rows, exact = vector_index.indexed(e, centroids), retrieval.cosine_top_k(e, q, 10)
+    found = vector_index.nearest(rows, centroids, q, 10, probes=KNN.lists * 3 // 4, exact=False, plan=KNN)
+    share = vector_index.recall(found, exact).agg(F.avg("recall").alias("r"))
+    return exact.groupBy("query_id").agg(F.count("*").cast("int").alias("expected")).join(F.broadcast(share)).select("query_id", "expected", (F.col("r") >= 0.9).alias("reached"))  # share is one row
+
+
 @query("""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), q AS (SELECT * FROM e WHERE vec_id % 100 = 0),
 s AS (SELECT q.vec_id AS query_id, q.label AS want, e.label AS got, e.vec_id, list_cosine_similarity(q.v, e.v) AS score FROM q, e WHERE q.vec_id <> e.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, vec_id) AS rank FROM s)
