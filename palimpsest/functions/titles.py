@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import io
+import struct
+import zipfile
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from palimpsest.functions.text import clean_text
 
@@ -26,14 +31,11 @@ REGULATORY_ID = r"(?i)\b((?:AO|GO|GPSO|EPR|MO|RO|XG|GC|GH|OH|MH|RH|OF|OM)[A-Z0-9
 ACTIVITY = r"(?i)\b([A-Z]{2,8}(?:-[A-Z]{2,8})*[- ]?\d{2,4}(?:-\d{1,4})+)\b"
 INSTRUMENTS = ("AO-", "GO-", "GPSO-", "EPR-", "MO-", "RO-")
 INSTRUMENT_PARTS = ("ORDER", "GPSO", "AO-", "GO-")
-FRENCH = "(?iu)(?:^|\\s|[-\u2013\u2014_/])(FR|FRENCH|FRAN\u00c7AIS)(?:\\s|[-\u2013\u2014_/]|$)"
-ENGLISH = "(?iu)(?:^|\\s|[-\u2013\u2014_/])(EN|ENGLISH|ANGLAIS)(?:\\s|[-\u2013\u2014_/]|$)"
+FRENCH = r"(?iu)(?:^|\s|[-–—_/])(FR|FRENCH|FRANÇAIS)(?:\s|[-–—_/]|$)"
+ENGLISH = r"(?iu)(?:^|\s|[-–—_/])(EN|ENGLISH|ANGLAIS)(?:\s|[-–—_/]|$)"
 CONTAINERS = ("compound document", "folder")
 PAPER_ONLY = ("paper only", "papier seulement")
-NO_RESULTS = (
-    r"(?iu)no\s+(?:items?|results?|records?|documents?)\s+(?:(?:were|are)\s+)?(?:found|available)|there\s+(?:are|were)\s+no\s+(?:items?|results?|records?|documents?)"
-    "|no\\s+(?:items?|results?|records?|documents?)\\s+to\\s+display|aucun(?:e)?\\s+(?:\u00e9l\u00e9ment|r\u00e9sultat|document)(?:\\s+n['\u2019]a\\s+\u00e9t\u00e9\\s+trouv\u00e9)?"
-)
+NO_RESULTS = r"(?iu)no\s+(?:items?|results?|records?|documents?)\s+(?:(?:were|are)\s+)?(?:found|available)|there\s+(?:are|were)\s+no\s+(?:items?|results?|records?|documents?)|no\s+(?:items?|results?|records?|documents?)\s+to\s+display|aucun(?:e)?\s+(?:élément|résultat|document)(?:\s+n['’]a\s+été\s+trouvé)?"
 REGULATOR_WORDS = r"\b(commission|board|cer|regulator|regulatory|finding|decision|determination|conclusion)\b"
 OUTSTANDING_WORDS = r"\b(outstanding|open|pending|incomplete|not complete|not completed|due|overdue)\b"
 
@@ -154,23 +156,37 @@ ZIP_MEMBERS = (
 EXTENSIONS = {"application/pdf": ".pdf", "text/html": ".html", "text/plain": ".txt", "text/csv": ".csv", "image/png": ".png", "image/jpeg": ".jpg", "image/gif": ".gif", "image/tiff": ".tiff", "application/zip": ".zip", "application/json": ".json", "application/msword": ".doc"}
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def zip_members(contents: pd.Series) -> pd.Series:
+    """Names in the directory at a zip's end; null of anything that has none, and of null."""
+
+    def names(raw: bytes | None) -> list[str] | None:
+        try:
+            return None if raw is None else zipfile.ZipFile(io.BytesIO(raw)).namelist()
+        except (zipfile.BadZipFile, OSError, ValueError, NotImplementedError, struct.error):
+            return None
+
+    return contents.map(names).astype(object)
+
+
 def file_type(content: Column, media_type: Column, filename: Column, catalogue: Column) -> Column:
     """(extension, mime, method, confidence) by magic, zip members, markup, media type, file name, catalogue, in this order.
 
-    Members of a zip are looked for by their names in its bytes, where local headers hold them plainly.
+    Members of a zip are those of its directory, so a name within a stored text is none; bytes that begin like a zip
+    and have no readable directory are judged by the steps behind it.
     """
     hexed = F.hex(F.substring(content, 1, 16))
     text = F.lower(F.decode(F.regexp_replace(F.decode(F.substring(content, 1, 4096), "ISO-8859-1"), r"^\s+", "").cast("binary"), "ISO-8859-1"))
-    plain = F.decode(content, "ISO-8859-1")
     kind = lambda ext, mime, how, sure: F.struct(F.lit(ext).alias("extension") if isinstance(ext, str) else ext.alias("extension"), F.lit(mime).alias("mime") if isinstance(mime, str) else mime.alias("mime"), F.lit(how).alias("method"), F.lit(sure).alias("confidence"))
     mime = F.lower(F.trim(F.substring_index(F.coalesce(media_type, F.lit("")), ";", 1)))
     by_mime = F.coalesce(*(F.when(mime == m, F.lit(e)) for m, e in EXTENSIONS.items()), F.lit(".bin"))
     suffix = F.lower(F.regexp_extract(F.coalesce(filename, F.lit("")), r"(\.[^./\s]+)$", 1))
     by_suffix = F.coalesce(*(F.when(suffix == e, F.lit(m)) for m, e in EXTENSIONS.items()), F.lit("application/octet-stream"))
     known = F.lower(F.coalesce(catalogue, F.lit("")))
-    zipped = hexed.startswith("504B0304")
+    members = zip_members(F.when(hexed.startswith("504B0304"), content))
+    zipped = members.isNotNull()
     ladder = [(hexed.startswith(h), kind(e, m, "magic", 1.0)) for h, e, m in MAGIC]
-    ladder += [(zipped & plain.contains(name), kind(e, m, "zip-signature", 1.0)) for name, e, m in ZIP_MEMBERS]
+    ladder += [(zipped & F.array_contains(members, name), kind(e, m, "zip-signature", 1.0)) for name, e, m in ZIP_MEMBERS]
     ladder += [
         (zipped, kind(".zip", "application/zip", "zip-signature", 0.95)),
         (text.startswith("<!doctype html") | F.substring(text, 1, 1024).contains("<html") | F.substring(text, 1, 1024).contains("<body"), kind(".html", "text/html", "magic", 0.99)),

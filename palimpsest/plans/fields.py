@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,15 @@ def chosen(key: str, *options: str):
     return F.coalesce(*(F.when(F.col(key) % len(options) == k, F.lit(v)) for k, v in enumerate(options)))
 
 
+def zipped(*names: str, said: bytes = b"x") -> str:
+    """A zip with these members, unpacked, in hex."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as archive:
+        for name in names:
+            archive.writestr(zipfile.ZipInfo(name), said)
+    return out.getvalue().hex()
+
+
 def by_key(key: str, **pairs: tuple[str, object]):
     """SQL of what is expected of each option, told plainly: {name: (options, expected values)}."""
     out = []
@@ -93,7 +105,7 @@ def search_pages(t) -> DataFrame:
     problem=(None, "CATALOGUE_TYPE_MISMATCH", None, None, "CATALOGUE_TYPE_MISMATCH", None, None, "not a PDF", "empty")) + " FROM supplier")
 def file_types(t) -> DataFrame:
     """Types by magic, zip members, markup, media type, name and catalogue; and why a file can't be used."""
-    hexed = chosen("s_suppkey", "255044462D312E34", "89504E470D0A1A0A00", "504B0304" + b"word/document.xml".hex(), "504B030400", b"  <HTML><body>".hex(), b"plain".hex(), b"a,b".hex(), b"data".hex(), "")
+    hexed = chosen("s_suppkey", "255044462D312E34", "89504E470D0A1A0A00", zipped("word/document.xml"), zipped("notes.txt", said=b"see word/document.xml"), b"  <HTML><body>".hex(), b"plain".hex(), b"a,b".hex(), b"data".hex(), "")
     mime = chosen("s_suppkey", "", "", "", "", "", "text/plain; charset=x", "application/octet-stream", "", "")
     name = chosen("s_suppkey", "", "", "", "", "", "", "table.CSV", "", "")
     kind = chosen("s_suppkey", "PDF", "pdf file", "", "", "PDF", "", "", "PDF", "")
@@ -103,6 +115,15 @@ def file_types(t) -> DataFrame:
     return rows.select("s_suppkey", "found.extension", "found.method", titles.download_problem(F.col("content"), F.col("found"), F.col("kind")).alias("problem"))
 
 
+@query("SELECT s_suppkey, " + by_key("s_suppkey", extension=(".docx", ".xlsx", ".pptx", ".zip", ".bin", ".bin", ".html"), method=("zip-signature", "zip-signature", "zip-signature", "zip-signature", "fallback", "fallback", "magic")) + " FROM supplier")
+def zip_members(t) -> DataFrame:
+    """Zips by the members in their directory: names within a member, or in a cut file, are none; an empty one doesn't begin like a zip."""
+    whole = zipped("a.txt", "xl/workbook.xml")
+    hexed = chosen("s_suppkey", zipped("word/document.xml", "xl/workbook.xml"), whole, zipped("ppt/presentation.xml"), zipped("a.txt", said=b"PK\x03\x04 ppt/presentation.xml"), zipped(), whole[:-20], whole[:40] + b"<html>".hex())
+    found = titles.file_type(F.unhex(hexed), F.lit(""), F.lit(""), F.lit(""))
+    return t("supplier").select("s_suppkey", found.alias("f")).select("s_suppkey", "f.extension", "f.method")
+
+
 @query("SELECT s_suppkey, " + by_key("s_suppkey", name=("report.pdf", "a b.txt", "x_y.csv", ""), sent=("plan.pdf", "mémo.doc".replace("é", "_"), "", "x.zip"), wait=(120.0, 3600.0, 0.0, None), duration=("2h 03m 04s", "0m 59s", "unknown", "1m 00s"),
     shown=("[07/12]", "[120/???]", "[0003/1000]", "[00/00]")) + " FROM supplier")
 def transfer_fields(t) -> DataFrame:

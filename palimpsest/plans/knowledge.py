@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.operators import enrichment
+from palimpsest.operators import enrichment, model_records
 from palimpsest.plans.documents import query
 
 
@@ -169,3 +171,49 @@ def embedding_counters(t) -> DataFrame:
 @query("""SELECT vec_id, sha256('{"dimensions":2,"model":"m","text":"' || label || '"}') AS request FROM embeddings""")
 def request_keys(t) -> DataFrame:
     return t("embeddings").select("vec_id", enrichment.request_key(text=F.col("label").cast("string"), model=F.lit("m"), dimensions=F.lit(2)).alias("request"))
+
+
+#: Every order is an answer of a model on two chunks of its customer's document; some break a rule.
+_ANSWERS = """k AS (SELECT o_orderkey AS k, CAST(o_custkey % 500 AS VARCHAR) AS d, o_orderstatus AS s FROM orders),
+r AS (SELECT *, CASE WHEN k % 23 = 0 THEN 'response' WHEN k % 13 = 0 THEN 'events:date' WHEN k % 17 = 0 THEN 'claims:confidence' WHEN k % 11 = 0 THEN 'obligations' WHEN k % 29 = 0 THEN 'obligations:text' WHEN k % 19 = 0 THEN 'relationships:evidence' END AS reason FROM k)"""
+
+
+def _answers(t) -> DataFrame:
+    k, d = F.col("o_orderkey"), (F.col("o_custkey") % 500).cast("string")
+    chunk = lambda n: F.concat(k.cast("string"), F.lit(f":{n}"))
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+    events = text('[{"event_type":"filed","title":"T', F.col("o_orderstatus"), '","summary":"s","date_start":"', F.when(k % 13 == 0, "2024-1").otherwise("1997-05"), '","confidence":0.5,"evidence_chunk_ids":["', chunk(1), '","', chunk(1), '"]}]')
+    claims = text('[{"claim_type":"c","statement":"S', k % 3, '","confidence":', F.when(k % 17 == 0, "1.5").otherwise("1"), ',"evidence_chunk_ids":["', chunk(2), '"]}]')
+    duty = text('{"obligation_type":"o","action":"', F.when(k % 29 == 0, " ").otherwise("Act"), '","confidence":"0.25","evidence_chunk_ids":["', chunk(2), '","', chunk(1), '"]}')
+    duties = F.when(k % 11 == 0, F.lit("{}")).otherwise(text("[", duty, "]"))
+    links = text('[{"source_name":"N', d, '","source_type":"organization","target_name":" P', k % 4, ' ","target_type":"project","relationship_type":"OWNS","confidence":0.9,"evidence_chunk_ids":["', F.when(k % 19 == 0, chunk(9)).otherwise(chunk(1)), '"]}]')
+    response = F.when(k % 23 == 0, F.lit("{bad")).otherwise(text('{"events":', events, ',"claims":', claims, ',"obligations":', duties, ',"relationships":', links, "}"))
+    return t("orders").select(d.alias("document_id"), k.alias("batch"), response.alias("response"), F.array(chunk(1), chunk(2)).alias("chunk_ids"))
+
+
+@query(f"WITH {_ANSWERS} SELECT k AS batch, reason FROM r")
+def model_answers(t) -> DataFrame:
+    """Why an answer of a model can't be used: the first rule that it breaks."""
+    return model_records.checked_answers(_answers(t)).select("batch", "reason")
+
+
+_GOOD = f"""{_ANSWERS}, g AS (SELECT *, k || ':1' AS a, k || ':2' AS b, CASE WHEN k % 2 = 1 THEN 7 END AS p2 FROM r WHERE reason IS NULL)"""
+
+
+@query(f"""WITH {_GOOD} SELECT 'event' AS kind, {sid("event", "d", "'filed'", "'T' || s", "'1997-05'", "a")} AS id, d AS document_id, 'T' || s AS told, k % 5 AS page_start, k % 5 + 1 AS page_end FROM g
+UNION ALL SELECT 'claim', {sid("claim", "d", "'S' || (k % 3)", "b")}, d, 'S' || (k % 3), p2, p2 + 1 FROM g
+UNION ALL SELECT 'obligation', {sid("obligation", "d", "'Act'", "b", "a")}, d, 'Act', least(k % 5, p2), greatest(k % 5 + 1, p2 + 1) FROM g
+UNION ALL SELECT 'relation', {sid("relation", "'organization:' || substring(sha256(lower('N' || d)), 1, 24)", "'OWNS'", "'project:' || substring(sha256(lower('P' || (k % 4))), 1, 24)", "d", "a")}, d, 'organization:' || substring(sha256(lower('N' || d)), 1, 24), k % 5, k % 5 + 1 FROM g
+UNION ALL SELECT DISTINCT 'entity', 'organization:' || substring(sha256(lower('N' || d)), 1, 24), NULL, 'N' || d, NULL::BIGINT, NULL::BIGINT FROM g UNION ALL SELECT DISTINCT 'entity', 'project:' || substring(sha256(lower('P' || (k % 4))), 1, 24), NULL, ' P' || (k % 4) || ' ', NULL::BIGINT, NULL::BIGINT FROM g""")
+def model_tables(t) -> DataFrame:
+    """Events, claims, obligations, relations and entities of all usable answers, with ids and the pages of their evidence."""
+    k = F.col("o_orderkey")
+    one = t("orders").select(F.concat(k.cast("string"), F.lit(":1")).alias("chunk_id"), (k % 5).alias("page_start"), (k % 5 + 1).alias("page_end"))
+    two = t("orders").select(F.concat(k.cast("string"), F.lit(":2")).alias("chunk_id"), F.when(k % 2 == 1, F.lit(7)).cast("long").alias("page_start"), F.when(k % 2 == 1, F.lit(8)).cast("long").alias("page_end"))
+    facts = t("customer").select(F.col("c_custkey").cast("string").alias("document_id"), *(F.col("c_name").alias(c) for c in model_records.COMMON))
+    out = model_records.materialized(model_records.checked_answers(_answers(t)), one.union(two), facts, version="p1:model")
+    kinds = [("event", out.events, "title"), ("claim", out.claims, "statement"), ("obligation", out.obligations, "action"), ("relation", out.relations, "source_id")]
+    rows = [x.select(F.lit(kind).alias("kind"), "id", "document_id", F.col(told).alias("told"), F.col("evidence_page_start").alias("page_start"), F.col("evidence_page_end").alias("page_end")) for kind, x, told in kinds]
+    none = F.lit(None)
+    rows.append(out.entities.select(F.lit("entity").alias("kind"), "id", none.cast("string").alias("document_id"), F.col("name").alias("told"), none.cast("long").alias("page_start"), none.cast("long").alias("page_end")))
+    return reduce(DataFrame.union, rows)
