@@ -102,27 +102,17 @@ def _heads(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(cid, n, toks) of the classes in ``wanted`` (cid, tid), from one text each."""
-    spark = docs.sparkSession
-    n = wanted.count()
-    if n <= SENT_KEYS:
-        keys = np.array([r.h for r in wanted.select(F.xxhash64("tid").alias("h")).toLocalIterator()], np.int64)
-        sent = spark.sparkContext.broadcast(np.sort(keys))  # at most SENT_KEYS of them
-
-        def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = sent.value
-            for batch in batches:
-                h = batch.column("h").to_numpy()
-                at = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
-                yield batch.filter(pa.array(known[at] == h)) if len(known) else batch.slice(0, 0)
-
-        rows = docs.withColumn("h", F.xxhash64("tid")).select("tid", "text", "h")
-        docs = rows.mapInArrow(some, rows.schema).drop("h")
+    if wanted.count() <= SENT_KEYS:
+        # texts that aren't asked for stay where they are read: their keys' hashes are met there, at most SENT_KEYS of them
+        keys = wanted.select(F.xxhash64("tid").alias("h")).distinct()
+        docs = docs.withColumn("h", F.xxhash64("tid")).join(F.broadcast(keys), "h", "left_semi").select("tid", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in sliced(batches):
             toks = [shingle_set(t, hashes, k) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("cid"), _list_of(toks)], ["cid", "toks"])
+            pa.default_memory_pool().release_unused()
 
     one = docs.select("tid", "text").dropDuplicates(["tid"]).join(wanted, "tid").select("cid", "text")
     return one.mapInArrow(run, "cid long, toks array<long>").withColumn("n", F.size("toks"))
