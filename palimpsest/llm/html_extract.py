@@ -8,7 +8,8 @@ on labelled pages; ``labelled_pages`` makes those by rule, with each kind of sur
 contract names, ``TRAIN_PAGES`` of them (a documented bound, the same at every size).
 
 Text.  Tags inside a block are dropped, ``<br>`` is white space, white space becomes one space,
-character references are decoded, blocks are joined by one line end.
+character references are decoded, blocks are joined by one line end.  What stands for a script
+(``noscript``) is an element like others, so blocks in it can be the article's; a line of its own is a notice.
 
 Markup is read by the HTML rules for tags and attributes, broken or not, in time linear in the page.
 
@@ -30,12 +31,12 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm.common import table
+from palimpsest.llm.common import bound_batches, sliced, table
 
 TRAIN_PAGES, TRAIN_ROUNDS = 240, 45
 
 #: Elements whose text is never the page's.
-_RAW = frozenset("script style noscript template textarea title iframe".split())
+_RAW = frozenset("script style template textarea title iframe".split())
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in _RAW}
 #: A whole well-formed tag; no part of it gives anything back, so it is read once.
 _TAG = re.compile(
@@ -51,7 +52,7 @@ _NAME = re.compile(r"[a-z]+")
 #: Elements that are nodes; all other elements are part of the text around them.
 _BLOCKS = frozenset(
     "html body main article section div header footer nav aside form fieldset p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
-    "blockquote pre figure figcaption address details summary center menu dialog hgroup caption legend label button select datalist optgroup option".split()
+    "blockquote pre figure figcaption address details summary center menu dialog hgroup caption legend label button select datalist optgroup option noscript".split()
 )
 #: An opening tag of the first kind closes open ones of the second kind, up to the third.
 _CLOSES = {
@@ -336,6 +337,7 @@ def labelled_pages(n: int, seed: int = 5) -> list[tuple[Page, list[int]]]:
         return "<ul>" + "".join(f'<li><a href="/{i}">{words(1, 3)}</a></li>' for i in range(k)) + "</ul>"
 
     apart_ = random.Random(seed + 1)  # for controls and the shape of the page
+    own_ = random.Random(seed + 2)  # for links within articles, and what stands for a script
 
     def controls(often: float) -> str:
         """A list to choose from or a button, judged as what is around it."""
@@ -346,6 +348,15 @@ def labelled_pages(n: int, seed: int = 5) -> list[tuple[Page, list[int]]]:
             return f"<button>{word()} {word()}</button>"
         return "<select>" + "".join(f"<option>{word()}" for _ in range(apart_.randint(1, 6))) + "</select>"
 
+    def more(low: int, high: int) -> str:
+        return " ".join("".join(own_.choices(syllables, k=own_.randint(1, 4))) for _ in range(own_.randint(low, high))).capitalize()
+
+    def linked(k: int) -> str:
+        """A list of links that says something, as an article has it, at times with one in it."""
+        tag = own_.choice(["ul", "ul", "ol"])
+        inner = [f'<li><a href="/{i}">{more(1, 6)}</a>{linked(own_.randint(1, 2)) if own_.random() < 0.12 else ""}</li>' for i in range(k)]
+        return f"<{tag}>{''.join(inner)}</{tag}>"
+
     mark = ' data-label="1"'
 
     def article() -> str:
@@ -377,6 +388,11 @@ def labelled_pages(n: int, seed: int = 5) -> list[tuple[Page, list[int]]]:
         if r.random() < 0.3:
             inner = "".join(f'<div class="comment"><p>{sentences(1, 2)}</p></div>' for _ in range(r.randint(1, 4)))
             parts.append(f'<{r.choice(["section", "div"])} data-label="0" class="{r.choice(["comments", "comment", "replies", "discussion"])}"><h3>{words(1, 2)}</h3>{inner or sentences(1, 2)}</section>')
+        # an article holds link lists, linked paragraphs and what stands for a script too
+        bare_line, block = (lambda: f'<noscript data-label="0">{more(2, 9)}.</noscript>'), (lambda: f"<noscript><p>{more(3, 14)}.</p></noscript>")
+        for often, made in ((0.3, lambda: linked(own_.randint(1, 8))), (0.25, lambda: f'<p><a href="/y">{more(2, 9)}</a></p>'), (0.12, block), (0.12, bare_line)):
+            if own_.random() < often:
+                parts.insert(own_.randint(0, len(parts)), made())
         body = "".join(parts) + controls(0.15)
         return r.choice([f"<article{mark}>{body}</article>", f"<article{mark}>{body}</article>", f"<main><article{mark}>{body}</article></main>", f'<div{mark} class="{r.choice(_LEXICON["content"])}">{body}</div>', f"<main{mark}>{body}</main>"])
 
@@ -416,11 +432,17 @@ def labelled_pages(n: int, seed: int = 5) -> list[tuple[Page, list[int]]]:
         if not bare and apart_.random() < 0.4:  # text beside the article that names nothing
             beside = f'<{(tag := apart_.choice(["div", "section", "p"]))} data-label="0">{sentences(1, 2)}</{tag}>'
             main = apart_.choice([main + beside, beside + main])
+        if own_.random() < 0.12:  # what stands for a script, outside the article
+            said = f'<noscript data-label="0">{own_.choice(["", "<p>", "<div>"])}{more(3, 12)}.</noscript>'
+            main = own_.choice([said + main, main + said])
         if apart_.random() < 0.2:  # a page of a few paragraphs and no more
             begin, end = apart_.choice([("<p>", "</p>"), ("<p>", ""), ("<div>", "</div>"), ("", "<hr>")])
             main = "".join(f"{begin}{sentences(1, 3)}{end}" for _ in range(apart_.randint(1, 3)))
             bare, apart, body = True, ([], []), f"<body{mark}>"
             loose = apart_.random() < 0.5
+        if own_.random() < 0.1:  # a page of one short text
+            begin, end = own_.choice([("<p>", "</p>"), ("<div>", "</div>"), ("<div><p>", "</p></div>"), ("", "")])
+            main, bare, apart, body, loose = f"{begin}{more(1, 12)}{own_.choice(['.', '.', ''])}{end}", True, ([], []), f"<body{mark}>", own_.random() < 0.6
         whole = "".join(apart[0]) + main + "".join(apart[1])
         for _ in range(apart_.choice([0, 0, 1, 2])):  # elements that hold all of the page and name nothing
             whole = f"<div>{whole}</div>"
@@ -450,10 +472,11 @@ def main_text(source: str | None, model: TreeModel) -> str:
 
 def extract_main_text(pages: DataFrame, model: TreeModel | None = None) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages`` (page_id, url, html)."""
+    bound_batches(pages.sparkSession, 1000)
     model = model or trained_model()  # a few hundred weights, sent with the tasks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 64):
             texts = [main_text(h, model) for h in batch.column(2).to_pylist()]
             sizes = pa.array([len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), sizes], ["page_id", "url", "text", "n_chars"])

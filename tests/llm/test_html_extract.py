@@ -72,6 +72,24 @@ WRITTEN = [
 ]
 
 
+#: Links and other things that articles hold and menus too.  (page, its main text)
+IN_ARTICLES = [
+    ("<article><p>Sources of the town.</p><ul><li><a>Census of 1901</a></li><li><a>Letters of the mayor</a></li></ul><p>More is lost.</p></article>", "Sources of the town.\nCensus of 1901\nLetters of the mayor\nMore is lost."),
+    ("<article><p>See this:</p><p><a href=/m>The map of the harbour</a></p><p>It is old.</p></article>", "See this:\nThe map of the harbour\nIt is old."),
+    ("<article><p>Before.</p><noscript><p>The picture shows a mill.</p></noscript><p>After.</p></article>", "Before.\nThe picture shows a mill.\nAfter."),
+    ("<body><nav><ul><li><a href=/>Home</a><li><a href=/n>News</a></ul></nav><main><h1>Books</h1><ol><li><a href=/1>First book</a><li><a href=/2>Second book</a></ol><p>All are sold.</p></main><footer><ul><li><a href=/i>Imprint</a></ul></footer></body>", "Books\nFirst book\nSecond book\nAll are sold."),
+    ('<body><ul class="menu"><li><a href=/>Home</a></ul><article><h2>Walks</h2><ul><li><a href=/w>To the lake</a></ul><div class="related"><ul><li><a href=/x>More walks</a></ul></div></article></body>', "Walks\nTo the lake"),
+    ('<body><noscript>Please enable scripts.</noscript><article><p>Only this.</p></article></body>', "Only this."),
+    ('<div class="content"><p>Read on:</p><p><a href=/2>Part two</a></p><p><a href=/3>Part three</a></p></div><div class="pagination"><a href=/2>2</a></div>', "Read on:\nPart two\nPart three"),
+    ("<main><article><h1>List</h1><ul><li><a href=a>One</a><ul><li><a href=b>One and a half</a></ul><li>Two</ul></article></main><aside><ul><li><a href=c>Other</a></ul></aside>", "List\nOne\nOne and a half\nTwo"),
+]
+
+
+@pytest.mark.parametrize("page,expected", IN_ARTICLES)
+def test_links_in_articles_stay(page, expected):
+    assert main_text(page, trained_model()) == expected
+
+
 def test_pages_written_by_hand():
     """All of the plain ones, and nine in ten of all."""
     got = [main_text(h, trained_model()) for h, _ in WRITTEN]
