@@ -39,13 +39,18 @@ RULES = (Rule("block", "net"), Rule("allow", "example.net", "/en/"), Rule("block
 #: Up to so many rules are one expression; more are joined by host suffix.
 INLINE_RULES = 200
 
-_HREF = r"""(?is)\bhref\s*=\s*["']?([^"'>\s]+)"""
-_CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
-_REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-_TARGET = r"""(?is)\burl\s*=\s*["']?([^"'>\s]+)"""
+#: Tags of a head, and their attributes one after the other, so that what stands in one's value isn't taken for another.
+_LINK, _META, _BASE = r"(?is)<link[\s/][^>]*>", r"(?is)<meta[\s/][^>]*>", r"(?is)<base[\s/][^>]*>"
+_ATTRIBUTE = r"""(?s)[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]+))?"""
+_NAME, _BEFORE, _QUOTES = r"^([^\s=]+)", r"(?s)^[^=]*=\s*", r"""^["']|["']$"""
+_TARGET = r"""(?is)^[^;,]*[;,]\s*url\s*=\s*["']?([^"']+)"""
+#: Links with a scheme of their own: with a host, or of another kind, which is no alias.
+_ABSOLUTE, _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*://", r"^[A-Za-z][A-Za-z0-9+.-]*:"
 #: Character references that links hold, the ampersand last.
 _REFERENCES = (("&#47;", "/"), ("&#x2F;", "/"), ("&#61;", "="), ("&#63;", "?"), ("&#38;", "&"), ("&amp;", "&"))
-_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<noscript\b.*?</noscript>"
+#: What holds no tags of the head, closed or not; the head ends where the body begins.
+_HIDDEN = "(?is)<!--.*?(?:-->|\\z)|" + "|".join(rf"<{t}[\s/>].*?(?:</{t}[\s/>]|\z)" for t in ("script", "style", "noscript", "title", "textarea", "template"))
+_BODY = r"(?is)<body[\s/>].*\z"
 
 
 #: Host, path and query after the first ``://``.
@@ -98,32 +103,50 @@ def without_dots(path: Column) -> Column:
     return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.concat(resolved, F.when(path.rlike(r"/\.\.?$"), "/").otherwise(""))).otherwise(path)
 
 
-def alias_edges(pages: DataFrame) -> DataFrame:
-    """Distinct (src, dst) nodes from all canonical links and meta refreshes in the heads."""
-    at = F.instr(lower_ascii(F.col("html")), "<body")
-    head = F.regexp_replace(F.when(at > 0, F.substring("html", 1, at - 1)).otherwise(F.col("html")), _HIDDEN, " ")
-    shown = pages.select("url", head.alias("head"))
-    tags = lambda tag, target: F.transform(F.regexp_extract_all("head", F.lit(tag), F.lit(0)), lambda x: F.regexp_extract(x, target, 1))
-    links = shown.select("url", F.explode(F.concat(tags(_CANONICAL, _HREF), tags(_REFRESH, _TARGET))).alias("link")).where("link <> ''")
-    link = F.col("link")
-    for name, mark in _REFERENCES:
-        link = F.replace(link, F.lit(name), F.lit(mark))
-    found = links.select(
-        "url", link.alias("link"), F.substring_index("url", "://", 1).alias("scheme"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), node_of(F.col("url")).alias("src")
-    )
-    base = F.concat("scheme", F.lit("://"), "host")
-    folder = F.regexp_extract("path", r"^(.*/)?", 0)
-    in_path = F.regexp_extract("link", r"(?s)^([^?#]*)", 1)
-    rest = F.substr("link", F.length(in_path) + 1)
-    full = (
-        F.when(F.instr("link", "://") > 0, F.col("link"))
-        .when(F.col("link").startswith("//"), F.concat("scheme", F.lit(":"), "link"))
-        .when(F.col("link").startswith("/"), F.concat(base, without_dots(in_path), rest))
-        .when(F.col("link").startswith("?"), F.concat(base, "path", "link"))
-        .when(F.col("link").startswith("#"), F.col("url"))
-        .otherwise(F.concat(base, without_dots(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), in_path)), rest))
+def attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's first attribute of that name, without quotes and with character references decoded; null if there is none."""
+    own = F.get(F.filter(F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(0)), lambda m: lower_ascii(F.regexp_extract(m, _NAME, 1)) == name), F.lit(0))
+    value = F.when(F.instr(own, "=") > 0, F.regexp_replace(F.regexp_replace(own, _BEFORE, ""), _QUOTES, ""))
+    for told, mark in _REFERENCES:
+        value = F.replace(value, F.lit(told), F.lit(mark))
+    return F.nullif(F.trim(value), F.lit(""))
+
+
+def resolved(link: Column, base: Column) -> Column:
+    """The URL that ``link`` means in a page or base ``base``; null for a scheme without a host."""
+    scheme, host, path = F.substring_index(base, "://", 1), host_of(base), path_of(base)
+    root, folder = F.concat(scheme, F.lit("://"), host), F.regexp_extract(path, r"^(.*/)?", 0)
+    in_path = F.regexp_extract(link, r"(?s)^([^?#]*)", 1)
+    rest = F.substr(link, F.length(in_path) + 1)
+    return (
+        F.when(link.rlike(_ABSOLUTE), link)
+        .when(link.rlike(_SCHEME), F.lit(None).cast("string"))
+        .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
+        .when(link.startswith("/"), F.concat(root, without_dots(in_path), rest))
+        .when(link.startswith("?"), F.concat(root, path, link))
+        .when(link.startswith("#"), base)
+        .otherwise(F.concat(root, without_dots(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), in_path)), rest))
     )
-    return found.select("src", full.alias("target")).select("src", node_of(F.col("target")).alias("dst")).where("src <> dst").distinct()
+
+
+def alias_edges(pages: DataFrame) -> DataFrame:
+    """Distinct (src, dst) nodes from all canonical links and meta refreshes in the heads.
+
+    A link is canonical if one of the words of its ``rel`` is; links are relative to the first ``<base href>``, or the page.
+    """
+    low = lower_ascii(F.col("html"))
+    some = pages.where(low.contains("canonical") | low.contains("refresh")).select("url", "html")
+    head = F.regexp_replace(F.regexp_replace("html", _HIDDEN, " "), _BODY, "")
+    tags = lambda tag: F.regexp_extract_all("head", F.lit(tag), F.lit(0))
+    words = lambda x: F.split(lower_ascii(F.coalesce(x, F.lit(""))), r"\s+")
+    canonical = F.transform(F.filter(tags(_LINK), lambda x: F.array_contains(words(attribute(x, "rel")), "canonical")), lambda x: attribute(x, "href"))
+    refresh = F.transform(F.filter(tags(_META), lambda x: lower_ascii(attribute(x, "http-equiv")) == "refresh"), lambda x: F.trim(F.regexp_extract(attribute(x, "content"), _TARGET, 1)))
+    base = F.get(F.filter(F.transform(tags(_BASE), lambda x: attribute(x, "href")), lambda x: x.isNotNull()), F.lit(0))
+    shown = some.select("url", head.alias("head")).select("url", F.concat(canonical, refresh).alias("links"), base.alias("base"))
+    links = shown.select("url", "base", F.explode("links").alias("link")).where("link <> ''")
+    links = links.withColumn("base", F.coalesce(resolved(F.col("base"), F.col("url")), "url"))
+    found = links.select(node_of(F.col("url")).alias("src"), node_of(resolved(F.col("link"), F.col("base"))).alias("dst"))
+    return found.where("src <> dst").distinct()
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, *, edges: DataFrame | None = None) -> DataFrame:
@@ -166,26 +189,38 @@ def oracle_sql(rules: Sequence[Rule] = RULES) -> str:
     ordered = sorted(rules, key=lambda r: (-len(r.text), r.text))
     case = lambda part: "CASE " + " ".join(f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{part(r)}'" for r in ordered) + " END"
     host, path, node = parts("coalesce(url, '')")
-    folder = "CASE WHEN regexp_extract(path, '^(.*/)?', 0) = '' THEN '/' ELSE regexp_extract(path, '^(.*/)?', 0) END"
-    whole = f"CASE WHEN starts_with(link, '/') THEN inp ELSE {folder} || inp END"
-    dots = r"""CASE WHEN regexp_matches(whole, '(^|/)\.\.?(/|$)') THEN array_to_string(list_reduce(list_transform(string_split(whole, '/'), lambda s: [s]), lambda a, x:
-        CASE WHEN x[1] = '..' THEN a[1:greatest(len(a) - 1, 1)] WHEN x[1] = '.' THEN a ELSE list_concat(a, x) END), '/') || CASE WHEN regexp_matches(whole, '/\.\.?$') THEN '/' ELSE '' END ELSE whole END"""
-    full = f"""CASE WHEN strpos(link, '://') > 0 THEN link WHEN starts_with(link, '//') THEN scheme || ':' || link
-        WHEN starts_with(link, '?') THEN scheme || '://' || host || path || link WHEN starts_with(link, '#') THEN url
-        ELSE scheme || '://' || host || {dots} || substring(link, length(inp) + 1) END"""
-    decoded = "raw"
-    for name, mark in _REFERENCES:
-        decoded = f"replace({decoded}, '{name}', '{mark}')"
-    lower_html = "translate(html, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    head = f"CASE WHEN strpos({lower_html}, '<body') > 0 THEN substring(html, 1, strpos({lower_html}, '<body') - 1) ELSE html END"
+    low = lambda x: f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def own(tag: str, name: str) -> str:
+        found = f"list_filter(regexp_extract_all({tag}, '{quote(_ATTRIBUTE)}'), lambda m: {low(f"regexp_extract(m, '{_NAME}', 1)")} = '{name}')[1]"
+        value = f"CASE WHEN strpos({found}, '=') > 0 THEN regexp_replace(regexp_replace({found}, '{_BEFORE}', ''), '{quote(_QUOTES)}', '', 'g') END"
+        for told, mark in _REFERENCES:
+            value = f"replace({value}, '{told}', '{mark}')"
+        return f"nullif(trim({value}), '')"
+
+    def means(link: str, base: str) -> str:
+        h, p_, _ = parts(base)
+        folder = f"CASE WHEN regexp_extract({p_}, '^(.*/)?', 0) = '' THEN '/' ELSE regexp_extract({p_}, '^(.*/)?', 0) END"
+        inp = f"regexp_extract({link}, '(?s)^([^?#]*)', 1)"
+        whole = f"(CASE WHEN starts_with({link}, '/') THEN {inp} ELSE {folder} || {inp} END)"
+        dots = rf"""CASE WHEN regexp_matches({whole}, '(^|/)\.\.?(/|$)') THEN array_to_string(list_reduce(list_transform(string_split({whole}, '/'), lambda s: [s]), lambda a, x:
+            CASE WHEN x[1] = '..' THEN a[1:greatest(len(a) - 1, 1)] WHEN x[1] = '.' THEN a ELSE list_concat(a, x) END), '/') || CASE WHEN regexp_matches({whole}, '/\.\.?$') THEN '/' ELSE '' END ELSE {whole} END"""
+        scheme = f"split_part({base}, '://', 1)"
+        return f"""CASE WHEN regexp_matches({link}, '{_ABSOLUTE}') THEN {link} WHEN regexp_matches({link}, '{_SCHEME}') THEN NULL WHEN starts_with({link}, '//') THEN {scheme} || ':' || {link}
+            WHEN starts_with({link}, '?') THEN {scheme} || '://' || {h} || {p_} || {link} WHEN starts_with({link}, '#') THEN {base}
+            ELSE {scheme} || '://' || {h} || {dots} || substring({link}, length({inp}) + 1) END"""
+
+    ordered = sorted(rules, key=lambda r: (-len(r.text), r.text))
+    case = lambda part: "CASE " + " ".join(f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{part(r)}'" for r in ordered) + " END"
     target, node_host, node_path = parts("dst_url")[2], parts("'x://' || node")[0], parts("'x://' || node")[1]
     return rf"""
-WITH RECURSIVE p AS (SELECT page_id, url, {host} AS host, {path} AS path, {node} AS node,
-    split_part(url, '://', 1) AS scheme, regexp_replace({head}, '{quote(_HIDDEN)}', ' ', 'g') AS head FROM pages),
-l AS (SELECT *, unnest(list_concat(list_transform(regexp_extract_all(head, '{quote(_CANONICAL)}'), lambda x: regexp_extract(x, '{quote(_HREF)}', 1)),
-    list_transform(regexp_extract_all(head, '{quote(_REFRESH)}'), lambda x: regexp_extract(x, '{quote(_TARGET)}', 1)))) AS raw FROM p),
-w AS (SELECT *, {whole} AS whole FROM (SELECT *, regexp_extract(link, '(?s)^([^?#]*)', 1) AS inp FROM (SELECT *, {decoded} AS link FROM l WHERE raw <> ''))),
-t AS (SELECT node AS src, {full} AS dst_url FROM w),
+WITH RECURSIVE p AS (SELECT page_id, url, {host} AS host, {path} AS path, {node} AS node FROM pages),
+q AS MATERIALIZED (SELECT url, {node} AS src, regexp_replace(regexp_replace(html, '{quote(_HIDDEN)}', ' ', 'g'), '{_BODY}', '') AS head FROM pages),
+g AS MATERIALIZED (SELECT url, src, list_filter(list_transform(regexp_extract_all(head, '{_BASE}'), lambda x: {own("x", "href")}), lambda x: x IS NOT NULL)[1] AS told,
+    list_concat(list_transform(list_filter(regexp_extract_all(head, '{_LINK}'), lambda x: list_contains(regexp_split_to_array({low(f"coalesce({own('x', 'rel')}, '')")}, '\s+'), 'canonical')), lambda x: {own("x", "href")}),
+    list_transform(list_filter(regexp_extract_all(head, '{_META}'), lambda x: {low(own("x", "http-equiv"))} = 'refresh'), lambda x: trim(regexp_extract({own("x", "content")}, '{quote(_TARGET)}', 1)))) AS links FROM q),
+l AS MATERIALIZED (SELECT src, coalesce({means("told", "url")}, url) AS base, unnest(links) AS link FROM g),
+t AS MATERIALIZED (SELECT src, {means("link", "base")} AS dst_url FROM l WHERE link <> ''),
 e AS (SELECT DISTINCT src, {target} AS dst FROM t WHERE src <> {target}),
 both_ways AS (SELECT src AS a, dst AS b FROM e UNION SELECT dst, src FROM e),
 reach(node, other) AS (SELECT a, a FROM both_ways UNION SELECT r.node, b FROM reach r JOIN both_ways ON r.other = a),

@@ -1,6 +1,9 @@
 """Operator 3 against a plain version over redirects, and rules one by one."""
 
 import random
+import re
+from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import duckdb
 
@@ -68,6 +71,68 @@ def test_links_as_browsers_read_them(spark):
     }
 
 
+class Links(HTMLParser):
+    """Canonical links and refreshes of a head by another parser."""
+
+    def __init__(self, url):
+        super().__init__()
+        self.base, self.found, self.over, self.based, self.hidden = url, [], False, False, 0
+
+    def handle_starttag(self, tag, attrs):
+        own = {}
+        for k, v in attrs:
+            own.setdefault(k, v)
+        if tag in ("noscript", "template", "title"):  # this parser reads tags in a title, browsers don't
+            self.hidden += 1
+        self.over = self.over or tag == "body" and not self.hidden
+        if self.over or self.hidden:
+            return
+        if tag == "base" and own.get("href") and not self.based:
+            self.base, self.based = urljoin(self.base, own["href"].strip()), True
+        to = (own.get("href") or "").strip() if tag == "link" and "canonical" in (own.get("rel") or "").lower().split() else None
+        if tag == "meta" and (own.get("http-equiv") or "").strip().lower() == "refresh":
+            to = re.sub(r"""(?is)^[^;,]*[;,]\s*url\s*=\s*["']?([^"']+).*""", r"\1", own["content"]).strip() if re.search("(?i)[;,]\\s*url", own.get("content") or "") else None
+        if to:
+            self.found.append(to)
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in ("noscript", "template", "title")
+
+
+def test_heads_against_another_parser(spark, tmp_path):
+    r = random.Random(17)
+    targets = ["/go?next=https://bad.net/x", "https://bad.net/a", "//c.com/b?x=1&amp;y=2", "../up/./x", "?q=1", "#top", "mailto:a@b.net", "javascript:void(0)", "https:x", "plain", "HTTP://D.NET/e#f", "a/b:c/d", " /spaced "]
+    make = [
+        lambda t: f'<link rel="canonical" href="{t}">', lambda t: f"<link href='{t}' rel=canonical />", lambda t: f'<LINK REL="alternate Canonical" HREF="{t}">', lambda t: f'<link rel="canonical-ish" href="{t}">', lambda t: f'<link data-href="http://no.net/" rel="canonical" href="{t}">',
+        lambda t: f'<link rel="canonical" title="x href=http://no.net/ y" href="{t}">', lambda t: f'<link rel="canonical" data-href="{t}">', lambda t: f'<link data-rel="canonical" href="{t}">', lambda t: f'<meta http-equiv="refresh" content="5; url={t}">',
+        lambda t: f"<meta http-equiv=Refresh content=\"0;URL='{t}'\">", lambda t: f'<meta name="refresh" content="0; url={t}">', lambda t: '<meta http-equiv="refresh" content="30">', lambda t: f'<script>var s = "<body><link rel=canonical href={t}>";</script>', lambda t: f'<!-- <link rel="canonical" href="{t}"> -->',
+        lambda t: f'<noscript><link rel="canonical" href="{t}"></noscript>', lambda t: f'<title>about <body> and <link rel="canonical" href="{t}"></title>', lambda t: '<base href="http://base.se/d/e">', lambda t: '<base target=_top>', lambda t: '<base href="sub/">', lambda t: f'<linker rel="canonical" href="{t}">',
+    ]
+    rows, edges = [], set()
+    for i in range(1500):
+        url = r.choice(["http://a.com/x/y/1", "https://b.com", "http://c.com/p?q=1", "http://D.com/z/"]) + r.choice(["", f"?i={i}"])
+        head = "".join(r.choice(make)(r.choice(targets)) for _ in range(r.randrange(4)))
+        html = f"<html><head>{head}</head>" + r.choice(["<body>", "<BODY class=x>", "<body\n>"]) + '<link rel="canonical" href="http://inbody.net/"></body></html>'
+        rows.append((i, url, html))
+        parser = Links(url)
+        parser.feed(html)
+        node = lambda u: (lambda rest: re.sub("^[^/?#]*", lambda m: m[0].lower(), rest.partition("#")[0]))(u.partition("://")[2])
+        for to in parser.found:
+            full = urljoin(parser.base, to)
+            if re.match("^[a-zA-Z][a-zA-Z0-9+.-]*:(?!//)", to) is None and "://" in full and node(url) != node(full):
+                edges.add((node(url), node(full)))
+    frame = spark.createDataFrame(rows, PAGES)
+    got = {(e.src, e.dst) for e in alias_edges(frame).collect()}
+    assert got == edges, (sorted(got - edges)[:5], sorted(edges - got)[:5])
+    assert len(got) > 200 and not any("no.net" in b or "inbody" in b for _, b in got)
+    frame.write.parquet(f"{tmp_path}/pages.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    found = db.execute(oracle_sql())
+    at = {c[0]: k for k, c in enumerate(found.description)}
+    assert {x.page_id: (x.rule, x.verdict, x.component) for x in query(spark, str(tmp_path)).collect()} == {x[at["page_id"]]: (x[at["rule"]], x[at["verdict"]], x[at["component"]]) for x in found.fetchall()}
+
+
 def linked_pages(n, seed):
     """Dense links: a hub that a third of the pages name, chains, random links, rules on some."""
     r = random.Random(seed)
