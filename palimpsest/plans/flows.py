@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.operators import artifacts, attempts, limits, migrations, rebuild
+from palimpsest.operators import artifacts, attempts, audit, limits, migrations, rebuild
 from palimpsest.plans.documents import query
 
 
@@ -279,3 +279,49 @@ def analysis_selection(t) -> DataFrame:
     analyses = lines.where("l_suppkey % 4 > 0").select("file_id", F.col("document_id").alias("sha256"), F.when(F.col("l_linestatus") == "F", "SUCCEEDED").otherwise("FAILED").alias("status"))
     known = _checked(t).select(F.col("document_id").cast("string").alias("document_id"), F.col("document_id").cast("string").alias("sha256"), "usable")
     return artifacts.to_analyze(files, analyses, known).select("document_id", "file_id", "reason")
+
+
+# --- audit -----------------------------------------------------------------------------------------
+
+_AUDITED = """CAST(o_orderkey AS STRING) AS document_id, o_orderkey % 3 = 0 AS is_container, o_orderkey % 51 <> 0 AS has_metadata, o_orderkey % 4 <> 0 AS complete, CASE WHEN o_orderkey % 15 = 0 THEN 'empty' ELSE 'LISTED' END AS state,
+2 + CASE WHEN o_orderkey % 8 = 0 THEN 1 ELSE 0 END AS reported, CASE WHEN o_orderkey % 2 = 0 THEN 2 END AS parsed, 2 + CASE WHEN o_orderkey % 27 = 0 THEN 1 ELSE 0 END AS effective,
+CASE WHEN o_orderkey % 21 = 0 THEN ' ' WHEN o_orderkey % 33 = 0 THEN '/x/' || CAST(o_orderkey AS STRING) ELSE 'https://records.invalid/Item/LoadResult/' || CAST(o_orderkey AS STRING) || '/' END AS endpoint"""
+_FINDINGS = """d AS (SELECT o_orderkey AS k, o_orderkey % 3 = 0 AS box, o_orderkey % 51 <> 0 AS told FROM orders), b AS (SELECT * FROM d WHERE box), e AS (SELECT k AS p, unnest([k + 1, k + 3]) AS c FROM b WHERE told),
+l AS (SELECT k AS c, k - 1 AS p FROM d WHERE k % 5 <> 0 UNION ALL SELECT k, k - 3 FROM d WHERE k % 3 = 0 UNION ALL SELECT k, k + 1 FROM d WHERE k % 7 = 0),
+s AS (SELECT k AS p, unnest(CASE WHEN k % 45 = 0 THEN [] WHEN k % 6 = 0 THEN [k, k + 100000000] ELSE [k] END) AS id FROM b WHERE told),
+f AS (SELECT 'missing_container_metadata' AS counter, k AS key, '' AS detail, 1 AS n FROM b WHERE NOT told UNION ALL SELECT 'duplicate_member_ids', k, '1', 1 FROM b WHERE told AND k % 9 = 0 UNION ALL SELECT 'incomplete_containers', k, '', 1 FROM b WHERE told AND k % 4 = 0
+UNION ALL SELECT 'effective_count_mismatches', k, 'EMPTY', 1 FROM b WHERE told AND k % 15 = 0 UNION ALL SELECT 'effective_count_mismatches', k, '3 != 2', 1 FROM b WHERE told AND k % 27 = 0
+UNION ALL SELECT 'missing_result_endpoints', k, '', 1 FROM b WHERE told AND k % 21 = 0 UNION ALL SELECT 'endpoint_mismatches', k, '/x/' || k, 1 FROM b WHERE told AND k % 21 <> 0 AND k % 33 = 0
+UNION ALL SELECT 'containers_without_snapshot_references', k, '', 1 FROM b WHERE told AND k % 45 = 0 UNION ALL SELECT 'missing_member_documents', p, CAST(c AS VARCHAR), 1 FROM e WHERE c NOT IN (SELECT k FROM d)
+UNION ALL SELECT 'missing_child_backlinks', c, CAST(p AS VARCHAR), 1 FROM (SELECT DISTINCT p, c FROM e WHERE c IN (SELECT k FROM d)) x ANTI JOIN l USING (p, c) UNION ALL SELECT 'orphan_child_backlinks', c, CAST(p AS VARCHAR), 1 FROM l ANTI JOIN e USING (p, c)
+UNION ALL SELECT 'missing_container_snapshot_rows', p, CAST(id AS VARCHAR), 1 FROM s WHERE id NOT IN (SELECT k FROM d) UNION ALL SELECT 'container_snapshot_wrong_kind', p, CAST(id AS VARCHAR), 1 FROM s WHERE id % 12 = 0 AND id IN (SELECT k FROM d))"""
+
+
+def _audit(t) -> audit.Audit:
+    k = F.col("o_orderkey")
+    text = lambda c: c.cast("string")
+    orders = t("orders")
+    members = F.array(text(k + 1), text(k + 3))
+    ids = F.when(k % 45 == 0, F.array().cast("array<bigint>")).when(k % 6 == 0, F.array(k, k + 100_000_000)).otherwise(F.array(k))
+    rows = _rows(orders.withColumns({"m": F.when(k % 9 == 0, F.concat(members, F.array(text(k + 1)))).otherwise(members), "o": members, "s": ids}), _AUDITED + ", m AS member_ids, o AS observed_ids, s AS snapshot_ids")
+    link = lambda where, parent: orders.where(where).select(text(k).alias("child"), text(parent).alias("parent"))
+    backlinks = link("o_orderkey % 5 <> 0", k - 1).union(link("o_orderkey % 3 = 0", k - 3)).union(link("o_orderkey % 7 = 0", k + 1))
+    snapshots = orders.select(k.alias("id"), F.when(k % 12 == 0, "detail").otherwise("Container").alias("source_kind"))
+    errors = t("events").select(F.col("event_type").alias("severity"), F.when(F.col("event_id") % 3 == 0, F.col("ts")).alias("resolved_at"))
+    return audit.audit(rows, backlinks, snapshots, errors)
+
+
+@query(f"""WITH {_FINDINGS} SELECT counter, CAST(key AS VARCHAR) AS key, detail, CAST(n AS BIGINT) AS n FROM f UNION ALL SELECT 'reported_count_mismatches', CAST(k AS VARCHAR), '3 != 2', 1 FROM b WHERE told AND k % 4 <> 0 AND k % 8 = 0""")
+def audit_issues(t) -> DataFrame:
+    """Every finding of the audit of containers, members, endpoints and snapshots."""
+    return _audit(t).issues
+
+
+@query(f"""WITH {_FINDINGS}, c AS (SELECT counter, sum(n) AS n FROM f GROUP BY 1 UNION ALL SELECT 'issues', count(*) FROM f UNION ALL SELECT 'documents_total', count(*) FROM d UNION ALL SELECT 'containers_total', count(*) FROM b UNION ALL SELECT 'containers_complete', count(*) FROM b WHERE told AND k % 4 <> 0
+UNION ALL SELECT 'containers_empty', count(*) FROM b WHERE told AND k % 15 = 0 UNION ALL SELECT 'nested_container_relationships_total', count(*) FROM e WHERE c IN (SELECT k FROM b) UNION ALL SELECT 'container_snapshot_references', count(DISTINCT id) FROM s
+UNION ALL SELECT 'unresolved_errors', count(*) FROM events WHERE event_id % 3 <> 0 UNION ALL SELECT 'unresolved:' || upper(event_type), count(*) FROM events WHERE event_id % 3 <> 0 GROUP BY event_type UNION ALL SELECT unnest(['reported_count_mismatches', 'parsed_count_mismatches', 'raw_snapshot_failures', 'raw_snapshots_verified']), 0),
+m AS (SELECT sum(n) AS n FROM c WHERE counter IN ({", ".join(f"'{x}'" for x in audit.MEMBERSHIP)})), x AS (SELECT sum(n) AS n FROM c WHERE counter IN ({", ".join(f"'{x}'" for x in (*audit.MEMBERSHIP, *audit.STRUCTURE))}))
+SELECT counter, CAST(n AS BIGINT) AS n FROM c UNION ALL SELECT 'membership_mismatches', CAST(n AS BIGINT) FROM m UNION ALL SELECT 'structural_failures', CAST(n AS BIGINT) FROM x UNION ALL SELECT 'ok', CASE WHEN n = 0 THEN 1 ELSE 0 END FROM x""")
+def audit_counters(t) -> DataFrame:
+    """All counters of the audit, and whether the ledger is sound."""
+    return _audit(t).counters

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.functions import text as fn
-from palimpsest.operators import ledger, provenance
+from palimpsest.operators import ledger, provenance, search_documents
 from palimpsest.plans.documents import _TOK, query, tokens
 
 
@@ -95,3 +95,35 @@ def scalar_coercions(t) -> DataFrame:
     return t("supplier").select(
         "s_suppkey", fn.usage_meter(a, b).alias("used"), fn.retry_delay(attempt, hint, 2.0, 30.0).alias("wait"), fn.text_or_null(said).alias("said"), fn.rate_per_thousand(rate).alias("rate"), fn.error_id_valid(error, "REC").alias("well_formed"),
     )
+
+
+_WIDE = search_documents.FIELDS
+_LISTED = (*search_documents.LISTS, "element_paths", "local_element_paths")
+
+
+@query(f"""WITH c AS (SELECT *, conv_id || ':' || turn AS id, conv_id % 4 = 0 AS has FROM conversations)
+SELECT sha256(id) AS key, id AS chunk_id, CAST(conv_id AS VARCHAR) AS document_id, CASE WHEN conv_id % 3 > 0 THEN CAST(conv_id * 2 AS VARCHAR) END AS filing_id, {", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in search_documents.TEXTS if c not in ("chunk_type", "title", "content", "heading", "source_url"))},
+CASE WHEN turn % 2 = 0 THEN 'table' ELSE 'text' END AS chunk_type, CASE WHEN conv_id % 2 = 0 THEN 'Talk ' || conv_id END AS title, text AS content, CASE WHEN turn % 3 = 0 THEN role WHEN turn % 3 = 1 THEN '' END AS heading, 'https://records.invalid/' || conv_id AS source_url,
+{", ".join(f"CAST(NULL AS INTEGER) AS {c}" for c in search_documents.NUMBERS if c not in ("chunk_index", "word_count"))}, CAST(turn AS INTEGER) AS chunk_index, CAST(length(text) AS INTEGER) AS word_count, CASE WHEN turn % 2 = 0 THEN role || '| ' ELSE role END AS section_path, {", ".join(f"'' AS {c}" for c in search_documents.LISTS[1:])},
+CASE WHEN has THEN '' WHEN turn % 2 = 0 THEN '/contents/0/figures/1|/contents/0/paragraphs/' || turn || '|/contents/0/paragraphs/9' ELSE '/contents/0/paragraphs/' || turn END AS element_paths, CASE WHEN has THEN '' WHEN turn % 2 = 0 THEN '/figures/1|/paragraphs/9' ELSE '/paragraphs/' || turn END AS local_element_paths,
+'https://desk.invalid/evidence/' || id AS url, coalesce(nullif(CASE WHEN turn % 3 = 0 THEN role WHEN turn % 3 = 1 THEN '' END, ''), CASE WHEN conv_id % 2 = 0 THEN 'Talk ' || conv_id END, 'Document ' || conv_id) AS citation_title, CASE WHEN turn % 5 = 0 THEN turn / 2 END AS vector FROM c""")
+def wide_search_documents(t) -> DataFrame:
+    """Chunks with their provenance as search documents of all fields, with url, title and vector."""
+    ident = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    none, turn = F.lit(None).cast("string"), F.col("turn")
+    heading = F.when(turn % 3 == 0, F.col("role")).when(turn % 3 == 1, "")
+    chunks = t("conversations").select(
+        ident.alias("id"), F.col("conv_id").alias("document_id"), F.when(F.col("conv_id") % 3 > 0, F.col("conv_id") * 2).alias("filing_id"), F.when(turn % 2 == 0, "table").otherwise("text").alias("chunk_type"),
+        F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("Talk "), F.col("conv_id").cast("string"))).alias("title"), F.col("text").alias("content"), heading.alias("heading"), F.concat(F.lit("https://records.invalid/"), F.col("conv_id").cast("string")).alias("source_url"),
+        turn.alias("chunk_index"), F.length("text").alias("word_count"), F.when(turn % 2 == 0, F.array("role", none, F.lit(""), F.lit(" "))).otherwise(F.array("role")).alias("section_path"),
+    )
+    at = F.concat(F.lit("/contents/0/paragraphs/"), turn.cast("string"))
+    leaf = lambda a, b: F.struct(a.alias("element"), b.alias("local_element"))
+    node = lambda a, b, c: F.struct(a.alias("element"), b.alias("local_element"), c.alias("child_elements"))
+    no_child = F.expr(f"CAST(NULL AS array<{search_documents.CHILD}>)")
+    figure = node(F.lit("/contents/0/figures/1"), F.lit("/figures/1"), F.array(leaf(at, none), leaf(F.lit("/contents/0/paragraphs/9"), F.lit("/paragraphs/9")), leaf(at, none)))
+    text = node(at, F.concat(F.lit("/paragraphs/"), turn.cast("string")), no_child)
+    provenance = t("conversations").where("conv_id % 4 <> 0").select(ident.alias("chunk_id"), F.when(turn % 2 == 0, F.array(figure)).otherwise(F.array(text, text)).alias("elements"))
+    vectors = t("conversations").where("turn % 5 = 0").select(ident.alias("chunk_id"), F.array(turn / 2).alias("vector"))
+    out = search_documents.search_documents(chunks, provenance, public_url=" https://desk.invalid/ ", vectors=vectors)
+    return out.withColumns({c: F.array_join(c, "|") for c in _LISTED}).withColumn("vector", F.get("content_vector", F.lit(0))).drop("content_vector")
