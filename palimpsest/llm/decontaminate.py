@@ -14,7 +14,8 @@ The benchmark is the stated query set: it is read in blocks of at most ``block_w
 
 Defined results: null or word-free texts have no words, no hits and the digest of the empty list;
 null, empty or word-free items never occur; items with equal ids are one in the list of ids;
-repeated documents are judged row by row; other columns are passed on unread.
+repeated documents are judged row by row; texts of any length are scanned whole; an empty table of
+documents gives none, without items nothing is hit; other columns are passed on unread.
 """
 
 from __future__ import annotations
@@ -299,7 +300,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents with a benchmark window go."""
+    """Pipeline stage: documents with a benchmark window go; null and word-free texts, null and repeated ids stay as they are; an empty table gives none."""
     found = contaminated_spans(docs.select("doc_id", "text", "lang", "source", "n_chars"), table(spark, sf_dir, "benchmark"))
     return found.where("n_hit = 0").select("doc_id", "text", "lang", "source", "n_chars")
 

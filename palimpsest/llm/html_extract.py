@@ -16,7 +16,7 @@ Markup is read by the HTML rules for tags and attributes, broken or not, in time
 Defined results: null or text-free html gives the empty text; a quote without its other half is part
 of an unquoted value; an unclosed script or style and a tag without its end take the rest of the
 page, other unclosed elements nothing; repeated pages are extracted row by row; other
-columns are never read.  The work is one Arrow pass without a shuffle.
+columns are never read; an empty table gives none.  The work is one Arrow pass without a shuffle.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ partitions; reruns agree.  Positions come from sums over fixed hash buckets, not
 source, so one source may hold most of the rows.
 
 Defined results: null text has size 0; documents of size 0 take nothing; null source is a source,
-last in order; repeated rows are documents of their own; an empty table gives an empty result.
+last in order; repeated rows are documents of their own; an empty table gives an empty result;
+long texts are cut into blocks' parts; columns but doc_id, source, lang and text are never read.
 What the driver holds is bounded by sources and by shards times sources (8 bytes each).
 """
 
@@ -246,7 +247,8 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the parts of documents that the mix takes, as often as it takes them.
 
     Rows are in the mix's order: by shard, in a shard by a hash of slot and source, in a slot by
-    place in its block; files are in that order too.
+    place in its block; files are in that order too.  Texts without words give no part; null ids, sources and
+    languages stay null; alike rows are drawn each for itself; an empty table gives none.
     """
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     mixed = mix_texts(docs).withColumn("turn", F.pmod(F.xxhash64("slot", "src"), F.lit(1 << 20)))

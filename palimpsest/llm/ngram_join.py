@@ -18,7 +18,8 @@ candidate pairs are counted in each fragment separately and summed per pair.
 
 Defined results: null, empty and word-free texts have no set, no links, and are their own
 component; a text with fewer words than a shingle is one shingle; repeated rows are copies of one
-class; a null doc_id takes part but never names a component unless all of its ids are null.
+class; a null doc_id takes part but never names a component unless all of its ids are null; texts of any length are compared whole; an empty table gives
+none; columns but doc_id, text and the row key are never read.
 """
 
 from __future__ import annotations

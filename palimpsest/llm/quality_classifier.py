@@ -15,7 +15,8 @@ metadata cell and label, all of fixed number.  Whole texts are read.
 
 Defined results: null text counts as empty, null lang and source as values of their own, null
 n_chars as 0; repeated rows are scored row by row; without labels of both classes every score is
-the share of label 1 (1 if there are no labels, so nothing is rejected).
+the share of label 1 (1 if there are no labels, so nothing is rejected); texts of any length are read whole; an empty table
+gives none; columns but those named are never read.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ the line's words, so a long paragraph isn't lost to one of them.
 
 Defined results: null text counts as empty (no words, all counts 0, rejected, clean_text "");
 rows are judged one by one, so repeated rows and null ids pass through; extra columns are kept
-out of the result except those named in ``keep``.  Work is one Arrow pass without a shuffle.
+out of the result except those named in ``keep``; texts of any length are judged whole; an empty table
+gives none.  Work is one Arrow pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -190,7 +191,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: rejected documents go, failing lines of the others go."""
+    """Pipeline stage: rejected documents go (null and word-free ones are), failing lines of the others go; rows with null or repeated ids are judged each for itself; an empty table gives none."""
     out = line_quality(docs, keep=("doc_id", "lang", "source")).where("kept")
     return out.select("doc_id", F.col("clean_text").alias("text"), "lang", "source", F.length("clean_text").cast("long").alias("n_chars"))
 

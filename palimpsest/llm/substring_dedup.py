@@ -16,7 +16,7 @@ adaptive execution splits where one key is hot.
 Defined results: null and empty texts have no chunks; any other text has one at least; repetition
 within one row alone is none; every row is a document of its own, also when ids are null or repeat
 (the first row is that of the smallest doc_id, null ones last, then any one of equal ids); extra
-columns are never read.
+columns are never read; texts of any length are cut whole; an empty table gives none.
 """
 
 from __future__ import annotations

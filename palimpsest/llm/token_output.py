@@ -11,7 +11,8 @@ Tokenizing.  Texts are cut where a byte-level tokenizer's own split has a bound
 a document's ids are the joined ids of its pieces.  Tokenizers of other kinds encode texts whole.
 
 Defined results: null text is empty (its end id only); null doc ids come first; repeated rows are
-kept, in the order of a hash of their text; an empty table gives an empty table.
+kept, in the order of a hash of their text; a text of any length is encoded whole, in parts of bounded
+size; an empty table gives an empty table; columns but doc_id and text are never read.
 """
 
 from __future__ import annotations
@@ -360,6 +361,7 @@ def in_place(docs: DataFrame) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the ids of all rows in the order of ``docs`` (the mix's), written, read back and indexed.
 
+    Null texts count as empty, null and repeated ids are kept, an empty table gives none.
     Executors have the memory of four stages before behind them: fewer pieces are remembered than in the query.
     """
     return token_index(materialize(encode_documents(in_place(docs), order=("file", "row"), memo=150_000, batch_rows=1500), "tokens"))

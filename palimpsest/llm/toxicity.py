@@ -12,7 +12,8 @@ n-grams whose document counts differ between the classes beyond chance have vect
 
 Defined results: null, empty and word-free texts get the score of a window without words; repeated
 rows are scored row by row; without labels of both classes every score is the share of label 1
-(0 if there are no labels).
+(0 if there are no labels); all windows of a text of any length are scored; an empty table gives none;
+other columns are never read.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ A page without a rule of its own is allowed if its component holds an explicitly
 blocked if it holds a blocked one, else allowed.
 
 Defined results: a url that is null or without ``://`` has empty host and path, no rule, verdict
-``allow``; null html has no edges; repeated pages are judged row by row; other columns are unread.
+``allow``; null html has no edges; repeated pages are judged row by row; heads of any
+length are read whole; an empty table gives none; other columns are unread.
 """
 
 from __future__ import annotations
