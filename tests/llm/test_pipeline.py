@@ -101,3 +101,21 @@ def test_sql_agrees(spark, sf_dir, name):
     key = lambda r: tuple(str(x) for x in r)
     assert sorted((tuple(r[c] for c in columns) for r in frame.collect()), key=key) == sorted(found.fetchall(), key=key)
     assert "A".translate(LOWER) == "a"
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_on_odd_rows(spark, sf_dir, odd_docs, no_docs, name, stage):
+    """Nulls in every column, word-free and long texts, repeated rows and ids, clashing columns; and no rows."""
+    out = stage(spark, odd_docs, sf_dir).collect()
+    ids = sorted(str(r.doc_id) for r in out)
+    if name == "quality_rules":
+        assert ids == ["5", "6"]  # all others have too few words
+    elif name == "ngram_join":  # texts without words stay, of each group of copies one
+        assert ids == sorted(["1", "2", "3", "4", "5", "7", "None", "None"])
+    elif name == "decontaminate":
+        assert ids == sorted(str(r.doc_id) for r in odd_docs.collect())
+    elif name == "mixing":
+        assert out and all(r.text.strip() for r in out) and {r.doc_id for r in out} <= {1, 5, 6, 7, None}
+    else:
+        assert ids == sorted(str(r.doc_id) for r in odd_docs.collect()) and min(r.n_tokens for r in out) == 1
+    assert stage(spark, no_docs, sf_dir).collect() == []
