@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Unicode white space as Python's ``\s`` has it; Java needs the flag.
 _SPACES = r"(?U)\s+"
@@ -269,3 +272,32 @@ def rate_per_thousand(col: Column) -> Column:
     """A rate of text such as ``$1,200.50``; null if it doesn't read or is negative."""
     value = F.regexp_replace(col, r"[$,\s]", "").try_cast("double")
     return F.when(value >= 0, value)
+
+
+def highlighted(text: Column, terms: Column) -> Column:
+    """(text, hit) of the parts of a text, in order: those that are one of ``terms``, in any case of letters, and what lies between.
+
+    Terms are taken as they are written; of terms that begin at one place the longest counts.  Parts are never empty, and
+    together they are the text; without terms it is one part.  Null texts have no parts.
+    """
+    longest = F.array_sort(F.filter(F.coalesce(terms, F.array().cast("array<string>")), lambda x: x.isNotNull() & (x != "")), lambda a, b: F.length(b) - F.length(a))
+    quoted = F.transform(longest, lambda x: F.regexp_replace(x, r"([^\p{L}\p{N}\s])", r"\\$1"))
+    marked = F.when(F.size(longest) > 0, F.regexp_replace(text, F.concat(F.lit("(?iu)("), F.array_join(quoted, "|"), F.lit(")")), F.lit("\x01$1\x01"))).otherwise(text)
+    parts = F.transform(F.split(marked, "\x01"), lambda x, i: F.struct(x.alias("text"), (i % 2 == 1).alias("hit")))
+    return F.coalesce(F.filter(parts, lambda p: p["text"] != ""), F.expr("CAST(array() AS array<struct<text:string,hit:boolean>>)"))
+
+
+@F.pandas_udf(T.BinaryType())
+def _packed(vectors: pd.Series) -> pd.Series:
+    return vectors.map(lambda v: None if v is None else np.asarray(v, "<f4").tobytes())
+
+
+def packed_floats(vector: Column) -> Column:
+    """A vector as 32-bit floats, low byte first; null of null and of a vector with a null in it."""
+    return _packed(F.when(~F.exists(vector, lambda x: x.isNull()), vector))
+
+
+@F.pandas_udf(T.ArrayType(T.FloatType()))
+def unpacked_floats(blobs: pd.Series, dimensions: pd.Series) -> pd.Series:
+    """The vector of a blob of 32-bit floats; null of null and of another size than ``dimensions`` floats have."""
+    return pd.Series([None if b is None or n is None or pd.isna(n) or len(b) != 4 * int(n) else np.frombuffer(b, "<f4") for b, n in zip(blobs, dimensions)], dtype=object)

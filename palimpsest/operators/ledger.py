@@ -254,3 +254,28 @@ def date_range(newest: Column, today: Column, last_full: Column, *, refresh_days
     start = F.when(newest.isNull() | full, year).otherwise(F.least(F.greatest(year, F.date_sub(newest, overlap_days)), today))
     mode = F.when(newest.isNull(), "bootstrap").when(full, "refresh").otherwise("overlap")
     return start, mode
+
+
+def facet_labels(memberships_: DataFrame, base: DataFrame) -> DataFrame:
+    """(document_id, facet, labels): the sorted labels of memberships (document_id, facet, label) of documents that are in ``base``; null or blank labels are none."""
+    told = memberships_.where("trim(coalesce(label, '')) <> ''").join(base.select("document_id").distinct(), "document_id", "left_semi")
+    return told.groupBy("document_id", "facet").agg(F.array_sort(F.collect_set("label")).alias("labels"))
+
+
+#: What a finished normalization tells, gone again once it is started anew.
+OUTPUTS = ("output_sha256", "pages", "chunks", "tables", "error_code")
+
+
+def normalization_states(events: DataFrame) -> DataFrame:
+    """(analysis_id, version, config_hash, status, started_at, finished_at, attempts, OUTPUTS): one row for each key of events (key, seq, at, status, OUTPUTS).
+
+    A row of status RUNNING starts an attempt; any other ends the one that runs.  Outputs and the end's time are those of the
+    last end, null while an attempt runs; an end before any start is left out, and so is a second end of one attempt.
+    """
+    key = ["analysis_id", "version", "config_hash"]
+    begun = F.struct("seq", "at")
+    starts = events.where("status = 'RUNNING'").groupBy(*key).agg(F.max(begun).alias("s"), F.count("*").alias("attempts"))
+    ends = events.where("status <> 'RUNNING'").select(*key, "seq", "at", "status", *OUTPUTS).join(starts.select(*key, F.col("s.seq").alias("_from")), key).where("seq > _from")
+    first = ends.groupBy(*key).agg(F.min(F.struct("seq", "at", "status", *OUTPUTS)).alias("e"))
+    out = starts.join(first, key, "left")
+    return out.select(*key, F.coalesce("e.status", F.lit("RUNNING")).alias("status"), F.col("s.at").alias("started_at"), F.col("e.at").alias("finished_at"), "attempts", *(F.col(f"e.{c}").alias(c) for c in OUTPUTS))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.operators import artifacts, attempts, audit, limits, migrations, rebuild
+from palimpsest.functions import text as fn
+from palimpsest.operators import artifacts, attempts, audit, ledger, limits, migrations, rebuild
 from palimpsest.plans.documents import query
 
 
@@ -325,3 +326,47 @@ SELECT counter, CAST(n AS BIGINT) AS n FROM c UNION ALL SELECT 'membership_misma
 def audit_counters(t) -> DataFrame:
     """All counters of the audit, and whether the ledger is sound."""
     return _audit(t).counters
+
+
+# --- labels, normalizations, marks, packed vectors -------------------------------------------------
+
+
+@query("""SELECT l_orderkey AS document_id, l_shipmode AS facet, string_agg(DISTINCT l_linestatus, ',' ORDER BY l_linestatus) AS labels FROM (SELECT l_orderkey, l_returnflag AS l_shipmode, CASE WHEN l_suppkey % 5 > 0 THEN l_linestatus ELSE ' ' END AS l_linestatus FROM lineitem)
+WHERE l_linestatus <> ' ' AND l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 > 0) GROUP BY ALL""")
+def facet_labels(t) -> DataFrame:
+    """Labels of each facet of documents that are known; blank ones are none."""
+    label = F.when(F.col("l_suppkey") % 5 > 0, F.col("l_linestatus")).otherwise(" ")
+    rows = t("lineitem").select(F.col("l_orderkey").alias("document_id"), F.col("l_returnflag").alias("facet"), label.alias("label"))
+    out = ledger.facet_labels(rows, t("orders").where("o_orderkey % 3 > 0").select(F.col("o_orderkey").alias("document_id")))
+    return out.withColumn("labels", F.array_join("labels", ","))
+
+
+@query("""WITH e AS (SELECT user_id AS a, event_id % 4 AS v, event_type = 'view' AS start, event_id AS seq, epoch_us(ts) AS tm, CASE WHEN event_id % 3 = 0 THEN 'FAILED' ELSE 'SUCCEEDED' END AS st, event_id AS sha FROM events),
+s AS (SELECT a, v, max(seq) AS seq, arg_max(tm, seq) AS started_at, count(*) AS attempts FROM e WHERE start GROUP BY ALL), f AS (SELECT s.a, s.v, min(e.seq) AS seq FROM s JOIN e ON s.a = e.a AND s.v = e.v AND NOT e.start AND e.seq > s.seq GROUP BY ALL)
+SELECT s.a AS analysis_id, s.v AS version, coalesce(e.st, 'RUNNING') AS status, started_at, e.tm AS finished_at, attempts, CAST(e.sha AS VARCHAR) AS output_sha256, CASE WHEN e.st = 'FAILED' THEN 'E' END AS error_code FROM s LEFT JOIN f ON s.a = f.a AND s.v = f.v LEFT JOIN e ON e.seq = f.seq""")
+def normalization_states(t) -> DataFrame:
+    """Attempts and outcomes of normalizations by analysis and version; a new start clears what the last one told."""
+    fails = F.col("event_id") % 3 == 0
+    none = F.lit(None).cast("long")
+    events = t("events").select(
+        F.col("user_id").alias("analysis_id"), (F.col("event_id") % 4).alias("version"), F.lit("c").alias("config_hash"), F.col("event_id").alias("seq"), F.unix_micros(F.col("ts").cast("timestamp")).alias("at"),
+        F.when(F.col("event_type") == "view", "RUNNING").when(fails, "FAILED").otherwise("SUCCEEDED").alias("status"), F.col("event_id").cast("string").alias("output_sha256"), none.alias("pages"), none.alias("chunks"), none.alias("tables"), F.when(fails, "E").alias("error_code"),
+    )
+    return ledger.normalization_states(events).select("analysis_id", "version", "status", "started_at", "finished_at", "attempts", "output_sha256", "error_code")
+
+
+@query("""WITH p AS (SELECT p_partkey, p_type, list_filter(string_split(regexp_replace(p_type, '(?i)(steel|e\\.)', chr(1) || '\\1' || chr(1), 'g'), chr(1)), lambda x: true) AS parts FROM (SELECT p_partkey, p_type || ' e. Steel.' AS p_type FROM part))
+SELECT p_partkey, array_to_string(list_filter(list_transform(range(1, len(parts) + 1), lambda i: CASE WHEN parts[i] = '' THEN '' WHEN i % 2 = 0 THEN '<' || parts[i] || '>' ELSE parts[i] END), lambda x: x <> ''), '|') AS shown FROM p""")
+def highlighted_parts(t) -> DataFrame:
+    """Texts in parts that match the terms and parts that don't."""
+    parts = fn.highlighted(F.concat("p_type", F.lit(" e. Steel.")), F.array(F.lit("e."), F.lit(""), F.lit("STEEL"), F.lit(None).cast("string")))
+    shown = F.transform(parts, lambda p: F.when(p["hit"], F.concat(F.lit("<"), p["text"], F.lit(">"))).otherwise(p["text"]))
+    return t("part").select("p_partkey", F.array_join(shown, "|").alias("shown"))
+
+
+@query("SELECT vec_id, CAST(4 * len(embedding) AS INTEGER) AS n_bytes, true AS same, true AS refused FROM embeddings")
+def packed_vectors(t) -> DataFrame:
+    """Vectors as blobs of 32-bit floats and back; a blob of another size is none."""
+    rows = t("embeddings").withColumn("blob", fn.packed_floats(F.col("embedding")))
+    back, other = fn.unpacked_floats("blob", F.size("embedding")), fn.unpacked_floats("blob", F.size("embedding") + 1)
+    return rows.select("vec_id", F.length("blob").alias("n_bytes"), (back == F.col("embedding").cast("array<float>")).alias("same"), other.isNull().alias("refused"))
