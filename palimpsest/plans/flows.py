@@ -16,7 +16,7 @@ w AS (SELECT user_id, min(t) AS s FROM k GROUP BY 1 UNION ALL SELECT w.user_id,
 n AS (SELECT e.event_id, e.user_id, w.s, e.t FROM e ASOF JOIN w ON e.user_id = w.user_id AND e.t >= w.s),
 r AS (SELECT event_id, user_id, s, row_number() OVER (PARTITION BY user_id, s ORDER BY t, event_id) AS request_number FROM n)
 SELECT event_id, user_id, make_timestamp(s) AS window_start, request_number, request_number <= 2 AS allowed FROM r""")
-def opened_windows(t) -> DataFrame:
+def request_windows(t) -> DataFrame:
     """Requests in windows of a day that a user's first request opens, two of each allowed."""
     out = limits.limited_requests(t("events").select("event_id", "user_id", "ts"), "user_id", "ts", 2, tie="event_id", width_seconds=86_400, block_seconds=2 * 86_400)
     return out.select("event_id", "user_id", "window_start", "request_number", "allowed")
