@@ -109,7 +109,7 @@ def test_stages_on_odd_rows(spark, sf_dir, odd_docs, no_docs, name, stage):
     out = stage(spark, odd_docs, sf_dir).collect()
     ids = sorted(str(r.doc_id) for r in out)
     if name == "quality_rules":
-        assert ids == ["5", "6"]  # all others have too few words
+        assert ids == []  # too few words, or words that repeat
     elif name == "ngram_join":  # texts without words stay, of each group of copies one
         assert ids == sorted(["1", "2", "3", "4", "5", "7", "None", "None"])
     elif name == "decontaminate":
