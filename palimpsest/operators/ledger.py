@@ -146,12 +146,14 @@ def reconciled_files(ledger_: DataFrame, listing: DataFrame) -> DataFrame:
 def run_states(log: DataFrame, now: Column, stale_after: int = 120) -> DataFrame:
     """(run_id, stage, status, started_at, heartbeat_at, done, errors, stale) of an append-only log (run_id, seq, at, kind, stage, status, done).
 
-    The last told status and counter count; a run without an end is stale once its heartbeat is older than ``stale_after`` seconds.
+    The last told status and counter count; a run without an end is stale once its heartbeat is older than ``stale_after`` seconds,
+    fractions of a second included.
     """
     last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c)
     out = log.groupBy("run_id").agg(F.min_by("stage", "seq").alias("stage"), last("status"), last("done"), F.min("at").alias("started_at"), F.max("at").alias("heartbeat_at"), F.count_if(F.col("kind") == "error").alias("errors"))
     open_ = ~F.coalesce(F.col("status"), F.lit("RUNNING")).isin("SUCCEEDED", "PARTIAL", "FAILED")
-    return out.withColumn("stale", open_ & (F.unix_timestamp(now) - F.unix_timestamp("heartbeat_at") > stale_after))
+    seconds = lambda at: F.unix_micros(at.cast("timestamp")) / 1e6
+    return out.withColumn("stale", open_ & (seconds(now) - seconds(F.col("heartbeat_at")) > stale_after))
 
 
 def progress(done: Column, total: Column, seconds: Column) -> tuple[Column, Column]:
