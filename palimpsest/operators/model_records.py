@@ -7,11 +7,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.functions.text import stable_id
 from palimpsest.operators.enrichment import REQUIRED
+from palimpsest.operators.normalize import once
 
 # Fixed value: whole or partial dates, and what is put down of a record.
 DATE = r"^[0-9]{4}(-[0-9]{2}(-[0-9]{2})?)?$"
@@ -75,10 +77,10 @@ def checked_answers(answers: DataFrame) -> DataFrame:
     doesn't have (<kind>:evidence), has a confidence that is no number from 0 to 1 (<kind>:confidence; none is 0), lacks a
     required text (<kind>:text) or, of events, has a date of another form (<kind>:date).
     """
-    rows = answers.withColumn("_v", F.try_parse_json("response"))
+    rows = once(answers, _v=F.try_parse_json("response"))
+    rows = once(rows, **{kind: F.transform(F.try_variant_get(F.col("_v"), f"$.{kind}", "array<variant>"), _record(kind)) for kind in REQUIRED})
     reasons = [F.when(~F.coalesce(_kind(F.col("_v")) == "OBJECT", F.lit(False)), F.lit("response"))]
     for kind in REQUIRED:
-        rows = rows.withColumn(kind, F.transform(F.try_variant_get(F.col("_v"), f"$.{kind}", "array<variant>"), _record(kind)))
         first = F.get(F.filter(F.transform(kind, _broken(kind, F.col("chunk_ids"))), lambda r: r.isNotNull()), F.lit(0))
         is_list = F.coalesce(_kind(F.try_variant_get(F.col("_v"), f"$.{kind}", "variant")) == "ARRAY", F.lit(False))
         reasons.append(F.when(~is_list, F.lit(kind)).otherwise(F.concat(F.lit(f"{kind}:"), first)))
@@ -100,16 +102,21 @@ def materialized(checked: DataFrame, chunks: DataFrame, documents: DataFrame, *,
     page_end) that are known.  Facts COMMON are those of ``documents``; all is ``unreviewed`` and says its extractor's ``version``.
     Of records with one id the last stays, by batch and place; null documents are kept, with ids of what else there is.
     """
-    good = checked.where("reason IS NULL")
+    key = F.struct("document_id", "batch").alias("_key")
     known = chunks.groupBy("chunk_id").agg(F.min("page_start").alias("page_start"), F.max("page_end").alias("page_end"))
+    # all tables come from these rows, and answers are dear to read: they are read once
+    good = checked.where("reason IS NULL").select("document_id", "batch", key, "chunk_ids", *REQUIRED).persist(StorageLevel.DISK_ONLY)
+    # pages by a join over what an answer may cite: chunks may be any number
+    may = good.select("_key", F.explode("chunk_ids").alias("chunk_id")).distinct().join(known, "chunk_id").groupBy("_key")
+    pages = may.agg(F.map_from_entries(F.collect_list(F.struct("chunk_id", F.struct("page_start", "page_end")))).alias("_pages"))  # a batch's chunks
+    good = good.join(pages, "_key", "left").drop("_key")
     facts = documents.select("document_id", *COMMON).dropDuplicates(["document_id"])
 
     def of(kind: str) -> DataFrame:
-        each = good.select("document_id", F.col("batch").alias("_batch"), F.posexplode(kind).alias("_at", "x")).select("document_id", "_batch", "_at", "x.*")
-        each = each.withColumn("_row", F.struct("document_id", "_batch", "_at"))
-        # pages by a join over what is cited: chunks may be any number
-        cited = each.select("_row", F.explode("cited").alias("chunk_id")).join(known, "chunk_id").groupBy("_row").agg(F.min("page_start").alias("evidence_page_start"), F.max("page_end").alias("evidence_page_end"))
-        out = each.join(cited, "_row", "left").join(facts, "document_id", "left").drop("_row", "object")
+        each = good.select("document_id", F.col("batch").alias("_batch"), "_pages", F.posexplode(kind).alias("_at", "x")).select("document_id", "_batch", "_at", "_pages", "x.*")
+        page = lambda field: F.transform("cited", lambda c: F.try_element_at("_pages", c)[field])
+        each = each.withColumns({"evidence_page_start": F.array_min(page("page_start")), "evidence_page_end": F.array_max(page("page_end"))})
+        out = each.join(facts, "document_id", "left").drop("_pages", "object")
         return out.withColumnRenamed("cited", "evidence_chunk_ids").withColumns({"review_status": F.lit("unreviewed"), "extractor_version": F.lit(version)})
 
     def ident(prefix: str, *parts: str) -> Column:

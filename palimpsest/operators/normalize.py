@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -37,3 +37,22 @@ def conversation_envelopes(turns: DataFrame) -> DataFrame:
         F.lit("").alias("markdown"), empty("array<struct<number: int, spans: array<struct<offset: int, length: int>>>>").alias("pages"),
     )
     return held.select("document_id", F.array(content).alias("contents"))
+
+
+def once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` with ``columns`` computed once a row, for what is dear and read often.
+
+    Filters on what is made of a plain column are moved below it, and each of its uses is computed there anew;
+    they can't be moved below a generator.
+    """
+    made = F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items()))))
+    kept = [F.col(c) for c in rows.columns if c not in columns]
+    return rows.select(*kept, made)
+
+
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` dealt over all shuffle partitions by ``keys``: for short rows of few files or row groups whose further work is dear.
+
+    A number that is stated isn't lowered for the rows' few bytes.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

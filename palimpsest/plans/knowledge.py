@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.operators import enrichment, model_records
+from palimpsest.operators import enrichment, model_records, normalize
 from palimpsest.plans.documents import query
 
 
@@ -188,7 +188,8 @@ def _answers(t) -> DataFrame:
     duties = F.when(k % 11 == 0, F.lit("{}")).otherwise(text("[", duty, "]"))
     links = text('[{"source_name":"N', d, '","source_type":"organization","target_name":" P', k % 4, ' ","target_type":"project","relationship_type":"OWNS","confidence":0.9,"evidence_chunk_ids":["', F.when(k % 19 == 0, chunk(9)).otherwise(chunk(1)), '"]}]')
     response = F.when(k % 23 == 0, F.lit("{bad")).otherwise(text('{"events":', events, ',"claims":', claims, ',"obligations":', duties, ',"relationships":', links, "}"))
-    return t("orders").select(d.alias("document_id"), k.alias("batch"), response.alias("response"), F.array(chunk(1), chunk(2)).alias("chunk_ids"))
+    orders = normalize.spread(t("orders").select("o_orderkey", "o_custkey", "o_orderstatus"), "o_orderkey")
+    return orders.select(d.alias("document_id"), k.alias("batch"), response.alias("response"), F.array(chunk(1), chunk(2)).alias("chunk_ids"))
 
 
 @query(f"WITH {_ANSWERS} SELECT k AS batch, reason FROM r")

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 from palimpsest.operators import retrieval
-from palimpsest.plans import registry
+from palimpsest.plans import knowledge, registry
 from tests.test_queries import plain
 
 
@@ -72,3 +72,14 @@ def test_bm25_ranks_in_tasks_whatever_the_frequency(spark):
         own = sorted((r.rank, r.doc_id, r.score) for r in got if r.query_id == q)
         assert [r[1] for r in own] == [d for d, _ in want] and [r[2] for r in own] == pytest.approx([s for _, s in want])
     assert not [r for r in got if r.query_id == 999]
+
+
+def test_answers_are_dealt_over_all_tasks_and_read_once(spark, tmp_path):
+    """Orders of one file and row group, whose answers are many times longer."""
+    day = datetime(2024, 1, 1)
+    orders = [(k, k % 7, "FOP"[k % 3], 1.0, day, "1-URGENT") for k in range(300)]
+    customer = [(c, f"C{c}") for c in range(7)]
+    assert agree(spark, tmp_path, "model_tables", orders=(ORDERS, orders), customer=("c_custkey long, c_name string", customer))
+    spark.createDataFrame(orders, ORDERS).coalesce(1).write.parquet(f"{tmp_path}/one.parquet")
+    one = lambda name: spark.read.parquet(f"{tmp_path}/one.parquet")
+    assert knowledge._answers(one).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
