@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.operators.normalize import once
+
 # Statuses of a conversion that gave a result.
 CONVERTED = ("success", "partial_success")
 
@@ -32,7 +34,7 @@ def checked_artifacts(rows: DataFrame) -> DataFrame:
     """
     v = F.try_parse_json("payload")
     of = lambda x, path, kind: F.try_variant_get(x, path, kind)
-    rows = rows.withColumn("_v", v).withColumns({"_kind": _kind(F.col("_v")), "_list": of(F.col("_v"), "$.contents", "variant"), "_items": of(F.col("_v"), "$.contents", "array<variant>")})
+    rows = once(rows, _v=v).withColumns({"_kind": _kind(F.col("_v")), "_list": of(F.col("_v"), "$.contents", "variant"), "_items": of(F.col("_v"), "$.contents", "array<variant>")})
     text = lambda *paths: F.coalesce(*(F.nullif(of(F.col("_v"), p, "string"), F.lit("")) for p in paths))
     facts = F.transform(
         "_items",
@@ -41,7 +43,7 @@ def checked_artifacts(rows: DataFrame) -> DataFrame:
             *(F.greatest(F.coalesce(F.size(of(x, f"$.{c}", "array<variant>")), F.lit(0)), F.lit(0)).alias(c) for c in ("pages", "tables", "sections")),
         ),
     )
-    rows = rows.withColumns({"_analyzer": text("$.analyzerId", "$.analyzer_id"), "_version": text("$.apiVersion", "$.api_version"), "_facts": facts})
+    rows = once(rows, _analyzer=text("$.analyzerId", "$.analyzer_id"), _version=text("$.apiVersion", "$.api_version"), _facts=facts)
     total = lambda c: F.aggregate("_facts", F.lit(0), lambda a, x: a + x[c])
     first = lambda bad: F.get(F.filter("_facts", bad), F.lit(0))["at"]
     rows = rows.withColumns({"_text": F.array_join(F.transform("_facts", lambda x: x["markdown"]), "\n\n"), "_pages": total("pages"), "_tables": total("tables"), "_sections": total("sections"), "_bad": first(lambda x: ~F.coalesce(x["object"], F.lit(False))), "_mute": first(lambda x: F.coalesce(x["object"], F.lit(False)) & ~F.coalesce(x["told"], F.lit(False)))})
@@ -72,7 +74,7 @@ def checked_artifacts(rows: DataFrame) -> DataFrame:
         problem("error", "conversion", ~F.col("conversion_status").isin(*CONVERTED), None, F.col("conversion_status")),
         problem("warning", "partial_success", F.col("conversion_status") == "partial_success"),
     ]
-    out = rows.withColumn("problems", F.array_compact(F.array(*checks)))
+    out = once(rows, problems=F.array_compact(F.array(*checks)))
     out = out.withColumn("usable", ~F.exists("problems", lambda p: p["level"] == "error"))
     return out.drop("_v", "_kind", "_list", "_items", "_analyzer", "_version", "_facts", "_text", "_pages", "_tables", "_sections", "_bad", "_mute")
 

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 from palimpsest.operators import retrieval
-from palimpsest.plans import knowledge, registry
+from palimpsest.plans import flows, knowledge, registry
 from tests.test_queries import plain
 
 
@@ -83,3 +83,10 @@ def test_answers_are_dealt_over_all_tasks_and_read_once(spark, tmp_path):
     spark.createDataFrame(orders, ORDERS).coalesce(1).write.parquet(f"{tmp_path}/one.parquet")
     one = lambda name: spark.read.parquet(f"{tmp_path}/one.parquet")
     assert knowledge._answers(one).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_artifacts_are_dealt_over_all_tasks(spark, tmp_path):
+    orders = [(k, k % 7, "F", 1.0, datetime(2024, 1, 1), "1-URGENT") for k in range(1, 1500)]
+    assert agree(spark, tmp_path, "artifact_problems", orders=(ORDERS, orders))
+    one = lambda name: spark.createDataFrame(orders, ORDERS).coalesce(1)
+    assert flows._checked(one).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
