@@ -65,6 +65,11 @@ def source_regions(col: Column) -> Column:
     return F.transform(F.arrays_zip(pages.alias("n"), points.alias("p")), region)
 
 
+def source_pages(col: Column) -> Column:
+    """The page of every region of ``source_regions``, whose polygons aren't read."""
+    return F.regexp_extract_all(col, F.lit(r"D\((\d+),([^)]*)\)"), F.lit(1)).cast("array<int>")
+
+
 def element_pointer(col: Column) -> Column:
     """(kind, index) of ``/tables/3`` and the like; nulls else."""
     shape = r"^/(paragraphs|sections|tables|figures|hyperlinks)/(\d+)$"

@@ -15,14 +15,18 @@ functions of one row; joins, numbering and tables are DataFrame operations.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
+from typing import NamedTuple
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from palimpsest.functions.text import source_regions
+from palimpsest.functions.text import source_pages, source_regions
 from palimpsest.operators.sequences import groups_of, packed, words_in
 
 # Roles whose paragraphs never reach a chunk, roles of figures that don't, and the least words of a figure.
@@ -98,88 +102,152 @@ def walked(sections: list[list[tuple[str, int]]], offsets: list[int], headings:
 def contents_of(envelopes: DataFrame) -> DataFrame:
     """A row for each content, with its place and the tables and figures of the contents before it."""
     sizes = lambda field: F.transform("contents", lambda c: F.greatest(F.size(F.coalesce(c[field], F.array())), F.lit(0)))
-    before = lambda field: F.transform(sizes(field), lambda _, i: F.aggregate(F.slice(sizes(field), F.lit(1), i), F.lit(0), lambda a, n: a + n))
-    zipped = F.arrays_zip(F.col("contents").alias("c"), before("tables").alias("t"), before("figures").alias("f"))
-    each = envelopes.select("document_id", F.posexplode(zipped).alias("content_index", "z"))
-    return each.select("document_id", "content_index", F.col("z.t").alias("tables_before"), F.col("z.f").alias("figures_before"), "z.c.*")
+    before = lambda field: F.aggregate(F.slice(field, F.lit(1), F.col("content_index")), F.lit(0), lambda a, n: a + n)
+    each = envelopes.select("document_id", sizes("tables").alias("_tables"), sizes("figures").alias("_figures"), F.posexplode("contents").alias("content_index", "c"))
+    return each.select("document_id", "content_index", before("_tables").alias("tables_before"), before("_figures").alias("figures_before"), "c.*")
 
 
-def matrix(row_count: int | None, column_count: int | None, cells: list | None) -> tuple[list[str], list[int]]:
+def matrix(row_count: int, column_count: int, cells: Iterable[tuple[int, int, str, str | None]]) -> tuple[list[str], list[int]]:
     """Lines of a table (its cells joined by tabs, without blanks at the end) and its header rows: the last cell of a place counts, those outside don't."""
     placed, headers = {}, set()
-    for x in cells if cells is not None else ():
-        at = x["row"] or 0, x["col"] or 0
-        placed[at] = (x["content"] or "").strip(" ")
-        if x["kind"] in HEADER_KINDS:
-            headers.add(at[0])
-    columns = range(column_count or 0)
-    return ["\t".join(placed.get((r, c), "") for c in columns).rstrip(" \t\n\v\f\r") for r in range(row_count or 0)], sorted(headers)
+    for row, col, content, kind in cells:
+        placed[row, col] = content
+        if kind in HEADER_KINDS:
+            headers.add(row)
+    columns = range(column_count)
+    return ["\t".join([placed.get((r, c), "") for c in columns]).rstrip(" \t\n\v\f\r") for r in range(row_count)], sorted(headers)
 
 
-def reading_order(contents: DataFrame, orphans: bool = False) -> DataFrame:
-    """(document_id, content_index, tables_before, figures_before, item, kind, path, ref, used, texts, lines, header_rows, caption): what is read in each content, in order.
+def _plain(column: pa.Array) -> list:
+    return column.to_numpy(zero_copy_only=False).tolist()
 
-    ``used`` are the paragraphs of an item and ``texts`` what they say; a figure's are one text, a table has lines
-    instead.  Figures of a header or footer, or of fewer than three words, are no items.
-    """
-    field = lambda name, c: F.transform("paragraphs", lambda p: F.trim(F.coalesce(p[c], F.lit("")))).alias(name)
-    cells = lambda x: F.transform(x["cells"], lambda c: F.struct(*(c[f].alias(f) for f in ("row", "col", "content", "kind"))))
-    rows = contents.select(
-        "document_id", "content_index", "tables_before", "figures_before", "sections", field("roles", "role"), field("said", "content"),
-        F.transform("tables", lambda x: F.struct(x["row_count"].alias("row_count"), x["column_count"].alias("column_count"), x["caption"].alias("caption"), cells(x).alias("cells"))).alias("tables"),
-        F.transform("figures", lambda f: F.struct(f["role"].alias("role"), f["elements"].alias("elements"))).alias("figures"),
+
+def _lists(column: pa.Array) -> tuple[list[int], pa.Array]:
+    """Where each list of a column begins (and the last ends) in the elements of all, and these."""
+    if not len(column):
+        return [0], column.values.slice(0, 0)
+    at = column.offsets.to_numpy()
+    return (at - at[0]).tolist(), column.values.slice(at[0], at[-1] - at[0])
+
+
+def _fields(column: pa.Array) -> dict[str, pa.Array]:
+    return dict(zip((f.name for f in column.type), column.flatten()))
+
+
+def _texts(column: pa.Array) -> list[str]:
+    return _plain(pc.utf8_trim(column, " ").fill_null(""))
+
+
+def _numbers(column: pa.Array) -> list[int]:
+    return _plain(column.fill_null(0))
+
+
+def _table_columns(tables: pa.Array) -> list[tuple[int, int, str | None, Iterator]]:
+    """(rows, columns, caption, cells) of every table of a column: cells as ``matrix`` takes them."""
+    t = _fields(tables)
+    at, cells = _lists(t["cells"])
+    c = _fields(cells)
+    columns = (_numbers(c["row"]), _numbers(c["col"]), _texts(c["content"]), _plain(c["kind"]))
+    own = [zip(*(x[a:b] for x in columns)) for a, b in pairwise(at)]
+    return list(zip(_numbers(t["row_count"]), _numbers(t["column_count"]), _plain(t["caption"]), own))
+
+
+class _Content(NamedTuple):
+    row: int
+    content_index: int
+    tables_before: int
+    figures_before: int
+    said: list[str]
+    order: list[tuple[str, list[str], list[int]]]
+    tables: list[tuple[int, int, str | None, Iterator]]
+    figures: list[tuple[str | None, list[int]]]
+
+
+def _slim(envelopes: DataFrame) -> DataFrame:
+    """(document_id, contents) with the fields that are read."""
+    part = lambda c, field, own: c[field][own]  # noqa: E731  an array of what the elements have there
+    slim = lambda c: F.struct(
+        part(c, "paragraphs", "content").alias("said"), part(c, "paragraphs", "role").alias("roles"), part(c, "sections", "elements").alias("elements"), part(c, "sections", "offset").alias("offsets"),
+        c["tables"].alias("tables"), part(c, "figures", "role").alias("figure_roles"), part(c, "figures", "elements").alias("figure_elements"),
     )
-    schema = "document_id string, content_index int, tables_before int, figures_before int, item int, kind string, path array<string>, ref int, used array<int>, texts array<string>, lines array<string>, header_rows array<int>, caption string"
-    strings, ints = pa.list_(pa.string()), pa.list_(pa.int32())
-    kinds = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), strings, pa.int32(), ints, strings, strings, ints, pa.string())
-    arrow = pa.schema(list(zip((x.split()[0] for x in schema.split(", ")), kinds)))
-
-    def pointers(elements: list | None) -> list[tuple[str, int]]:
-        return [(m[1], int(m[2])) for e in elements or [] if (m := _POINTER.match(e or ""))]
-
-    def items(r: dict) -> Iterator[tuple]:
-        sections, tables, figures = r["sections"] or [], r["tables"] or [], r["figures"] or []
-        elements = [pointers(s["elements"]) for s in sections]
-        roles, said = r["roles"] or [], r["said"] or []
-        heads = [next((k for kind, k in own if kind == "paragraphs" and k < len(roles) and roles[k] == "sectionHeading"), None) for own in elements]
-        headings = ["" if k is None else said[k] for k in heads]
-        skipped = [not text or role == "sectionHeading" or role in EXCLUDED for text, role in zip(said, roles)]
-        order = walked(elements, [s["offset"] or 0 for s in sections], headings, skipped, len(tables), len(figures), orphans)
-        for item, (kind, path, refs) in enumerate(order):
-            if kind == "text":
-                yield item, kind, path, refs[0], refs, [said[k] for k in refs], None, None, None
-            elif kind == "table":
-                table = tables[refs[0]]
-                yield item, kind, path, refs[0], [], [], *matrix(table["row_count"], table["column_count"], table["cells"]), table["caption"]
-            else:
-                figure = figures[refs[0]]
-                used = [k for kind_, k in pointers(figure["elements"]) if kind_ == "paragraphs" and k < len(said) and said[k] and roles[k] not in EXCLUDED]
-                text = "\n".join(said[k] for k in used)
-                if figure["role"] not in EXCLUDED_FIGURES and len(text.split()) >= FIGURE_WORDS:
-                    yield item, kind, path, refs[0], used, [text], None, None, None
+    return envelopes.select("document_id", F.transform("contents", slim).alias("contents"))
+
+
+def _read(contents: pa.Array, known: dict, orphans: bool = False) -> Iterator[_Content]:
+    """Every content of a column of ``_slim`` rows with its items in the order of reading.
+
+    Columns are taken whole out of Arrow, not value by value.  A figure has the paragraphs it uses, none if it is no item.
+    ``known`` keeps pointers that were parsed.
+    """
+
+    def pointers(elements: list[str | None]) -> list[tuple[str, int]]:
+        out = []
+        for e in elements:
+            if e not in known:
+                if len(known) > 100_000:
+                    known.clear()
+                m = _POINTER.match(e or "")
+                known[e] = (m[1], int(m[2])) if m else None
+            if known[e]:
+                out.append(known[e])
+        return out
+
+    rows, each = _lists(contents)
+    f = _fields(each)
+    p_at, said = _lists(f["said"])
+    said, roles = _texts(said), _texts(_lists(f["roles"])[1])
+    s_at, elements = _lists(f["elements"])
+    e_at, elements = _lists(elements)
+    elements, offsets = _plain(elements), _numbers(_lists(f["offsets"])[1])
+    t_at, tables = _lists(f["tables"])
+    tables = _table_columns(tables)
+    g_at, g_roles = _lists(f["figure_roles"])
+    g_roles = _plain(g_roles)
+    ge_at, g_elements = _lists(_lists(f["figure_elements"])[1])
+    g_elements = _plain(g_elements)
+    for row, (first, last) in enumerate(pairwise(rows)):
+        n_tables = n_figures = 0
+        for k in range(first, last):
+            own, role = said[p_at[k] : p_at[k + 1]], roles[p_at[k] : p_at[k + 1]]
+            sections = [pointers(elements[e_at[s] : e_at[s + 1]]) for s in range(s_at[k], s_at[k + 1])]
+            heads = [next((i for kind, i in x if kind == "paragraphs" and i < len(role) and role[i] == "sectionHeading"), None) for x in sections]
+            headings = ["" if i is None else own[i] for i in heads]
+            skipped = [not text or r == "sectionHeading" or r in EXCLUDED for text, r in zip(own, role)]
+            figures = []
+            for g in range(g_at[k], g_at[k + 1]):
+                used = [i for kind, i in pointers(g_elements[ge_at[g] : ge_at[g + 1]]) if kind == "paragraphs" and i < len(own) and own[i] and role[i] not in EXCLUDED]
+                figures.append((g_roles[g], used))
+            own_tables = tables[t_at[k] : t_at[k + 1]]
+            order = walked(sections, offsets[s_at[k] : s_at[k + 1]], headings, skipped, len(own_tables), len(figures), orphans)
+            yield _Content(row, k - first, n_tables, n_figures, own, order, own_tables, figures)
+            n_tables, n_figures = n_tables + len(own_tables), n_figures + len(figures)
+
+
+def _mapped(rows: DataFrame, schema: str, made: Callable[[pa.RecordBatch, dict], Iterator[tuple]], size: int = 500) -> DataFrame:
+    """Rows of ``made`` over slices of ``size`` rows, in one Arrow pass."""
+    types = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
         for batch in batches:
-            for k in range(0, batch.num_rows, 200):
-                out = [(r["document_id"], r["content_index"], r["tables_before"], r["figures_before"], *item) for r in batch.slice(k, 200).to_pylist() for item in items(r)]
-                columns = list(zip(*out)) if out else [()] * len(kinds)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], schema=arrow)
+            for k in range(0, batch.num_rows, size):
+                columns = list(zip(*made(batch.slice(k, size), known))) or [()] * len(types)
+                yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(columns, types)], schema=types)
 
     return rows.mapInArrow(run, schema)
 
 
 def table_matrices(contents: DataFrame) -> DataFrame:
     """(document_id, content_index, table_index, caption, row_count, column_count, lines, header_rows) of every table, each by itself."""
-    keys = ["document_id", "content_index", "table_index"]
-    tables = contents.select("document_id", "content_index", F.posexplode("tables").alias("table_index", "t")).select(*keys, "t.*")
+    tables = contents.select(F.col("document_id").cast("string").alias("document_id"), "content_index", F.posexplode("tables").alias("table_index", "t"))
+    schema = "document_id string, content_index int, table_index int, caption string, row_count int, column_count int, lines array<string>, header_rows array<int>"
 
-    @F.pandas_udf("struct<lines: array<string>, header_rows: array<int>>")
-    def made(rows: pd.Series, columns: pd.Series, cells: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([matrix(*x) for x in zip(rows, columns, cells)], columns=["lines", "header_rows"])
+    def made(batch: pa.RecordBatch, _: dict) -> Iterator[tuple]:
+        keys = (_plain(batch.column(c)) for c in ("document_id", "content_index", "table_index"))
+        for *key, (rows, columns, caption, cells) in zip(*keys, _table_columns(batch.column("t"))):
+            yield *key, caption, rows, columns, *matrix(rows, columns, cells)
 
-    shape = [F.coalesce("row_count", F.lit(0)).alias("row_count"), F.coalesce("column_count", F.lit(0)).alias("column_count")]
-    out = tables.select(*keys, "caption", *shape, "cells").withColumn("m", made("row_count", "column_count", "cells"))
-    return out.select(*keys, "caption", "row_count", "column_count", "m.lines", "m.header_rows")
+    return _mapped(tables, schema, made)
 
 
 def table_parts(lines: list[str], headers: list[int], target: int, most: int) -> list[tuple[str, int, int]]:
@@ -196,77 +264,97 @@ def chunks(envelopes: DataFrame, *, target: int = 200, most: int = 300) -> DataF
     table_row_end, figure_id, elements): chunks in reading order.
 
     Texts, tables and figures are numbered together in a document; a figure of fewer than three words or of a
-    header or footer gives none.  Tables and figures are numbered over all contents of a document.
+    header or footer gives none.  Tables and figures are numbered over all contents of a document.  A document is one
+    row and is read, packed and numbered in one pass without a shuffle, so ids must be unique.
     """
-    keys = ["document_id", "content_index"]
-    rows = reading_order(contents_of(envelopes)).withColumn("figure_no", F.col("figures_before") + F.col("ref") + 1)
-
-    @F.pandas_udf("array<struct<content: string, words: int, units: array<int>, first_row: int, last_row: int>>")
-    def groups(kind: pd.Series, texts: pd.Series, lines: pd.Series, headers: pd.Series, caption: pd.Series) -> pd.Series:
-        out = []
-        for kind_, own, rows_, head, title in zip(kind, texts, lines, headers, caption):
-            if kind_ == "table":
-                parts = table_parts(list(rows_), list(head), target, most)
-                done = []
-                for text, first, last in parts:
-                    text = f"{title}\n{text}".strip() if title else text
-                    done += [(t, w, [0], first, last) for t, w, _ in packed([text], target, most)]
-            else:
-                done = [(t, w, u, None, None) for t, w, u in packed(list(own), target, most)]
-            out.append([dict(zip(("content", "words", "units", "first_row", "last_row"), g)) for g in done])
-        return pd.Series(out)
-
-    rows = rows.select(
-        *keys, "item", "kind", "path", "ref", "used", "tables_before", "figure_no", F.posexplode(groups("kind", "texts", "lines", "header_rows", "caption")).alias("part", "g")
-    ).where("g.content <> ''")
-    index = F.row_number().over(Window.partitionBy("document_id").orderBy("content_index", "item", "part"))
-    number = lambda name, n: F.concat("document_id", F.lit(f":{name}:"), F.format_string("%04d", n))
+    schema = "document_id string, chunk_index int, kind string, section_path string, content string, words int, content_index int, number int, part int, first_row int, last_row int, elements array<string>"
+
+    def groups(c: _Content, kind: str, refs: list[int]) -> Iterator[tuple[str, int, int | None, int | None, list[str]]]:
+        if kind == "table":
+            rows, columns, title, cells = c.tables[refs[0]]
+            own = [f"/tables/{refs[0]}"]
+            for text, first, last in table_parts(*matrix(rows, columns, cells), target, most):
+                text = f"{title}\n{text}".strip() if title else text
+                yield from ((t, w, first, last, own) for t, w, _ in packed([text], target, most))
+        elif kind == "figure":
+            role, used = c.figures[refs[0]]
+            text = "\n".join([c.said[k] for k in used])
+            if role not in EXCLUDED_FIGURES and words_in(text) >= FIGURE_WORDS:
+                yield from ((t, w, None, None, [f"/figures/{refs[0]}"]) for t, w, _ in packed([text], target, most))
+        else:
+            for t, w, units in packed([c.said[k] for k in refs], target, most):
+                yield t, w, None, None, list(dict.fromkeys([f"/paragraphs/{refs[u]}" for u in units]))
+
+    def made(batch: pa.RecordBatch, known: dict) -> Iterator[tuple]:
+        ids, row, at = _plain(batch.column("document_id")), -1, 0
+        for c in _read(batch.column("contents"), known):
+            row, at = c.row, at if c.row == row else 0
+            for kind, path, refs in c.order:
+                number = refs[0] + 1 + (c.tables_before if kind == "table" else c.figures_before)
+                for part, (content, words, first, last, elements) in enumerate(groups(c, kind, refs), 1):
+                    if content:
+                        at += 1
+                        yield ids[row], at, kind, " > ".join(path), content, words, c.content_index, number, part, first, last, elements
+
+    rows = _mapped(_slim(envelopes), schema, made)
+    number = lambda name, n: F.concat("document_id", F.lit(f":{name}:"), F.format_string("%04d", F.col(n)))
     of = lambda kind, value: F.when(F.col("kind") == kind, value)
-    elements = F.when(F.col("kind") == "text", F.transform(F.array_distinct("g.units"), lambda u: F.concat(F.lit("/paragraphs/"), F.get("used", u).cast("string")))).otherwise(
-        F.array(F.concat(F.lit("/"), "kind", F.lit("s/"), F.col("ref").cast("string")))
-    )
-    rows = rows.withColumn("chunk_index", index)
     return rows.select(
-        "document_id", "chunk_index", number("chunk", F.col("chunk_index")).alias("chunk_id"), F.col("kind").alias("chunk_type"), F.array_join("path", " > ").alias("section_path"),
-        "g.content", "g.words", "content_index", of("table", number("table", F.col("tables_before") + F.col("ref") + 1)).alias("table_id"), of("table", F.col("part") + 1).alias("table_part"),
-        F.col("g.first_row").alias("table_row_start"), F.col("g.last_row").alias("table_row_end"), of("figure", number("figure", F.col("figure_no"))).alias("figure_id"), elements.alias("elements"),
+        "document_id", "chunk_index", number("chunk", "chunk_index").alias("chunk_id"), F.col("kind").alias("chunk_type"), "section_path", "content", "words", "content_index",
+        of("table", number("table", "number")).alias("table_id"), of("table", F.col("part")).alias("table_part"), F.col("first_row").alias("table_row_start"), F.col("last_row").alias("table_row_end"),
+        of("figure", number("figure", "number")).alias("figure_id"), "elements",
     )
 
 
 def pages(envelopes: DataFrame) -> DataFrame:
     """(document_id, page_id, content_index, page_number, printed_labels, headers, footers, content, markdown) of every page.
 
-    A paragraph is on every page that its regions name; pieces are in the order of the paragraphs.
+    A paragraph is on every page that its regions name; pieces are in the order of the paragraphs.  Pages and paragraphs
+    are told in one list, so envelopes are made once and what is on a page meets in one grouping.
     """
-    contents = contents_of(envelopes)
+    slices = lambda g: F.transform(F.coalesce(g["spans"], F.array().cast("array<struct<offset:int,length:int>>")), lambda s: F.substr(F.col("markdown"), s["offset"] + 1, s["length"]))
+    no_page, no_paragraph = F.expr("CAST(NULL AS struct<number:int,markdown:string>)"), F.expr("CAST(NULL AS struct<content:string,role:string,source:string>)")
+    told = lambda p: F.struct(F.struct(*(p[c].alias(c) for c in ("content", "role", "source"))).alias("p"), no_page.alias("pg"))
+    page = lambda g: F.struct(no_paragraph.alias("p"), F.struct(g["number"].alias("number"), F.array_join(slices(g), "").alias("markdown")).alias("pg"))
+    none = F.expr("CAST(array() AS array<struct<p:struct<content:string,role:string,source:string>,pg:struct<number:int,markdown:string>>>)")
+    listed = F.concat(*(F.coalesce(F.transform(c, made), none) for c, made in (("paragraphs", told), ("pages", page))))
     keys = ["document_id", "content_index", "page_number"]
-    each = contents.select("document_id", "content_index", F.posexplode("paragraphs").alias("at", "p"))
-    numbers = F.array_distinct(F.transform(source_regions(F.coalesce("p.source", F.lit(""))), lambda r: r["page"]))
-    on_page = each.select("document_id", "content_index", "at", F.trim(F.coalesce("p.content", F.lit(""))).alias("text"), F.coalesce("p.role", F.lit("")).alias("role"), F.explode(numbers).alias("page_number")).where("text <> ''")
-    held = lambda cond: F.array_sort(F.collect_list(F.when(cond, F.struct("at", "text"))))  # noqa: E731  a page's paragraphs
+    each = contents_of(envelopes).select("document_id", "content_index", F.posexplode(listed).alias("at", "x"))
+    numbers = F.array_distinct(source_pages(F.coalesce("x.p.source", F.lit(""))))
+    is_page = F.col("x.pg").isNotNull()
+    text = F.trim(F.coalesce("x.p.content", F.lit("")))
+    told = each.select(
+        "document_id", "content_index", "at", text.alias("text"), F.coalesce("x.p.role", F.lit("")).alias("role"), is_page.alias("is_page"), F.col("x.pg.markdown").alias("markdown"),
+        F.explode(F.when(is_page, F.array("x.pg.number")).when(text != "", F.filter(numbers, lambda n: n.isNotNull()))).alias("page_number"),
+    )
+    held = lambda cond: F.sort_array(F.collect_list(F.when(~F.col("is_page") & cond, F.struct("at", "text"))))  # noqa: E731  a page's paragraphs
     role = F.col("role")
-    found = on_page.groupBy(*keys).agg(held(role == "pageHeader").alias("h"), held(role == "pageFooter").alias("f"), held(role == "pageNumber").alias("n"), held(~role.isin(*EXCLUDED)).alias("b"))
-    texts = lambda c: F.transform(F.coalesce(F.col(c), F.array().cast("array<struct<at:int,text:string>>")), lambda x: x["text"])
-    slices = F.transform(F.coalesce("pg.spans", F.array().cast("array<struct<offset:int,length:int>>")), lambda s: F.substr(F.col("markdown"), s["offset"] + 1, s["length"]))
-    every = contents.select("document_id", "content_index", "markdown", F.explode("pages").alias("pg")).select("document_id", "content_index", F.col("pg.number").alias("page_number"), F.array_join(slices, "").alias("markdown"))
-    return every.join(found, keys, "left").select(
-        "document_id", F.concat("document_id", F.lit(":page:"), F.format_string("%04d", "page_number")).alias("page_id"), "content_index", "page_number",
-        texts("n").alias("printed_labels"), texts("h").alias("headers"), texts("f").alias("footers"), F.array_join(texts("b"), "\n\n").alias("content"), "markdown",
+    found = told.groupBy(*keys).agg(
+        held(role == "pageHeader").alias("h"), held(role == "pageFooter").alias("f"), held(role == "pageNumber").alias("n"), held(~role.isin(*EXCLUDED)).alias("b"),
+        F.collect_list(F.when(F.col("is_page"), F.struct("markdown"))).alias("pgs"),
     )
+    texts = lambda c: F.col(c)["text"]
+    return found.select(*keys, texts("n").alias("printed_labels"), texts("h").alias("headers"), texts("f").alias("footers"), F.array_join(texts("b"), "\n\n").alias("content"), F.inline("pgs")).select(
+        "document_id", F.concat("document_id", F.lit(":page:"), F.format_string("%04d", "page_number")).alias("page_id"), "content_index", "page_number", "printed_labels", "headers", "footers", "content", "markdown"
+    )
 
 
 def table_diagnostics(contents: DataFrame) -> DataFrame:
-    """(document_id, content_index, table_index, cells, empty, out_of_bounds, duplicate_positions, multi_page, source_less) of every table."""
+    """(document_id, content_index, table_index, cells, empty, out_of_bounds, duplicate_positions, multi_page, source_less) of every table, each by itself."""
     keys = ["document_id", "content_index", "table_index"]
     tables = contents.select("document_id", "content_index", F.posexplode("tables").alias("table_index", "t")).select(*keys, "t.*")
-    n_pages = F.size(F.array_distinct(F.transform(source_regions(F.coalesce("source", F.lit(""))), lambda r: r["page"])))
-    cells = tables.select(*keys, "row_count", "column_count", F.explode("cells").alias("x")).select(*keys, "row_count", "column_count", "x.*")
-    outside = (F.col("row") < 0) | (F.col("row") >= F.col("row_count")) | (F.col("col") < 0) | (F.col("col") >= F.col("column_count"))
-    places = cells.groupBy(*keys, "row", "col").agg(F.count("*").alias("n"), F.count_if(F.trim(F.coalesce("content", F.lit(""))) == "").alias("empty"), F.count_if(outside).alias("outside"))
-    found = places.groupBy(*keys).agg(F.sum("n").alias("cells"), F.sum("empty").alias("empty"), F.sum("outside").alias("out_of_bounds"), F.sum(F.col("n") - 1).alias("duplicate_positions"))
-    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    base = tables.select(*keys, (n_pages > 1).alias("multi_page"), (n_pages == 0).alias("source_less"))
-    return base.join(found, keys, "left").select(*keys, *map(zero, ("cells", "empty", "out_of_bounds", "duplicate_positions")), "multi_page", "source_less")
+    n_pages = F.size(F.array_distinct(source_pages(F.coalesce("source", F.lit("")))))
+    outside = lambda x: (x["row"] < 0) | (x["row"] >= F.col("row_count")) | (x["col"] < 0) | (x["col"] >= F.col("column_count"))
+    # cells of one place are neighbours in the order of places
+    places = F.sort_array(F.arrays_zip(F.col("cells.row").alias("row"), F.col("cells.col").alias("col")))
+    start = F.struct(F.expr("CAST(NULL AS struct<row:int,col:int>)").alias("last"), F.lit(0).alias("n"))
+    again = F.aggregate(places, start, lambda a, x: F.struct(x.alias("last"), (a["n"] + a["last"].eqNullSafe(x).cast("int")).alias("n")), lambda a: a["n"])
+    number = lambda c, name: F.coalesce(c, F.lit(0)).cast("long").alias(name)
+    counted = lambda cond, name: number(F.when(F.col("cells").isNotNull(), F.size(F.filter("cells", cond))), name)
+    return tables.select(
+        *keys, number(F.when(F.col("cells").isNotNull(), F.size("cells")), "cells"), counted(lambda x: F.trim(F.coalesce(x["content"], F.lit(""))) == "", "empty"), counted(outside, "out_of_bounds"),
+        number(again, "duplicate_positions"), (n_pages > 1).alias("multi_page"), (n_pages == 0).alias("source_less"),
+    )
 
 
 def structure_counts(envelopes: DataFrame) -> DataFrame:
@@ -293,9 +381,15 @@ def element_paths(chunks_: DataFrame) -> DataFrame:
 
 def projected_tokens(envelopes: DataFrame) -> DataFrame:
     """(document_id, content_index, position, kind, token_text): texts in the order of reading, with paragraphs that no section lists."""
-    contents = contents_of(envelopes)
-    order = reading_order(contents, orphans=True).where("kind = 'text'")
-    return order.select("document_id", "content_index", F.col("item").alias("position"), "kind", F.array_join("texts", " ").alias("token_text"))
+
+    def made(batch: pa.RecordBatch, known: dict) -> Iterator[tuple]:
+        ids = _plain(batch.column("document_id"))
+        for c in _read(batch.column("contents"), known, orphans=True):
+            for position, (kind, _, refs) in enumerate(c.order):
+                if kind == "text":
+                    yield ids[c.row], c.content_index, position, kind, " ".join([c.said[k] for k in refs])
+
+    return _mapped(_slim(envelopes), "document_id string, content_index int, position int, kind string, token_text string", made)
 
 
 def combined_ranges(parts: DataFrame) -> DataFrame:

@@ -49,16 +49,17 @@ def said(text: Column, orig: Column) -> Column:
 def _cells(table: Column) -> Column:
     """The grid's cells in one array; a place that is zero or untold is that in the grid, a span at least one."""
 
-    def cell(x: Column, row: Column, col: Column) -> Column:
+    def cell(x: Column, row: Column, col: Column, source: Column) -> Column:
         at = lambda told, own: F.coalesce(F.nullif(told, F.lit(0)), own.cast("int"))
         kind = F.when(x["column_header"], "columnHeader").when(x["row_header"], "rowHeader").otherwise("content")
         return F.struct(
             at(x["start_row_offset_idx"], row).alias("row"), at(x["start_col_offset_idx"], col).alias("col"), F.coalesce(x["text"], F.lit("")).alias("content"), kind.alias("kind"),
-            at(x["row_span"], F.lit(1)).alias("row_span"), at(x["col_span"], F.lit(1)).alias("col_span"), F.coalesce(source_of(x["prov"]), source_of(table["prov"])).alias("source"),
+            at(x["row_span"], F.lit(1)).alias("row_span"), at(x["col_span"], F.lit(1)).alias("col_span"), F.coalesce(source_of(x["prov"]), source).alias("source"),
         )
 
-    rows = F.transform(table["grid"], lambda row, r: F.filter(F.transform(row, lambda x, c: F.when(x.isNotNull(), cell(x, r, c))), lambda x: x.isNotNull()))
-    return F.flatten(F.filter(rows, lambda row: row.isNotNull()))
+    rows = lambda source: F.transform(table["grid"], lambda row, r: F.filter(F.transform(row, lambda x, c: F.when(x.isNotNull(), cell(x, r, c, source))), lambda x: x.isNotNull()))
+    # the table's own source, written once a table, not once a cell
+    return F.get(F.transform(F.array(source_of(table["prov"])), lambda source: F.flatten(F.filter(rows(source), lambda row: row.isNotNull()))), F.lit(0))
 
 
 def _tables(tables: Column) -> Column:
@@ -90,14 +91,14 @@ def projected_envelopes(native: DataFrame) -> DataFrame:
     each = each.withColumns({"idx": F.row_number().over(ahead) - 1, "offset": (F.sum(length + 2).over(ahead) - length - 2).cast("int"), "length": length})
     span = F.struct("offset", "length")
     own = each.groupBy("document_id").agg(
-        F.array_sort(F.collect_list(F.struct("idx", "content", "role", "source", span.alias("span"), "page"))).alias("ps"), F.sum(F.col("length") + 2).cast("long").alias("end")
+        F.sort_array(F.collect_list(F.struct("idx", "content", "role", "source", span.alias("span"), "page"))).alias("ps"), F.sum(F.col("length") + 2).cast("long").alias("end")
     )
     none = F.expr("CAST(array() AS array<struct<idx:int,content:string,role:string,source:string,span:struct<offset:int,length:int>,page:int>>)")
     both = rows.join(own, "document_id", "left").withColumns({"ps": F.coalesce("ps", none), "end": F.coalesce("end", F.lit(0)), "ts": F.filter(F.coalesce("tables", F.array().cast(native.schema["tables"].dataType)), lambda x: x.isNotNull())})
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     texts = F.transform("ps", lambda p: F.struct((zero(p["page"]) * PLACES + p["span"]["offset"]).alias("place"), F.lit(0).alias("kind"), p["idx"].alias("idx"), F.concat(F.lit("/paragraphs/"), p["idx"].cast("string")).alias("e")))
     tables = F.transform("ts", lambda x, i: F.struct((zero(page_of(x["prov"])) * PLACES + F.col("end") + i).alias("place"), F.lit(1).alias("kind"), i.cast("int").alias("idx"), F.concat(F.lit("/tables/"), i.cast("string")).alias("e")))
-    order = F.array_sort(F.concat(texts, tables))
+    order = F.sort_array(F.concat(texts, tables))
     elements = F.transform(order, lambda x: x["e"])
     named = F.concat(F.transform("ps", lambda p: p["page"]), F.transform("ts", lambda x: page_of(x["prov"])))
     named = F.array_sort(F.array_distinct(F.array_compact(named)))

@@ -81,6 +81,8 @@ def split_text(text: str, target: int, most: int) -> list[str]:
 
 def packed(texts: list[str], target: int, most: int) -> list[tuple[str, int, list[int]]]:
     """(text, words, indices of texts) of the groups of all parts of ``texts``."""
+    if texts and sum(map(len, texts)) < 10 * target and (whole := sum(map(words_in, texts))) < target and whole <= most:  # one group
+        return [("\n\n".join(map(str.strip, texts)), whole, list(range(len(texts))))]
     parts = [(k, part.strip()) for k, text in enumerate(texts) for part in split_text(text, target, most)]
     sizes = [words_in(part) for _, part in parts]
     return [("\n\n".join(p for _, p in parts[a:b]), sum(sizes[a:b]), [k for k, _ in parts[a:b]]) for a, b in groups_of(sizes, target, most)]
