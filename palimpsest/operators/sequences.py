@@ -11,9 +11,14 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate, groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
+
+# Texts whose chunks are Python objects at the same time.
+TEXTS_AT_ONCE = 64
 
 
 def pack(sizes: Column, target: int, most: int) -> Column:
@@ -91,17 +96,25 @@ def packed(texts: list[str], target: int, most: int) -> list[tuple[str, int, lis
 def chunk_texts(docs: DataFrame, *, target: int = 200, most: int = 300, text_col: str = "text") -> DataFrame:
     """(doc_id, chunk_index, chunk_id, words, content): the chunks of every row, cut at sentences; rows are apart even if ids repeat.
 
-    Texts without words have none.  One pass without a shuffle, linear in a text.
+    Texts without words have none.  One pass without a shuffle, linear in a text; TEXTS_AT_ONCE texts are in memory at a time.
     """
 
-    @F.pandas_udf("array<struct<content: string, words: int>>")
-    def groups(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"content": c, "words": n} for c, n, _ in packed([t], target, most) if n] if t else [] for t in texts])
-
-    each = docs.select("doc_id", F.posexplode(groups(F.col(text_col))).alias("at", "g"))
-    index = F.col("at") + 1
-    ident = F.concat(F.col("doc_id").cast("string"), F.lit(":chunk:"), F.format_string("%04d", index))
-    return each.select("doc_id", index.alias("chunk_index"), ident.alias("chunk_id"), "g.words", "g.content")
+    rows = docs.select("doc_id", F.col(text_col).alias("text"))
+    schema = StructType([StructField("doc_id", rows.schema["doc_id"].dataType), *StructType.fromDDL("chunk_index int, words int, content string")])
+    types = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(k, TEXTS_AT_ONCE)
+                made = [(at, n, words, content) for at, x in enumerate(part.column(1)) if (text := x.as_py()) for n, (content, words, _) in enumerate((g for g in packed([text], target, most) if g[1]), 1)]
+                at, *columns = zip(*made) if made else ((),) * 4
+                ids = part.column(0).take(pa.array(at, pa.int64()))
+                yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, f.type) for c, f in zip(columns, list(types)[1:]))], schema=types)
+
+    each = rows.mapInArrow(run, schema)
+    ident = F.concat(F.col("doc_id").cast("string"), F.lit(":chunk:"), F.format_string("%04d", "chunk_index"))
+    return each.select("doc_id", "chunk_index", ident.alias("chunk_id"), "words", "content")
 
 
 def batch_numbers(sizes: Column, most_rows: Column, most_size: Column) -> Column:

@@ -1,6 +1,6 @@
 """Plans whose work would grow faster than the input: what is read twice, shuffled again or computed for every element."""
 
-from palimpsest.operators import envelopes, layout_projection
+from palimpsest.operators import envelopes, layout_projection, sequences
 from palimpsest.plans import registry
 
 DATA = "/root/testdata/sf0.001"
@@ -26,3 +26,12 @@ def test_chunks_are_read_packed_and_numbered_without_a_shuffle(spark):
     assert exchanges(got) == 0
     assert [(r.document_id, r.chunk_index, r.content_index, r.content, r.elements) for r in got.collect()] == [("a", 1, 0, "word 2\n\nword 0", ["/paragraphs/2", "/paragraphs/0"]), ("a", 2, 2, "word 1", ["/paragraphs/1"])]
     assert exchanges(registry.queries()["envelope_walk"](spark, DATA)) == 1
+
+
+def test_chunks_hold_few_texts_at_a_time(spark):
+    docs = spark.range(150).selectExpr("CAST(id AS int) AS doc_id", "CASE WHEN id % 3 > 0 THEN concat('Text ', id, repeat(' word', 250)) WHEN id > 9 THEN ' ' END AS text").coalesce(1)
+    got = sequences.chunk_texts(docs)
+    assert "ArrowEvalPython" not in plan(got) and "MapInArrow" in plan(got)  # a batch's chunks as one column of Python objects, before
+    rows = got.collect()
+    assert len(rows) == 100 and all(r.chunk_index == 1 and r.words == 252 and r.content.startswith(f"Text {r.doc_id} ") and r.chunk_id == f"{r.doc_id}:chunk:0001" for r in rows)
+    assert got.schema["doc_id"].dataType.simpleString() == "int"
