@@ -1,6 +1,8 @@
 """Plans whose work would grow faster than the input: what is read twice, shuffled again or computed for every element."""
 
-from palimpsest.operators import envelopes, layout_projection, sequences
+import pyarrow as pa
+
+from palimpsest.operators import enrichment, envelopes, html_records, sequences
 from palimpsest.plans import registry
 
 DATA = "/root/testdata/sf0.001"
@@ -35,3 +37,7 @@ def test_chunks_hold_few_texts_at_a_time(spark):
     rows = got.collect()
     assert len(rows) == 100 and all(r.chunk_index == 1 and r.words == 252 and r.content.startswith(f"Text {r.doc_id} ") and r.chunk_id == f"{r.doc_id}:chunk:0001" for r in rows)
     assert got.schema["doc_id"].dataType.simpleString() == "int"
+
+
+def test_projected_text_meets_by_document_as_it_lies(spark):
+    assert exchanges(registry.queries()["projected_text"](spark, DATA)) == 3  # six before: lines twice each way, texts and runs again for the join
