@@ -41,3 +41,7 @@ def test_chunks_hold_few_texts_at_a_time(spark):
 
 def test_projected_text_meets_by_document_as_it_lies(spark):
     assert exchanges(registry.queries()["projected_text"](spark, DATA)) == 3  # six before: lines twice each way, texts and runs again for the join
+
+
+def test_projected_layouts_stay_where_their_documents_lie(spark):
+    assert exchanges(registry.queries()["projected_layouts"](spark, DATA)) == 2  # one, read twice; five before
