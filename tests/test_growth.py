@@ -45,3 +45,13 @@ def test_projected_text_meets_by_document_as_it_lies(spark):
 
 def test_projected_layouts_stay_where_their_documents_lie(spark):
     assert exchanges(registry.queries()["projected_layouts"](spark, DATA)) == 2  # one, read twice; five before
+
+
+def test_pages_make_their_envelopes_once(spark):
+    got = registry.queries()["envelope_pages"](spark, DATA)
+    assert scans(got, "lineitem") == 1 and exchanges(got) == 1  # two and four before
+    paragraphs = [{"content": c, "role": r, "source": s} for c, r, s in [("a", None, "D(1,0);D(2,x)"), (" ", None, "D(1,0)"), ("n", "pageNumber", "D(2,1)"), ("b", None, "D(2,1)"), ("c", None, "D(7,1)"), ("d", None, None)]]
+    listed = [{"number": 2, "spans": [{"offset": 1, "length": 2}, {"offset": 4, "length": 1}]}, {"number": 1, "spans": None}, {"number": 2, "spans": []}, {"number": 3, "spans": []}]
+    rows = spark.createDataFrame([("x", [{"paragraphs": paragraphs, "sections": None, "tables": None, "figures": None, "markdown": "uvwxyz", "pages": listed}, None])], envelopes.ENVELOPE)
+    found = sorted((r.page_number, r.content, r.printed_labels, r.headers, r.markdown) for r in envelopes.pages(rows).collect())
+    assert found == [(1, "a", [], [], ""), (2, "a\n\nb", ["n"], [], ""), (2, "a\n\nb", ["n"], [], "vwy"), (3, "", [], [], "")]
