@@ -55,3 +55,14 @@ def test_pages_make_their_envelopes_once(spark):
     rows = spark.createDataFrame([("x", [{"paragraphs": paragraphs, "sections": None, "tables": None, "figures": None, "markdown": "uvwxyz", "pages": listed}, None])], envelopes.ENVELOPE)
     found = sorted((r.page_number, r.content, r.printed_labels, r.headers, r.markdown) for r in envelopes.pages(rows).collect())
     assert found == [(1, "a", [], [], ""), (2, "a\n\nb", ["n"], [], ""), (2, "a\n\nb", ["n"], [], "vwy"), (3, "", [], [], "")]
+
+
+def test_table_diagnostics_look_at_each_table_by_itself(spark):
+    got = registry.queries()["envelope_table_diagnostics"](spark, DATA)
+    assert scans(got, "lineitem") == 1 and exchanges(got) == 1  # two and four before
+    cells = [(0, 0, "a"), (0, 0, " "), (None, 0, None), (None, 0, "b"), (None, 1, "b"), (-1, 0, "c"), (1, None, "d"), (2, 0, "e"), (0, 0, "f")]
+    table = lambda own: {"row_count": 2, "column_count": 1, "caption": None, "source": "D(1,0);D(1,2)", "cells": own}
+    content = {"paragraphs": None, "sections": None, "tables": [table([dict(zip(("row", "col", "content", "kind"), (*c, None))) for c in cells]), table([]), table(None)], "figures": None, "markdown": None, "pages": None}
+    rows = envelopes.table_diagnostics(envelopes.contents_of(spark.createDataFrame([("x", [content])], envelopes.ENVELOPE)))
+    found = [tuple(r)[2:] for r in rows.orderBy("table_index").collect()]
+    assert found == [(0, 9, 2, 3, 3, False, False), (1, 0, 0, 0, 0, False, False), (2, 0, 0, 0, 0, False, False)]
