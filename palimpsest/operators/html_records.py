@@ -29,6 +29,8 @@ _ARROW = pa.schema(
 )
 
 
+# Pages whose records are Python objects at the same time.
+PAGES_AT_ONCE = 64
 _KEPT = ("title", "h1", "h2", "h3", "td", "th", "dt", "dd", "label", "option", "summary")
 
 
@@ -159,9 +161,9 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     """One record per row of (page_id, html); broken markup gives what could be read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            records = [parse_page(h) for h in batch.column(1).to_pylist()]
-            columns = [batch.column(0)] + [pa.array([list(r[f.name].items()) if f.name == "meta" else r[f.name] for r in records], f.type) for f in list(_ARROW)[1:]]
+        for part in (batch.slice(k, PAGES_AT_ONCE) for batch in batches for k in range(0, batch.num_rows, PAGES_AT_ONCE)):
+            records = [parse_page(h.as_py()) for h in part.column(1)]
+            columns = [part.column(0)] + [pa.array([list(r[f.name].items()) if f.name == "meta" else r[f.name] for r in records], f.type) for f in list(_ARROW)[1:]]
             yield pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
     return pages.select("page_id", "html").mapInArrow(run, _SCHEMA)

@@ -66,3 +66,16 @@ def test_table_diagnostics_look_at_each_table_by_itself(spark):
     rows = envelopes.table_diagnostics(envelopes.contents_of(spark.createDataFrame([("x", [content])], envelopes.ENVELOPE)))
     found = [tuple(r)[2:] for r in rows.orderBy("table_index").collect()]
     assert found == [(0, 9, 2, 3, 3, False, False), (1, 0, 0, 0, 0, False, False), (2, 0, 0, 0, 0, False, False)]
+
+
+def test_pages_are_parsed_a_few_at_a_time():
+    class Rows:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return list(run(iter([pa.RecordBatch.from_pydict({"page_id": list(range(150)), "html": [f"<html lang=x{k}><a href=y>z</a>" for k in range(150)]})])))
+
+    out = html_records.parse_pages(Rows())
+    assert [b.num_rows for b in out] == [64, 64, 22]  # one batch of 150 before
+    assert [r["lang"] for b in out for r in b.to_pylist()] == [f"x{k}" for k in range(150)]
