@@ -79,3 +79,7 @@ def test_pages_are_parsed_a_few_at_a_time():
     out = html_records.parse_pages(Rows())
     assert [b.num_rows for b in out] == [64, 64, 22]  # one batch of 150 before
     assert [r["lang"] for b in out for r in b.to_pylist()] == [f"x{k}" for k in range(150)]
+
+
+def test_tables_are_made_behind_one_shuffle(spark):
+    assert exchanges(registry.queries()["table_records"](spark, DATA)) == 1  # two before
