@@ -77,7 +77,18 @@ def merged_entities(observed: DataFrame, *order: str) -> DataFrame:
 
 
 def derived_relations(documents: DataFrame) -> DataFrame:
-    """(id, source_id, target_id, relationship_type, document_id): the six kinds of edges, each where both ends are known."""
+    """(id, source_id, target_id, relationship_type, document_id): the six kinds of edges, each where both ends are known, once an id.
+
+    Rows of documents, which are far shorter than their edges, are dealt by document.  An id ends with the document's,
+    so only edges of documents told by several rows (or without an id) can be alike and are compared.
+    """
+    key = F.substring_index(F.lower(F.trim(F.col("document_id"))), "\x1f", -1)
+    rows = documents.select(F.col("document_id").cast("string").alias("document_id"), *FIELDS).withColumn("_key", key)
+    rows = rows.withColumn("_alone", (F.count("*").over(Window.partitionBy("_key")) == 1) & F.coalesce(F.col("_key") != "", F.lit(False)))
+    return _edges(rows.where("_alone")).unionByName(_edges(rows.where("NOT _alone")).dropDuplicates(["id"]))
+
+
+def _edges(documents: DataFrame) -> DataFrame:
     d = identified(documents)
     kinds = [
         ("filing_entity", "CONTAINS", "document_entity"), ("document_entity", "RELATES_TO", "company_entity"), ("filing_entity", "RELATES_TO", "company_entity"),
@@ -86,7 +97,7 @@ def derived_relations(documents: DataFrame) -> DataFrame:
     rows = F.array(*(F.struct(F.col(s).alias("source_id"), F.lit(k).alias("relationship_type"), F.col(t).alias("target_id")) for s, k, t in kinds))
     each = d.select("document_id", F.explode(rows).alias("r")).where("r.source_id IS NOT NULL AND r.target_id IS NOT NULL")
     ident = stable_id("relation", F.col("r.source_id"), F.col("r.relationship_type"), F.col("r.target_id"), F.col("document_id"))
-    return each.select(ident.alias("id"), "r.source_id", "r.target_id", "r.relationship_type", "document_id").dropDuplicates(["id"])
+    return each.select(ident.alias("id"), "r.source_id", "r.target_id", "r.relationship_type", "document_id")
 
 
 def filing_events(documents: DataFrame) -> DataFrame:

@@ -83,3 +83,14 @@ def test_pages_are_parsed_a_few_at_a_time():
 
 def test_tables_are_made_behind_one_shuffle(spark):
     assert exchanges(registry.queries()["table_records"](spark, DATA)) == 1  # two before
+
+
+def test_relations_shuffle_documents_not_edges(spark):
+    fields = ("filing_id", "company", "submitter")
+    docs = [("d1", "f1", "A", "B"), ("d2", "f1", "A", "B"), ("D2 ", "f1", "a", "C"), ("d2", None, "A", None), (None, "f1", "A", "B"), (None, "f1", "A", "B"), (" ", "f2", "A", None)]
+    rows = spark.createDataFrame(docs, "document_id string, filing_id string, company string, submitter string").selectExpr("document_id", *(c if c in fields else f"CAST(NULL AS string) AS {c}" for c in enrichment.FIELDS))
+    got = enrichment.derived_relations(rows)
+    assert "hashpartitioning(_key" in got._jdf.queryExecution().executedPlan().toString()  # by the edges' ids alone before
+    every = enrichment._edges(rows)
+    ids = [r.id for r in got.collect()]
+    assert len(ids) == len(set(ids)) and set(ids) == {r.id for r in every.collect()} and len(ids) < every.count()
