@@ -94,3 +94,7 @@ def test_relations_shuffle_documents_not_edges(spark):
     every = enrichment._edges(rows)
     ids = [r.id for r in got.collect()]
     assert len(ids) == len(set(ids)) and set(ids) == {r.id for r in every.collect()} and len(ids) < every.count()
+
+
+def test_used_entities_take_relations_without_shuffling_them(spark):
+    assert "hashpartitioning(_key" in registry.queries()["used_entities"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
