@@ -98,3 +98,8 @@ def test_relations_shuffle_documents_not_edges(spark):
 
 def test_used_entities_take_relations_without_shuffling_them(spark):
     assert "hashpartitioning(_key" in registry.queries()["used_entities"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_texts_with_another_version_are_cut_into_tokens(spark):
+    shown = registry.queries()["pairwise_scores"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert shown.find("regexp_extract_all(") < shown.find("Join ")  # tokens of all texts went into the join before
