@@ -239,23 +239,24 @@ def overlay(rebuilt: DataFrame, manifests: DataFrame, analyses: DataFrame, analy
     Documents: a manifest that holds the document it names gives all FACTS, blank ones too (title and address as
     empty texts).  Analyses: a manifest (document_id, sha256, analyzer, version, path, size, artifact_sha256,
     updated_at, COUNTS) counts if the document's current file has its content and the artifact (path, size, sha256)
-    is as it says; of several of one key the latest, of those the greatest row.  ``conflicts`` (entity, key, field,
-    before, after) has each value that was told before and is another now; ``counts`` (entity, outcome, n) the outcomes.
+    is as it says (of several at its path, any); of several of one key the latest, of those the greatest row.
+    ``conflicts`` (entity, key, field, before, after) has each value that was told before and is another now;
+    ``counts`` (entity, outcome, n) the outcomes.
     """
-    bad = manifests.where("NOT (document_id <=> inner_id) OR document_id IS NULL").count()
     exact = last_of(manifests.where("document_id = inner_id").select("document_id", *FACTS), ["document_id"])
     blank = lambda c: F.coalesce(F.col(f"e.{c}"), F.lit("")) if c in ("title", "source_url") else F.col(f"e.{c}")
     joined = rebuilt.alias("r").join(exact.withColumn("_e", F.lit(True)).alias("e"), F.col("r.document_id") == F.col("e.document_id"), "left")
     there = F.col("_e").isNotNull()
     documents = joined.select(*(F.when(there, blank(c)).otherwise(F.col(f"r.{c}")).alias(c) if c in FACTS else F.col(f"r.{c}").alias(c) for c in rebuilt.columns), there.alias("exact"))
-    lost = exact.join(rebuilt, "document_id", "left_anti")
 
     key = ["document_id", "sha256", "analyzer", "version"]
     file_ = rebuilt.where("sha256 IS NOT NULL").select("document_id", F.lower("sha256").alias("sha256"), F.lit(True).alias("_file"))
-    seen = artifacts.groupBy("path").agg(F.first("size").alias("_s"), F.first("sha256").alias("_h"), F.lit(True).alias("_there"))
-    own = analysis_manifests.withColumn("sha256", F.lower("sha256")).join(file_, ["document_id", "sha256"], "left").join(seen, "path", "left")
-    true = F.col("_there").isNotNull() & F.col("size").eqNullSafe(F.col("_s")) & F.lower("artifact_sha256").eqNullSafe(F.lower("_h"))
-    own = own.withColumn("outcome", F.when(F.col("_file").isNull(), "unmatched").when(~true, "invalid").otherwise("restored"))
+    seen = artifacts.select(F.col("path").alias("_p"), F.col("size").alias("_s"), F.lower("sha256").alias("_h"))
+    own = analysis_manifests.withColumn("sha256", F.lower("sha256")).join(file_, ["document_id", "sha256"], "left")
+    own = own.withColumns({"_p0": F.col("path"), "_s0": F.col("size"), "_h0": F.lower("artifact_sha256")})  # names that no artifact has
+    same = (F.col("_p") == F.col("_p0").outer()) & F.col("_s").eqNullSafe(F.col("_s0").outer()) & F.col("_h").eqNullSafe(F.col("_h0").outer())
+    own = own.withColumn("_true", seen.where(same).exists())
+    own = own.withColumn("outcome", F.when(F.col("_file").isNull(), "unmatched").when(~F.col("_true"), "invalid").otherwise("restored")).drop("_p0", "_s0", "_h0", "_true")
     restored = own.where("outcome = 'restored'").groupBy(*key).agg(F.max(F.struct("updated_at", *COUNTS)).alias("b")).select(*key, *(F.col(f"b.{c}").alias(c) for c in COUNTS))
     a, b = analyses.withColumn("_a", F.lit(True)).alias("a"), restored.withColumn("_b", F.lit(True)).alias("b")
     merged = a.join(b, key, "full_outer")
@@ -269,9 +270,18 @@ def overlay(rebuilt: DataFrame, manifests: DataFrame, analyses: DataFrame, analy
 
     conflicts = changes(joined, "document", F.col("r.document_id").cast("string"), [(c, F.col(f"r.{c}"), blank(c)) for c in FACTS], there)
     conflicts = conflicts.unionByName(changes(merged, "analysis", F.concat_ws(":", *(F.col(c).cast("string") for c in key)), [(c, F.col(f"a.{c}"), F.col(f"b.{c}")) for c in COUNTS], over & F.col("_a").isNotNull()))
-    counts = documents.where("exact").select(F.lit("document").alias("entity"), F.lit("updated").alias("outcome"))
-    counts = counts.union(lost.select(F.lit("document"), F.lit("missing_document"))).union(own.select(F.lit("analysis"), "outcome"))
-    counts = counts.groupBy("entity", "outcome").agg(F.count("*").alias("n"))
-    if bad:
-        counts = counts.union(counts.sparkSession.createDataFrame([("document", "invalid_manifest", bad)], "entity string, outcome string, n long"))
-    return Overlay(documents, out, conflicts, counts)
+    return Overlay(documents, out, conflicts, _document_counts(rebuilt, manifests).union(own.groupBy(F.lit("analysis").alias("entity"), "outcome").agg(F.count("*").alias("n"))))
+
+
+def _document_counts(rebuilt: DataFrame, manifests: DataFrame) -> DataFrame:
+    """(entity, outcome, n) of documents: updated, missing_document, invalid_manifest.
+
+    Ids are counted, not joined, and apart from the analyses: next to larger rows Spark would put all ids into one task.
+    """
+    told_by = lambda rows, m, r: rows.select("document_id", F.lit(m).alias("_m"), F.lit(r).alias("_r"))
+    ids = told_by(manifests.where("document_id = inner_id"), 1, 0).union(told_by(rebuilt.where("document_id IS NOT NULL"), 0, 1))
+    met = ids.groupBy("document_id").agg(F.max("_m").alias("_m"), F.sum("_r").alias("_r")).where("_m = 1")
+    found = met.agg(F.sum("_r").alias("updated"), F.count_if(F.col("_r") == 0).alias("missing_document"))
+    bad = manifests.agg(F.count_if(F.expr("NOT (document_id <=> inner_id) OR document_id IS NULL")).alias("invalid_manifest"))
+    rows = found.unpivot([], ["updated", "missing_document"], "outcome", "n").union(bad.unpivot([], ["invalid_manifest"], "outcome", "n"))
+    return rows.where("n > 0").select(F.lit("document").alias("entity"), "outcome", "n")

@@ -2,7 +2,7 @@
 
 import pyarrow as pa
 
-from palimpsest.operators import enrichment, envelopes, html_records, sequences
+from palimpsest.operators import enrichment, envelopes, html_records, rebuild, sequences
 from palimpsest.plans import registry
 
 DATA = "/root/testdata/sf0.001"
@@ -103,3 +103,22 @@ def test_used_entities_take_relations_without_shuffling_them(spark):
 def test_only_texts_with_another_version_are_cut_into_tokens(spark):
     shown = registry.queries()["pairwise_scores"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
     assert shown.find("regexp_extract_all(") < shown.find("Join ")  # tokens of all texts went into the join before
+
+
+def test_overlay_counts_ids_apart_from_analyses(spark):
+    shown = registry.queries()["overlay_counts"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in shown and "ExistingRDD" not in plan(registry.queries()["overlay_counts"](spark, DATA))
+    documents = shown[: shown.index("analysis AS")]  # joined twice with the manifests beside the analyses before, all ids in one task
+    assert documents.count("Join ") == 1 and "first(" not in shown
+
+
+def test_overlay_takes_any_artifact_that_bears_a_manifest_out(spark):
+    facts = ", ".join(f"'{c}' AS {c}" for c in rebuild.FACTS)
+    manifests = spark.sql(f"SELECT id AS document_id, CASE WHEN id <> 'e' THEN id END AS inner_id, {facts} FROM VALUES ('a'), ('a'), ('c'), ('e'), (NULL) AS t(id)")
+    rebuilt = spark.sql(f"SELECT id AS document_id, {facts}, h AS sha256 FROM VALUES ('a', 'aa'), ('b', 'aa'), (NULL, 'aa') AS t(id, h)")
+    counts = "CAST(1 AS bigint) AS pages, CAST(1 AS bigint) AS tables, CAST(1 AS bigint) AS sections, CAST(1 AS bigint) AS warnings"
+    own = spark.sql(f"SELECT 'a' AS document_id, 'AA' AS sha256, 'l' AS analyzer, '1' AS version, p AS path, s AS size, h AS artifact_sha256, '2024' AS updated_at, {counts} FROM VALUES ('r1', 9, 'FF'), ('r1', NULL, 'FF'), ('r2', NULL, NULL), (NULL, 9, 'FF') AS t(p, s, h)")
+    seen = spark.sql("SELECT p AS path, s AS size, h AS sha256 FROM VALUES ('r1', 8, 'ff'), ('r1', 9, 'fF'), ('r1', 9, 'ff'), ('r2', NULL, NULL), (NULL, 9, 'ff') AS t(p, s, h)").coalesce(1)
+    analyses = spark.sql(f"SELECT 'a' AS document_id, 'aa' AS sha256, 'l' AS analyzer, '1' AS version, {counts}")
+    got = {(r.entity, r.outcome): r.n for r in rebuild.overlay(rebuilt, manifests, analyses, own, seen).counts.collect()}
+    assert got == {("document", "updated"): 1, ("document", "missing_document"): 1, ("document", "invalid_manifest"): 2, ("analysis", "restored"): 2, ("analysis", "invalid"): 2}  # the first artifact at r1 alone before
