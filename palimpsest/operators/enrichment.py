@@ -84,7 +84,9 @@ def derived_relations(documents: DataFrame) -> DataFrame:
     """
     key = F.substring_index(F.lower(F.trim(F.col("document_id"))), "\x1f", -1)
     rows = documents.select(F.col("document_id").cast("string").alias("document_id"), *FIELDS).withColumn("_key", key)
-    rows = rows.withColumn("_alone", (F.count("*").over(Window.partitionBy("_key")) == 1) & F.coalesce(F.col("_key") != "", F.lit(False)))
+    # rows without an id count twice, in the sum: as a condition of its own Spark would test it in one branch before the shuffle, and shuffle for each
+    weight = F.when(F.col("_key") != "", 1).otherwise(2)
+    rows = rows.withColumn("_alone", F.sum(weight).over(Window.partitionBy("_key")) == 1)
     return _edges(rows.where("_alone")).unionByName(_edges(rows.where("NOT _alone")).dropDuplicates(["id"]))
 
 

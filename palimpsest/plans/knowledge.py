@@ -89,7 +89,7 @@ u AS (SELECT DISTINCT unnest([r.s, r.t]) AS id FROM r WHERE r.s IS NOT NULL) SEL
 def used_entities(t) -> DataFrame:
     """Entities at the ends of the relations of a filtered set of documents."""
     docs = filed_documents(t)
-    relations = enrichment.derived_relations(docs).where("CAST(document_id AS BIGINT) % 2 = 0 AND (relationship_type = 'CONTAINS' OR (relationship_type = 'RELATES_TO' AND source_id LIKE 'document:%'))")
+    relations = enrichment.derived_relations(docs.where("CAST(document_id AS BIGINT) % 2 = 0")).where("relationship_type = 'CONTAINS' OR (relationship_type = 'RELATES_TO' AND source_id LIKE 'document:%')")
     return enrichment.used_entities(enrichment.merged_entities(enrichment.observed_entities(docs), "document_id", "at"), relations, True).select("id", "name")
 
 

@@ -122,3 +122,13 @@ def test_overlay_takes_any_artifact_that_bears_a_manifest_out(spark):
     analyses = spark.sql(f"SELECT 'a' AS document_id, 'aa' AS sha256, 'l' AS analyzer, '1' AS version, {counts}")
     got = {(r.entity, r.outcome): r.n for r in rebuild.overlay(rebuilt, manifests, analyses, own, seen).counts.collect()}
     assert got == {("document", "updated"): 1, ("document", "missing_document"): 1, ("document", "invalid_manifest"): 2, ("analysis", "restored"): 2, ("analysis", "invalid"): 2}  # the first artifact at r1 alone before
+
+
+def test_relations_shuffle_documents_once(spark):
+    for name in ("document_relations", "used_entities"):
+        got = registry.queries()[name](spark, DATA)
+        got.collect()
+        ran = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert any("ReusedExchange" in line and "_key#" in line for line in ran.splitlines())  # once for each branch before
+    lines = [line for line in plan(registry.queries()["used_entities"](spark, DATA)).splitlines() if "bigint) % 2) = 0" in line]
+    assert lines and not any("_we0#" in line for line in lines)  # wanted documents alone are shuffled; all of them before
