@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions.text import stable_id
 from palimpsest.operators.enrichment import REQUIRED
-from palimpsest.operators.normalize import once
+from palimpsest.operators.normalize import once, spread
 
 # Fixed value: whole or partial dates, and what is put down of a record.
 DATE = r"^[0-9]{4}(-[0-9]{2}(-[0-9]{2})?)?$"
@@ -101,23 +101,28 @@ def materialized(checked: DataFrame, chunks: DataFrame, documents: DataFrame, *,
     evidence.  Evidence pages are the least first and greatest last page of the cited chunks (chunk_id, page_start,
     page_end) that are known.  Facts COMMON are those of ``documents``; all is ``unreviewed`` and says its extractor's ``version``.
     Of records with one id the last stays, by batch and place; null documents are kept, with ids of what else there is.
+    No table is sent whole to the tasks: joins are by shuffles, whatever Spark takes their sides' sizes to be.
     """
     key = F.struct("document_id", "batch").alias("_key")
     known = chunks.groupBy("chunk_id").agg(F.min("page_start").alias("page_start"), F.max("page_end").alias("page_end"))
-    # all tables come from these rows, and answers are dear to read: they are read once
-    good = checked.where("reason IS NULL").select("document_id", "batch", key, "chunk_ids", *REQUIRED).persist(StorageLevel.DISK_ONLY)
-    # pages by a join over what an answer may cite: chunks may be any number
-    may = good.select("_key", F.explode("chunk_ids").alias("chunk_id")).distinct().join(known, "chunk_id").groupBy("_key")
-    pages = may.agg(F.map_from_entries(F.collect_list(F.struct("chunk_id", F.struct("page_start", "page_end")))).alias("_pages"))  # a batch's chunks
-    good = good.join(pages, "_key", "left").drop("_key")
-    facts = documents.select("document_id", *COMMON).dropDuplicates(["document_id"])
+    # all tables come from these rows, and answers are dear to read: they are read once, before a shuffle that jobs at one time share
+    good = spread(checked.where("reason IS NULL").select("document_id", "batch", key, "chunk_ids", *REQUIRED), "_key").persist(StorageLevel.DISK_ONLY)
+    # pages by a join over what an answer may cite, once for all tables: chunks may be any number
+    may = good.select("_key", F.explode("chunk_ids").alias("chunk_id")).join(known.hint("merge"), "chunk_id").groupBy("_key")
+    pages = may.agg(F.map_from_entries(F.collect_set(F.struct("chunk_id", F.struct("page_start", "page_end")))).alias("_pages"))  # a batch's chunks
+    good = good.drop("chunk_ids").join(pages.hint("merge"), "_key", "left").drop("_key").persist(StorageLevel.DISK_ONLY)
+    facts = documents.select("document_id", *COMMON).dropDuplicates(["document_id"]).hint("merge")
 
     def of(kind: str) -> DataFrame:
         each = good.select("document_id", F.col("batch").alias("_batch"), "_pages", F.posexplode(kind).alias("_at", "x")).select("document_id", "_batch", "_at", "_pages", "x.*")
         page = lambda field: F.transform("cited", lambda c: F.try_element_at("_pages", c)[field])
-        each = each.withColumns({"evidence_page_start": F.array_min(page("page_start")), "evidence_page_end": F.array_max(page("page_end"))})
-        out = each.join(facts, "document_id", "left").drop("_pages", "object")
-        return out.withColumnRenamed("cited", "evidence_chunk_ids").withColumns({"review_status": F.lit("unreviewed"), "extractor_version": F.lit(version)})
+        each = each.withColumns({"evidence_page_start": F.array_min(page("page_start")), "evidence_page_end": F.array_max(page("page_end"))}).drop("_pages", "object")
+        return each.withColumnRenamed("cited", "evidence_chunk_ids").withColumns({"review_status": F.lit("unreviewed"), "extractor_version": F.lit(version)})
+
+    def told(rows: DataFrame, *names: str) -> DataFrame:
+        """The last row of each id, with the facts ``names`` of its document."""
+        last = _last(rows)
+        return last.join(facts, "document_id", "left").select(*last.columns, *names)
 
     def ident(prefix: str, *parts: str) -> Column:
         """Parts that are blank don't count; letters without case."""
@@ -134,6 +139,6 @@ def materialized(checked: DataFrame, chunks: DataFrame, documents: DataFrame, *,
     relations = of("relationships").withColumns({"source_id": typed("source"), "target_id": typed("target")})
     relations = relations.withColumn("id", ident("relation", "source_id", "relationship_type", "target_id", "document_id", evidence))
     side = lambda s, at: F.struct(F.col(f"{s}_id").alias("id"), F.col(f"{s}_type").alias("entity_type"), F.col(f"{s}_name").alias("name"), F.lit(at).alias("side"))
-    ends = relations.select("_batch", "_at", "source_url", "document_id", F.explode(F.array(side("source", 0), side("target", 1))).alias("e")).select("e.id", "e.entity_type", "e.name", "source_url", "_batch", F.struct("document_id", "_at", "e.side").alias("_at"))
-    entities = _last(ends).withColumns({"aliases": F.array().cast("array<string>"), "external_ids": F.create_map().cast("map<string,string>")})
-    return ModelTables(_last(events), _last(claims), _last(obligations), entities, _last(relations).drop("source_name", "source_type", "target_name", "target_type"))
+    ends = relations.select("_batch", "_at", "document_id", F.explode(F.array(side("source", 0), side("target", 1))).alias("e")).select("e.id", "e.entity_type", "e.name", "document_id", "_batch", F.struct("document_id", "_at", "e.side").alias("_at"))
+    entities = told(ends, "source_url").drop("document_id").withColumns({"aliases": F.array().cast("array<string>"), "external_ids": F.create_map().cast("map<string,string>")})
+    return ModelTables(*(told(x, *COMMON) for x in (events, claims, obligations)), entities, told(relations.drop("source_name", "source_type", "target_name", "target_type"), *COMMON))

@@ -6,8 +6,9 @@ from datetime import datetime, timedelta
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from palimpsest.operators import retrieval
+from palimpsest.operators import model_records, retrieval
 from palimpsest.plans import flows, knowledge, registry
 from tests.test_queries import plain
 
@@ -85,6 +86,23 @@ def test_answers_are_dealt_over_all_tasks_and_read_once(spark, tmp_path):
     assert knowledge._answers(one).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_model_tables_send_no_table_through_the_driver(spark, tmp_path):
+    """Spark takes the pages of answers, the known chunks and the facts for small, at any size."""
+    orders = [(k, k % 7, "FOP"[k % 3], 1.0, datetime(2024, 1, 1), "1-URGENT") for k in range(60)]
+    for name, (schema, rows) in {"orders": (ORDERS, orders), "customer": ("c_custkey long, c_name string", [(c, f"C{c}") for c in range(7)])}.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    t = lambda name: spark.read.parquet(f"{tmp_path}/{name}.parquet")
+    chunks = t("orders").select(F.concat("o_orderkey", F.lit(":1")).alias("chunk_id"), F.lit(1).alias("page_start"), F.lit(2).alias("page_end"))
+    facts = t("customer").select(F.col("c_custkey").cast("string").alias("document_id"), *(F.col("c_name").alias(c) for c in model_records.COMMON))
+    out = model_records.materialized(model_records.checked_answers(knowledge._answers(t)), chunks, facts, version="v")
+    for frame in (registry.queries()["model_tables"](spark, str(tmp_path)), out.events, out.claims, out.obligations, out.entities, out.relations):
+        rows = frame.collect()
+        assert rows and "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
+    for records in (out.events, out.claims, out.obligations, out.relations):
+        assert {(r.document_id, r.company, r.source_url) for r in records.collect()} <= {(str(c), f"C{c}", f"C{c}") for c in range(7)}
+    assert {r.source_url for r in out.entities.collect()} <= {f"C{c}" for c in range(7)}
+
+
 def test_artifacts_are_dealt_over_all_tasks(spark, tmp_path):
     orders = [(k, k % 7, "F", 1.0, datetime(2024, 1, 1), "1-URGENT") for k in range(1, 1500)]
     assert agree(spark, tmp_path, "artifact_problems", orders=(ORDERS, orders))
